@@ -64,8 +64,8 @@ class CheckSpec:
     dimension: str | None = None
     severity: str = "error"
     unit: str = "rows"
-    # fused: builds the aggregate for a frame
-    expr: Callable[[DataFrame], Column] | None = None
+    # fused: the aggregate as SQL text over the checked frame
+    sql: str | None = None
     # unique
     keys: tuple[str, ...] = ()
     # anti
@@ -113,12 +113,27 @@ class _Builder:
         self.specs.append(CheckSpec(idx=len(self.specs), **kw))
 
 
-def _typed_literal(v: Any, dt: T.DataType) -> Column:
-    return F.lit(v).cast(dt)
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal (backslash escapes on)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def qname(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(v: Any, dt: T.DataType) -> str:
+    text = ("true" if v else "false") if isinstance(v, bool) else str(v)
+    return f"CAST({sql_str(text)} AS {dt.simpleString()})"
+
+
+# Every per-row check is stated as SQL aggregate text: the whole set is parsed by the JVM
+# in one go instead of being assembled from thousands of small Column calls.
 
 
 def _field_checks(b: _Builder, f: Field, include_schema: bool) -> None:
-    c, name, dt = f.name, f.name, f.data_type
+    name, dt = f.name, f.data_type
+    q = qname(name)
     if include_schema:
         b.add(name=f"{name}:present", kind="present", field=name, plan="schema",
               dimension="completeness", unit="missing")
@@ -127,35 +142,32 @@ def _field_checks(b: _Builder, f: Field, include_schema: bool) -> None:
               expected_type=normalise_type_text(dt.simpleString()))
     if f.required:
         b.add(name=f"{name}:required", kind="required", field=name, plan="fused",
-              dimension="completeness", unit="rows are NULL",
-              expr=lambda df, c=c: F.count_if(qcol(c).isNull()))
+              dimension="completeness", unit="rows are NULL", sql=f"count_if({q} IS NULL)")
     if f.unique and not f.is_key:
         b.add(name=f"{name}:unique", kind="unique", field=name, plan="unique",
               dimension="uniqueness", keys=(name,))
 
     opts = f.options
     if "pattern" in opts:
-        p = str(opts["pattern"])
         b.add(name=f"{name}:pattern", kind="pattern", field=name, plan="fused",
               dimension="conformity", unit="rows do not match",
-              expr=lambda df, c=c, p=p: F.count_if(~qcol(c).cast("string").rlike(p)))
+              sql=f"count_if(NOT (CAST({q} AS STRING) RLIKE {sql_str(str(opts['pattern']))}))")
     if "minLength" in opts:
         n = int(opts["minLength"])
         b.add(name=f"{name}:min_length", kind="min_length", field=name, plan="fused",
               dimension="conformity", unit=f"rows shorter than {n}",
-              expr=lambda df, c=c, n=n: F.count_if(F.length(qcol(c).cast("string")) < n))
+              sql=f"count_if(length(CAST({q} AS STRING)) < {n})")
     if "maxLength" in opts:
         n = int(opts["maxLength"])
         b.add(name=f"{name}:max_length", kind="max_length", field=name, plan="fused",
               dimension="conformity", unit=f"rows longer than {n}",
-              expr=lambda df, c=c, n=n: F.count_if(F.length(qcol(c).cast("string")) > n))
+              sql=f"count_if(length(CAST({q} AS STRING)) > {n})")
     for key, kind, op in (("minimum", "minimum", "<"), ("maximum", "maximum", ">")):
         if key in opts:
             v = opts[key]
             b.add(name=f"{name}:{kind}", kind=kind, field=name, plan="fused",
                   dimension="accuracy", unit=f"rows {op} {v}",
-                  expr=lambda df, c=c, v=v, op=op, dt=dt: F.count_if(
-                      qcol(c) < _typed_literal(v, dt) if op == "<" else qcol(c) > _typed_literal(v, dt)))
+                  sql=f"count_if({q} {op} {_lit(v, dt)})")
     # An exclusive bound is two checks: beyond the bound, and equal to it.
     for key, kind, op in (("exclusiveMinimum", "exclusive_minimum", "<"),
                           ("exclusiveMaximum", "exclusive_maximum", ">")):
@@ -163,27 +175,26 @@ def _field_checks(b: _Builder, f: Field, include_schema: bool) -> None:
             v = opts[key]
             b.add(name=f"{name}:{kind}", kind=kind, field=name, plan="fused",
                   dimension="accuracy", unit=f"rows {op} {v}",
-                  expr=lambda df, c=c, v=v, op=op, dt=dt: F.count_if(
-                      qcol(c) < _typed_literal(v, dt) if op == "<" else qcol(c) > _typed_literal(v, dt)))
+                  sql=f"count_if({q} {op} {_lit(v, dt)})")
             b.add(name=f"{name}:{kind}_equal", kind=f"{kind}_equal", field=name, plan="fused",
                   dimension="accuracy", unit=f"rows = {v}",
-                  expr=lambda df, c=c, v=v, dt=dt: F.count_if(qcol(c) == _typed_literal(v, dt)))
+                  sql=f"count_if({q} = {_lit(v, dt)})")
 
     for r in f.rules:
         _rule_checks(b, r, f)
 
 
 def _valid_values_spec(b: _Builder, r: Rule, f: Field, values: Sequence[Any]) -> None:
-    name, c, dt = r.name or f"{f.name}:valid_values", f.name, f.data_type
+    name, dt = r.name or f"{f.name}:valid_values", f.data_type
     common = dict(name=name, kind="valid_values", field=f.name, bound=r.bound or ZERO,
                   dimension=r.dimension or "conformity", severity=r.severity,
                   unit="rows outside the list")
     if len(values) > IN_LIST_LIMIT:
         b.add(plan="anti", values=tuple(values), **common)
     else:
-        lits = [_typed_literal(v, dt) for v in values]
+        lits = ", ".join(_lit(v, dt) for v in values)
         # NULL IN (...) is NULL: a NULL cell is not counted here (only `required` reports it).
-        b.add(plan="fused", expr=lambda df, c=c, lits=lits: F.count_if(~qcol(c).isin(lits)), **common)
+        b.add(plan="fused", sql=f"count_if(NOT ({qname(f.name)} IN ({lits})))", **common)
 
 
 def _rule_checks(b: _Builder, r: Rule, f: Field | None) -> None:
@@ -195,14 +206,14 @@ def _rule_checks(b: _Builder, r: Rule, f: Field | None) -> None:
                       field=f.name if f else None, bound=r.bound or ZERO,
                       dimension=r.dimension, severity=r.severity, unit="rows", query=r.query)
         if pred is not None:
-            b.add(plan="fused", expr=lambda df, pred=pred: F.count_if(F.expr(pred)), **common)
+            b.add(plan="fused", sql=f"count_if({pred})", **common)
         else:
             b.add(plan="sql", **common)
         return
     if metric == "rowcount":
         b.add(name=r.name or "row_count", kind="row_count", field=None, plan="fused",
               bound=r.bound or Bound(">", 0.0), dimension=r.dimension or "completeness",
-              severity=r.severity, unit="rows", expr=lambda df: F.count(F.lit(1)))
+              severity=r.severity, unit="rows", sql="count(1)")
         return
     if f is None:
         if metric in ("duplicatevalues", "duplicates") and args.get("properties"):
@@ -212,32 +223,27 @@ def _rule_checks(b: _Builder, r: Rule, f: Field | None) -> None:
                   dimension=r.dimension or "uniqueness", severity=r.severity)
             return
         raise ValueError(f"table rule {r.name!r} of kind {metric!r} is not supported")
-    c = f.name
+    c, q = f.name, qname(f.name)
     if metric == "invalidvalues":
         if "validValues" in args:
             _valid_values_spec(b, r, f, list(args["validValues"]))
         if "pattern" in args:
-            p = str(args["pattern"])
             b.add(name=r.name or f"{c}:pattern", kind="pattern", field=c, plan="fused",
                   bound=r.bound or ZERO, dimension=r.dimension or "conformity",
                   severity=r.severity, unit="rows do not match",
-                  expr=lambda df, c=c, p=p: F.count_if(~qcol(c).cast("string").rlike(p)))
+                  sql=f"count_if(NOT (CAST({q} AS STRING) RLIKE {sql_str(str(args['pattern']))}))")
         return
     if metric == "nullvalues":
         b.add(name=r.name or f"{c}:null_values", kind="required", field=c, plan="fused",
               bound=r.bound or ZERO, dimension=r.dimension or "completeness",
-              severity=r.severity, unit="rows are NULL",
-              expr=lambda df, c=c: F.count_if(qcol(c).isNull()))
+              severity=r.severity, unit="rows are NULL", sql=f"count_if({q} IS NULL)")
         return
     if metric == "missingvalues":
         missing = [v for v in args.get("missingValues", []) if v is not None]
-        dt = f.data_type
-        lits = [_typed_literal(v, dt) for v in missing]
+        extra = f" OR {q} IN ({', '.join(_lit(v, f.data_type) for v in missing)})" if missing else ""
         b.add(name=r.name or f"{c}:missing_values", kind="missing_values", field=c,
               plan="fused", bound=r.bound or ZERO, dimension=r.dimension or "completeness",
-              severity=r.severity, unit="rows missing",
-              expr=lambda df, c=c, lits=lits: F.count_if(
-                  qcol(c).isNull() | (qcol(c).isin(lits) if lits else F.lit(False))))
+              severity=r.severity, unit="rows missing", sql=f"count_if({q} IS NULL{extra})")
         return
     if metric in ("duplicatevalues", "duplicates"):
         b.add(name=r.name or f"{c}:unique", kind="unique", field=c, plan="unique", keys=(c,),
@@ -265,41 +271,36 @@ def compile_checks(contract: Contract, include_schema: bool = True) -> list[Chec
 # --------------------------------------------------------------------------------------
 
 
-def _passes(bound: Bound, m: Column) -> Column:
-    lo, hi = F.lit(bound.lo), F.lit(bound.hi)
-    return {
-        "=": m == lo,
-        "!=": m != lo,
-        ">": m > lo,
-        ">=": m >= lo,
-        "<": m < lo,
-        "<=": m <= lo,
-        "between": m.between(lo, hi),
-        "not between": ~m.between(lo, hi),
-    }[bound.op]
+def _passes_sql(bound: Bound, m: str) -> str:
+    lo, hi = repr(float(bound.lo)), repr(float(bound.hi)) if bound.hi is not None else "NULL"
+    if bound.op == "between":
+        return f"{m} BETWEEN {lo} AND {hi}"
+    if bound.op == "not between":
+        return f"NOT ({m} BETWEEN {lo} AND {hi})"
+    return f"{m} {bound.op} {lo}"
 
 
-def _report_struct(contract_id: str, s: CheckSpec, metric: Column, detail: Column | None = None) -> Column:
-    metric = metric.cast("bigint")
+def _struct_sql(contract_id: str, s: CheckSpec, metric: str, detail: str | None = None) -> str:
+    m = f"CAST({metric} AS BIGINT)"
     if detail is None:
-        detail = F.concat(F.coalesce(metric.cast("string"), F.lit("no value")), F.lit(f" {s.unit}"))
-    return F.struct(
-        F.lit(contract_id).alias("contract"),
-        F.lit(s.name).alias("check"),
-        F.lit(s.kind).alias("kind"),
-        F.lit(s.field).cast("string").alias("field"),
-        F.lit(s.dimension).cast("string").alias("dimension"),
-        F.lit(s.severity).alias("severity"),
-        metric.alias("metric"),
-        F.lit(s.bound.text()).alias("bound"),
-        F.when(_passes(s.bound, metric), F.lit("passed")).otherwise(F.lit("failed")).alias("result"),
-        detail.alias("detail"),
+        detail = f"concat(coalesce(CAST({m} AS STRING), 'no value'), {sql_str(' ' + s.unit)})"
+    lit = lambda v: "CAST(NULL AS STRING)" if v is None else sql_str(str(v))
+    return (
+        f"named_struct('contract', {lit(contract_id)}, 'check', {lit(s.name)}, 'kind', {lit(s.kind)}, "
+        f"'field', {lit(s.field)}, 'dimension', {lit(s.dimension)}, 'severity', {lit(s.severity)}, "
+        f"'metric', {m}, 'bound', {lit(s.bound.text())}, "
+        f"'result', CASE WHEN {_passes_sql(s.bound, m)} THEN 'passed' ELSE 'failed' END, "
+        f"'detail', {detail})"
     )
 
 
+def _inline(df: DataFrame, structs: list[str]) -> DataFrame:
+    return df.select(F.expr(f"inline(array({', '.join(structs)}))"))
+
+
 def fused_metrics(df: DataFrame, specs: Iterable[CheckSpec]) -> list[Column]:
     """Aggregate expressions of the fused checks, aliased ``m<idx>`` (usable in ``observe``)."""
-    return [s.expr(df).alias(s.alias) for s in specs if s.plan == "fused"]
+    return [F.expr(f"{s.sql} AS {s.alias}") for s in specs if s.plan == "fused"]
 
 
 def _schema_rows(spark, contract_id: str, specs: list[CheckSpec], schema: T.StructType) -> DataFrame | None:
@@ -307,7 +308,7 @@ def _schema_rows(spark, contract_id: str, specs: list[CheckSpec], schema: T.Stru
     if not rows:
         return None
     types = {f.name: normalise_type_text(f.dataType.simpleString()) for f in schema}
-    vals = []
+    structs = []
     for s in rows:
         if s.kind == "present":
             bad = 0 if s.field in types else 1
@@ -316,20 +317,13 @@ def _schema_rows(spark, contract_id: str, specs: list[CheckSpec], schema: T.Stru
             actual = types.get(s.field)
             bad = 0 if actual == s.expected_type else 1
             detail = f"expected {s.expected_type}, found {actual or 'nothing'}"
-        vals.append((s.idx, bad, detail))
-    by_idx = {s.idx: s for s in rows}
-    # one row per schema check: pick the spec's struct by idx
-    structs = F.array(*[
-        _report_struct(contract_id, by_idx[i], F.lit(m), F.lit(d)) for i, m, d in vals
-    ])
-    return spark.range(1).select(F.inline(structs))
+        structs.append(_struct_sql(contract_id, s, str(bad), sql_str(detail)))
+    return _inline(spark.range(1), structs)
 
 
 def _fused_rows(contract_id: str, specs: list[CheckSpec], one_row: DataFrame) -> DataFrame:
     fused = [s for s in specs if s.plan == "fused"]
-    return one_row.select(F.inline(F.array(*[
-        _report_struct(contract_id, s, F.col(s.alias)) for s in fused
-    ])))
+    return _inline(one_row, [_struct_sql(contract_id, s, s.alias) for s in fused])
 
 
 def _unique_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
@@ -339,15 +333,14 @@ def _unique_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
         .where(F.col("n") > 1)
         .agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
     )
-    detail = F.concat(F.col("groups").cast("string"), F.lit(" repeated keys over "),
-                      F.col("rows").cast("string"), F.lit(" rows"))
-    return dup.select(F.inline(F.array(_report_struct(contract_id, s, F.col("groups"), detail))))
+    detail = "concat(CAST(`groups` AS STRING), ' repeated keys over ', CAST(`rows` AS STRING), ' rows')"
+    return _inline(dup, [_struct_sql(contract_id, s, "`groups`", detail)])
 
 
 def _anti_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
     spark = df.sparkSession
     dt = df.schema[s.field].dataType
-    allowed = spark.createDataFrame([(v,) for v in s.values], "v string").select(
+    allowed = spark.createDataFrame([(str(v),) for v in s.values], "v string").select(
         F.col("v").cast(dt).alias("__allowed")
     )
     if len(s.values) <= BROADCAST_LIST_LIMIT:
@@ -358,7 +351,7 @@ def _anti_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
         .join(allowed, F.col("__v") == F.col("__allowed"), "left_anti")
         .agg(F.count(F.lit(1)).alias("bad"))
     )
-    return bad.select(F.inline(F.array(_report_struct(contract_id, s, F.col("bad")))))
+    return _inline(bad, [_struct_sql(contract_id, s, "`bad`")])
 
 
 def _sql_rows(contract_id: str, df: DataFrame, model: str, s: CheckSpec) -> DataFrame:
@@ -367,7 +360,7 @@ def _sql_rows(contract_id: str, df: DataFrame, model: str, s: CheckSpec) -> Data
         res = spark.sql(s.query)  # analysed now; stays valid once the view is gone
     first = res.columns[0]
     one = res.agg(F.max(qcol(first)).cast("bigint").alias("v"))
-    return one.select(F.inline(F.array(_report_struct(contract_id, s, F.col("v")))))
+    return _inline(one, [_struct_sql(contract_id, s, "`v`")])
 
 
 def _usable_fused(df: DataFrame, specs: list[CheckSpec]) -> list[CheckSpec]:
@@ -376,9 +369,9 @@ def _usable_fused(df: DataFrame, specs: list[CheckSpec]) -> list[CheckSpec]:
     for s in specs:
         if s.plan == "fused" and s.kind == "sql":
             try:
-                df.agg(s.expr(df)).schema  # eager analysis
+                df.agg(F.expr(s.sql)).schema  # eager analysis
             except PySparkException:
-                s = CheckSpec(**{**s.__dict__, "plan": "sql", "expr": None})
+                s = CheckSpec(**{**s.__dict__, "plan": "sql", "sql": None})
         out.append(s)
     return out
 
