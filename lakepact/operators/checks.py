@@ -303,15 +303,17 @@ def fused_metrics(df: DataFrame, specs: Iterable[CheckSpec]) -> list[Column]:
     return [F.expr(f"{s.sql} AS {s.alias}") for s in specs if s.plan == "fused"]
 
 
-def _schema_rows(spark, contract_id: str, specs: list[CheckSpec], schema: T.StructType) -> DataFrame | None:
+def _schema_rows(spark, contract_id: str, specs: list[CheckSpec], schema: T.StructType,
+                 presence: T.StructType | None = None) -> DataFrame | None:
     rows = [s for s in specs if s.plan == "schema"]
     if not rows:
         return None
     types = {f.name: normalise_type_text(f.dataType.simpleString()) for f in schema}
+    present = {f.name for f in (presence or schema)}
     structs = []
     for s in rows:
         if s.kind == "present":
-            bad = 0 if s.field in types else 1
+            bad = 0 if s.field in present else 1
             detail = "present" if not bad else "column missing"
         else:
             actual = types.get(s.field)
@@ -363,6 +365,21 @@ def _sql_rows(contract_id: str, df: DataFrame, model: str, s: CheckSpec) -> Data
     return _inline(one, [_struct_sql(contract_id, s, "`v`")])
 
 
+def cast_loss_specs(contract: Contract, present: Iterable[str], start: int) -> list[CheckSpec]:
+    """Opt-in, informational: per delivered column, non-NULL text that TRY_CAST made NULL.
+    Evaluated over a frame carrying the raw text as ``__raw__<name>`` next to the typed column."""
+    present = set(present)
+    out = []
+    for f in contract.fields:
+        if f.name in present:
+            raw, typed = qname(f"__raw__{f.name}"), qname(f.name)
+            out.append(CheckSpec(idx=start + len(out), name=f"{f.name}:cast_loss", kind="cast_loss",
+                                 field=f.name, plan="fused", bound=Bound(">=", 0.0), dimension="conformity",
+                                 severity="info", unit="values could not be typed",
+                                 sql=f"count_if({raw} IS NOT NULL AND {typed} IS NULL)"))
+    return out
+
+
 def _usable_fused(df: DataFrame, specs: list[CheckSpec]) -> list[CheckSpec]:
     """Fused SQL predicates that do not analyse as a row predicate fall back to SQL."""
     out = []
@@ -383,6 +400,7 @@ def check_report(
     specs: list[CheckSpec] | None = None,
     observed: dict[str, Any] | None = None,
     schema: T.StructType | None = None,
+    presence: T.StructType | None = None,
 ) -> DataFrame:
     """One row per check (schema ``REPORT_SCHEMA``), lazily.
 
@@ -394,7 +412,7 @@ def check_report(
     specs = _usable_fused(df, specs if specs is not None else compile_checks(contract))
     parts: list[DataFrame] = []
 
-    sch = _schema_rows(spark, contract.id, specs, schema or df.schema)
+    sch = _schema_rows(spark, contract.id, specs, schema or df.schema, presence)
     if sch is not None:
         parts.append(sch)
 

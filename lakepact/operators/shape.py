@@ -14,14 +14,8 @@ def _by_position(df: DataFrame, name: str) -> Column:
     return df[df.columns.index(name)]
 
 
-def type_columns(df: DataFrame, contract: Contract) -> DataFrame:
-    """P1–P3 in one projection.
-
-    Each contract column is TRY_CAST from the delivery's text (not convertible → NULL);
-    a contract column absent from the delivery becomes a typed NULL (P2); columns the
-    contract does not declare are dropped and the output follows contract order (P3).
-    Presence is decided case-sensitively, as the contract names are exact.
-    """
+def typed_columns(df: DataFrame, contract: Contract) -> list[Column]:
+    """The projection of P1–P3 as column expressions (contract order)."""
     present = set(df.columns)
     cols = []
     for f in contract.fields:
@@ -30,7 +24,18 @@ def type_columns(df: DataFrame, contract: Contract) -> DataFrame:
             cols.append(_by_position(df, f.name).try_cast(dt).alias(f.name))
         else:
             cols.append(F.lit(None).cast(dt).alias(f.name))
-    return df.select(cols)
+    return cols
+
+
+def type_columns(df: DataFrame, contract: Contract) -> DataFrame:
+    """P1–P3 in one projection.
+
+    Each contract column is TRY_CAST from the delivery's text (not convertible → NULL);
+    a contract column absent from the delivery becomes a typed NULL (P2); columns the
+    contract does not declare are dropped and the output follows contract order (P3).
+    Presence is decided case-sensitively, as the contract names are exact.
+    """
+    return df.select(typed_columns(df, contract))
 
 
 def cast_loss(df_text: DataFrame, contract: Contract) -> list[Column]:

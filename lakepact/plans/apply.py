@@ -17,10 +17,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from ..contract import Contract, Target, resolve_target
-from ..operators.checks import check_report, compile_checks, fused_metrics
+from ..operators.checks import cast_loss_specs, check_report, compile_checks, fused_metrics
 from ..operators.gate import GateFailed, Outcome, TableCheckFailed, run_checks
 from ..operators.publish import delete_path, ensure_table, next_version_path, switch_version
-from ..operators.shape import align_by_name, surplus_columns, type_columns
+from ..operators.shape import align_by_name, surplus_columns, type_columns, typed_columns
 from ..sources.text import read_landing_text
 
 
@@ -51,9 +51,14 @@ def apply_contract(
     delimiter: str | None = None,
     post_check: bool = True,
     mode: str = "PERMISSIVE",
+    cast_loss: bool = False,
+    raw_schema_checks: bool = False,
 ) -> LoadResult:
     """W1. ``source`` is a delivery path (header CSV) or a frame of text columns.
 
+    ``cast_loss`` adds informational rows counting text that could not be typed;
+    ``raw_schema_checks`` makes the presence checks look at the delivery's own headings.
+
     Raises ``GateFailed`` (nothing published, table untouched), ``EvolutionRefused``
     (structure cannot follow the contract), ``TableCheckFailed`` (post-load).
     """
@@ -68,19 +73,28 @@ def apply_contract(
     else:
         text = source
     surplus = surplus_columns(text, contract)
-    typed = align_by_name(type_columns(text, contract), spark.table(name).columns)
+    table_cols = spark.table(name).columns
+    specs = compile_checks(contract)
+    if cast_loss:
+        present = [f.name for f in contract.fields if f.name in text.columns]
+        wide = text.select(*typed_columns(text, contract),
+                           *[text[text.columns.index(c)].alias(f"__raw__{c}") for c in present])
+        specs = specs + cast_loss_specs(contract, present, len(specs))
+    else:
+        wide = type_columns(text, contract)
+    typed_schema = type_columns(text, contract).schema
 
     # Stage: one pass types the rows, writes the new version and gathers the fused checks.
-    specs = compile_checks(contract)
     staged_path = next_version_path(spark, name)
     obs = Observation(f"gate_{contract.physical_name}")
-    metrics = fused_metrics(typed, specs)
-    (typed.observe(obs, *metrics) if metrics else typed).write.mode("errorifexists").parquet(staged_path)
+    metrics = fused_metrics(wide, specs)
+    observed_frame = wide.observe(obs, *metrics) if metrics else wide
+    align_by_name(observed_frame, table_cols).write.mode("errorifexists").parquet(staged_path)
     observed = obs.get if metrics else {}
     staged = spark.read.parquet(staged_path)
 
-    report = check_report(staged, contract, specs=specs, observed=observed,
-                          schema=typed.schema).collect()
+    report = check_report(staged, contract, specs=specs, observed=observed, schema=typed_schema,
+                          presence=text.schema if raw_schema_checks else None).collect()
     rows_read = next((int(r["metric"]) for r in report if r["kind"] == "row_count"), None)
     if rows_read is None:
         rows_read = staged.count()
