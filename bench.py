@@ -40,9 +40,10 @@ def main() -> None:
     spark = local_session(CPUS, int(CPUS) * 2, app="lakepact-bench")
     li = lambda: spark.read.parquet(f"{SF}/lineitem.parquet")
 
-    # A CSV delivery of lineitem, written once (not timed).
+    # A CSV delivery of lineitem, written once (not timed), as a delivery of that size
+    # arrives: several files (each file is one split of a multi-line CSV read).
     delivery = scratch_path(spark, "bench", "lineitem_csv")
-    as_text(li()).write.option("header", True).csv(delivery)
+    as_text(li()).repartition(int(CPUS)).write.option("header", True).csv(delivery)
     spark.conf.set("lakepact.lake.root", scratch_path(spark, "bench", "lake"))
 
     def ten_separate():

@@ -138,9 +138,20 @@ def apply_all(
     """
     from ..operators.evolution import EvolutionRefused
 
+    inherited = {k: v for k, v in spark.conf.getAll.items()
+                 if k.startswith("lakepact.") or k == "spark.sql.session.timeZone"}
+
+    def session_for(source):
+        if not isinstance(source, str):
+            return source.sparkSession
+        s = spark.newSession()  # own temp views; runtime settings copied over
+        for k, v in inherited.items():
+            s.conf.set(k, v)
+        return s
+
     def one(job) -> JobOutcome:
         contract, env, source = job
-        s = spark.newSession() if isinstance(source, str) else source.sparkSession
+        s = session_for(source)
         try:
             res = apply_contract(s, contract, env, source)
             return JobOutcome(contract.id, "loaded", len(res.gate), 0, res.rows_loaded, "ok")

@@ -95,3 +95,24 @@ def test_apply_all_independent_jobs(spark, lake, fresh_env):
     by = {o.contract: o for o in out}
     assert by[ok.id].status == "loaded" and by[ok.id].rows_loaded == 8
     assert by[fee.id].status == "gate_failed" and by[fee.id].failed == 8 and by[fee.id].checks == 39
+
+
+def test_overwrite_mode_and_retention(spark, lake, fresh_env):
+    from lakepact.operators.publish import prune_versions, publish
+    from lakepact.operators.shape import type_columns
+    import os
+
+    c = _load("channel_master", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    typed = type_columns(read_landing_text(spark, fixture_path("channel_master_ok.csv")), c)
+    out = publish(spark, typed.limit(5), res.table, mode="overwrite")   # the reference's plain overwrite
+    assert out.rows == 5 and out.location == out.previous
+    for n in (4, 3, 2):
+        out = publish(spark, typed.limit(n), res.table)                 # versioned switch
+        assert out.rows == n and out.location != out.previous
+    parent = out.location.replace("file:", "").rsplit("/", 1)[0]
+    before = sorted(os.listdir(parent))
+    removed = prune_versions(spark, res.table, keep=2)
+    after = sorted(os.listdir(parent))
+    assert len(removed) == len(before) - 2 and len(after) == 2
+    assert spark.table(res.table).count() == 2
