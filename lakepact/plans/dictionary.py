@@ -31,15 +31,24 @@ TABLE_SHEET, FIELD_SHEET = "table", "fields"
 # --------------------------------------------------------------------------------------
 
 
+def is_prepared(df: DataFrame) -> bool:
+    return "__prepared" in df.columns
+
+
 def prepare_tables(table_defs: DataFrame) -> DataFrame:
     """Cells trimmed, blank → NULL."""
+    if is_prepared(table_defs):
+        return table_defs
     extra = [c for c in table_defs.columns if c not in R.TABLE_CELLS]
-    return table_defs.select(*extra, *[clean_text(F.col(c)).alias(c) for c in R.TABLE_CELLS])
+    return table_defs.select(*extra, *[clean_text(F.col(c)).alias(c) for c in R.TABLE_CELLS],
+                             F.lit(True).alias("__prepared"))
 
 
 def prepare_fields(field_defs: DataFrame) -> DataFrame:
     """Cells trimmed; yes/no cells mapped (M2: ``<cell>`` holds SI/NO or NULL, the raw
     text kept as ``<cell>__raw``); ``active`` = not discarded (M12)."""
+    if is_prepared(field_defs):
+        return field_defs
     extra = [c for c in field_defs.columns if c not in R.FIELD_CELLS]
     cols = [*extra]
     for c in R.FIELD_CELLS:
@@ -48,10 +57,22 @@ def prepare_fields(field_defs: DataFrame) -> DataFrame:
             cols += [yes_no(t).alias(c), t.alias(f"{c}__raw")]
         else:
             cols.append(t.alias(c))
-    fd = field_defs.select(*cols)
+    fd = field_defs.select(*cols, F.lit(True).alias("__prepared"))
     return fd.withColumn("active", F.coalesce(F.col("descartado"), F.lit("")) != "SI")
 
 
+def prepare(table_defs: DataFrame, field_defs: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Both inputs prepared once. With ``materialize`` the prepared rows are written to the
+    shared folder and read back, so the dozen rule branches below scan them instead of each
+    re-deriving and re-normalising every cell."""
+    td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
+    if materialize:
+        from ..session import materialize as _m
+
+        td, fd = _m(td, "table_defs"), _m(fd, "field_defs")
+    return td, fd
+
+
 def active_fields(field_defs: DataFrame) -> DataFrame:
     """Rows not marked discarded (prepared input)."""
     return field_defs.where(F.col("active"))

@@ -76,3 +76,15 @@ def is_local_path(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def materialize(df, *parts: str):
+    """Cut lineage: write ``df`` once as Parquet under the shared folder and read it back.
+
+    One job computes and writes the rows (executor loss only retries tasks); later plans
+    start from a plain scan instead of re-deriving the rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "materialized", *parts)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -379,6 +379,7 @@ def _dict_inputs(spark, sf):
     fd = X.spark_derive(spark, X.FIELD_DEFS_SQL, part=t(spark, sf, "part"))
     td = X.spark_derive(spark, X.TABLE_DEFS_SQL, nation=t(spark, sf, "nation"))
     roles = spark.createDataFrame(X.CELL_ROLES, "sheet string, cell string, role string")
+    td, fd = M.prepare(td, fd)
     return td, fd, roles
 
 
