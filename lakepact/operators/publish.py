@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..contract import Contract
+from ..contract import Contract, ContractError
 from ..session import lake_root
 from ..sources.catalog import ensure_namespace, table_exists, table_location
 from .evolution import _sql_literal, add_optional_columns
@@ -49,7 +49,10 @@ def ensure_table(spark: SparkSession, contract: Contract, name: str, namespace:
     if not table_exists(spark, name):
         ns_dir = namespace.replace("`", "").replace(".", "/")
         location = f"{lake_root(spark)}/{ns_dir}/{table}/{table}_v0"
-        spark.sql(create_table_ddl(contract, name, location))
+        ddl = create_table_ddl(contract, name, location)
+        if not ddl.startswith(f"CREATE TABLE IF NOT EXISTS {name} ("):
+            raise ContractError(f"generated DDL does not name {name}:\n{ddl[:300]}")
+        spark.sql(ddl)
         return [f"table created: {name}"]
     return add_optional_columns(spark, name, contract)
 

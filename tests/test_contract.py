@@ -65,3 +65,14 @@ def test_bounds():
     assert Bound(">", 0).holds(3) and not Bound(">", 0).holds(0)
     assert Bound("between", 1, 3).holds(2) and not Bound("between", 1, 3).holds(4)
     assert not Bound("=", 0).holds(None)
+
+
+def test_three_part_name_when_catalog_configured(spark):
+    c = Contract.load(fixture_path("channel_master.odcs.yaml"))
+    t = resolve_target(c, "prod")
+    assert t.spark_name(spark) == "`prod_landing__dataentry_int`.`de_maestro_canal`"
+    spark.conf.set("spark.sql.catalog.prod_landing", "org.example.NotLoaded")
+    try:
+        assert t.spark_name(spark) == "`prod_landing`.`dataentry_int`.`de_maestro_canal`"
+    finally:
+        spark.conf.unset("spark.sql.catalog.prod_landing")
