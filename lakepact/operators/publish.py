@@ -119,8 +119,9 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 
 def prune_versions(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
-    """Retention: delete version folders of a table except the current and the newest
-    ``keep - 1`` others. Returns the folders removed."""
+    """Retention: delete version folders older than the current one, keeping the newest
+    ``keep - 1`` of them. Folders newer than the current version are never touched: they
+    may be stages of a load still in flight. Returns the folders removed."""
     current = table_location(spark, name).rstrip("/")
     parent, base = current.rsplit("/", 1)
     stem = _VERSION_SUFFIX.sub("", base)
@@ -128,7 +129,8 @@ def prune_versions(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
     names = sorted(
         (st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()), reverse=True
     )
-    versions = [n for n in names if n.startswith(stem + "_v") and f"{parent}/{n}" != current]
+    # version names carry a UTC timestamp, so name order is age order
+    versions = [n for n in names if n.startswith(stem + "_v") and n < base]
     removed = []
     for n in versions[max(keep - 1, 0):]:
         if delete_path(spark, f"{parent}/{n}"):
