@@ -19,8 +19,8 @@ Plans:
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field as dc_field
-from typing import Any, Callable, Iterable, Sequence
+from dataclasses import dataclass
+from typing import Any, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.errors import PySparkException

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..contract import Contract, ContractError
-from .checks import CheckSpec, check_report, compile_checks, failing_rows
+from .checks import check_report, failing_rows
 
 
 class GateFailed(ContractError):

@@ -113,11 +113,11 @@ def _unpivot(df: DataFrame, cells: list[str], value: str = "value") -> DataFrame
 
 
 def with_roles(issues: DataFrame, cell_roles: DataFrame | None) -> DataFrame:
-    """Attach the role responsible for a cell (``?`` when unknown). The role table is one
-    row per template cell, so it is broadcast."""
+    """Attach the role responsible for a cell (``?`` when unknown). The role table comes from
+    the caller, so no broadcast is forced: AQE broadcasts it when its measured size is small."""
     if cell_roles is None:
         return issues.withColumn("role", F.lit("?"))
-    roles = F.broadcast(cell_roles.select("sheet", "cell", "role"))
+    roles = cell_roles.select("sheet", "cell", "role")
     return (
         issues.join(roles, ["sheet", "cell"], "left")
         .withColumn("role", F.coalesce(F.col("role"), F.lit("?")))

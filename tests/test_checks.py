@@ -1,6 +1,5 @@
 """K1–K15 compilation and evaluation, R1/R2/F1."""
 
-from pyspark.sql import functions as F
 
 from lakepact import Contract, check_report, compile_checks, failing, verdict
 from lakepact.operators import checks as K

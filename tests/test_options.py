@@ -1,6 +1,5 @@
 """Opt-in cast-loss rows, raw presence checks, and the streaming landing watcher."""
 
-import os
 import shutil
 
 import pytest

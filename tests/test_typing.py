@@ -4,8 +4,6 @@ import decimal
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from lakepact import Contract, align_by_name, read_landing_text, type_columns
 from lakepact.operators.shape import cast_loss, surplus_columns
