@@ -53,3 +53,27 @@ def running_count(df: DataFrame, group: Sequence[str], order: str, flag: Column,
         .withColumn(out, F.col("__off") + F.col("__run"))
         .drop("__blk", "__f", "__run", "__off")
     )
+
+
+def ordered_join(df: DataFrame, group: Sequence[str], order: str, value: str, sep: str, out: str,
+                 block: int = BLOCK) -> DataFrame:
+    """Per group, the values joined with ``sep`` in ``order`` order (NULL values skipped).
+
+    Two levels, like ``running_count``: values are first joined inside (group, block of the
+    order range) by many tasks, then the per-block strings are joined in block order. A
+    hot group's rows are spread over its blocks; only the final string, which is the
+    result itself, is assembled per group.
+    """
+    g = list(group)
+    blk = F.floor(F.col(order) / F.lit(block)).cast("long")
+    parts = (
+        df.where(F.col(value).isNotNull())
+        .withColumn("__blk", blk)
+        .groupBy(*g, "__blk")
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))),
+                                      lambda s: s[value]), sep).alias("__part"))
+    )
+    return parts.groupBy(*g).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__blk", "__part"))),
+                                 lambda s: s["__part"]), sep).alias(out)
+    )

@@ -20,7 +20,7 @@ from ..functions.text import (
     clean_text, is_not_applicable, norm_or_empty, normalise_text, split_examples,
     split_values, yes_no,
 )
-from ..operators.windows import later_repeats, running_count
+from ..operators.windows import later_repeats, ordered_join, running_count
 
 ISSUE_COLUMNS = ["document", "sheet", "row", "cell", "rule", "severity", "message", "role"]
 TABLE_SHEET, FIELD_SHEET = "table", "fields"
@@ -366,9 +366,8 @@ def derive_checks(table_defs: DataFrame, field_defs: DataFrame) -> DataFrame:
     mx = typed.where(F.col("max_length").isNotNull()).select(
         "document", F.concat(name, F.lit(":max_length")).alias("check"), F.lit("max_length").alias("kind"),
         name.alias("field"), F.col("max_length").cast("string").alias("argument"))
-    keys = key_positions(fd).where(F.col("key_position").isNotNull()).groupBy("document").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key_position", "nombre_modelado"))),
-                                 lambda s: s["nombre_modelado"]), "+").alias("argument"))
+    keys = ordered_join(key_positions(fd).where(F.col("key_position").isNotNull()),
+                        ["document"], "key_position", "nombre_modelado", "+", "argument")
     keys = keys.select("document", F.concat(F.col("argument"), F.lit(":unique")).alias("check"),
                        F.lit("unique").alias("kind"), F.col("argument").alias("field"), "argument")
     rows = td.select("document", F.lit("tabla_no_vacia").alias("check"), F.lit("row_count").alias("kind"),
@@ -386,16 +385,16 @@ def document_rollup(table_defs: DataFrame, field_defs: DataFrame) -> DataFrame:
         F.count_if(~F.col("active")).alias("n_discarded"),
         F.coalesce(F.bool_or(F.col("active") & (F.col("dac") == "SI")), F.lit(False)).alias("has_dac"),
         F.coalesce(F.bool_or(F.col("active") & (F.col("pk") == "SI")), F.lit(False)).alias("has_key"),
-        # one value per document: the discarded names joined in row order (the feature itself)
-        F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.when(~F.col("active"), F.struct("row", "nombre_fuente")))),
-            lambda s: s["nombre_fuente"]), ", ").alias("discarded_names"),
     )
+    # the discarded source names of a document, in row order: one value per document
+    names = ordered_join(fd.where(~F.col("active")), ["document"], "row", "nombre_fuente", ", ",
+                         "discarded_names")
+    per = per.join(names, "document", "left")
     warn = _union([sensitivity_warnings(fd), document_warnings(td, fd)]).groupBy("document").agg(
         F.count(F.lit(1)).alias("n_warnings"))
     return per.join(warn, "document", "left").withColumn(
         "n_warnings", F.coalesce(F.col("n_warnings"), F.lit(0))
-    ).withColumn("discarded_names", F.when(F.col("n_discarded") > 0, F.col("discarded_names")))
+    )
 
 
 def split_cells(fd: DataFrame) -> DataFrame:

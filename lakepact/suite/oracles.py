@@ -329,6 +329,16 @@ def oracle_sql() -> dict[str, str]:
     o["q_flagship_load"] = _orders_report()
     o["q_publish_roundtrip"] = o["q_align_by_name"]
     o["q_post_load"] = _supplier_report()
+    o["q_publish_overwrite"] = o["q_align_by_name"]
+    loss = [("o_orderkey", "TRY_CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) IS NULL"),
+            ("o_custkey", "TRY_CAST(CAST(o_custkey AS VARCHAR) AS BIGINT) IS NULL"),
+            ("o_orderstatus", "false"),
+            ("o_totalprice", "TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(12,2)) IS NULL"),
+            ("o_orderdate", "CAST(o_orderdate AS DATE) IS NULL"),
+            ("o_orderpriority", "TRY_CAST(o_orderpriority AS INTEGER) IS NULL")]
+    o["q_cast_loss"] = "\nUNION ALL ".join(
+        f"SELECT '{f}' AS field, count(*) FILTER (WHERE {cond}) AS metric, 'passed' AS result FROM orders"
+        for f, cond in loss)
 
     drift = f"""
 WITH tc AS (SELECT table_id AS tbl, column_name AS col, {type_name('type_name')} AS table_type FROM ({X.for_duckdb(X.TABLE_COLUMNS_SQL)})),

@@ -274,6 +274,29 @@ def q_post_load(spark, sf):
     return _report(read_target(spark, res.table), c)
 
 
+def q_cast_loss(spark, sf):
+    """P1 opt-in metric: orders loaded with o_orderpriority declared INT (optional); the load
+    passes and reports, per delivered column, the text TRY_CAST could not type."""
+    _with_root(spark)
+    base = C.orders(_run_schema())
+    c = base.with_fields([
+        f if f.name != "o_orderpriority" else type(f)(**{**f.__dict__, "physical_type": "INT",
+                                                          "options": {}, "required": False})
+        for f in base.fields])
+    res = apply_contract(spark, c, C.ENV, as_text(t(spark, sf, "orders")), cast_loss=True, post_check=False)
+    rows = [(r["field"], r["metric"], r["result"]) for r in res.gate if r["kind"] == "cast_loss"]
+    return spark.createDataFrame(rows, "field string, metric bigint, result string")
+
+
+def q_publish_overwrite(spark, sf):
+    """S5 in the reference's mode: INSERT OVERWRITE by name into a loaded table; the rows
+    are replaced, not appended."""
+    from ..operators.publish import publish
+    c, res = _load_supplier(spark, sf)
+    publish(spark, type_columns(as_text(t(spark, sf, "supplier")), c), res.table, mode="overwrite")
+    return read_target(spark, res.table).select(*c.names)
+
+
 def _drift_inputs(spark, sf):
     p = t(spark, sf, "part")
     tc = X.spark_derive(spark, X.TABLE_COLUMNS_SQL, part=p).select(

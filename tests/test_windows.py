@@ -32,3 +32,14 @@ def test_later_repeats_matches_window(spark):
     w = Window.partitionBy("grp", "key")
     want = df.withColumn("first", F.min("ord").over(w)).where("ord > first")
     assert sorted((r.grp, r.ord, r.first) for r in got.collect()) == sorted((r.grp, r.ord, r.first) for r in want.collect())
+
+
+def test_ordered_join_two_level(spark):
+    from lakepact.operators.windows import ordered_join
+    df = _data(spark)
+    got = {r.grp: r.s for r in ordered_join(df, ["grp"], "ord", "key", ",", "s", block=50).collect()}
+    rows = sorted((r.grp, r.ord, r.key) for r in df.collect())
+    want = {}
+    for g, _, k in rows:
+        want.setdefault(g, []).append(k)
+    assert got == {g: ",".join(v) for g, v in want.items()}
