@@ -328,13 +328,57 @@ def _fused_rows(contract_id: str, specs: list[CheckSpec], one_row: DataFrame) ->
     return _inline(one_row, [_struct_sql(contract_id, s, s.alias) for s in fused])
 
 
-def _unique_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
-    dup = (
-        df.groupBy(*[qcol(k) for k in s.keys])
+# Key checks on keys wider than one 8-byte value shuffle a 64-bit hash first ("auto").
+UNIQUE_STRATEGY = "auto"  # auto | exact | hash_first
+
+
+_FIXED_WIDTH = {T.LongType: 8, T.IntegerType: 4, T.ShortType: 2, T.ByteType: 1, T.DateType: 4,
+                T.TimestampType: 8, T.TimestampNTZType: 8, T.DoubleType: 8, T.FloatType: 4,
+                T.BooleanType: 1}
+
+
+def _narrow_key(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Key of at most 16 fixed-width bytes: shuffling it costs about what a hash would."""
+    width = 0
+    for k in keys:
+        w = _FIXED_WIDTH.get(type(df.schema[k].dataType))
+        if w is None:  # strings, binaries, decimals: variable or wide
+            return False
+        width += w
+    return width <= 16
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str], strategy: str | None = None,
+                   hash_fn=None) -> DataFrame:
+    """One row ``(groups, rows)``: key values occurring more than once, and their rows.
+    NULL keys group together.
+
+    ``exact``: ``groupBy(keys).count()`` with map-side partial counts.
+    ``hash_first``: count a 64-bit hash of the key first (8 bytes per row shuffled, partial
+    counts), keep only rows whose hash repeats (semi join; AQE broadcasts the candidate
+    hashes when few), then count those rows exactly by key. Same answer: true duplicates
+    share a hash, and a collision is resolved by the exact step.
+    """
+    strategy = strategy or UNIQUE_STRATEGY
+    cols = [qcol(k) for k in keys]
+    if strategy == "auto":
+        strategy = "exact" if _narrow_key(df, keys) else "hash_first"
+    if strategy == "hash_first":
+        h = (hash_fn or (lambda cs: F.xxhash64(*cs)))(cols).alias("__h")
+        cand = (df.select(h).groupBy("__h").agg(F.count(F.lit(1)).alias("__c"))
+                .where(F.col("__c") > 1).select("__h"))
+        df = df.select(*cols, h).join(cand, "__h", "left_semi")
+        cols = [qcol(k) for k in keys]
+    return (
+        df.groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
         .agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
     )
+
+
+def _unique_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
+    dup = duplicate_keys(df, s.keys)
     detail = "concat(CAST(`groups` AS STRING), ' repeated keys over ', CAST(`rows` AS STRING), ' rows')"
     return _inline(dup, [_struct_sql(contract_id, s, "`groups`", detail)])
 

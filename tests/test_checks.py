@@ -95,3 +95,17 @@ def test_one_scan_for_fused_checks(spark):
     one = df.agg(*K.fused_metrics(df, compile_checks(c)))
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") <= 1
+
+
+def test_hash_first_key_check_is_exact_under_collisions(spark):
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(3)
+    rows = [(f"k{rnd.randint(0, 60)}", rnd.choice([None, "a", "b"])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    exact = K.duplicate_keys(df, ["a", "b"], "exact").collect()[0]
+    crowded = K.duplicate_keys(df, ["a", "b"], "hash_first",
+                               hash_fn=lambda cs: F.xxhash64(*cs) % 5).collect()[0]  # forced collisions
+    plain = K.duplicate_keys(df, ["a", "b"], "hash_first").collect()[0]
+    assert (exact.groups, exact.rows) == (crowded.groups, crowded.rows) == (plain.groups, plain.rows)
+    assert K._narrow_key(spark.range(1), ["id"]) and not K._narrow_key(df, ["a"])
