@@ -53,6 +53,7 @@ def apply_contract(
     mode: str = "PERMISSIVE",
     cast_loss: bool = False,
     raw_schema_checks: bool = False,
+    multi_line: bool = True,
 ) -> LoadResult:
     """W1. ``source`` is a delivery path (header CSV) or a frame of text columns.
 
@@ -69,7 +70,7 @@ def apply_contract(
     if isinstance(source, str):
         local = next((s for s in contract.servers if s.delimiter), None)
         delim = delimiter or (local.delimiter if local else ",")
-        text = read_landing_text(spark, source, delim, mode=mode)
+        text = read_landing_text(spark, source, delim, mode=mode, multi_line=multi_line)
     else:
         text = source
     surplus = surplus_columns(text, contract)

@@ -330,6 +330,8 @@ def oracle_sql() -> dict[str, str]:
     o["q_publish_roundtrip"] = o["q_align_by_name"]
     o["q_post_load"] = _supplier_report()
     o["q_publish_overwrite"] = o["q_align_by_name"]
+    o["q_gate_refusal"] = ("SELECT 'o_orderkey:unique' AS \"check\", count(DISTINCT o_orderkey) AS metric, "
+                           "count(*) AS current_rows, count(*) AS rows_after FROM orders")
     loss = [("o_orderkey", "TRY_CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) IS NULL"),
             ("o_custkey", "TRY_CAST(CAST(o_custkey AS VARCHAR) AS BIGINT) IS NULL"),
             ("o_orderstatus", "false"),

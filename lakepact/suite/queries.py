@@ -262,6 +262,25 @@ def q_flagship_load(spark, sf):
     return _report(read_target(spark, res.table), c)
 
 
+def q_gate_refusal(spark, sf):
+    """G1 refusal: orders loaded, then a delivery holding every order twice is refused; the
+    failing checks are returned with the rows the table still holds."""
+    from ..operators.gate import GateFailed
+    _with_root(spark)
+    c = C.orders(_run_schema())
+    text = as_text(t(spark, sf, "orders"))
+    res = apply_contract(spark, c, C.ENV, text, post_check=False)
+    try:
+        apply_contract(spark, c, C.ENV, text.unionAll(text), post_check=False)
+        failed, current = [], None
+    except GateFailed as e:
+        failed = [(r["check"], r["metric"]) for r in e.report if r["result"] != "passed"]
+        current = e.current_rows
+    out = spark.createDataFrame(failed, "check string, metric bigint")
+    return out.select("check", "metric", F.lit(current).cast("bigint").alias("current_rows"),
+                      F.lit(read_target(spark, res.table).count()).cast("bigint").alias("rows_after"))
+
+
 def q_publish_roundtrip(spark, sf):
     """W1 + S5 + A1: supplier delivered as text, gated, published; the table read back."""
     c, res = _load_supplier(spark, sf)
