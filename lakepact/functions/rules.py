@@ -66,9 +66,10 @@ TABLE_LISTS = [
     ("tipo_carga", LOAD_KINDS),
     ("frecuencia", FREQUENCIES),
 ]
-# Field cells that become column custom properties: (property, cell).
+# Field cells that become column custom properties, in output order: (property, cell).
+# ``campoTecnico`` has no cell: it is "true" when the source cell names a technical field.
 FIELD_ATTRIBUTES = [
-    ("fuente", "fuente"), ("dac", "dac"), ("contieneVacios", "vacios"),
+    ("fuente", "fuente"), ("campoTecnico", None), ("dac", "dac"), ("contieneVacios", "vacios"),
     ("criticidad", "criticidad"), ("sustentoCriticidad", "sustento_criticidad"),
     ("tipoFormatoGobierno", "tipo_formato"), ("formatoInput", "formato_input"),
     ("longitudFuente", "longitud_fuente"), ("aplicaTrazabilidad", "trazabilidad"),

@@ -424,7 +424,7 @@ def cast_loss_specs(contract: Contract, present: Iterable[str], start: int) -> l
     return out
 
 
-def _usable_fused(df: DataFrame, specs: list[CheckSpec]) -> list[CheckSpec]:
+def usable_fused(df: DataFrame, specs: list[CheckSpec]) -> list[CheckSpec]:
     """Fused SQL predicates that do not analyse as a row predicate fall back to SQL."""
     out = []
     for s in specs:
@@ -453,7 +453,7 @@ def check_report(
     the presence/type checks look at (e.g. the raw delivery's).
     """
     spark = df.sparkSession
-    specs = _usable_fused(df, specs if specs is not None else compile_checks(contract))
+    specs = usable_fused(df, specs if specs is not None else compile_checks(contract))
     parts: list[DataFrame] = []
 
     sch = _schema_rows(spark, contract.id, specs, schema or df.schema, presence)

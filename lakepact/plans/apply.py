@@ -17,7 +17,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from ..contract import Contract, Target, resolve_target
-from ..operators.checks import cast_loss_specs, check_report, compile_checks, fused_metrics
+from ..operators.checks import cast_loss_specs, check_report, compile_checks, fused_metrics, usable_fused
 from ..operators.gate import GateFailed, Outcome, TableCheckFailed, run_checks
 from ..operators.publish import delete_path, ensure_table, next_version_path, switch_version
 from ..operators.shape import align_by_name, surplus_columns, type_columns, typed_columns
@@ -84,6 +84,7 @@ def apply_contract(
     else:
         wide = type_columns(text, contract)
     typed_schema = type_columns(text, contract).schema
+    specs = usable_fused(wide, specs)  # a rule that is no row predicate runs as SQL instead
 
     # Stage: one pass types the rows, writes the new version and gathers the fused checks.
     staged_path = next_version_path(spark, name)

@@ -332,18 +332,16 @@ def attribute_pairs(fd: DataFrame) -> DataFrame:
     """(property, value) of the applicable custom cells of active fields, in template
     order, plus ``campoTecnico`` for technical fields."""
     a = active_fields(fd)
-    structs = [
-        F.struct(F.lit(i + 1).alias("position"), F.lit(prop).alias("property"),
-                 F.when(F.col(cell).isNotNull() & ~is_not_applicable(F.col(cell)), F.col(cell)).alias("value"))
-        for i, (prop, cell) in enumerate(R.FIELD_ATTRIBUTES)
-    ]
-    technical = F.struct(
-        F.lit(0).alias("position"), F.lit("campoTecnico").alias("property"),
-        F.when(norm_or_empty(F.col("fuente")) == R.TECHNICAL_SOURCE, F.lit("true")).alias("value"),
-    )
+    structs = []
+    for i, (prop, cell) in enumerate(R.FIELD_ATTRIBUTES):
+        if cell is None:
+            value = F.when(norm_or_empty(F.col("fuente")) == R.TECHNICAL_SOURCE, F.lit("true"))
+        else:
+            value = F.when(F.col(cell).isNotNull() & ~is_not_applicable(F.col(cell)), F.col(cell))
+        structs.append(F.struct(F.lit(i + 1).alias("position"), F.lit(prop).alias("property"),
+                                value.alias("value")))
     return (
-        a.select("document", "row", F.col("nombre_modelado").alias("field"),
-                 F.inline(F.array(technical, *structs)))
+        a.select("document", "row", F.col("nombre_modelado").alias("field"), F.inline(F.array(*structs)))
         .where(F.col("value").isNotNull())
     )
 

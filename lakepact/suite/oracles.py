@@ -473,14 +473,19 @@ diff AS (
         f"t.nulos = 'NO' AS required, CAST(k.key_position AS INTEGER) AS key_position, {cls.replace('dac', 't.dac').replace('clasificacion', 't.clasificacion')} AS classification, "
         f"t.max_length FROM ({_typed_fields()}) t JOIN ({_key_positions()}) k ON t.document = k.document AND t.\"row\" = k.\"row\" "
         f"JOIN td ON t.document = td.document WHERE t.document NOT IN (SELECT document FROM issues WHERE severity = 'error')")
-    props = [("fuente", "fuente"), ("dac", "dac"), ("contieneVacios", "vacios"), ("criticidad", "criticidad"),
-             ("sustentoCriticidad", "sustento_criticidad"), ("tipoFormatoGobierno", "tipo_formato"),
-             ("formatoInput", "formato_input"), ("longitudFuente", "longitud_fuente"),
-             ("aplicaTrazabilidad", "trazabilidad"), ("llaveTecnica", "llave_tecnica")]
-    pairs = [f"SELECT document, \"row\", 0 AS position, 'campoTecnico' AS property, 'true' AS value FROM fa "
-             f"WHERE {norm0('fuente')} = '(campo tecnico)'"]
-    pairs += [f"SELECT document, \"row\", {i + 1} AS position, '{p}' AS property, {c} AS value FROM fa "
-              f"WHERE {c} IS NOT NULL AND NOT {not_applicable(c)}" for i, (p, c) in enumerate(props)]
+    props = [("fuente", "fuente"), ("campoTecnico", None), ("dac", "dac"), ("contieneVacios", "vacios"),
+             ("criticidad", "criticidad"), ("sustentoCriticidad", "sustento_criticidad"),
+             ("tipoFormatoGobierno", "tipo_formato"), ("formatoInput", "formato_input"),
+             ("longitudFuente", "longitud_fuente"), ("aplicaTrazabilidad", "trazabilidad"),
+             ("llaveTecnica", "llave_tecnica")]
+    pairs = []
+    for i, (p, c) in enumerate(props):
+        if c is None:
+            pairs.append(f"SELECT document, \"row\", {i + 1} AS position, '{p}' AS property, 'true' AS value FROM fa "
+                         f"WHERE {norm0('fuente')} = '(campo tecnico)'")
+        else:
+            pairs.append(f"SELECT document, \"row\", {i + 1} AS position, '{p}' AS property, {c} AS value FROM fa "
+                         f"WHERE {c} IS NOT NULL AND NOT {not_applicable(c)}")
     o["q_attribute_pairs"] = _dict(" UNION ALL ".join(pairs))
     o["q_derive_checks"] = _dict(
         f"SELECT document, nombre_modelado || ':required' AS \"check\", 'required' AS kind, nombre_modelado AS field, CAST(NULL AS VARCHAR) AS argument "

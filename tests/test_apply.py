@@ -116,3 +116,18 @@ def test_overwrite_mode_and_retention(spark, lake, fresh_env):
     after = sorted(os.listdir(parent))
     assert len(removed) == len(before) - 2 and len(after) == 2
     assert spark.table(res.table).count() == 2
+
+
+def test_rule_that_is_not_a_row_predicate_falls_back_to_sql(spark, lake, fresh_env):
+    from lakepact.contract import Rule, Bound
+    c = _load("channel_master", fresh_env)
+    odd = Rule(name="more_than_one_user", type="sql", bound=Bound("=", 0.0),
+               query="SELECT COUNT(*) FROM de_maestro_canal WHERE count(nbrusuariode) > 100")
+    c = c.with_rules(list(c.rules) + [odd])
+    with pytest.raises(Exception):
+        # an aggregate in WHERE is invalid SQL: the rule fails loudly as SQL, not inside observe
+        apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    from lakepact.operators.checks import compile_checks, usable_fused
+    df = read_landing_text(spark, fixture_path("channel_master_ok.csv"))
+    plans = {s.name: s.plan for s in usable_fused(df, compile_checks(c))}
+    assert plans["more_than_one_user"] == "sql"
