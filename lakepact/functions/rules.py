@@ -88,3 +88,16 @@ FIELD_CELLS = [
     "ejemplos", "catalogo", "descartado", "pk", "llave_tecnica", "dac", "vacios", "nulos",
     "criticidad", "sustento_criticidad", "clasificacion",
 ]
+
+# Table-level custom properties of a produced contract, in output order:
+# (property, source) where source is a table cell, or one of the derived values
+# "=LANDING", "=DED" (constants), "schema_kind", "any_dac", "discarded_names".
+TABLE_PROPERTIES = [
+    ("capa", "=LANDING"), ("flujo", "=DED"), ("empresa", "empresa"), ("schemaLanding", "schema_landing"),
+    ("tipoDataEntry", "schema_kind"), ("nombreTablaFuente", "tabla_fuente"), ("tipoFuente", "tipo_fuente"),
+    ("tipoCarga", "tipo_carga"), ("frecuenciaActualizacion", "frecuencia"), ("historia", "historia"),
+    ("registrosCargaInicial", "registros"), ("rutaBroad", "ruta_broad"),
+    ("contenedorBroad", "contenedor_broad"), ("rutaLanding", "ruta_landing"), ("dac", "any_dac"),
+    ("productOwner", "product_owner"), ("squad", "squad"), ("camposDescartados", "discarded_names"),
+    ("versionPlantillaDED", "template_version"),
+]

@@ -395,6 +395,31 @@ def document_rollup(table_defs: DataFrame, field_defs: DataFrame) -> DataFrame:
     )
 
 
+def table_properties(table_defs: DataFrame, field_defs: DataFrame) -> DataFrame:
+    """M17/M20 at table level: the custom properties a document's contract carries, in
+    template order, leaving out empty and not-applicable values."""
+    td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
+    roll = document_rollup(td, fd).select("document", "has_dac", "discarded_names")
+    kinds = F.create_map(*[F.lit(x) for kv in R.LANDING_SCHEMAS.items() for x in kv])
+    t = td.join(roll, "document", "left")
+    structs = []
+    for i, (prop, src) in enumerate(R.TABLE_PROPERTIES):
+        if src.startswith("="):
+            v = F.lit(src[1:])
+        elif src == "schema_kind":
+            v = kinds[F.col("schema_landing")]
+        elif src == "any_dac":
+            v = F.when(F.coalesce(F.col("has_dac"), F.lit(False)), F.lit("SI")).otherwise(F.lit("NO"))
+        elif src in t.columns:
+            v = F.col(src)
+        else:
+            v = F.lit(None).cast("string")
+        structs.append(F.struct(F.lit(i + 1).alias("position"), F.lit(prop).alias("property"),
+                                v.cast("string").alias("value")))
+    out = t.select("document", F.inline(F.array(*structs)))
+    return out.where(F.col("value").isNotNull() & (F.col("value") != "") & ~is_not_applicable(F.col("value")))
+
+
 def split_cells(fd: DataFrame) -> DataFrame:
     """M15/M16 on active rows: examples (first 4 distinct) and allowed values lists."""
     a = active_fields(fd)

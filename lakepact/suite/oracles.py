@@ -487,6 +487,22 @@ diff AS (
             pairs.append(f"SELECT document, \"row\", {i + 1} AS position, '{p}' AS property, {c} AS value FROM fa "
                          f"WHERE {c} IS NOT NULL AND NOT {not_applicable(c)}")
     o["q_attribute_pairs"] = _dict(" UNION ALL ".join(pairs))
+    tprops = [("capa", "'LANDING'"), ("flujo", "'DED'"), ("empresa", "empresa"), ("schemaLanding", "schema_landing"),
+              ("tipoDataEntry", "CASE schema_landing WHEN 'dataentry_int' THEN 'transitorio (ingesta interna)' "
+                                "WHEN 'dataentry_ext' THEN 'información externa' WHEN 'dataentry_usr' THEN 'permanente (usuario)' END"),
+              ("nombreTablaFuente", "tabla_fuente"), ("tipoFuente", "tipo_fuente"), ("tipoCarga", "tipo_carga"),
+              ("frecuenciaActualizacion", "frecuencia"), ("historia", "historia"), ("registrosCargaInicial", "registros"),
+              ("rutaBroad", "ruta_broad"), ("contenedorBroad", "contenedor_broad"), ("rutaLanding", "ruta_landing"),
+              ("dac", "CASE WHEN coalesce(r.has_dac, false) THEN 'SI' ELSE 'NO' END"),
+              ("productOwner", "product_owner"), ("squad", "squad"), ("camposDescartados", "r.names"),
+              ("versionPlantillaDED", "template_version")]
+    roll = ("(SELECT document, bool_or(active AND dac = 'SI') AS has_dac, "
+            "string_agg(nombre_fuente, ', ' ORDER BY \"row\") FILTER (WHERE NOT active) AS names FROM fd GROUP BY document) r")
+    tp = " UNION ALL ".join(
+        f"SELECT td.document, {i + 1} AS position, '{p}' AS property, CAST({v} AS VARCHAR) AS value "
+        f"FROM td LEFT JOIN {roll} ON td.document = r.document" for i, (p, v) in enumerate(tprops))
+    o["q_table_properties"] = _dict(
+        f"SELECT * FROM ({tp}) WHERE value IS NOT NULL AND value <> '' AND NOT {not_applicable('value')}")
     o["q_derive_checks"] = _dict(
         f"SELECT document, nombre_modelado || ':required' AS \"check\", 'required' AS kind, nombre_modelado AS field, CAST(NULL AS VARCHAR) AS argument "
         f"FROM fa WHERE nulos = 'NO' "

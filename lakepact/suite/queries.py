@@ -547,6 +547,12 @@ def q_dictionary_contracts(spark, sf):
     return M.contract_fields(td, fd, M.lint(td, fd, roles))
 
 
+def q_table_properties(spark, sf):
+    """M17/M20 at table level: custom properties per document."""
+    td, fd, _ = _dict_inputs(spark, sf)
+    return M.table_properties(td, fd)
+
+
 def q_attribute_pairs(spark, sf):
     """(property, value) pairs of active fields."""
     _, fd, _ = _dict_inputs(spark, sf)
