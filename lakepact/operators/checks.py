@@ -478,6 +478,8 @@ def check_report(
         elif s.plan == "sql":
             parts.append(_sql_rows(contract.id, df, contract.model, s))
 
+    if not parts:
+        return spark.createDataFrame([], REPORT_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -109,3 +109,9 @@ def test_hash_first_key_check_is_exact_under_collisions(spark):
     plain = K.duplicate_keys(df, ["a", "b"], "hash_first").collect()[0]
     assert (exact.groups, exact.rows) == (crowded.groups, crowded.rows) == (plain.groups, plain.rows)
     assert K._narrow_key(spark.range(1), ["id"]) and not K._narrow_key(df, ["a"])
+
+
+def test_empty_contract_gives_empty_report(spark):
+    c = _c([])
+    rep = check_report(spark.range(3), c, specs=compile_checks(c, include_schema=False))
+    assert rep.count() == 0 and verdict(rep).collect()[0].passed
