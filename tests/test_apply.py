@@ -131,3 +131,9 @@ def test_rule_that_is_not_a_row_predicate_falls_back_to_sql(spark, lake, fresh_e
     df = read_landing_text(spark, fixture_path("channel_master_ok.csv"))
     plans = {s.name: s.plan for s in usable_fused(df, compile_checks(c))}
     assert plans["more_than_one_user"] == "sql"
+
+
+def test_schema_only_post_check(spark, lake, fresh_env):
+    c = _load("channel_master", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"), post_check="schema")
+    assert len(res.gate) == 40 and len(res.post) == 25 and res.passed
