@@ -55,9 +55,18 @@ def run_checks(df: DataFrame, contract: Contract, **kw) -> Outcome:
     return Outcome(all(r["result"] == "passed" for r in rows), rows)
 
 
-def gate(df: DataFrame, contract: Contract, *, table: str | None = None, **kw) -> Outcome:
+def gate(df: DataFrame, contract: Contract, *, table: str | None = None, materialize: bool = False,
+         **kw) -> Outcome:
     """G1: check a frame before it is written; raise if any check fails, naming how many
-    rows the current table keeps."""
+    rows the current table keeps.
+
+    The checks read ``df`` once for the fused aggregate and once per key/SQL check; for a
+    frame parsed from text pass ``materialize=True`` to write it once to the shared folder
+    first (a load does this anyway: it checks its staged copy)."""
+    if materialize:
+        from ..session import materialize as _m
+
+        df = _m(df, "gate")
     out = run_checks(df, contract, **kw)
     if not out.passed:
         current = None

@@ -54,12 +54,16 @@ def apply_contract(
     cast_loss: bool = False,
     raw_schema_checks: bool = False,
     multi_line: bool = True,
+    publish_mode: str = "swap",
 ) -> LoadResult:
     """W1. ``source`` is a delivery path (header CSV) or a frame of text columns.
 
     ``post_check``: True (every check again on the table, as the reference does), "schema"
     (presence, types and row count only: the table's files are the staged files the gate
     already checked, so at 100 TB this saves a full pass), or False.
+    ``publish_mode``: "swap" switches the table to the staged version (file tables: the
+    only atomic way); "overwrite" inserts the staged rows by name (for transactional table
+    formats, whose overwrite is atomic and which do not move locations).
     ``cast_loss`` adds informational rows counting text that could not be typed;
     ``raw_schema_checks`` makes the presence checks look at the delivery's own headings.
 
@@ -108,7 +112,12 @@ def apply_contract(
         delete_path(spark, staged_path)
         raise GateFailed(contract, report, current, name)
 
-    switch_version(spark, name, staged_path)
+    if publish_mode == "overwrite":
+        staged.select(*table_cols).write.insertInto(name.replace("`", ""), overwrite=True)
+        delete_path(spark, staged_path)
+        staged_path = None
+    else:
+        switch_version(spark, name, staged_path)
     rows_loaded = spark.table(name).count()
 
     post = None

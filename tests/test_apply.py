@@ -137,3 +137,14 @@ def test_schema_only_post_check(spark, lake, fresh_env):
     c = _load("channel_master", fresh_env)
     res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"), post_check="schema")
     assert len(res.gate) == 40 and len(res.post) == 25 and res.passed
+
+
+def test_publish_mode_overwrite_and_standalone_gate(spark, lake, fresh_env):
+    from lakepact import gate
+    c = _load("fee_schedule", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("fee_schedule_ok.csv"), publish_mode="overwrite")
+    assert res.rows_loaded == 8 and res.location is None and res.passed
+    typed = __import__("lakepact").type_columns(read_landing_text(spark, fixture_path("fee_schedule_errors.csv")), c)
+    with pytest.raises(GateFailed) as e:
+        gate(typed, c, table=res.table, materialize=True)
+    assert e.value.current_rows == 8
