@@ -1,0 +1,14 @@
+CREATE TABLE IF NOT EXISTS `desa_landing__prestaciones_tarifarios`.`ded_tarifario_prestacion` (
+  `cod_clinica` STRING NOT NULL COMMENT 'Clinic code.',
+  `nom_clinica` STRING NOT NULL COMMENT 'Clinic name.',
+  `cod_prestacion` STRING NOT NULL COMMENT 'Service code.',
+  `des_prestacion` STRING NOT NULL COMMENT 'Service description.',
+  `cod_moneda` STRING NOT NULL COMMENT 'Currency.',
+  `mto_tarifa` DECIMAL(12,2) NOT NULL COMMENT 'Fee amount.',
+  `fec_inicio_vigencia` DATE NOT NULL COMMENT 'Valid from.',
+  `fec_fin_vigencia` DATE COMMENT 'Valid until; empty means still valid.',
+  `flg_activo` BOOLEAN NOT NULL COMMENT 'Active flag.',
+  `usr_registro` STRING NOT NULL COMMENT 'User who entered the row.'
+) USING parquet
+LOCATION '/lake/desa_landing__prestaciones_tarifarios/ded_tarifario_prestacion/ded_tarifario_prestacion_v0'
+COMMENT 'Fees per clinic and service with their validity period.'

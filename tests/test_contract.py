@@ -76,3 +76,12 @@ def test_three_part_name_when_catalog_configured(spark):
         assert t.spark_name(spark) == "`prod_landing`.`dataentry_int`.`de_maestro_canal`"
     finally:
         spark.conf.unset("spark.sql.catalog.prod_landing")
+
+
+def test_generated_ddl_matches_golden_artefact():
+    from lakepact.operators.publish import create_table_ddl
+    c = Contract.load(fixture_path("fee_schedule.odcs.yaml"))
+    ddl = create_table_ddl(c, "`desa_landing__prestaciones_tarifarios`.`ded_tarifario_prestacion`",
+                           "/lake/desa_landing__prestaciones_tarifarios/ded_tarifario_prestacion/ded_tarifario_prestacion_v0")
+    with open(fixture_path("fee_schedule.ddl.sql"), encoding="utf-8") as fh:
+        assert ddl == fh.read().rstrip("\n")
