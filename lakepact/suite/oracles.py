@@ -416,8 +416,8 @@ diff AS (
     o["q_duplicate_first_seen"] = ("SELECT doc_id, first_doc_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_doc_id "
                                    "FROM documents) WHERE doc_id > first_doc_id")
     o["q_key_position"] = ("SELECT conv_id, turn, key_position FROM (SELECT conv_id, turn, role, "
-                           "sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn "
-                           "ROWS UNBOUNDED PRECEDING) AS key_position FROM conversations) WHERE role = 'user'")
+                           "CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn "
+                           "ROWS UNBOUNDED PRECEDING) AS BIGINT) AS key_position FROM conversations) WHERE role = 'user'")
 
     # dictionary
     o["q_yes_no"] = _dict(
@@ -453,11 +453,11 @@ diff AS (
     o["q_sensitivity"] = _dict(f"SELECT document, \"row\", {cls} AS classification, dac = 'SI' AS sensitive FROM fa")
     ex = _split_examples("ejemplos")
     o["q_split_examples"] = _dict(
-        f"SELECT document, \"row\", array_to_string({ex}, '|') AS examples, len({ex}) AS n_examples "
+        f"SELECT document, \"row\", array_to_string({ex}, '|') AS examples, CAST(len({ex}) AS INTEGER) AS n_examples "
         f"FROM fa WHERE NOT {not_applicable('ejemplos')}")
     sv = _split_values("catalogo")
     o["q_split_values"] = _dict(
-        f"SELECT document, \"row\", array_to_string({sv}, '|') AS vals, len({sv}) AS n_values "
+        f"SELECT document, \"row\", array_to_string({sv}, '|') AS vals, CAST(len({sv}) AS INTEGER) AS n_values "
         f"FROM fa WHERE NOT {not_applicable('catalogo')}")
     o["q_document_rollup"] = _dict(
         "SELECT p.document, n_fields, n_active, n_discarded, has_dac, has_key, discarded_names, "
