@@ -3,6 +3,7 @@ table probe (E1) and column inventories (E2)."""
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 from typing import Iterator
 
@@ -16,20 +17,31 @@ def read_target(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+_VIEW_LOCKS: dict[tuple[int, str], threading.Lock] = {}
+_VIEW_LOCKS_GUARD = threading.Lock()
+
+
+def _view_lock(spark: SparkSession, name: str) -> threading.Lock:
+    with _VIEW_LOCKS_GUARD:
+        return _VIEW_LOCKS.setdefault((id(spark), name.lower()), threading.Lock())
+
+
 @contextmanager
 def as_relation(df: DataFrame, name: str) -> Iterator[str]:
     """Expose ``df`` under ``name`` so SQL rules that name the model resolve.
 
     The view is always dropped on exit; left behind it would hide a table of the same name.
     DataFrames made from ``spark.sql`` inside the block are analysed eagerly, so they stay
-    valid after the view is gone.
+    valid after the view is gone. Concurrent checks on one session that use the same model
+    name take turns for that short analysis window.
     """
     spark = df.sparkSession
-    df.createOrReplaceTempView(name)
-    try:
-        yield name
-    finally:
-        spark.catalog.dropTempView(name)
+    with _view_lock(spark, name):
+        df.createOrReplaceTempView(name)
+        try:
+            yield name
+        finally:
+            spark.catalog.dropTempView(name)
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:

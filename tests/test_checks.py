@@ -115,3 +115,15 @@ def test_empty_contract_gives_empty_report(spark):
     c = _c([])
     rep = check_report(spark.range(3), c, specs=compile_checks(c, include_schema=False))
     assert rep.count() == 0 and verdict(rep).collect()[0].passed
+
+
+def test_concurrent_sql_rules_same_model_name(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    c = _c([{"name": "k", "physicalType": "STRING"}, {"name": "v", "physicalType": "STRING"}],
+           [{"type": "sql", "name": "fd", "mustBe": 0,
+             "query": "SELECT COUNT(*) FROM (SELECT k FROM m GROUP BY k HAVING COUNT(DISTINCT v) > 1)"}])
+    frames = [spark.createDataFrame([("a", str(i)), ("a", str(i + 1))] * (i % 2) + [("b", "x")],
+                                    "k string, v string") for i in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda df: [r.metric for r in check_report(df, c).collect() if r.check == "fd"][0], frames))
+    assert got == [i % 2 for i in range(8)]
