@@ -133,6 +133,15 @@ def apply_contract(
                       surplus, staged_path)
 
 
+def test_declared_source(spark: SparkSession, contract: Contract, server: str = "local") -> Outcome:
+    """Run every check of a contract against the file source it declares for ``server``
+    (format, delimiter, path), typed as a load would type it; nothing is written."""
+    from ..sources.text import read_contract_source
+
+    text = read_contract_source(spark, contract, server)
+    return run_checks(type_columns(text, contract), contract)
+
+
 @dataclass
 class JobOutcome:
     contract: str

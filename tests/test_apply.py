@@ -148,3 +148,14 @@ def test_publish_mode_overwrite_and_standalone_gate(spark, lake, fresh_env):
     with pytest.raises(GateFailed) as e:
         gate(typed, c, table=res.table, materialize=True)
     assert e.value.current_rows == 8
+
+
+def test_declared_local_source(spark, tmp_path):
+    import dataclasses
+    from lakepact.plans.apply import test_declared_source
+    c = Contract.load(fixture_path("fee_schedule.odcs.yaml"))
+    servers = tuple(dataclasses.replace(s, path=fixture_path("fee_schedule_errors.csv")) if s.server == "local" else s
+                    for s in c.servers)
+    c = dataclasses.replace(c, servers=servers)
+    out = test_declared_source(spark, c, "local")
+    assert not out.passed and len(out.failed) == 8 and len(out.report) == 39
