@@ -28,7 +28,7 @@ def report_rows(contract: str, src: str, checks: list[tuple]) -> str:
         parts.append(
             f"SELECT {_q(contract)} AS contract, {_q(check)} AS \"check\", {_q(kind)} AS kind, "
             f"CAST({_q(field)} AS VARCHAR) AS field, CAST(m AS BIGINT) AS metric, "
-            f"{_result('m', op, bound)} AS result FROM (SELECT ({metric}) AS m FROM {src} LIMIT 1)"
+            f"{_result('m', op, bound)} AS result FROM (SELECT max(m) AS m FROM (SELECT ({metric}) AS m FROM {src}))"
         )
     return "\nUNION ALL ".join(parts)
 
