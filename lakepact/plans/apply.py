@@ -46,7 +46,7 @@ def apply_contract(
     spark: SparkSession,
     contract: Contract,
     environment: str,
-    source: str | DataFrame,
+    source: str | list[str] | DataFrame,
     *,
     delimiter: str | None = None,
     post_check: bool | str = True,
@@ -56,7 +56,8 @@ def apply_contract(
     multi_line: bool = True,
     publish_mode: str = "swap",
 ) -> LoadResult:
-    """W1. ``source`` is a delivery path (header CSV) or a frame of text columns.
+    """W1. ``source`` is a delivery path or list of paths (header CSV) or a frame of text
+    columns.
 
     ``post_check``: True (every check again on the table, as the reference does), "schema"
     (presence, types and row count only: the table's files are the staged files the gate
@@ -74,10 +75,11 @@ def apply_contract(
     name = target.spark_name(spark)
     actions = ensure_table(spark, contract, name, target.namespace(spark), target.table)
 
-    if isinstance(source, str):
+    if isinstance(source, (str, list, tuple)):
         local = next((s for s in contract.servers if s.delimiter), None)
         delim = delimiter or (local.delimiter if local else ",")
-        text = read_landing_text(spark, source, delim, mode=mode, multi_line=multi_line)
+        paths = source if isinstance(source, str) else list(source)
+        text = read_landing_text(spark, paths, delim, mode=mode, multi_line=multi_line)
     else:
         text = source
     surplus = surplus_columns(text, contract)
@@ -168,7 +170,7 @@ def apply_all(
                  if k.startswith("lakepact.") or k == "spark.sql.session.timeZone"}
 
     def session_for(source):
-        if not isinstance(source, str):
+        if not isinstance(source, (str, list, tuple)):
             return source.sparkSession
         s = spark.newSession()  # own temp views; runtime settings copied over
         for k, v in inherited.items():

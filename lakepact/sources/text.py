@@ -9,7 +9,7 @@ from ..contract import Contract
 
 def read_landing_text(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     delimiter: str = ",",
     *,
     encoding: str = "UTF-8",

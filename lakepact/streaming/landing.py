@@ -50,10 +50,8 @@ def watch_landing(
         if not paths:
             return
         s = batch.sparkSession
-        text = s.read.format("csv").option("header", True).option("inferSchema", False) \
-            .option("escape", '"').option("multiLine", True).load(paths)
         try:
-            out: LoadResult | GateFailed = apply_contract(s, contract, environment, text)
+            out: LoadResult | GateFailed = apply_contract(s, contract, environment, paths)
         except GateFailed as e:
             out = e
         if on_result is not None:

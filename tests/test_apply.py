@@ -159,3 +159,14 @@ def test_declared_local_source(spark, tmp_path):
     c = dataclasses.replace(c, servers=servers)
     out = test_declared_source(spark, c, "local")
     assert not out.passed and len(out.failed) == 8 and len(out.report) == 39
+
+
+def test_delivery_as_list_of_files(spark, lake, fresh_env, tmp_path):
+    import shutil
+    c = _load("channel_master", fresh_env)
+    a, b = tmp_path / "a.csv", tmp_path / "b.csv"
+    lines = open(fixture_path("channel_master_ok.csv"), encoding="utf-8").read().splitlines()
+    a.write_text("\n".join(lines[:5]) + "\n", encoding="utf-8")
+    b.write_text("\n".join([lines[0]] + lines[5:]) + "\n", encoding="utf-8")
+    res = apply_contract(spark, c, fresh_env, [str(a), str(b)])
+    assert res.rows_loaded == 8 and res.passed
