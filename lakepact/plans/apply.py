@@ -21,6 +21,7 @@ from ..operators.checks import cast_loss_specs, check_report, compile_checks, fu
 from ..operators.gate import GateFailed, Outcome, TableCheckFailed, run_checks
 from ..operators.publish import delete_path, ensure_table, next_version_path, switch_version
 from ..operators.shape import align_by_name, surplus_columns, type_columns, typed_columns
+from ..session import spread
 from ..sources.text import read_landing_text
 
 
@@ -82,6 +83,7 @@ def apply_contract(
         text = read_landing_text(spark, paths, delim, mode=mode, multi_line=multi_line)
     else:
         text = source
+    text = spread(text)  # few delivery files: type and stage them on every core
     surplus = surplus_columns(text, contract)
     table_cols = spark.table(name).columns
     specs = compile_checks(contract)

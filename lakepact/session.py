@@ -88,3 +88,13 @@ def materialize(df, *parts: str):
     path = scratch_path(spark, "materialized", *parts)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when its input yields fewer partitions
+    than cores (e.g. one large file, one row group), so per-row work runs in parallel.
+    A no-op for any input already split wider than the cluster, i.e. every large input."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -18,7 +18,7 @@ from ..operators.shape import align_by_name, type_columns
 from ..operators.windows import later_repeats, running_count
 from ..plans import dictionary as M
 from ..plans.apply import apply_all, apply_contract
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources.catalog import read_target
 from ..sources.text import as_text, read_landing_text
 from . import contracts as C
@@ -396,7 +396,7 @@ def q_in_sync(spark, sf):
 
 def q_norm_text(spark, sf):
     """M1 over whole document texts: distinct normalised texts and their length per language."""
-    d = t(spark, sf, "documents").select("lang", normalise_text(F.col("text")).alias("norm"))
+    d = spread(t(spark, sf, "documents")).select("lang", normalise_text(F.col("text")).alias("norm"))
     return d.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_distinct("norm").alias("n_distinct_norm"),
