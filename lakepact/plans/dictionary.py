@@ -62,14 +62,15 @@ def prepare_fields(field_defs: DataFrame) -> DataFrame:
 
 
 def prepare(table_defs: DataFrame, field_defs: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Both inputs prepared once. With ``materialize`` the prepared rows are written to the
-    shared folder and read back, so the dozen rule branches below scan them instead of each
-    re-deriving and re-normalising every cell."""
+    """Both inputs prepared once. With ``materialize`` the prepared field rows (the side
+    that grows: one row per field of every document) are written to the shared folder and
+    read back, so the dozen rule branches below scan them instead of each re-deriving and
+    re-normalising every cell. Table rows (one per document) are cheap to re-derive."""
     td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
     if materialize:
         from ..session import materialize as _m
 
-        td, fd = _m(td, "table_defs"), _m(fd, "field_defs")
+        fd = _m(fd, "field_defs")
     return td, fd
 
 
