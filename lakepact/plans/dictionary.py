@@ -231,11 +231,16 @@ def classification_issues(fd: DataFrame) -> DataFrame:
     )
 
 
-def classification(fd: DataFrame) -> Column:
-    """Mapped classification, raised from public to restricted for sensitive fields."""
+def classification(fd: DataFrame, strict: bool = False) -> Column:
+    """Mapped classification, raised from public to restricted for sensitive fields.
+
+    ``strict`` raises every sensitive field that is not restricted (``internal`` too), as
+    the scope documentation promises; the default follows the converter, which only
+    raises ``public``."""
     mapping = F.create_map(*[F.lit(x) for kv in R.CLASSIFICATIONS.items() for x in kv])
     base = mapping[normalise_text(F.col("clasificacion"))]
-    return F.when((F.col("dac") == "SI") & (base == "public"), F.lit("restricted")).otherwise(base)
+    raise_it = (base != "restricted") if strict else (base == "public")
+    return F.when((F.col("dac") == "SI") & raise_it, F.lit("restricted")).otherwise(base)
 
 
 def sensitivity_warnings(fd: DataFrame) -> DataFrame:
