@@ -79,11 +79,6 @@ def parse_type(text: str) -> T.DataType:
     raise ContractError(f"unknown physical type {text!r}")
 
 
-def same_type(a: T.DataType, b: T.DataType) -> bool:
-    """Type equality as the evolution rule needs it (nullability is not part of a type)."""
-    return a.simpleString() == b.simpleString()
-
-
 # --------------------------------------------------------------------------------------
 # Rules and fields
 # --------------------------------------------------------------------------------------

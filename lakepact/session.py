@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,15 +68,6 @@ def lake_root(spark: SparkSession) -> str:
     return root.rstrip("/") if root != "/" else root
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
 def materialize(df, *parts: str):
     """Cut lineage: write ``df`` once as Parquet under the shared folder and read it back.
 

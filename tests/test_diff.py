@@ -72,3 +72,11 @@ def test_registry_of_yaml_files_and_diff(spark, tmp_path):
     assert old.count() == 22
     got = sorted((r.field, r.change, r.severity) for r in contract_diff(old, new).collect())
     assert got == [("nom_clinica", "field_removed", "breaking"), ("obs", "optional_field_added", "compatible")]
+
+
+def test_changelog_order(spark):
+    from lakepact.operators.diff import changelog
+    old = _snap(spark, [("b", "x", 1, None, "INT", False, None), ("a", "y", 1, None, "INT", False, None)])
+    new = _snap(spark, [("a", "y", 1, None, "BIGINT", False, None), ("c", "z", 1, None, "INT", False, None)])
+    rows = [(r.contract, r.change) for r in changelog(contract_diff(old, new)).collect()]
+    assert rows == [("a", "type_changed"), ("b", "contract_removed"), ("c", "contract_added")]

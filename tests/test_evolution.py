@@ -55,3 +55,14 @@ def test_drift_over_many_tables(spark):
                  ("t2", "a"): "type_mismatch", ("t2", "x"): "extra_column", ("t2", "y"): "new_required"}
     v = {r.table: (r.compatible, r.problems, r.columns_to_add) for r in drift_verdict(schema_drift(tc, cf)).collect()}
     assert v == {"t1": (True, 0, 1), "t2": (False, 3, 0)}
+
+
+def test_inventories_from_catalog_tables(spark, lake, fresh_env):
+    from lakepact.operators.evolution import contract_fields_frame
+    from lakepact.sources.catalog import schema_of, table_columns_frame
+    c, name, ns = _setup(spark, fresh_env)
+    schema = schema_of(spark, name)
+    assert list(schema)[:2] == ["cod_clinica", "nom_clinica"]
+    inv = table_columns_frame(spark, {c.id: spark.table(name).schema})
+    drift = schema_drift(inv, contract_fields_frame(spark, [c]))
+    assert {r.change for r in drift.collect()} == {"unchanged"}
