@@ -63,3 +63,9 @@ def test_align_by_name(spark):
     assert align_by_name(df, ["y", "x"]).columns == ["y", "x"]
     with pytest.raises(ValueError):
         align_by_name(df, ["z"])
+
+
+def test_utf8_bom_heading(spark, tmp_path):
+    p = tmp_path / "bom.csv"
+    p.write_bytes(b"\xef\xbb\xbfcod_x,b\nA,1\n")
+    assert read_landing_text(spark, str(p)).columns == ["cod_x", "b"]
