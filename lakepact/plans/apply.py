@@ -56,6 +56,7 @@ def apply_contract(
     raw_schema_checks: bool = False,
     multi_line: bool = True,
     publish_mode: str = "swap",
+    encoding: str = "UTF-8",
 ) -> LoadResult:
     """W1. ``source`` is a delivery path or list of paths (header CSV) or a frame of text
     columns.
@@ -80,7 +81,7 @@ def apply_contract(
         local = next((s for s in contract.servers if s.delimiter), None)
         delim = delimiter or (local.delimiter if local else ",")
         paths = source if isinstance(source, str) else list(source)
-        text = read_landing_text(spark, paths, delim, mode=mode, multi_line=multi_line)
+        text = read_landing_text(spark, paths, delim, mode=mode, multi_line=multi_line, encoding=encoding)
     else:
         text = source
     text = spread(text)  # few delivery files: type and stage them on every core

@@ -170,3 +170,13 @@ def test_delivery_as_list_of_files(spark, lake, fresh_env, tmp_path):
     b.write_text("\n".join([lines[0]] + lines[5:]) + "\n", encoding="utf-8")
     res = apply_contract(spark, c, fresh_env, [str(a), str(b)])
     assert res.rows_loaded == 8 and res.passed
+
+
+def test_latin1_delivery(spark, lake, fresh_env, tmp_path):
+    c = _load("fee_schedule", fresh_env)
+    text = open(fixture_path("fee_schedule_ok.csv"), encoding="utf-8").read().replace("Sede Norte", "Sede Peñón")
+    p = tmp_path / "latin1.csv"
+    p.write_bytes(text.encode("latin-1"))
+    res = apply_contract(spark, c, fresh_env, str(p), encoding="ISO-8859-1")
+    names = {r.nom_clinica for r in spark.table(res.table).collect()}
+    assert "Sede Peñón" in names and res.rows_loaded == 8
