@@ -84,6 +84,11 @@ def spread(df):
     """Round-robin ``df`` over the cluster's cores when its input yields fewer partitions
     than cores (e.g. one large file, one row group), so per-row work runs in parallel.
     A no-op for any input already split wider than the cluster, i.e. every large input."""
+    # Only plain scans: asking an adaptive plan with shuffles for its partition count would
+    # run those shuffle stages now. Building the physical plan itself executes nothing.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
