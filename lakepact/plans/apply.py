@@ -103,9 +103,10 @@ def apply_contract(
     obs = Observation(f"gate_{contract.physical_name}")
     metrics = fused_metrics(wide, specs)
     observed_frame = wide.observe(obs, *metrics) if metrics else wide
-    align_by_name(observed_frame, table_cols).write.mode("errorifexists").parquet(staged_path)
+    to_write = align_by_name(observed_frame, table_cols)
+    to_write.write.mode("errorifexists").parquet(staged_path)
     observed = obs.get if metrics else {}
-    staged = spark.read.parquet(staged_path)
+    staged = spark.read.schema(to_write.schema).parquet(staged_path)  # known schema: no footer scan
 
     report = check_report(staged, contract, specs=specs, observed=observed, schema=typed_schema,
                           presence=text.schema if raw_schema_checks else None).collect()
