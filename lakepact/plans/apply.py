@@ -10,6 +10,7 @@ only for the key/grouped checks (key columns only) and the post-load check.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
@@ -100,7 +101,7 @@ def apply_contract(
 
     # Stage: one pass types the rows, writes the new version and gathers the fused checks.
     staged_path = next_version_path(spark, name)
-    obs = Observation(f"gate_{contract.physical_name}")
+    obs = Observation(f"gate_{contract.physical_name}_{uuid.uuid4().hex[:8]}")  # unique per load
     metrics = fused_metrics(wide, specs)
     observed_frame = wide.observe(obs, *metrics) if metrics else wide
     to_write = align_by_name(observed_frame, table_cols)
