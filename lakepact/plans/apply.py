@@ -105,7 +105,11 @@ def apply_contract(
     metrics = fused_metrics(wide, specs)
     observed_frame = wide.observe(obs, *metrics) if metrics else wide
     to_write = align_by_name(observed_frame, table_cols)
-    to_write.write.mode("errorifexists").parquet(staged_path)
+    try:
+        to_write.write.mode("errorifexists").parquet(staged_path)
+    except Exception:
+        delete_path(spark, staged_path)  # a failed stage is debris: retention never sees it
+        raise
     observed = obs.get if metrics else {}
     staged = spark.read.schema(to_write.schema).parquet(staged_path)  # known schema: no footer scan
 

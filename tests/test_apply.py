@@ -85,6 +85,9 @@ def test_error_during_publish_keeps_rows(spark, lake, fresh_env):
     with pytest.raises(Exception, match="injected failure"):
         apply_contract(spark, c, fresh_env, boom)
     assert spark.table(res.table).count() == 8 and table_location(spark, res.table) == loc
+    import os
+    parent = loc.replace("file:", "").rsplit("/", 1)[0]
+    assert sorted(os.listdir(parent)) == sorted(n for n in os.listdir(parent) if n <= loc.rsplit("/", 1)[1])
 
 
 def test_apply_all_independent_jobs(spark, lake, fresh_env):
