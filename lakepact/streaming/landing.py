@@ -35,7 +35,10 @@ def watch_landing(
     on_result: Callable[[int, LoadResult | GateFailed], None] | None = None,
 ) -> StreamingQuery:
     """Start the watcher. ``on_result(batch_id, outcome)`` sees each load's result or its
-    gate failure (a failed gate does not stop the stream: the table keeps its rows)."""
+    gate failure (a failed gate does not stop the stream: the table keeps its rows).
+
+    Each micro-batch is one whole delivery that replaces the table's content, so
+    ``max_files_per_batch`` must be at least the number of files one delivery consists of."""
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")

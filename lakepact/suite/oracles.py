@@ -327,6 +327,7 @@ def oracle_sql() -> dict[str, str]:
                            f"count(*) FILTER (WHERE result <> 'passed') AS failed FROM ({gate}) GROUP BY contract")
     o["q_gate_failing"] = f"SELECT * FROM ({_lineitem_report()}) WHERE result <> 'passed'"
     o["q_flagship_load"] = _orders_report()
+    o["q_landing_stream"] = _orders_report()
     o["q_publish_roundtrip"] = o["q_align_by_name"]
     o["q_post_load"] = _supplier_report()
     o["q_publish_overwrite"] = o["q_align_by_name"]

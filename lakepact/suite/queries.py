@@ -281,6 +281,24 @@ def q_gate_refusal(spark, sf):
                       F.lit(read_target(spark, res.table).count()).cast("bigint").alias("rows_after"))
 
 
+def q_landing_stream(spark, sf):
+    """Structured Streaming: orders land as a CSV delivery in a watched folder; the watcher
+    loads the micro-batch through the gate (W1); the loaded table's report is returned."""
+    from ..streaming.landing import watch_landing
+    _with_root(spark)
+    c = C.orders(_run_schema())
+    landing = scratch_path(spark, "landing", "orders")
+    as_text(t(spark, sf, "orders")).write.option("header", True).csv(landing)
+    seen = []
+    q = watch_landing(spark, c, C.ENV, landing, pattern="*.csv", available_now=True,
+                      checkpoint=scratch_path(spark, "streams", "orders"),
+                      on_result=lambda _b, out: seen.append(out))
+    q.awaitTermination()
+    if not seen or not hasattr(seen[-1], "table"):
+        raise RuntimeError(f"landing watcher did not load the delivery: {seen!r}")
+    return _report(read_target(spark, seen[-1].table), c)
+
+
 def q_publish_roundtrip(spark, sf):
     """W1 + S5 + A1: supplier delivered as text, gated, published; the table read back."""
     c, res = _load_supplier(spark, sf)
