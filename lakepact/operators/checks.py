@@ -19,7 +19,7 @@ Plans:
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -432,7 +432,7 @@ def usable_fused(df: DataFrame, specs: list[CheckSpec]) -> list[CheckSpec]:
             try:
                 df.agg(F.expr(s.sql)).schema  # eager analysis
             except PySparkException:
-                s = CheckSpec(**{**s.__dict__, "plan": "sql", "sql": None})
+                s = replace(s, plan="sql", sql=None)
         out.append(s)
     return out
 

@@ -4,11 +4,12 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..contract import Contract
+from ..contract import Contract, Field
 from ..functions.text import normalise_text
 from ..operators import checks as K
 from ..operators import diff as D
@@ -80,7 +81,7 @@ def q_table_count(spark, sf):
 def q_typed_projection(spark, sf):
     """P1 + P3: orders as text → typed by contract (o_orderpriority declared INT: NULL)."""
     c = C.orders().with_fields(
-        [f if f.name != "o_orderpriority" else type(f)(**{**f.__dict__, "physical_type": "INT", "options": {}})
+        [f if f.name != "o_orderpriority" else replace(f, physical_type="INT", options={})
          for f in C.orders().fields]
     )
     typed = type_columns(as_text(t(spark, sf, "orders")), c)
@@ -123,9 +124,9 @@ def q_check_presence_type(spark, sf):
     """K1/K2 on the raw orders columns against a contract declaring one absent column
     and one other type."""
     base = C.orders()
-    fields = [f if f.name != "o_orderpriority" else type(f)(**{**f.__dict__, "physical_type": "INT", "options": {}})
+    fields = [f if f.name != "o_orderpriority" else replace(f, physical_type="INT", options={})
               for f in base.fields]
-    fields.append(type(fields[0])(name="o_comment", physical_type="STRING", required=False))
+    fields.append(Field(name="o_comment", physical_type="STRING", required=False))
     c = base.with_fields(fields).with_rules([])
     return _report(t(spark, sf, "orders"), c, ("present", "type"))
 
@@ -309,8 +310,7 @@ def q_cast_loss(spark, sf):
     _with_root(spark)
     base = C.orders(_run_schema())
     c = base.with_fields([
-        f if f.name != "o_orderpriority" else type(f)(**{**f.__dict__, "physical_type": "INT",
-                                                          "options": {}, "required": False})
+        f if f.name != "o_orderpriority" else replace(f, physical_type="INT", options={}, required=False)
         for f in base.fields])
     res = apply_contract(spark, c, C.ENV, as_text(t(spark, sf, "orders")), cast_loss=True, post_check=False)
     rows = [(r["field"], r["metric"], r["result"]) for r in res.gate if r["kind"] == "cast_loss"]
