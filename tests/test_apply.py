@@ -165,7 +165,6 @@ def test_declared_local_source(spark, tmp_path):
 
 
 def test_delivery_as_list_of_files(spark, lake, fresh_env, tmp_path):
-    import shutil
     c = _load("channel_master", fresh_env)
     a, b = tmp_path / "a.csv", tmp_path / "b.csv"
     lines = open(fixture_path("channel_master_ok.csv"), encoding="utf-8").read().splitlines()
