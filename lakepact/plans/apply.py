@@ -113,8 +113,12 @@ def apply_contract(
     observed = obs.get if metrics else {}
     staged = spark.read.schema(to_write.schema).parquet(staged_path)  # known schema: no footer scan
 
-    report = check_report(staged, contract, specs=specs, observed=observed, schema=typed_schema,
-                          presence=text.schema if raw_schema_checks else None).collect()
+    try:
+        report = check_report(staged, contract, specs=specs, observed=observed, schema=typed_schema,
+                              presence=text.schema if raw_schema_checks else None).collect()
+    except Exception:
+        delete_path(spark, staged_path)  # e.g. a SQL rule that does not analyse
+        raise
     rows_read = next((int(r["metric"]) for r in report if r["kind"] == "row_count"), None)
     if rows_read is None:
         rows_read = staged.count()
@@ -144,7 +148,7 @@ def apply_contract(
                       surplus, staged_path)
 
 
-def test_declared_source(spark: SparkSession, contract: Contract, server: str = "local") -> Outcome:
+def check_declared_source(spark: SparkSession, contract: Contract, server: str = "local") -> Outcome:
     """Run every check of a contract against the file source it declares for ``server``
     (format, delimiter, path), typed as a load would type it; nothing is written."""
     from ..sources.text import read_contract_source

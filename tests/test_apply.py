@@ -130,6 +130,12 @@ def test_rule_that_is_not_a_row_predicate_falls_back_to_sql(spark, lake, fresh_e
     with pytest.raises(Exception):
         # an aggregate in WHERE is invalid SQL: the rule fails loudly as SQL, not inside observe
         apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    import os
+    from lakepact.sources.catalog import table_location
+    from lakepact.contract import resolve_target
+    name = resolve_target(c, fresh_env).spark_name(spark)
+    loc = table_location(spark, name).replace("file:", "")
+    assert set(os.listdir(loc.rsplit("/", 1)[0])) <= {loc.rsplit("/", 1)[1]}  # no staged debris left
     from lakepact.operators.checks import compile_checks, usable_fused
     df = read_landing_text(spark, fixture_path("channel_master_ok.csv"))
     plans = {s.name: s.plan for s in usable_fused(df, compile_checks(c))}
@@ -155,12 +161,12 @@ def test_publish_mode_overwrite_and_standalone_gate(spark, lake, fresh_env):
 
 def test_declared_local_source(spark, tmp_path):
     import dataclasses
-    from lakepact.plans.apply import test_declared_source
+    from lakepact.plans.apply import check_declared_source
     c = Contract.load(fixture_path("fee_schedule.odcs.yaml"))
     servers = tuple(dataclasses.replace(s, path=fixture_path("fee_schedule_errors.csv")) if s.server == "local" else s
                     for s in c.servers)
     c = dataclasses.replace(c, servers=servers)
-    out = test_declared_source(spark, c, "local")
+    out = check_declared_source(spark, c, "local")
     assert not out.passed and len(out.failed) == 8 and len(out.report) == 39
 
 
