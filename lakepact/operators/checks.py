@@ -200,6 +200,8 @@ def _valid_values_spec(b: _Builder, r: Rule, f: Field, values: Sequence[Any]) ->
 def _rule_checks(b: _Builder, r: Rule, f: Field | None) -> None:
     metric = (r.metric or "").lower()
     args = r.arguments
+    if r.type in ("text", "custom"):
+        return  # descriptive or engine-specific rules: nothing this engine runs
     if r.type == "sql":
         pred = fusable_predicate(r.query, b.contract.model)
         common = dict(name=r.name or f"sql_{len(b.specs)}", kind="sql",

@@ -127,3 +127,10 @@ def test_concurrent_sql_rules_same_model_name(spark):
     with ThreadPoolExecutor(8) as pool:
         got = list(pool.map(lambda df: [r.metric for r in check_report(df, c).collect() if r.check == "fd"][0], frames))
     assert got == [i % 2 for i in range(8)]
+
+
+def test_text_and_custom_rules_are_not_checks():
+    c = _c([{"name": "a", "physicalType": "STRING",
+             "quality": [{"type": "text", "description": "values come from the sales system"}]}],
+           [{"type": "custom", "engine": "other", "implementation": "..."}])
+    assert [s.kind for s in compile_checks(c)] == ["present", "type"]
