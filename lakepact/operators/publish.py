@@ -44,10 +44,11 @@ def ensure_table(spark: SparkSession, contract: Contract, name: str, namespace:
                  table: str | None = None) -> list[str]:
     """S6 + S7 + E7: create the table when absent (never replace it); otherwise apply only
     additive changes, refusing everything else before touching anything."""
-    ensure_namespace(spark, namespace)
+    ns_dir = namespace.replace("`", "").replace(".", "/")
+    three_part = namespace.count("`.`") > 0  # a configured catalog places its own schemas
+    ensure_namespace(spark, namespace, None if three_part else f"{lake_root(spark)}/{ns_dir}")
     table = table or contract.physical_name
     if not table_exists(spark, name):
-        ns_dir = namespace.replace("`", "").replace(".", "/")
         location = f"{lake_root(spark)}/{ns_dir}/{table}/{table}_v0"
         ddl = create_table_ddl(contract, name, location)
         if not ddl.startswith(f"CREATE TABLE IF NOT EXISTS {name} ("):

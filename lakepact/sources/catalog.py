@@ -44,9 +44,10 @@ def as_relation(df: DataFrame, name: str) -> Iterator[str]:
             spark.catalog.dropTempView(name)
 
 
-def ensure_namespace(spark: SparkSession, namespace: str) -> None:
-    """Create the schema when absent."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
+def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """Create the schema when absent (at ``location`` when given)."""
+    where = "" if location is None else " LOCATION '" + location.replace("'", "\\'") + "'"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}{where}")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
