@@ -426,6 +426,17 @@ def cast_loss_specs(contract: Contract, present: Iterable[str], start: int) -> l
     return out
 
 
+MALFORMED = "__malformed_line"
+
+
+def malformed_spec(idx: int) -> CheckSpec:
+    """Opt-in: rows of the delivery whose number of cells differs from the header."""
+    return CheckSpec(idx=idx, name="delivery:malformed_rows", kind="malformed_rows", field=None,
+                     plan="fused", bound=ZERO, dimension="conformity",
+                     unit="rows with another number of cells than the header",
+                     sql=f"count_if({qname(MALFORMED)} IS NOT NULL)")
+
+
 def usable_fused(df: DataFrame, specs: list[CheckSpec]) -> list[CheckSpec]:
     """Fused SQL predicates that do not analyse as a row predicate fall back to SQL."""
     out = []

@@ -18,7 +18,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from ..contract import Contract, Target, resolve_target
-from ..operators.checks import cast_loss_specs, check_report, compile_checks, fused_metrics, usable_fused
+from ..operators.checks import (
+    MALFORMED, cast_loss_specs, check_report, compile_checks, fused_metrics, malformed_spec, usable_fused,
+)
 from ..operators.gate import GateFailed, Outcome, TableCheckFailed, run_checks
 from ..operators.publish import delete_path, ensure_table, next_version_path, switch_version
 from ..operators.shape import align_by_name, surplus_columns, type_columns, typed_columns
@@ -58,6 +60,7 @@ def apply_contract(
     multi_line: bool = True,
     publish_mode: str = "swap",
     encoding: str = "UTF-8",
+    malformed_rows: bool = False,
 ) -> LoadResult:
     """W1. ``source`` is a delivery path or list of paths (header CSV) or a frame of text
     columns.
@@ -70,6 +73,8 @@ def apply_contract(
     formats, whose overwrite is atomic and which do not move locations).
     ``cast_loss`` adds informational rows counting text that could not be typed;
     ``raw_schema_checks`` makes the presence checks look at the delivery's own headings.
+    ``malformed_rows`` adds a check failing on rows whose number of cells differs from the
+    header (PERMISSIVE reading would otherwise cut surplus cells silently).
 
     Raises ``GateFailed`` (nothing published, table untouched), ``EvolutionRefused``
     (structure cannot follow the contract), ``TableCheckFailed`` (post-load).
@@ -82,20 +87,23 @@ def apply_contract(
         local = next((s for s in contract.servers if s.delimiter), None)
         delim = delimiter or (local.delimiter if local else ",")
         paths = source if isinstance(source, str) else list(source)
-        text = read_landing_text(spark, paths, delim, mode=mode, multi_line=multi_line, encoding=encoding)
+        text = read_landing_text(spark, paths, delim, mode=mode, multi_line=multi_line, encoding=encoding,
+                                 malformed_column=MALFORMED if malformed_rows else None)
     else:
         text = source
     text = spread(text)  # few delivery files: type and stage them on every core
-    surplus = surplus_columns(text, contract)
+    flagged = MALFORMED in text.columns
+    surplus = [c for c in surplus_columns(text, contract) if c != MALFORMED]
     table_cols = spark.table(name).columns
     specs = compile_checks(contract)
+    extra = [text[MALFORMED]] if flagged else []
+    if flagged:
+        specs = specs + [malformed_spec(len(specs))]
     if cast_loss:
         present = [f.name for f in contract.fields if f.name in text.columns]
-        wide = text.select(*typed_columns(text, contract),
-                           *[text[text.columns.index(c)].alias(f"__raw__{c}") for c in present])
+        extra += [text[text.columns.index(c)].alias(f"__raw__{c}") for c in present]
         specs = specs + cast_loss_specs(contract, present, len(specs))
-    else:
-        wide = type_columns(text, contract)
+    wide = text.select(*typed_columns(text, contract), *extra)
     typed_schema = type_columns(text, contract).schema
     specs = usable_fused(wide, specs)  # a rule that is no row predicate runs as SQL instead
 

@@ -15,6 +15,7 @@ def read_landing_text(
     encoding: str = "UTF-8",
     mode: str = "PERMISSIVE",
     multi_line: bool = True,
+    malformed_column: str | None = None,
 ) -> DataFrame:
     """Read a header CSV delivery with every column as a string.
 
@@ -24,19 +25,30 @@ def read_landing_text(
     split, so large deliveries should arrive as many files (or pass ``multi_line=False``
     when the producer guarantees no quoted line breaks, which makes files splittable).
     ``mode='FAILFAST'`` rejects ragged rows instead of cutting surplus cells.
+    ``malformed_column`` keeps PERMISSIVE reading but adds a column holding the raw line of
+    every row whose number of cells differs from the header (NULL otherwise), so ragged
+    rows can be counted in the same pass instead of being cut silently.
     """
-    return (
-        spark.read.format("csv")
-        .option("header", True)
-        .option("inferSchema", False)
-        .option("sep", delimiter)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("encoding", encoding)
-        .option("mode", mode)
-        .load(path)
-    )
+    def reader():
+        return (
+            spark.read.format("csv")
+            .option("header", True)
+            .option("inferSchema", False)
+            .option("sep", delimiter)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", multi_line)
+            .option("encoding", encoding)
+            .option("mode", mode)
+        )
+
+    if malformed_column is None:
+        return reader().load(path)
+    # The header's own names, in order, as an explicit all-string schema plus the flag
+    # column: binding by position is exact because the schema is the header itself.
+    heading = reader().load(path).columns
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*heading, malformed_column])
+    return reader().option("columnNameOfCorruptRecord", malformed_column).schema(schema).load(path)
 
 
 def read_contract_source(spark: SparkSession, contract: Contract, server: str = "local", **kw) -> DataFrame:

@@ -188,3 +188,21 @@ def test_latin1_delivery(spark, lake, fresh_env, tmp_path):
     res = apply_contract(spark, c, fresh_env, str(p), encoding="ISO-8859-1")
     names = {r.nom_clinica for r in spark.table(res.table).collect()}
     assert "Sede Peñón" in names and res.rows_loaded == 8
+
+
+def test_malformed_rows_check(spark, lake, fresh_env, tmp_path):
+    c = _load("fee_schedule", fresh_env)
+    lines = open(fixture_path("fee_schedule_ok.csv"), encoding="utf-8").read().splitlines()
+    head = lines[0] + ",extra_note"                      # a surplus column the contract does not read
+    body = [ln + ",n" for ln in lines[1:]]
+    body[2] = body[2] + ",surplus cell"                  # one cell too many
+    body[5] = ",".join(body[5].split(",")[:-3])          # three cells short
+    p = tmp_path / "ragged.csv"
+    p.write_text("\n".join([head, *body]) + "\n", encoding="utf-8")
+    with pytest.raises(GateFailed) as e:
+        apply_contract(spark, c, fresh_env, str(p), malformed_rows=True)
+    bad = {r.check: r.metric for r in e.value.report if r.result != "passed"}
+    assert bad.get("delivery:malformed_rows") == 2
+    assert len(e.value.report) == 40                     # 39 contract checks + the opt-in one
+    res = apply_contract(spark, c, fresh_env, fixture_path("fee_schedule_ok.csv"), malformed_rows=True)
+    assert res.passed and res.surplus_columns == []
