@@ -328,6 +328,10 @@ def oracle_sql() -> dict[str, str]:
     o["q_gate_failing"] = f"SELECT * FROM ({_lineitem_report()}) WHERE result <> 'passed'"
     o["q_flagship_load"] = _orders_report()
     o["q_landing_stream"] = _orders_report()
+    o["q_malformed_rows"] = (
+        "SELECT 'delivery:malformed_rows' AS \"check\", count(*) FILTER (WHERE o_orderpriority LIKE '1-%') AS metric, "
+        "CASE WHEN count(*) FILTER (WHERE o_orderpriority LIKE '1-%') = 0 THEN 'passed' ELSE 'failed' END AS result FROM orders "
+        "UNION ALL SELECT 'tabla_no_vacia', count(*), CASE WHEN count(*) > 0 THEN 'passed' ELSE 'failed' END FROM orders")
     o["q_publish_roundtrip"] = o["q_align_by_name"]
     o["q_post_load"] = _supplier_report()
     o["q_publish_overwrite"] = o["q_align_by_name"]

@@ -292,6 +292,28 @@ def q_landing_stream(spark, sf):
     return _report(read_target(spark, seen[-1].table), c)
 
 
+def q_malformed_rows(spark, sf):
+    """Opt-in ragged-row check: orders delivered as CSV without quoting, urgent orders
+    carrying an extra cell; the load counts them in its one pass and refuses the delivery."""
+    from ..operators.gate import GateFailed
+    _with_root(spark)
+    c = C.orders(_run_schema())
+    o = as_text(t(spark, sf, "orders"))
+    o = o.withColumn("o_orderpriority", F.when(F.col("o_orderpriority").startswith("1-"),
+                                                 F.concat(F.col("o_orderpriority"), F.lit(",late")))
+                     .otherwise(F.col("o_orderpriority")))
+    path = scratch_path(spark, "deliveries", "orders_ragged")
+    o.write.option("header", True).option("quote", "\u0000").csv(path)
+    try:
+        res = apply_contract(spark, c, C.ENV, path, malformed_rows=True, post_check=False)
+        report = res.gate
+    except GateFailed as e:
+        report = e.report
+    rows = [(r["check"], r["metric"], r["result"]) for r in report
+            if r["kind"] in ("malformed_rows", "row_count")]
+    return spark.createDataFrame(rows, "check string, metric bigint, result string")
+
+
 def q_publish_roundtrip(spark, sf):
     """W1 + S5 + A1: supplier delivered as text, gated, published; the table read back."""
     c, res = _load_supplier(spark, sf)
