@@ -1,6 +1,7 @@
 """Command line / job entry point (``spark-submit -m``-style: ``python -m lakepact ...``).
 
   apply  CONTRACT ENV FILE...   load a delivery: structure, gate, publish, post-check
+  apply-all JOBS.yaml ENV       one independent load per task: [{contract: .., files: [..]}, ..]
   check  CONTRACT [SERVER]      run the checks on the contract's declared file source
   diff   OLD_DIR NEW_DIR        compare two folders of contracts; exit 1 on breaking changes
   ddl    CONTRACT ENV           print the table DDL for an environment
@@ -48,6 +49,10 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("files", nargs="+")
     a.add_argument("--post-check", default="full", choices=["full", "schema", "none"])
     a.add_argument("--malformed-rows", action="store_true")
+    aa = sub.add_parser("apply-all")
+    aa.add_argument("jobs")
+    aa.add_argument("env")
+    aa.add_argument("--parallel", type=int, default=4)
     c = sub.add_parser("check")
     c.add_argument("contract")
     c.add_argument("server", nargs="?", default="local")
@@ -90,6 +95,18 @@ def main(argv: list[str] | None = None) -> int:
         if res.surplus_columns:
             print(f"columns not in the contract, dropped: {', '.join(res.surplus_columns)}")
         return 0
+    if args.cmd == "apply-all":
+        import yaml
+
+        from .plans.apply import apply_all
+
+        with open(args.jobs, encoding="utf-8") as fh:
+            tasks = yaml.safe_load(fh) or []
+        jobs = [(Contract.load(t["contract"]), args.env, list(t["files"])) for t in tasks]
+        outcomes = apply_all(spark, jobs, max_parallel=args.parallel)
+        for o in outcomes:
+            print(f"  {o.status:17s} {o.contract:45s} checks {o.checks:3d} failed {o.failed:3d} rows {o.rows_loaded}")
+        return 0 if all(o.status == "loaded" for o in outcomes) else 1
     if args.cmd == "check":
         out = check_declared_source(spark, Contract.load(args.contract), args.server)
         _print_report(f"server {args.server}", out.report)

@@ -36,3 +36,16 @@ def test_cli_apply_ddl_diff(spark, lake, fresh_env, tmp_path, capsys):
     assert main(["diff", str(old), str(old)]) == 0
     assert main(["diff", str(old), str(new)]) == 1
     assert "field_removed" in capsys.readouterr().out
+
+
+def test_cli_apply_all(spark, lake, fresh_env, tmp_path, capsys):
+    c1 = _env_contract(tmp_path, fresh_env)
+    c2 = _env_contract(tmp_path, fresh_env, "fee_schedule")
+    jobs = tmp_path / "jobs.yaml"
+    jobs.write_text(yaml.safe_dump([
+        {"contract": c1, "files": [fixture_path("channel_master_ok.csv")]},
+        {"contract": c2, "files": [fixture_path("fee_schedule_errors.csv")]},
+    ]), encoding="utf-8")
+    assert main(["apply-all", str(jobs), fresh_env]) == 1
+    out = capsys.readouterr().out
+    assert "loaded" in out and "gate_failed" in out
