@@ -300,6 +300,9 @@ def oracle_sql() -> dict[str, str]:
     o["q_check_valid_values"] = report_rows("events", "events", [
         ("event_type_catalogo", "valid_values", "event_type",
          "count(*) FILTER (WHERE event_type NOT IN ('click', 'view', 'signup'))", "=", "0")])
+    o["q_check_valid_values_long"] = report_rows("orders", "orders", [
+        ("known_customer", "valid_values", "o_custkey",
+         "count(*) FILTER (WHERE o_custkey IS NOT NULL AND (o_custkey < 0 OR o_custkey >= 12000))", "=", "0")])
     o["q_check_pattern"] = report_rows("part", "part", [
         ("p_brand:pattern", "pattern", "p_brand", "count(*) FILTER (WHERE NOT regexp_matches(p_brand, '^Brand#[0-9]$'))", "=", "0")])
     o["q_check_length"] = report_rows("part", "part", [

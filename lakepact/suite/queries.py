@@ -155,6 +155,17 @@ def q_check_valid_values(spark, sf):
     return _report(t(spark, sf, "events"), C.events(), ("valid_values",))
 
 
+def q_check_valid_values_long(spark, sf):
+    """K6 with a long list (12000 customer keys, built by rule): planned as a broadcast
+    left-anti join against the list instead of an IN predicate."""
+    c = Contract.from_dict({"id": "orders", "schema": [{"name": "orders_delivery", "properties": [
+        {"name": "o_custkey", "physicalType": "BIGINT", "quality": [
+            {"type": "library", "metric": "invalidValues", "name": "known_customer", "mustBe": 0,
+             "arguments": {"validValues": list(range(12000))}}]}]}]})
+    assert [s.plan for s in K.compile_checks(c) if s.name == "known_customer"] == ["anti"]
+    return _report(t(spark, sf, "orders"), c, ("valid_values",))
+
+
 def q_check_pattern(spark, sf):
     """K7: p_brand against ^Brand#[0-9]$."""
     return _report(t(spark, sf, "part"), C.part(), ("pattern",))
