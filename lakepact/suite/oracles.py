@@ -303,6 +303,19 @@ def oracle_sql() -> dict[str, str]:
     o["q_check_valid_values_long"] = report_rows("orders", "orders", [
         ("known_customer", "valid_values", "o_custkey",
          "count(*) FILTER (WHERE o_custkey IS NOT NULL AND (o_custkey < 0 OR o_custkey >= 12000))", "=", "0")])
+    ev = "(SELECT event_id, nullif(event_type, 'view') AS event_type, user_id FROM events)"
+    o["q_library_metrics"] = (
+        f"SELECT 'event_id:unique' AS \"check\", 'unique' AS kind, CAST(m AS BIGINT) AS metric, '= 0' AS bound, "
+        f"CASE WHEN m = 0 THEN 'passed' ELSE 'failed' END AS result FROM (SELECT {dup_groups('events', 'event_id')} AS m) "
+        f"UNION ALL SELECT 'few_untyped', 'required', m, '< 100', CASE WHEN m < 100 THEN 'passed' ELSE 'failed' END "
+        f"FROM (SELECT count(*) - count(event_type) AS m FROM {ev}) "
+        f"UNION ALL SELECT 'errors_as_missing', 'missing_values', m, 'between 1000 and 5000', "
+        f"CASE WHEN m BETWEEN 1000 AND 5000 THEN 'passed' ELSE 'failed' END "
+        f"FROM (SELECT count(*) FILTER (WHERE event_type IS NULL OR event_type IN ('error', 'n/a')) AS m FROM {ev}) "
+        f"UNION ALL SELECT 'one_event_type_per_user', 'unique', m, '= 0', CASE WHEN m = 0 THEN 'passed' ELSE 'failed' END "
+        f"FROM (SELECT count(*) AS m FROM (SELECT user_id, event_type FROM {ev} GROUP BY user_id, event_type HAVING count(*) > 1)) "
+        f"UNION ALL SELECT 'enough_rows', 'row_count', m, '>= 100', CASE WHEN m >= 100 THEN 'passed' ELSE 'failed' END "
+        f"FROM (SELECT count(*) AS m FROM events)")
     o["q_check_pattern"] = report_rows("part", "part", [
         ("p_brand:pattern", "pattern", "p_brand", "count(*) FILTER (WHERE NOT regexp_matches(p_brand, '^Brand#[0-9]$'))", "=", "0")])
     o["q_check_length"] = report_rows("part", "part", [

@@ -166,6 +166,27 @@ def q_check_valid_values_long(spark, sf):
     return _report(t(spark, sf, "orders"), c, ("valid_values",))
 
 
+def q_library_metrics(spark, sf):
+    """K3/K4/K5/K6/K14 in the contract vocabulary: nullValues and missingValues metrics,
+    a field declared unique, a table-level duplicateValues over two properties, and
+    between / greater-than bounds."""
+    c = Contract.from_dict({"id": "events", "schema": [{"name": "events_delivery", "properties": [
+        {"name": "event_id", "physicalType": "BIGINT", "unique": True},
+        {"name": "event_type", "physicalType": "STRING", "quality": [
+            {"type": "library", "metric": "nullValues", "name": "few_untyped", "mustBeLessThan": 100},
+            {"type": "library", "metric": "missingValues", "name": "errors_as_missing",
+             "arguments": {"missingValues": ["error", "n/a"]}, "mustBeBetween": [1000, 5000]}]},
+        {"name": "user_id", "physicalType": "BIGINT"},
+    ], "quality": [
+        {"type": "library", "metric": "duplicateValues", "name": "one_event_type_per_user",
+         "arguments": {"properties": ["user_id", "event_type"]}, "mustBe": 0},
+        {"type": "library", "metric": "rowCount", "name": "enough_rows", "mustBeGreaterOrEqualTo": 100},
+    ]}]})
+    ev = t(spark, sf, "events").withColumn("event_type", F.expr("nullif(event_type, 'view')"))
+    return K.check_report(ev, c, specs=K.compile_checks(c, include_schema=False)).select(
+        "check", "kind", "metric", "bound", "result")
+
+
 def q_check_pattern(spark, sf):
     """K7: p_brand against ^Brand#[0-9]$."""
     return _report(t(spark, sf, "part"), C.part(), ("pattern",))
