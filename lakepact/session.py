@@ -86,7 +86,10 @@ def spread(df):
     A no-op for any input already split wider than the cluster, i.e. every large input."""
     # Only plain scans: asking an adaptive plan with shuffles for its partition count would
     # run those shuffle stages now. Building the physical plan itself executes nothing.
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except AttributeError:  # no JVM plan to look at (e.g. a remote session): leave as is
+        return df
     if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
