@@ -314,7 +314,9 @@ def _schema_rows(spark, contract_id: str, specs: list[CheckSpec], schema: T.Stru
     present = {f.name for f in (presence or schema)}
     structs = []
     for s in rows:
-        if s.kind == "present":
+        if s.kind == "surplus_column":
+            bad, detail = 0, "column not in the contract: dropped"
+        elif s.kind == "present":
             bad = 0 if s.field in present else 1
             detail = "present" if not bad else "column missing"
         else:
@@ -426,6 +428,13 @@ def cast_loss_specs(contract: Contract, present: Iterable[str], start: int) -> l
     return out
 
 
+def surplus_specs(columns: Iterable[str], start: int) -> list[CheckSpec]:
+    """Informational rows: delivery columns the contract does not declare (dropped by typing)."""
+    return [CheckSpec(idx=start + i, name=f"{c}:surplus", kind="surplus_column", field=c, plan="schema",
+                      bound=ZERO, dimension="conformity", severity="info", unit="column not in the contract")
+            for i, c in enumerate(columns)]
+
+
 MALFORMED = "__malformed_line"
 
 

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from ..contract import Contract, Target, resolve_target
 from ..operators.checks import (
-    MALFORMED, cast_loss_specs, check_report, compile_checks, fused_metrics, malformed_spec, usable_fused,
+    MALFORMED, cast_loss_specs, check_report, compile_checks, fused_metrics, malformed_spec, surplus_specs,
+    usable_fused,
 )
 from ..operators.gate import GateFailed, Outcome, TableCheckFailed, run_checks
 from ..operators.publish import delete_path, ensure_table, next_version_path, switch_version
@@ -96,6 +97,8 @@ def apply_contract(
     surplus = [c for c in surplus_columns(text, contract) if c != MALFORMED]
     table_cols = spark.table(name).columns
     specs = compile_checks(contract)
+    if surplus:
+        specs = specs + surplus_specs(surplus, len(specs))  # information rows, never failing
     extra = [text[MALFORMED]] if flagged else []
     if flagged:
         specs = specs + [malformed_spec(len(specs))]

@@ -203,6 +203,17 @@ def test_malformed_rows_check(spark, lake, fresh_env, tmp_path):
         apply_contract(spark, c, fresh_env, str(p), malformed_rows=True)
     bad = {r.check: r.metric for r in e.value.report if r.result != "passed"}
     assert bad.get("delivery:malformed_rows") == 2
-    assert len(e.value.report) == 40                     # 39 contract checks + the opt-in one
+    assert len(e.value.report) == 41                     # 39 contract checks, the opt-in one, 1 surplus info row
+    assert [r.check for r in e.value.report if r.severity == "info"] == ["extra_note:surplus"]
     res = apply_contract(spark, c, fresh_env, fixture_path("fee_schedule_ok.csv"), malformed_rows=True)
     assert res.passed and res.surplus_columns == []
+
+
+def test_surplus_columns_reported_as_information(spark, lake, fresh_env):
+    from pyspark.sql import functions as F
+    c = _load("fee_schedule", fresh_env)
+    text = read_landing_text(spark, fixture_path("fee_schedule_ok.csv")).withColumn("nota", F.lit("x"))
+    res = apply_contract(spark, c, fresh_env, text)
+    info = [r for r in res.gate if r.severity == "info"]
+    assert res.passed and len(res.gate) == 40 and [(r.check, r.result) for r in info] == [("nota:surplus", "passed")]
+    assert res.surplus_columns == ["nota"]
