@@ -32,7 +32,7 @@ def drift_by_hand(inv, con):
     return out
 
 
-@settings(max_examples=20, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(inventory, contract)
 def test_drift_equals_brute_force(spark, inv, con):
     tc = spark.createDataFrame([(t, c, ty) for (t, c), ty in inv.items()], "table string, column string, type string")
@@ -63,7 +63,7 @@ def diff_by_hand(old, new):
     return out
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=6, deadline=None)
 @given(contract, contract)
 def test_diff_equals_brute_force(spark, old, new):
     def frame(d):
