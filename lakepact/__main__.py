@@ -1,4 +1,5 @@
-"""Command line / job entry point (``spark-submit -m``-style: ``python -m lakepact ...``).
+"""Command line / job entry point: ``python -m lakepact ...`` or, on a cluster,
+``spark-submit lakepact/__main__.py ...`` (the package installed or the checkout on the path).
 
   apply  CONTRACT ENV FILE...   load a delivery: structure, gate, publish, post-check
   apply-all JOBS.yaml ENV       one independent load per task: [{contract: .., files: [..]}, ..]
@@ -13,10 +14,14 @@ The report rows printed are the one-row-per-check reports (small by construction
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
+if __package__ in (None, ""):  # run as a script file (spark-submit path/to/__main__.py)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("lakepact").getOrCreate()
@@ -32,13 +37,13 @@ def _print_report(title: str, rows) -> None:
 
 
 def main(argv: list[str] | None = None) -> int:
-    from . import Contract, EvolutionRefused, GateFailed, TableCheckFailed, apply_contract
-    from .contract import resolve_target
-    from .operators.diff import changelog, contract_diff, diff_verdict, overall_verdict
-    from .operators.publish import create_table_ddl
-    from .plans.apply import check_declared_source
-    from .session import lake_root
-    from .sources.registry import read_contract_registry
+    from lakepact import Contract, EvolutionRefused, GateFailed, TableCheckFailed, apply_contract
+    from lakepact.contract import resolve_target
+    from lakepact.operators.diff import changelog, contract_diff, diff_verdict, overall_verdict
+    from lakepact.operators.publish import create_table_ddl
+    from lakepact.plans.apply import check_declared_source
+    from lakepact.session import lake_root
+    from lakepact.sources.registry import read_contract_registry
 
     ap = argparse.ArgumentParser(prog="python -m lakepact", description=__doc__,
                                  formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -98,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "apply-all":
         import yaml
 
-        from .plans.apply import apply_all
+        from lakepact.plans.apply import apply_all
 
         with open(args.jobs, encoding="utf-8") as fh:
             tasks = yaml.safe_load(fh) or []
