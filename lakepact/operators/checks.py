@@ -104,6 +104,18 @@ def fusable_predicate(query: str, model: str) -> str | None:
     return pred
 
 
+def _bind_placeholders(query: str | None, model: str, field: str | None) -> str | None:
+    """``{model}``/``{table}`` → the model name, ``{field}``/``{column}``/``{property}`` → the
+    field a rule is declared on (quality queries written once for many contracts)."""
+    if query is None:
+        return None
+    out = query.replace("{model}", model).replace("{table}", model)
+    if field is not None:
+        for key in ("{field}", "{column}", "{property}"):
+            out = out.replace(key, f"`{field}`")
+    return out
+
+
 class _Builder:
     def __init__(self, contract: Contract):
         self.contract = contract
@@ -203,10 +215,11 @@ def _rule_checks(b: _Builder, r: Rule, f: Field | None) -> None:
     if r.type in ("text", "custom"):
         return  # descriptive or engine-specific rules: nothing this engine runs
     if r.type == "sql":
-        pred = fusable_predicate(r.query, b.contract.model)
+        query = _bind_placeholders(r.query, b.contract.model, f.name if f else None)
+        pred = fusable_predicate(query, b.contract.model)
         common = dict(name=r.name or f"sql_{len(b.specs)}", kind="sql",
                       field=f.name if f else None, bound=r.bound or ZERO,
-                      dimension=r.dimension, severity=r.severity, unit="rows", query=r.query)
+                      dimension=r.dimension, severity=r.severity, unit="rows", query=query)
         if pred is not None:
             b.add(plan="fused", sql=f"count_if({pred})", **common)
         else:

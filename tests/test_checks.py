@@ -134,3 +134,15 @@ def test_text_and_custom_rules_are_not_checks():
              "quality": [{"type": "text", "description": "values come from the sales system"}]}],
            [{"type": "custom", "engine": "other", "implementation": "..."}])
     assert [s.kind for s in compile_checks(c)] == ["present", "type"]
+
+
+def test_sql_rule_placeholders(spark):
+    c = _c([{"name": "n", "physicalType": "INT", "quality": [
+        {"type": "sql", "name": "negatives", "mustBe": 0, "query": "SELECT COUNT(*) FROM {model} WHERE {field} < 0"},
+        {"type": "sql", "name": "repeats", "mustBe": 0,
+         "query": "SELECT COUNT(*) FROM (SELECT {column} FROM {table} GROUP BY {column} HAVING COUNT(*) > 1)"}]}])
+    plans = {s.name: s.plan for s in compile_checks(c)}
+    assert plans == {"n:present": "schema", "n:type": "schema", "negatives": "fused", "repeats": "sql"}
+    df = spark.createDataFrame([(1,), (-2,), (1,)], "n int")
+    rep = {r.check: r.metric for r in check_report(df, c).collect()}
+    assert rep["negatives"] == 1 and rep["repeats"] == 1
