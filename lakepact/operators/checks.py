@@ -9,7 +9,8 @@ Plans:
   write, so they cost no extra scan at all.
 * ``unique``  – K4/K5 key checks: ``groupBy(key).count()`` with map-side partial
   aggregation (a hot key collapses to one row per task before the shuffle), then a global
-  count of the repeated groups. NULL keys group together.
+  count of the repeated groups. NULL keys group together. Keys wider than 16 bytes shuffle
+  a 64-bit hash first; only rows whose hash repeats are counted exactly by key.
 * ``anti``    – K6 with a very long list: left-anti join against the list (broadcast, its
   size is known on the driver and checked).
 * ``sql``     – SQL rules that are not a plain filtered count (K12 and anything else): run
