@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the operators assume; a cluster sets its own sizes (shuffle partitions,
-# maxPartitionBytes) in its defaults, these only fill what is unset.
+# Settings of the local sessions used by tests and the bench. On a cluster the session's own
+# configuration rules (see README, "Running at scale"); the library sets none of these.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -36,9 +36,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Staged versions of tables and cut lineage go here, never to a machine-local folder.
-    Only when the session names none (a bare test session) do we pick one and register
-    it, so later checkpoints agree.
+    Scratch data (materialized inputs that cut lineage, derived deliveries, stream
+    checkpoints) goes here, never to a machine-local folder; staged table versions live next
+    to their table under the lake root. Only when the session names no folder (a bare test
+    session) do we pick one and register it, so later checkpoints agree.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
