@@ -1,6 +1,9 @@
 """Skew probe: one key holds a third of 6M rows; compare with uniform keys (local run)."""
-import sys, time
-sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from lakepact.session import local_session, scratch_path
 from lakepact.operators import checks as K
 from lakepact.operators.windows import later_repeats, running_count
