@@ -6,7 +6,8 @@ counts, so common bytes take few decisions). The 63 commonest bytes have symbols
 other byte is an escape symbol followed by a byte of its own static code.
 
 Predictors: counts of symbols by context, gathered over all training texts by Spark: the last three
-symbols (backed off to the last two), the last four, and the current word's last six (hashed rows).
+symbols (backed off to the last two), the last four (hashed rows), and the current word so far (rows
+for the commonest beginnings of frequent words, found by hash).
 Each gives the log odds of the next bit at its node of the tree. A gate (does the fourth-order
 context, does the word context know anything here) selects a weight set; the weighted sum of log
 odds is squashed to a probability. The sets start at fixed values and are moved along each
@@ -42,7 +43,7 @@ FOLDS, HELD_OUT = 7, 2
 SYMBOLS = 64
 ROW_BITS = 18  # rows of each table beyond order two
 ORDERS = ("three", "four", "word")
-WORD_BACK = 6
+LEAD = 64  # bytes before a piece of a very long text that its contexts look at
 HEAD_SHARE, HEAD_BYTES = 1 << 20, 64
 DICT_WORDS = 500_000
 CHUNK_BYTES = 1 << 16
@@ -50,8 +51,8 @@ PIECE_BYTES = 1 << 20
 FIRST_BLOCK, BLOCK_STEPS = 96, 6  # bytes: 96, 192, ... 3072, then 3072 each
 END = 10  # the byte that ends a text; it never occurs inside
 # Starting weights by gate (four knows + 2 * word knows), for the predictors in ORDERS.
-START = np.array([[1.0, 0.0, 0.0], [0.6, 0.5, 0.0], [0.6, 0.0, 0.5], [0.3, 0.4, 0.4]], np.float32)
-RATE, SLOW = 0.5, 400.0
+START = np.array([[0.7, 0.0, 0.0], [0.6, 0.6, 0.0], [0.6, 0.0, 0.5], [0.15, 0.6, 0.45]], np.float32)
+RATE, SLOW = 1.0, 400.0
 PRIOR, BACK_OFF = 0.4, 2.0
 MAP_BUCKETS, MAP_STEPS, MAP_PRIOR, MAP_GAIN = 24, 1.5, 60.0, 4.0
 LIMIT = 11.0  # log odds beyond this are cut, so every text keeps a probability
@@ -75,26 +76,74 @@ def symbol_map(byte_counts: np.ndarray) -> np.ndarray:
     return m
 
 
-def contexts(sym: np.ndarray, lag: list[np.ndarray], space: int, end: int) -> list[np.ndarray]:
+def contexts(sym: np.ndarray, lag: list[np.ndarray], words: WordRows) -> list[np.ndarray]:
     """Row of each predictor's table for each position; ``lag[d]`` is the symbol d + 1 back."""
-    p = [x.astype(np.uint32) for x in lag[:4]]
-    top = np.uint32(32 - (ROW_BITS - 6))
+    p = [x.astype(np.uint32) for x in lag]
     first = p[0] << np.uint32(ROW_BITS - 6)
     pair = p[1] << np.uint32(6) | p[2]
-    four = ((pair << np.uint32(6) | p[3]) + np.uint32(1)) * np.uint32(0x9E3779B1) >> top
-    inside = (lag[0] != space) & (lag[0] != end)
-    word = np.zeros(len(sym), np.uint32)
-    for d in range(WORD_BACK):
-        word *= np.uint32(0x01000193)
-        word += (lag[d] + np.uint8(1)) * inside
-        if d + 1 < WORD_BACK:
-            inside = inside & (lag[d + 1] != space) & (lag[d + 1] != end)
-    word ^= word >> np.uint32(15)
-    word = word * np.uint32(0x85EBCA6B) >> top
-    return [first | pair, first | four, first | word]
-
-
-def lags(sym: np.ndarray, begin: np.ndarray, end: int, back: int = 6) -> list[np.ndarray]:
+    four = ((pair << np.uint32(6) | p[3]) + np.uint32(1)) * GOLDEN >> np.uint32(32 - (ROW_BITS - 6))
+    return [first | pair, first | four, words.rows(sym, lag[0])]
+
+
+GOLDEN, STEP = np.uint32(0x9E3779B1), 0x01000193
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """STEP ** i and its inverse ** i modulo 2 ** 32, i below n."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        back = pow(STEP, -1, 1 << 32)
+        _POWERS[:] = [np.multiply.accumulate(np.r_[1, np.full(2 * n, x)].astype(np.uint32), dtype=np.uint32) for x in (STEP, back)]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+class WordRows:
+    """Rows for the commonest beginnings of words; row 0 stands for all others, 1 and 2 for the
+    empty beginning after a space and at a text's start."""
+
+    SLOTS = 21
+
+    def __init__(self, head: dict[bytes, int], sym_of: np.ndarray) -> None:
+        self.space, self.end = int(sym_of[32]), int(sym_of[END])
+        count: Counter = Counter()
+        table = sym_of.tobytes()
+        for token, c in head.items():
+            w = token.translate(table)
+            for i in range(1, len(w) + 1):
+                count[w[:i]] += c
+        best = heapq.nsmallest((1 << ROW_BITS) - 3, count.items(), key=lambda x: (-x[1], x[0]))
+        self.last = np.array([self.end, self.space, self.end, *(w[-1] for w, _ in best)], np.int64)
+        self.check = np.zeros(1 << self.SLOTS, np.uint32)
+        self.row = np.zeros(1 << self.SLOTS, np.int32)
+        names = np.zeros(len(best), np.uint32)
+        for i, (w, _) in enumerate(best):
+            h = 0
+            for c in w:
+                h = (h + c + 1) * STEP & 0xFFFFFFFF
+            names[i] = h
+        slot = self._slot(names)[::-1]  # of two beginnings of one slot the commoner stays
+        self.check[slot] = names[::-1]
+        self.row[slot] = np.arange(len(best), 0, -1) + 2
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h ^ h >> np.uint32(15)) * GOLDEN >> np.uint32(32 - self.SLOTS)
+
+    def rows(self, sym: np.ndarray, before: np.ndarray) -> np.ndarray:
+        power, back = _powers(len(sym) + 1)
+        total = np.zeros(len(sym) + 1, np.uint32)
+        np.cumsum((sym + np.uint32(1)) * back[:-1], out=total[1:], dtype=np.uint32)
+        fresh = (before == self.space) | (before == self.end)
+        start = np.maximum.accumulate(np.where(fresh, np.arange(len(sym), dtype=np.int32), 0))
+        h = (total[:-1] - total.take(start)) * power[:-1]
+        slot = self._slot(h)
+        out = self.row.take(slot)
+        out *= self.check.take(slot) == h
+        out[fresh] = 1
+        out[before == self.end] = 2
+        return out
+
+
+def lags(sym: np.ndarray, begin: np.ndarray, end: int, back: int = 4) -> list[np.ndarray]:
     """Symbols 1..back before each position, the end symbol before a text's begin."""
     out = []
     for d in range(1, back + 1):
@@ -110,37 +159,43 @@ def lags(sym: np.ndarray, begin: np.ndarray, end: int, back: int = 6) -> list[np
 
 # --- gathering --------------------------------------------------------------------------------
 
-def byte_counts(train: DataFrame) -> np.ndarray:
-    """Exact counts of each byte value of the training texts."""
+def byte_counts(vocabulary: DataFrame) -> np.ndarray:
+    """Exact counts of each byte value of the training texts, from ``vocabulary(token, c)``."""
 
     def run(batches):
-        total = np.zeros(256, np.int64)
-        for b in slices(batches):
-            for t in text_bytes(b.column(0)):
-                total += np.bincount(np.frombuffer(normal(t), np.uint8), minlength=256)
+        total = np.zeros(256, np.float64)
+        for b in batches:
+            tokens = b.column(0).to_pylist()
+            n = np.repeat(b.column(1).to_numpy(), [len(t) for t in tokens])
+            total += np.bincount(np.frombuffer(b"".join(tokens), np.uint8), n, 256)
+            total[32] += b.column(1).to_numpy().sum()
+            total[END] += sum(c for t, c in zip(tokens, b.column(1).to_pylist()) if not t)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["byte", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64))], ["byte", "n"])
 
-    rows = map_batches(train.select("text"), run, "byte bigint, n bigint").groupBy("byte").agg(F.sum("n").alias("n"))
+    rows = map_batches(vocabulary, run, "byte bigint, n bigint").groupBy("byte").agg(F.sum("n").alias("n"))
     out = np.zeros(256, np.int64)
     for r in rows.collect():  # at most 256 rows
         out[r["byte"]] = r["n"]
+    # Every token but the ends and the last word of each text is followed by a space.
+    out[32] = max(0, out[32] - 2 * out[END])
     return out
 
 
-def corpus_counts(train: DataFrame, sym_of: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def corpus_counts(train: DataFrame, sym_of: np.ndarray, words: WordRows) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each predictor (slot, count): slot = row * 64 + symbol. Summed over all training texts;
     the tables' sizes are fixed, whatever the corpus."""
-    space, end = int(sym_of[32]), int(sym_of[END])
+    sent = train.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
+        words = sent.value
         acc = [np.zeros(SYMBOLS << ROW_BITS, np.int32) for _ in ORDERS]
 
         def add(texts: list[bytes]) -> None:
             a = sym_of[np.frombuffer(b"".join(texts), np.uint8)]
             begin = np.cumsum([0] + [len(t) for t in texts[:-1]])
-            for k, row in enumerate(contexts(a, lags(a, begin, end), space, end)):
-                np.add.at(acc[k], row << np.uint32(6) | a, np.int32(1))
+            for k, row in enumerate(contexts(a, lags(a, begin, words.end), words)):
+                np.add.at(acc[k], row.astype(np.int64) << 6 | a, np.int32(1))
 
         held: list[bytes] = []
         size = seen = 0
@@ -148,7 +203,6 @@ def corpus_counts(train: DataFrame, sym_of: np.ndarray) -> list[tuple[np.ndarray
             for t in text_bytes(b.column(0)):
                 t = normal(t)
                 for at in range(0, len(t), PIECE_BYTES):
-                    # A piece is led by six bytes of the one before; those are counted there.
                     held.append(t[at:at + PIECE_BYTES])
                     size += len(held[-1])
                     if size >= PIECE_BYTES:
@@ -209,9 +263,9 @@ def huffman(weights: np.ndarray) -> list[list[tuple[int, int]]]:
 class Model:
     """Code trees, log-odds tables and the byte costs of escapes, built from corpus counts."""
 
-    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]], bytes_: np.ndarray) -> None:
-        self.sym_of = symbol_map(bytes_)
-        self.space, self.end = int(self.sym_of[32]), int(self.sym_of[END])
+    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]], bytes_: np.ndarray, words: WordRows) -> None:
+        self.sym_of, self.words = symbol_map(bytes_), words
+        self.end = words.end
         rare = self.sym_of == SYMBOLS - 1
         share = np.where(rare, bytes_ + 1.0, 0.0)
         self.escape_bits = np.where(rare, -np.log2(np.where(rare, share / share.sum(), 1.0)), 0.0)
@@ -230,7 +284,8 @@ class Model:
         self.place, self.odds = [], []
         for k, (slot, n) in enumerate(counts):
             rows, at = np.unique(slot >> 6, return_inverse=True)
-            ones, zeros = self._counts(rows >> 12, at << 6 | slot & 63, n)
+            last = rows >> (ROW_BITS - 6) if k < 2 else words.last[rows]
+            ones, zeros = self._counts(last, at << 6 | slot & 63, n)
             if k == 0:
                 base = prior.reshape(-1, SYMBOLS)[rows >> 6].reshape(-1)
                 odds = np.log((ones + BACK_OFF * base) / (zeros + BACK_OFF * (1 - base)))
@@ -243,7 +298,11 @@ class Model:
                 place[:] = np.repeat(np.arange(SYMBOLS**2), SYMBOLS)
             else:
                 back = np.zeros(SYMBOLS)
+                if k == 2:  # counts under row 0 are of many beginnings, with many code trees
+                    odds[np.repeat(rows == 0, SYMBOLS)] = 0
             place[rows] = np.arange(len(rows)) + len(back) // SYMBOLS
+            if k == 2:
+                place[0] = 0
             self.place.append(place)
             self.odds.append(np.concatenate((back, odds)).astype(np.float32))
 
@@ -267,7 +326,7 @@ class Model:
             if len(t) > PIECE_BYTES:
                 state = None
                 for at in range(0, len(t), PIECE_BYTES):
-                    b, state = self._chunk([t[max(0, at - 6):at + PIECE_BYTES]], min(at, 6), at, state)
+                    b, state = self._chunk([t[max(0, at - LEAD):at + PIECE_BYTES]], min(at, LEAD), at, state)
                     bits[i] += b[0]
                 continue
             group.append(i)
@@ -287,10 +346,10 @@ class Model:
         sizes = np.array([len(t) for t in texts])
         begin = np.cumsum(sizes) - sizes
         lag = lags(a, np.zeros(0, np.int64) if lead else begin, self.end)
+        rows = [place.take(r) for place, r in zip(self.place, contexts(a, lag, self.words))]
         if lead:
-            lag = [x[lead:] for x in lag]
+            rows, lag = [x[lead:] for x in rows], [x[lead:] for x in lag]
             raw, a, sizes = raw[lead:], a[lead:], sizes - lead
-        rows = [place.take(r) for place, r in zip(self.place, contexts(a, lag, self.space, self.end))]
         code = lag[0].astype(np.int64) << 6 | a
         bits = np.add.reduceat(self.escape_bits.take(raw), begin)
         # Positions in the order of (round, text): a round is one block of every text.
@@ -401,8 +460,9 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
     bar = max(1, -(-total // HEAD_SHARE))
     is_head = (F.col("c") >= bar) & (F.length("token") <= HEAD_BYTES)
     head = {bytes(r["token"]): r["c"] for r in vocabulary.where(is_head).toLocalIterator()}
-    raw = byte_counts(train)
-    model = Model(corpus_counts(train, symbol_map(raw)), raw)
+    raw = byte_counts(vocabulary)
+    words = WordRows(head, symbol_map(raw))
+    model = Model(corpus_counts(train, symbol_map(raw), words), raw, words)
     sent = sc.broadcast((model, head))
     del head, model
 
