@@ -12,7 +12,7 @@ Each gives the log odds of the next bit at its node of the tree. A gate (does th
 context, does the word context know anything here) selects a weight set; the weighted sum of log
 odds is squashed to a probability. The sets start at fixed values and are moved along each
 document by the gradient of the coding cost, after every block of it (blocks double from 96 to
-3,072 bytes), so the code length is that of a real sequential coder. Last, an adaptive map per
+24,576 bytes), so the code length is that of a real sequential coder. Last, an adaptive map per
 document refines the mixed log odds by what their bucket has missed so far.
 
 Score: log10 probability of the whole text, and total bits per byte. The base score is the
@@ -46,9 +46,10 @@ ORDERS = ("three", "four", "word")
 LEAD = 64  # bytes before a piece of a very long text that its contexts look at
 HEAD_SHARE, HEAD_BYTES = 1 << 20, 64
 DICT_WORDS = 500_000
-CHUNK_BYTES = 1 << 16
+CHUNK_BYTES = 1 << 19
 PIECE_BYTES = 1 << 20
-FIRST_BLOCK, BLOCK_STEPS = 96, 6  # bytes: 96, 192, ... 3072, then 3072 each
+FIRST_BLOCK, BLOCK_STEPS = 96, 9  # bytes: 96, 192, ... 24576, then 24576 each
+LEAST, LONGEST = 2e-4, 64  # LONGEST: above the depth of any code tree
 END = 10  # the byte that ends a text; it never occurs inside
 # Starting weights by gate (four knows + 2 * word knows), for the predictors in ORDERS.
 START = np.array([[0.7, 0.0, 0.0], [0.6, 0.6, 0.0], [0.6, 0.0, 0.5], [0.15, 0.6, 0.45]], np.float32)
@@ -273,7 +274,9 @@ class Model:
         pairs = np.zeros((SYMBOLS, SYMBOLS))
         np.add.at(pairs, (slot >> 18, slot & 63), n)  # row = last << 12 | ...
         single = pairs.sum(axis=0) + 1.0
-        trees = [huffman(pairs[c] + 0.5 * single / single.sum()) for c in range(SYMBOLS)]
+        # No symbol is taken for rarer than LEAST: that bounds the depth of the trees.
+        share = [p / p.sum() for p in pairs + single / single.sum()]
+        trees = [huffman(np.maximum(p, LEAST)) for p in share]
         flat = [p for tree in trees for p in tree]
         self.length = np.array([len(p) for p in flat], np.int64)
         self.offset = np.cumsum(self.length) - self.length
@@ -285,12 +288,16 @@ class Model:
         for k, (slot, n) in enumerate(counts):
             rows, at = np.unique(slot >> 6, return_inverse=True)
             last = rows >> (ROW_BITS - 6) if k < 2 else words.last[rows]
-            ones, zeros = self._counts(last, at << 6 | slot & 63, n)
-            if k == 0:
-                base = prior.reshape(-1, SYMBOLS)[rows >> 6].reshape(-1)
-                odds = np.log((ones + BACK_OFF * base) / (zeros + BACK_OFF * (1 - base)))
-            else:
-                odds = np.log((ones + PRIOR) / (zeros + PRIOR))
+            odds = np.empty((len(rows), SYMBOLS), np.float32)
+            for lo in range(0, len(rows), 1 << 14):  # in blocks, for the driver's memory
+                own = (at >= lo) & (at < lo + (1 << 14))
+                ones, zeros = self._counts(last[lo:lo + (1 << 14)], (at[own] - lo) << 6 | slot[own] & 63, n[own])
+                if k == 0:
+                    base = prior.reshape(-1, SYMBOLS)[rows[lo:lo + (1 << 14)] >> 6].reshape(-1)
+                    ones, zeros = ones + BACK_OFF * base, zeros + BACK_OFF * (1 - base)
+                else:
+                    ones, zeros = ones + PRIOR, zeros + PRIOR
+                odds[lo:lo + (1 << 14)] = np.log(ones / zeros).reshape(-1, SYMBOLS)
             # Only rows that occur are kept; the first stands for all others.
             place = np.zeros(1 << ROW_BITS, np.int32)
             if k == 0:
@@ -299,12 +306,12 @@ class Model:
             else:
                 back = np.zeros(SYMBOLS)
                 if k == 2:  # counts under row 0 are of many beginnings, with many code trees
-                    odds[np.repeat(rows == 0, SYMBOLS)] = 0
+                    odds[rows == 0] = 0
             place[rows] = np.arange(len(rows)) + len(back) // SYMBOLS
             if k == 2:
                 place[0] = 0
             self.place.append(place)
-            self.odds.append(np.concatenate((back, odds)).astype(np.float32))
+            self.odds.append(np.concatenate((back.astype(np.float32), odds.reshape(-1))))
 
     def _counts(self, last: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         """(ones, zeros) at every node of each row: ``at`` is row * 64 + symbol, ``last`` the symbol
@@ -352,65 +359,66 @@ class Model:
             raw, a, sizes = raw[lead:], a[lead:], sizes - lead
         code = lag[0].astype(np.int64) << 6 | a
         bits = np.add.reduceat(self.escape_bits.take(raw), begin)
-        # Positions in the order of (round, text): a round is one block of every text.
+        # A round is one block of every text.
         text = np.repeat(np.arange(len(sizes)), sizes)
         where = np.arange(len(a)) - begin[text] + done
         last = FIRST_BLOCK * ((1 << BLOCK_STEPS) - 1)
         step = np.where(where < last, FIRST_STEPS.take(np.minimum(where, last)), BLOCK_STEPS + (where - last) // LAST_BLOCK)
         step -= step.min()
-        order = np.argsort(step.astype(np.uint16) if step.max() < 65536 else step, kind="stable")
-        code, text, step = code[order], text[order], step[order]
+        # Inside a round, bytes with longer codes come first: the bytes that still have a decision
+        # to take at depth d are then the first ones, and nothing has to be gathered for them.
+        size = self.length.take(code)
+        key = step * LONGEST + (LONGEST - 1 - size)
+        order = np.argsort(key.astype(np.uint16) if key.max() < 65536 else key, kind="stable")
+        code, text, step, size = code.take(order), text.take(order), step.take(order), size.take(order)
         gate = ((rows[1] > 0) + 2 * (rows[2] > 0)).take(order)
         rows = [x.take(order) << np.int32(6) for x in rows]
-        size = self.length.take(code)
-        first = np.cumsum(size) - size
-        at = np.flatnonzero(np.concatenate(([True], (step[1:] != step[:-1]) | (text[1:] != text[:-1]))))
+        offset = self.offset.take(code)
         rounds = np.flatnonzero(np.concatenate(([True], step[1:] != step[:-1])))
-        offset = self.offset.take(code) - first
+        kinds = len(rows)
         if state is None:
-            delta = np.zeros((len(sizes), len(rows)), np.float32)
+            delta = np.zeros((len(sizes), kinds), np.float32)
             moved, seen = np.zeros((2, len(sizes) * MAP_BUCKETS), np.float32)
         else:
             delta, moved, seen = state
-        kinds = len(rows)
-        # What a byte's decisions share, side by side, so that it is repeated for them in one go.
-        shared = np.empty((len(a), 2 * kinds + 2), np.float32)
-        whole = shared.view(np.int32)
-        for k in range(kinds):
-            whole[:, k] = rows[k]
-        whole[:, 2 * kinds] = offset
-        whole[:, 2 * kinds + 1] = text * MAP_BUCKETS + MAP_BUCKETS // 2
         for lo, hi in zip(rounds.tolist(), [*rounds[1:].tolist(), len(a)]):
-            own, g = text[lo:hi], gate[lo:hi]
-            for k in range(kinds):
-                shared[lo:hi, kinds + k] = START[:, k].take(g) + delta[:, k].take(own)
-            every = np.repeat(shared[lo:hi], size[lo:hi], axis=0)
-            index = every.view(np.int32)
-            base = int(first[lo])
-            path = self.step.take(index[:, 2 * kinds] + np.arange(base, base + len(every), dtype=np.int32))
-            bit = (path & 1).astype(np.float32)
-            path >>= 1
-            z, st = None, []
-            for k, odds in enumerate(self.odds):
-                x = odds.take(index[:, k] + path)
-                st.append(x)
-                z = x * every[:, kinds + k] if z is None else z + x * every[:, kinds + k]
-            # The adaptive map: what the text's own bucket of log odds has been missing so far.
-            bucket = np.clip(z * MAP_STEPS, 1 - MAP_BUCKETS // 2, MAP_BUCKETS // 2 - 1).astype(np.int32)
-            bucket += index[:, 2 * kinds + 1]
-            z += (moved / (seen + MAP_PRIOR)).take(bucket)
-            p = 1 / (1 + np.exp(-np.clip(z, -LIMIT, LIMIT, out=z)))
-            miss = bit - p
-            starts = at[np.searchsorted(at, lo):np.searchsorted(at, hi)]
-            edge = first[starts] - base
-            # log2 of the probability of the bit that came, 1 - |miss|
-            cost = np.log2(1 - np.abs(miss))
-            bits[text[starts]] -= np.add.reduceat(cost, edge, dtype=np.float64)
-            many = np.diff(np.append(edge, len(every)))
+            own, g, at = text[lo:hi], gate[lo:hi], offset[lo:hi]
+            weight = [START[:, k].take(g) + delta[:, k].take(own) for k in range(kinds)]
+            row = [x[lo:hi] for x in rows]
+            base = (own * MAP_BUCKETS + MAP_BUCKETS // 2).astype(np.int32)
+            shift = moved / (seen + MAP_PRIOR)
+            cost = np.zeros(hi - lo, np.float32)
+            slope = [np.zeros(hi - lo, np.float32) for _ in range(kinds)]
+            alive = hi - lo - np.concatenate(([0], np.cumsum(np.bincount(size[lo:hi]))))
+            for d in range(int(size[lo])):
+                n = int(alive[d + 1])  # bytes whose code is longer than d
+                path = self.step.take(at[:n] + d)
+                miss = (path & 1).astype(np.float32)
+                path >>= 1
+                odds = [table.take(r[:n] + path) for table, r in zip(self.odds, row)]
+                z = odds[0] * weight[0][:n]
+                for k in range(1, kinds):
+                    z += odds[k] * weight[k][:n]
+                # The adaptive map: what the text's own bucket of log odds has been missing so far.
+                bucket = (z * MAP_STEPS).astype(np.int32)
+                np.clip(bucket, 1 - MAP_BUCKETS // 2, MAP_BUCKETS // 2 - 1, out=bucket)
+                bucket += base[:n]
+                z += shift.take(bucket)
+                np.clip(z, -LIMIT, LIMIT, out=z)
+                np.exp(-z, out=z)
+                z += 1
+                miss -= 1 / z  # the bit that came less its probability of being one
+                for k in range(kinds):
+                    slope[k][:n] += miss * odds[k]
+                seen += np.bincount(bucket, minlength=len(seen))
+                moved += np.bincount(bucket, miss, len(seen)) * MAP_GAIN
+                np.abs(miss, out=miss)
+                np.subtract(1, miss, out=miss)
+                cost[:n] += np.log2(miss, out=miss)
+            bits -= np.bincount(own, cost, len(bits))
+            many = np.bincount(own, size[lo:hi], len(bits)) + SLOW
             for k in range(kinds):
-                delta[text[starts], k] += RATE * np.add.reduceat(miss * st[k], edge) / (many + SLOW)
-            seen += np.bincount(bucket, minlength=len(seen)).astype(np.float32)
-            moved += MAP_GAIN * np.bincount(bucket, miss, len(seen)).astype(np.float32)
+                delta[:, k] += RATE * np.bincount(own, slope[k], len(bits)) / many
         return bits, (delta, moved, seen)
 
 
@@ -472,8 +480,11 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
         for b in slices(batches):
             texts = text_bytes(b.column(1))
             n_tokens, known, base, tails, tail_n = [], [], [], [], []
+            normals = []
             for t in texts:
-                counts = Counter(t.lower().split())
+                tokens = t.lower().split()
+                normals.append(b" ".join(tokens) + b"\n")
+                counts = Counter(tokens)
                 counts[b""] = 1
                 s, k, rest = [], 0, {}
                 for w, n in counts.items():
@@ -483,12 +494,11 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
                     else:
                         s.append(x * n)
                         k += n
-                n_tokens.append(sum(counts.values()))
+                n_tokens.append(len(tokens) + 1)
                 known.append(k)
                 base.append(math.fsum(s))
                 tails.append(list(rest.keys()))
                 tail_n.append(list(rest.values()))
-            normals = [normal(t) for t in texts]
             bits = model.score(normals)
             size = np.array([len(t) for t in normals], np.float64)
             yield pa.RecordBatch.from_arrays(
