@@ -46,7 +46,7 @@ ORDERS = ("three", "four", "word")
 LEAD = 64  # bytes before a piece of a very long text that its contexts look at
 HEAD_SHARE, HEAD_BYTES = 1 << 20, 64
 DICT_WORDS = 500_000
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 18
 PIECE_BYTES = 1 << 20
 FIRST_BLOCK, BLOCK_STEPS = 96, 9  # bytes: 96, 192, ... 24576, then 24576 each
 LEAST, LONGEST = 2e-4, 64  # LONGEST: above the depth of any code tree
