@@ -5,8 +5,9 @@ A data file is a sequence of frames, all numbers little-endian:
     uint64 length | uint32 masked crc of those 8 bytes | payload | uint32 masked crc of the payload
 
 The crc is CRC-32 as in zlib; masking rotates it right by 15 bits and adds 0xa282ead8, so the
-checksum of data that itself holds checksums stays sound. The payload is int64 doc_id (0 for null),
-uint8 1 if doc_id is null, uint32 token count, then the ids as uint32. Beside each data file lies
+checksum of data that itself holds checksums stays sound. The payload is int64 doc_id (0 for null), uint8 flags (1: doc_id is null; 2:
+ids take two bytes, else four), uint32 token count, then the ids. Vocabularies of up to 65,536 ids
+are written in two bytes. Beside each data file lies
 an index file: one int64 offset per frame and the file's length at the end, so record k of a file
 is read by two seeks.
 
@@ -27,6 +28,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,8 @@ from lakepact.llm.common import checkpoint_root, cut, map_batches, slices, text_
 MASK_DELTA = 0xA282EAD8
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-# Distinct words whose ids a worker remembers (about 100 bytes each) before it starts afresh.
-CACHE_WORDS = 400_000
+# Distinct words whose ids a worker remembers (about 200 bytes each).
+CACHE_WORDS = 1_000_000
 FLUSH_BYTES = 4 << 20
 
 
@@ -68,48 +70,59 @@ def read_frame(data: memoryview) -> bytes:
     return payload
 
 
-def pack(doc_id: int | None, ids: bytes) -> bytes:
-    return frame(struct.pack("<qBI", doc_id or 0, doc_id is None, len(ids) // 4) + ids)
+def pack(doc_id: int | None, ids: bytes, width: int = 4) -> bytes:
+    return frame(struct.pack("<qBI", doc_id or 0, (doc_id is None) + 2 * (width == 2), len(ids) // width) + ids)
 
 
 def unpack(payload: bytes) -> tuple[int | None, bytes]:
-    doc_id, null, n = struct.unpack_from("<qBI", payload, 0)
-    ids = payload[13:]
-    if len(ids) != 4 * n:
+    """doc_id and the ids as uint32."""
+    doc_id, flags, n = struct.unpack_from("<qBI", payload, 0)
+    ids = np.frombuffer(payload, "<u2" if flags & 2 else "<u4", offset=13)
+    if len(ids) != n:
         raise ValueError("record holds another number of ids than it says")
-    return (None if null else doc_id), ids
+    return (None if flags & 1 else doc_id), ids.astype("<u4").tobytes()
 
 
 class Encoder:
     """Ids of whole texts. No token of this vocabulary spans white space, so texts are cut at
-    ASCII white space and each distinct word is encoded once per worker; the ids are those of
-    encoding the whole text."""
+    ASCII white space and each distinct word is encoded once; the ids are those of encoding the
+    whole text. The first ``CACHE_WORDS`` words met are remembered for the life of the worker."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.known: dict[bytes, bytes] = {}
 
-    def learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 5000):
             part = words[at:at + 5000]
-            done = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
+            done = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for w, e in zip(part, done):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+                self.known[w] = np.array(e.ids, f"<u{self.width}").tobytes()
 
-    def encode(self, text: bytes) -> bytes:
-        words, out = text.split(), []
-        for at in range(0, len(words), CACHE_WORDS // 2):  # texts of very many words in parts
-            part = words[at:at + CACHE_WORDS // 2]
-            fresh = {w for w in part if w not in self.known}
-            if len(self.known) + len(fresh) > CACHE_WORDS:
-                self.known.clear()
-                fresh = set(part)
-            self.learn(list(fresh))
-            out += [self.known[w] for w in part]
-        return b"".join(out)
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, ``width`` bytes each."""
+        lists = [t.split() for t in texts]
+        fresh = list(set(chain.from_iterable(lists)).difference(self.known))
+        self._learn(fresh)
+        get = self.known.__getitem__
+        out = [b"".join(map(get, words)) for words in lists]
+        for w in fresh[max(0, CACHE_WORDS - len(self.known) + len(fresh)):]:
+            del self.known[w]
+        return out
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for a tokenizer file, kept between tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -119,25 +132,22 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
 def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """Write ``docs`` under ``folder``; the manifest (shard, file, records, tokens, bytes), one row
     per file, in ascending doc_id order by shard."""
-    end = struct.pack("<I", end_id)
-
     def write(batches: Iterator[pa.RecordBatch]):
         ctx = TaskContext.get()
         shard, name = ctx.partitionId(), f"{ctx.partitionId():06d}-{ctx.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
-        out, encoder, offsets, at, tokens, held = None, None, [], 0, 0, []
+        out, offsets, at, tokens, held, size = None, [], 0, 0, [], 0
         where = fs = None
-        size = 0
+        own = encoder(tokenizer_path)
+        end = end_id.to_bytes(own.width, "little")
         for b in slices(batches):
-            if encoder is None:
-                encoder = Encoder(tokenizer_path)
+            if out is None:
                 fs, where = _open(folder)
                 out = fs.open_output_stream(f"{where}/{name}.rec")
-            for doc_id, text in zip(b.column(0).to_pylist(), text_bytes(b.column(1))):
-                ids = encoder.encode(text) + end
-                data = pack(doc_id, ids)
+            for doc_id, ids in zip(b.column(0).to_pylist(), own.encode(text_bytes(b.column(1)))):
+                data = pack(doc_id, ids + end, own.width)
                 offsets.append(at)
                 at += len(data)
-                tokens += len(ids) // 4
+                tokens += len(ids) // own.width + 1
                 held.append(data)
                 size += len(data)
                 if size >= FLUSH_BYTES:
