@@ -27,6 +27,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -45,6 +46,7 @@ TOKENIZER = "word_bpe_49k.json"
 # Distinct words whose ids a worker remembers (about 200 bytes each).
 CACHE_WORDS = 1_000_000
 FLUSH_BYTES = 4 << 20
+PLAIN = b"abcdefghijklmnopqrstuvwxyz"
 
 
 def masked_crc(data: bytes) -> int:
@@ -91,27 +93,44 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
         self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), 5000):
-            part = words[at:at + 5000]
+        self.extra: list[bytes] = []
+        # Words of a-z pass this vocabulary's other steps unchanged: they go straight to its merges.
+        model = self.tokenizer.model
+        probes = ("thereof", "qzxv", "a", PLAIN.decode())
+        same = all([t.id for t in model.tokenize(w)] == self.tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
+        self.direct = model if same else None
+
+    def _learn(self, fresh: set[bytes]) -> None:
+        # The vocabulary parts letters from marks: "word," is the ids of "word" and those of ",".
+        ending = [w for w in fresh if len(w) > 1 and w[-1] in b".," and w[-2] in PLAIN]
+        todo = list((fresh.difference(ending) | {w[:-1] for w in ending} | {b".", b","}).difference(self.known))
+        for at in range(0, len(todo), 5000):
+            part = todo[at:at + 5000]
+            if self.direct:
+                plain, part = [w for w in part if not w.translate(None, PLAIN)], [w for w in part if w.translate(None, PLAIN)]
+                split = self.direct.tokenize
+                self.known.update([(w, array(self.kind, [t.id for t in split(w.decode())]).tobytes()) for w in plain])
             done = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, done):
-                self.known[w] = np.array(e.ids, f"<u{self.width}").tobytes()
+            self.known.update(zip(part, [array(self.kind, e.ids).tobytes() for e in done]))
+        known = self.known
+        known.update([(w, known[w[:-1]] + known[w[-1:]]) for w in ending])
+        self.extra = [*todo, *ending]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, ``width`` bytes each."""
-        lists = [t.split() for t in texts]
-        fresh = list(set(chain.from_iterable(lists)).difference(self.known))
-        self._learn(fresh)
+        # The vocabulary is of lower case; only special tokens' names are looked for before that.
+        lists = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        before = len(self.known)
+        self._learn(set(chain.from_iterable(lists)).difference(self.known))
         get = self.known.__getitem__
         out = [b"".join(map(get, words)) for words in lists]
-        for w in fresh[max(0, CACHE_WORDS - len(self.known) + len(fresh)):]:
-            del self.known[w]
+        for w in self.extra[max(0, CACHE_WORDS - before):]:
+            self.known.pop(w, None)
         return out
 
 
