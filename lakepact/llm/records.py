@@ -29,7 +29,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -85,9 +84,9 @@ def unpack(payload: bytes) -> tuple[int | None, bytes]:
     return (None if flags & 1 else doc_id), ids.astype("<u4").tobytes()
 
 
-class Encoder:
-    """Ids of whole texts. No token of this vocabulary spans white space, so texts are cut at
-    ASCII white space and each distinct word is encoded once; the ids are those of encoding the
+class Encoder(dict):
+    """Ids of whole texts, by words. No token of this vocabulary spans white space, so texts are cut
+    at ASCII white space and each distinct word is encoded once; the ids are those of encoding the
     whole text. The first ``CACHE_WORDS`` words met are remembered for the life of the worker."""
 
     def __init__(self, path: str) -> None:
@@ -97,41 +96,30 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
-        self.known: dict[bytes, bytes] = {}
-        self.extra: list[bytes] = []
         # Words of a-z pass this vocabulary's other steps unchanged: they go straight to its merges.
         model = self.tokenizer.model
         probes = ("thereof", "qzxv", "a", PLAIN.decode())
         same = all([t.id for t in model.tokenize(w)] == self.tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
-        self.direct = model if same else None
-
-    def _learn(self, fresh: set[bytes]) -> None:
-        # The vocabulary parts letters from marks: "word," is the ids of "word" and those of ",".
-        ending = [w for w in fresh if len(w) > 1 and w[-1] in b".," and w[-2] in PLAIN]
-        todo = list((fresh.difference(ending) | {w[:-1] for w in ending} | {b".", b","}).difference(self.known))
-        for at in range(0, len(todo), 5000):
-            part = todo[at:at + 5000]
-            if self.direct:
-                plain, part = [w for w in part if not w.translate(None, PLAIN)], [w for w in part if w.translate(None, PLAIN)]
-                split = self.direct.tokenize
-                self.known.update([(w, array(self.kind, [t.id for t in split(w.decode())]).tobytes()) for w in plain])
-            done = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update(zip(part, [array(self.kind, e.ids).tobytes() for e in done]))
-        known = self.known
-        known.update([(w, known[w[:-1]] + known[w[-1:]]) for w in ending])
-        self.extra = [*todo, *ending]
+        self.direct = model.tokenize if same else None
+
+    def __missing__(self, word: bytes) -> bytes:
+        rest = word.translate(None, PLAIN)
+        if not rest and self.direct:
+            ids = array(self.kind, [t.id for t in self.direct(word.decode())]).tobytes()
+        elif rest in (b".", b",") and len(word) > 1 and word[-1:] == rest:
+            # The vocabulary parts letters from marks: "word," is the ids of "word" and those of ",".
+            ids = self[word[:-1]] + self[rest]
+        else:
+            ids = array(self.kind, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        if len(self) < CACHE_WORDS:
+            self[word] = ids
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, ``width`` bytes each."""
         # The vocabulary is of lower case; only special tokens' names are looked for before that.
-        lists = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        before = len(self.known)
-        self._learn(set(chain.from_iterable(lists)).difference(self.known))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, words)) for words in lists]
-        for w in self.extra[max(0, CACHE_WORDS - before):]:
-            self.known.pop(w, None)
-        return out
+        ids = self.__getitem__
+        return [b"".join(map(ids, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
