@@ -103,8 +103,11 @@ class Bound:
     op: str
     lo: float
     hi: float | None = None
+    parts: tuple["Bound", ...] = ()  # of op "and"
 
     def text(self) -> str:
+        if self.parts:
+            return " and ".join(p.text() for p in self.parts)
         if self.op in ("between", "not between"):
             return f"{self.op} {_num(self.lo)} and {_num(self.hi)}"
         return f"{self.op} {_num(self.lo)}"
@@ -112,6 +115,8 @@ class Bound:
     def holds(self, metric: float | None) -> bool:
         if metric is None:
             return False
+        if self.parts:
+            return all(p.holds(metric) for p in self.parts)
         m, lo, hi = metric, self.lo, self.hi
         return {
             "=": m == lo,
@@ -135,14 +140,15 @@ ZERO = Bound("=", 0.0)
 
 
 def _bound_of(d: Mapping[str, Any]) -> Bound | None:
+    """All bounds of a rule; several hold together."""
+    found = []
     for key, op in BOUND_KEYS.items():
         if key in d:
-            v = d[key]
-            if op in ("between", "not between"):
-                lo, hi = v
-                return Bound(op, float(lo), float(hi))
-            return Bound(op, float(v))
-    return None
+            ends = d[key] if "between" in op else (d[key],)
+            found.append(Bound(op, *(float(x) for x in ends)))
+    if len(found) > 1:
+        return Bound("and", 0.0, parts=tuple(found))
+    return found[0] if found else None
 
 
 @dataclass(frozen=True)
@@ -161,6 +167,9 @@ class Rule:
 
     @staticmethod
     def from_dict(d: Mapping[str, Any]) -> "Rule":
+        unit = str(d.get("unit") or "rows").lower()
+        if unit not in ("rows", "row"):  # a share read as a count would pass or fail wrongly
+            raise ContractError(f"rule {d.get('name')!r}: unit {unit!r} is not supported, only rows")
         return Rule(
             name=d.get("name"),
             type=str(d.get("type", "library")),
@@ -366,32 +375,19 @@ class Target:
 
 
 def resolve_target(contract: Contract, environment: str) -> Target:
-    """Pick the table server of ``environment`` and enforce the naming convention.
+    """The table of ``environment``, if it stands where the naming convention puts it.
 
-    catalog = ``<environment>_<layer>`` (layer = custom property ``capa``, lower-cased);
-    the schema must be declared and, when the scope document names a landing schema
-    (``schemaLanding``), equal it.
+    The convention gives one place: catalog ``<environment>_<layer>`` (the layer is the custom
+    property ``capa``), schema ``schemaLanding`` when the contract names it, else any. The
+    contract's server must declare that place.
     """
-    server = next(
-        (s for s in contract.servers if s.server == environment and s.catalog is not None), None
-    )
-    if server is None:
-        raise ContractError(
-            f"contract {contract.id} declares no table server {environment!r}"
-        )
+    declared = {s.server: (s.catalog, s.schema) for s in reversed(contract.servers) if s.catalog is not None}
+    catalog, schema = declared.get(environment, (None, None))
     layer = str(contract.custom.get("capa", "")).lower()
-    expected = f"{environment}_{layer}"
-    if server.catalog != expected:
-        raise ContractError(
-            f"server {environment!r} uses catalog {server.catalog}, the convention requires "
-            f"{expected} (<environment>_<layer>)"
-        )
-    if not server.schema:
-        raise ContractError(f"server {environment!r} declares no schema")
-    landing = contract.custom.get("schemaLanding")
-    if landing and server.schema != landing:
+    place = (f"{environment}_{layer}", contract.custom.get("schemaLanding") or schema)
+    if (catalog, schema) != place or not schema:
+        shown = ".".join(str(x) for x in (catalog, schema) if x) or "no table"
         raise ContractError(
-            f"server {environment!r} uses schema {server.schema}, but the scope document "
-            f"declares {landing}"
+            f"{contract.id}: environment {environment!r} must be {place[0]}.{place[1] or '<schema>'}, found {shown}"
         )
-    return Target(server.catalog, server.schema, contract.physical_name)
+    return Target(catalog, schema, contract.physical_name)

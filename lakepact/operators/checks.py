@@ -11,8 +11,7 @@ Plans:
   aggregation (a hot key collapses to one row per task before the shuffle), then a global
   count of the repeated groups. NULL keys group together. Keys wider than 16 bytes shuffle
   a 64-bit hash first; only rows whose hash repeats are counted exactly by key.
-* ``anti``    – K6 with a very long list: left-anti join against the list (broadcast, its
-  size is known on the driver and checked).
+* ``anti``    – K6 with a very long list: left-anti join against the list; AQE picks the join.
 * ``sql``     – SQL rules that are not a plain filtered count (K12 and anything else): run
   by Spark SQL over the model's name (S4), one scalar each.
 """
@@ -26,13 +25,11 @@ from typing import Any, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.errors import PySparkException
 
-from ..contract import ZERO, Bound, Contract, Field, Rule, normalise_type_text
+from ..contract import ZERO, Bound, Contract, ContractError, Field, Rule, normalise_type_text
 from ..sources.catalog import as_relation
 
 # Above this many allowed values a list check is planned as an anti join instead of IN.
 IN_LIST_LIMIT = 10_000
-# Largest allowed-values list broadcast as the small side of that anti join.
-BROADCAST_LIST_LIMIT = 2_000_000
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -213,8 +210,12 @@ def _valid_values_spec(b: _Builder, r: Rule, f: Field, values: Sequence[Any]) ->
 def _rule_checks(b: _Builder, r: Rule, f: Field | None) -> None:
     metric = (r.metric or "").lower()
     args = r.arguments
-    if r.type in ("text", "custom"):
-        return  # descriptive or engine-specific rules: nothing this engine runs
+    if r.type == "text":
+        return  # a description, not a rule
+    if r.type == "custom":  # another engine's rule: reported as not run, never passed over
+        b.add(name=r.name or f"custom_{len(b.specs)}", kind="not_run", field=f.name if f else None,
+              plan="schema", dimension=r.dimension, severity="info", unit="rule of another engine")
+        return
     if r.type == "sql":
         query = _bind_placeholders(r.query, b.contract.model, f.name if f else None)
         pred = fusable_predicate(query, b.contract.model)
@@ -288,6 +289,8 @@ def compile_checks(contract: Contract, include_schema: bool = True) -> list[Chec
 
 
 def _passes_sql(bound: Bound, m: str) -> str:
+    if bound.parts:
+        return " AND ".join(f"({_passes_sql(p, m)})" for p in bound.parts)
     lo, hi = repr(float(bound.lo)), repr(float(bound.hi)) if bound.hi is not None else "NULL"
     if bound.op == "between":
         return f"{m} BETWEEN {lo} AND {hi}"
@@ -296,7 +299,9 @@ def _passes_sql(bound: Bound, m: str) -> str:
     return f"{m} {bound.op} {lo}"
 
 
-def _struct_sql(contract_id: str, s: CheckSpec, metric: str, detail: str | None = None) -> str:
+def _struct_sql(contract_id: str, s: CheckSpec, metric: str, detail: str | None = None,
+                judged: str | None = None) -> str:
+    """``judged``: what the bound is held against when it is not the whole-number metric."""
     m = f"CAST({metric} AS BIGINT)"
     if detail is None:
         detail = f"concat(coalesce(CAST({m} AS STRING), 'no value'), {sql_str(' ' + s.unit)})"
@@ -305,7 +310,7 @@ def _struct_sql(contract_id: str, s: CheckSpec, metric: str, detail: str | None
         f"named_struct('contract', {lit(contract_id)}, 'check', {lit(s.name)}, 'kind', {lit(s.kind)}, "
         f"'field', {lit(s.field)}, 'dimension', {lit(s.dimension)}, 'severity', {lit(s.severity)}, "
         f"'metric', {m}, 'bound', {lit(s.bound.text())}, "
-        f"'result', CASE WHEN {_passes_sql(s.bound, m)} THEN 'passed' ELSE 'failed' END, "
+        f"'result', CASE WHEN {_passes_sql(s.bound, judged or m)} THEN 'passed' ELSE 'failed' END, "
         f"'detail', {detail})"
     )
 
@@ -328,7 +333,9 @@ def _schema_rows(spark, contract_id: str, specs: list[CheckSpec], schema: T.Stru
     present = {f.name for f in (presence or schema)}
     structs = []
     for s in rows:
-        if s.kind == "surplus_column":
+        if s.kind == "not_run":
+            bad, detail = 0, "not run: rule of another engine"
+        elif s.kind == "surplus_column":
             bad, detail = 0, "column not in the contract: dropped"
         elif s.kind == "present":
             bad = 0 if s.field in present else 1
@@ -407,8 +414,6 @@ def _anti_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
     allowed = spark.createDataFrame([(str(v),) for v in s.values], "v string").select(
         F.col("v").cast(dt).alias("__allowed")
     )
-    if len(s.values) <= BROADCAST_LIST_LIMIT:
-        allowed = F.broadcast(allowed)
     bad = (
         df.select(qcol(s.field).alias("__v"))
         .where(F.col("__v").isNotNull())
@@ -422,9 +427,17 @@ def _sql_rows(contract_id: str, df: DataFrame, model: str, s: CheckSpec) -> Data
     spark = df.sparkSession
     with as_relation(df, model):
         res = spark.sql(s.query)  # analysed now; stays valid once the view is gone
-    first = res.columns[0]
-    one = res.agg(F.max(qcol(first)).cast("bigint").alias("v"))
-    return _inline(one, [_struct_sql(contract_id, s, "`v`")])
+    if len(res.columns) != 1:
+        raise ContractError(f"{s.name}: an SQL rule returns one value, this one has {len(res.columns)} columns")
+    # The value is judged as it is; the report's whole-number metric shows it when it is one. A
+    # query of several rows, or none, has no value and fails.
+    value = F.max(qcol(res.columns[0]).cast("double"))
+    one = res.agg(F.count(F.lit(1)).alias("n"), value.alias("x")).select(
+        "n", F.when(F.col("n") == 1, F.col("x")).alias("x")
+    ).withColumn("v", F.when(F.col("x") == F.floor("x"), F.floor("x")))
+    shown = (f"CASE WHEN `n` <> 1 THEN concat(CAST(`n` AS STRING), ' rows instead of one value') "
+             f"ELSE concat(coalesce(CAST(`v` AS STRING), CAST(`x` AS STRING), 'no value'), {sql_str(' ' + s.unit)}) END")
+    return _inline(one, [_struct_sql(contract_id, s, "`v`", shown, "`x`")])
 
 
 def cast_loss_specs(contract: Contract, present: Iterable[str], start: int) -> list[CheckSpec]:

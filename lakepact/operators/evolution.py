@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contract import Contract, ContractError, normalise_type_text
 from ..functions.types import spark_type_name
+from .checks import sql_str
 
 CONTRACT_FIELDS_DDL = (
     "contract string, field string, position int, logical_type string, "
@@ -102,19 +103,15 @@ def drift_verdict(drift: DataFrame) -> DataFrame:
     )
 
 
-def problem_text(row) -> str:
-    c = row["change"]
-    if c == "extra_column":
-        return f"column {row['column']} exists in the table but not in the contract"
-    if c == "type_mismatch":
-        return f"column {row['column']}: table={row['table_type']} contract={row['contract_type']}"
-    if c == "new_required":
-        return f"new column {row['column']} is required: it cannot be added to an existing table"
-    return f"column {row['column']}: {c}"
+PROBLEMS = {
+    "extra_column": "{column}: not declared by the contract (table type {table_type})",
+    "type_mismatch": "{column}: {table_type} in the table, {contract_type} in the contract",
+    "new_required": "{column}: required by the contract, absent from the table",
+}
 
 
-def _sql_literal(text: str | None) -> str:
-    return "'" + (text or "").replace("\\", "\\\\").replace("'", "\\'") + "'"
+def problem_text(row) -> str:
+    return PROBLEMS.get(row["change"], "{column}: {change}").format(**row.asDict())
 
 
 def add_optional_columns(spark: SparkSession, name: str, contract: Contract, table_id: str | None = None) -> list[str]:
@@ -134,7 +131,7 @@ def add_optional_columns(spark: SparkSession, name: str, contract: Contract, tab
     if not new:
         return ["existing table, structure unchanged"]
     cols = ", ".join(
-        f"`{f.name}` {f.data_type.simpleString()} COMMENT {_sql_literal(f.description)}" for f in new
+        f"`{f.name}` {f.data_type.simpleString()} COMMENT {sql_str(f.description or '')}" for f in new
     )
     spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
     return [f"column added: {f.name} {f.physical_type}" for f in new]

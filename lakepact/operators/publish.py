@@ -17,13 +17,17 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..contract import Contract, ContractError
+from ..contract import Contract
 from ..session import lake_root
 from ..sources.catalog import ensure_namespace, table_exists, table_location
-from .evolution import _sql_literal, add_optional_columns
+from .checks import sql_str
+from .evolution import add_optional_columns
 from .shape import align_by_name
 
-_VERSION_SUFFIX = re.compile(r"_v[0-9a-z_]+$")
+# Folder names that this module gives to versions: the first one, and stamped ones.
+_VERSION_SUFFIX = re.compile(r"_v(?:0|[0-9]{20}_[0-9a-f]{6})$")
+# Table property: the folders published for the table, oldest first. Retention deletes no other.
+VERSIONS = "lakepact.versions"
 
 
 def create_table_ddl(contract: Contract, name: str, location: str) -> str:
@@ -31,12 +35,12 @@ def create_table_ddl(contract: Contract, name: str, location: str) -> str:
     (informational on file tables; the `required` check is the guard), one comment each."""
     cols = ",\n  ".join(
         f"`{f.name}` {f.data_type.simpleString().upper()}"
-        f"{' NOT NULL' if f.required else ''} COMMENT {_sql_literal(f.description)}"
+        f"{' NOT NULL' if f.required else ''} COMMENT {sql_str(f.description or '')}"
         for f in contract.fields
     )
     return (
         f"CREATE TABLE IF NOT EXISTS {name} (\n  {cols}\n) USING parquet\n"
-        f"LOCATION {_sql_literal(location)}\nCOMMENT {_sql_literal(contract.description)}"
+        f"LOCATION {sql_str(location)}\nCOMMENT {sql_str(contract.description or '')}"
     )
 
 
@@ -50,10 +54,7 @@ def ensure_table(spark: SparkSession, contract: Contract, name: str, namespace:
     table = table or contract.physical_name
     if not table_exists(spark, name):
         location = f"{lake_root(spark)}/{ns_dir}/{table}/{table}_v0"
-        ddl = create_table_ddl(contract, name, location)
-        if not ddl.startswith(f"CREATE TABLE IF NOT EXISTS {name} ("):
-            raise ContractError(f"generated DDL does not name {name}:\n{ddl[:300]}")
-        spark.sql(ddl)
+        spark.sql(create_table_ddl(contract, name, location))
         return [f"table created: {name}"]
     return add_optional_columns(spark, name, contract)
 
@@ -67,10 +68,25 @@ def next_version_path(spark: SparkSession, name: str) -> str:
     return f"{parent}/{stem}_v{stamp}_{uuid.uuid4().hex[:6]}"
 
 
+def published_versions(spark: SparkSession, name: str) -> list[str]:
+    """Folders recorded as published for the table, oldest first."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()  # a few properties of one table
+    return next((r["value"].split("\n") for r in rows if r["key"] == VERSIONS and r["value"]), [])
+
+
+def _record(spark: SparkSession, name: str, versions: list[str]) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({sql_str(VERSIONS)} = {sql_str(chr(10).join(versions))})")
+
+
 def switch_version(spark: SparkSession, name: str, path: str) -> None:
-    """Point the table at a fully written version folder (one catalog operation)."""
-    spark.sql(f"ALTER TABLE {name} SET LOCATION {_sql_literal(path)}")
+    """Point the table at a fully written version folder (one catalog operation) and record it."""
+    previous = table_location(spark, name)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_str(path)}")
     spark.catalog.refreshTable(name.replace("`", ""))
+    own = [v for v in published_versions(spark, name) if v != path]
+    if previous and previous not in own and _VERSION_SUFFIX.search(previous.rstrip("/")):
+        own.append(previous)
+    _record(spark, name, [*own, path])
 
 
 @dataclass
@@ -119,21 +135,30 @@ def delete_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def rename_only_file(spark: SparkSession, folder: str, to: str) -> None:
+    """Move the single part file that Spark wrote under ``folder`` to the path ``to``."""
+    fs, p = _fs(spark, folder)
+    part = next(st.getPath() for st in fs.listStatus(p) if st.getPath().getName().startswith("part-"))
+    fs.rename(part, _fs(spark, to)[1])
+
+
 def prune_versions(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
-    """Retention: delete version folders older than the current one, keeping the newest
-    ``keep - 1`` of them. Folders newer than the current version are never touched: they
-    may be stages of a load still in flight. Returns the folders removed."""
-    current = table_location(spark, name).rstrip("/")
-    parent, base = current.rsplit("/", 1)
-    stem = _VERSION_SUFFIX.sub("", base)
-    fs, p = _fs(spark, parent)
-    names = sorted(
-        (st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()), reverse=True
-    )
-    # version names carry a UTC timestamp, so name order is age order
-    versions = [n for n in names if n.startswith(stem + "_v") and n < base]
-    removed = []
-    for n in versions[max(keep - 1, 0):]:
-        if delete_path(spark, f"{parent}/{n}"):
-            removed.append(f"{parent}/{n}")
+    """Retention: of the versions recorded for this table, keep the newest ``keep`` (the current one
+    always among them) and delete the others. Folders that were never published for this table -
+    other tables', or stages of a load still in flight - are not looked at. Returns the folders
+    removed."""
+    current = table_location(spark, name)
+    same = lambda p: p.rstrip("/").removeprefix("file:")
+    older = [v for v in published_versions(spark, name) if same(v) != same(current)]
+    stay = max(keep - 1, 0)
+    drop, kept = older[: len(older) - stay], older[len(older) - stay:]
+    removed = [v for v in drop if delete_path(spark, v)]
+    if drop:
+        left = [v for v in drop if v not in removed and path_exists(spark, v)]
+        _record(spark, name, [*left, *kept, current])
     return removed

@@ -15,6 +15,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 BLOCK = 1 << 20
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys in which NULL equals NULL (as in a group), keys kept once."""
+    r = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(f"`{k}`").eqNullSafe(F.col(f"`__r_{k}`")) for k in keys]
+    return left.join(r, on).drop(*[f"__r_{k}" for k in keys])
+
+
 def later_repeats(df: DataFrame, keys: Sequence[str], order: str, first_name: str = "first_seen") -> DataFrame:
     """Rows whose key already occurred at a smaller ``order``, with that first ``order``.
 
@@ -28,7 +35,7 @@ def later_repeats(df: DataFrame, keys: Sequence[str], order: str, first_name: st
         .where(F.col("__n") > 1)
         .drop("__n")
     )
-    return df.join(firsts, list(keys)).where(F.col(order) > F.col(first_name))
+    return null_safe_join(df, firsts, keys).where(F.col(order) > F.col(first_name))
 
 
 def running_count(df: DataFrame, group: Sequence[str], order: str, flag: Column, out: str,
@@ -49,7 +56,7 @@ def running_count(df: DataFrame, group: Sequence[str], order: str, flag: Column,
     inside = Window.partitionBy(*g, "__blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     within = marked.withColumn("__run", F.sum("__f").over(inside))
     return (
-        within.join(offsets, [*g, "__blk"])
+        null_safe_join(within, offsets, [*g, "__blk"])
         .withColumn(out, F.col("__off") + F.col("__run"))
         .drop("__blk", "__f", "__run", "__off")
     )

@@ -17,15 +17,15 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
-from ..contract import Contract, Target, resolve_target
+from ..contract import Contract, ContractError, Target, resolve_target
 from ..operators.checks import (
     MALFORMED, cast_loss_specs, check_report, compile_checks, fused_metrics, malformed_spec, surplus_specs,
     usable_fused,
 )
 from ..operators.gate import GateFailed, Outcome, TableCheckFailed, run_checks
-from ..operators.publish import delete_path, ensure_table, next_version_path, switch_version
+from ..operators.publish import delete_path, ensure_table, next_version_path, prune_versions, switch_version
+from ..sources.catalog import table_location
 from ..operators.shape import align_by_name, surplus_columns, type_columns, typed_columns
-from ..session import spread
 from ..sources.text import read_landing_text
 
 
@@ -55,13 +55,15 @@ def apply_contract(
     *,
     delimiter: str | None = None,
     post_check: bool | str = True,
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
     cast_loss: bool = False,
     raw_schema_checks: bool = False,
     multi_line: bool = True,
     publish_mode: str = "swap",
     encoding: str = "UTF-8",
     malformed_rows: bool = False,
+    rollback: bool = False,
+    keep_versions: int | None = None,
 ) -> LoadResult:
     """W1. ``source`` is a delivery path or list of paths (header CSV) or a frame of text
     columns.
@@ -74,8 +76,10 @@ def apply_contract(
     formats, whose overwrite is atomic and which do not move locations).
     ``cast_loss`` adds informational rows counting text that could not be typed;
     ``raw_schema_checks`` makes the presence checks look at the delivery's own headings.
-    ``malformed_rows`` adds a check failing on rows whose number of cells differs from the
-    header (PERMISSIVE reading would otherwise cut surplus cells silently).
+    A row whose number of cells differs from the heading refuses the delivery (``mode``).
+    ``malformed_rows`` reads on and counts such rows in a check of the gate instead.
+    ``rollback`` points the table back at its previous version when the post-load check fails.
+    ``keep_versions`` deletes older published versions of this table after a good load.
 
     Raises ``GateFailed`` (nothing published, table untouched), ``EvolutionRefused``
     (structure cannot follow the contract), ``TableCheckFailed`` (post-load).
@@ -92,7 +96,6 @@ def apply_contract(
                                  malformed_column=MALFORMED if malformed_rows else None)
     else:
         text = source
-    text = spread(text)  # few delivery files: type and stage them on every core
     flagged = MALFORMED in text.columns
     surplus = [c for c in surplus_columns(text, contract) if c != MALFORMED]
     table_cols = spark.table(name).columns
@@ -118,8 +121,10 @@ def apply_contract(
     to_write = align_by_name(observed_frame, table_cols)
     try:
         to_write.write.mode("errorifexists").parquet(staged_path)
-    except Exception:
+    except Exception as e:
         delete_path(spark, staged_path)  # a failed stage is debris: retention never sees it
+        if "MALFORMED" in str(e):
+            raise ContractError(f"{contract.id}: the delivery holds rows that do not fit its heading") from e
         raise
     observed = obs.get if metrics else {}
     staged = spark.read.schema(to_write.schema).parquet(staged_path)  # known schema: no footer scan
@@ -143,6 +148,7 @@ def apply_contract(
         delete_path(spark, staged_path)
         staged_path = None
     else:
+        previous = table_location(spark, name)
         switch_version(spark, name, staged_path)
     rows_loaded = spark.table(name).count()
 
@@ -154,7 +160,11 @@ def apply_contract(
         out: Outcome = run_checks(spark.table(name), contract, specs=post_specs)
         post = out.report
         if not out.passed:
+            if rollback and staged_path:
+                switch_version(spark, name, previous)
             raise TableCheckFailed(contract, name, post)
+    if keep_versions and staged_path:
+        prune_versions(spark, name, keep_versions)
     return LoadResult(contract.id, name, actions, rows_read, rows_loaded, report, post,
                       surplus, staged_path)
 
@@ -215,6 +225,8 @@ def apply_all(
             return JobOutcome(contract.id, "post_check_failed", len(e.report), bad, None, str(e))
         except EvolutionRefused as e:
             return JobOutcome(contract.id, "refused", 0, len(e.problems), None, str(e))
+        except Exception as e:  # noqa: BLE001 - whatever stops one load is that load's outcome
+            return JobOutcome(contract.id, "error", 0, 0, None, f"{type(e).__name__}: {e}"[:500])
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
         return list(pool.map(one, jobs))

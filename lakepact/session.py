@@ -38,19 +38,25 @@ def shared_dir(spark: SparkSession) -> str:
 
     Scratch data (materialized inputs that cut lineage, derived deliveries, stream
     checkpoints) goes here, never to a machine-local folder; staged table versions live next
-    to their table under the lake root. Only when the session names no folder (a bare test
-    session) do we pick one and register it, so later checkpoints agree.
+    to their table under the lake root. Only a local session that names no folder (tests)
+    gets one of its own; on a cluster an unset folder is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and sc._jsc.sc().getCheckpointDir().isDefined():
+        d = sc._jsc.sc().getCheckpointDir().get()
     if not d:
+        _local_only(spark, "spark.checkpoint.dir")
         d = tempfile.mkdtemp(prefix="lakepact-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        spark.conf.set("spark.checkpoint.dir", d)
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def _local_only(spark: SparkSession, setting: str) -> None:
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"{setting} must name a folder that all executors share")
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder."""
     return "/".join([shared_dir(spark), "lakepact", *parts, uuid.uuid4().hex[:12]])
@@ -59,13 +65,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def lake_root(spark: SparkSession) -> str:
     """Root folder for table versions created by this library.
 
-    ``lakepact.lake.root`` when set, else the session's warehouse folder.
+    ``lakepact.lake.root`` when set; a local session may fall back to its warehouse folder.
     """
     root = spark.conf.get("lakepact.lake.root", None)
     if not root:
+        _local_only(spark, "lakepact.lake.root")
         root = spark.conf.get("spark.sql.warehouse.dir")
-    if root.startswith("file:"):
-        root = root[len("file:"):]
     return root.rstrip("/") if root != "/" else root
 
 
@@ -79,21 +84,3 @@ def materialize(df, *parts: str):
     path = scratch_path(spark, "materialized", *parts)
     df.write.parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df):
-    """Round-robin ``df`` over the cluster's cores when its input yields fewer partitions
-    than cores (e.g. one large file, one row group), so per-row work runs in parallel.
-    A no-op for any input already split wider than the cluster, i.e. every large input."""
-    # Only plain scans: asking an adaptive plan with shuffles for its partition count would
-    # run those shuffle stages now. Building the physical plan itself executes nothing.
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    except AttributeError:  # no JVM plan to look at (e.g. a remote session): leave as is
-        return df
-    if "Exchange" in plan or "AdaptiveSparkPlan" in plan:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

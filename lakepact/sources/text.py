@@ -13,7 +13,7 @@ def read_landing_text(
     delimiter: str = ",",
     *,
     encoding: str = "UTF-8",
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
     multi_line: bool = True,
     malformed_column: str | None = None,
 ) -> DataFrame:
@@ -24,8 +24,11 @@ def read_landing_text(
     ``multi_line`` keeps quoted line breaks inside one value; it makes each *file* one
     split, so large deliveries should arrive as many files (or pass ``multi_line=False``
     when the producer guarantees no quoted line breaks, which makes files splittable).
-    ``mode='FAILFAST'`` rejects ragged rows instead of cutting surplus cells.
-    ``malformed_column`` keeps PERMISSIVE reading but adds a column holding the raw line of
+    Files of one delivery must share one heading: Spark binds cells by position, so a file
+    whose columns stand in another order is refused rather than read crosswise.
+    A row whose number of cells differs from the heading is refused (``mode='FAILFAST'``);
+    ``mode='PERMISSIVE'`` cuts surplus cells without trace and is only for callers who want that.
+    ``malformed_column`` reads on past such rows but adds a column holding the raw line of
     every row whose number of cells differs from the header (NULL otherwise), so ragged
     rows can be counted in the same pass instead of being cut silently.
     """
@@ -39,7 +42,8 @@ def read_landing_text(
             .option("escape", '"')
             .option("multiLine", multi_line)
             .option("encoding", encoding)
-            .option("mode", mode)
+            .option("enforceSchema", False)
+            .option("mode", "PERMISSIVE" if malformed_column else mode)
         )
 
     if malformed_column is None:

@@ -1,12 +1,12 @@
-"""A landing folder watched by Structured Streaming: each micro-batch of newly arrived
-delivery files is one gated load (W1) of the contract's table.
+"""A landing folder watched by Structured Streaming: every delivery is one gated load.
 
-The stream carries only file paths (the binary-file source prunes the content column), so
-a micro-batch hands the driver one short row per new file, bounded by
-``max_files_per_batch``. The load itself reads the files on the executors. The stream's
-checkpoint lives in the shared folder, so a restarted query resumes after the last
-committed batch. A batch that fails after its publish is replayed; the load replaces the
-table's content, so the replay is idempotent.
+A delivery is a folder of files with a marker file, written last by the producer, that says it is
+complete (at least one byte long: Spark's file sources pass over empty files). The stream watches the markers only; a marker loads its whole folder, however many files
+it holds, so a delivery is never cut over micro-batches. Markers that arrive together are loaded one
+after the other, oldest first. The driver sees one short row per delivery; executors read the files.
+The stream's checkpoint lives in the shared folder, so a restarted query resumes after the last
+committed batch. A batch that fails after its publish is replayed; the load replaces the table's
+content, so the replay is idempotent.
 """
 
 from __future__ import annotations
@@ -22,6 +22,10 @@ from ..plans.apply import LoadResult, apply_contract
 from ..session import scratch_path
 
 
+# A name that Spark's file sources do not skip (they skip a leading _ or .).
+MARKER = "delivery.done"
+
+
 def watch_landing(
     spark: SparkSession,
     contract: Contract,
@@ -29,38 +33,35 @@ def watch_landing(
     folder: str,
     *,
     pattern: str = "*.csv",
-    max_files_per_batch: int = 1000,
+    marker: str = MARKER,
     checkpoint: str | None = None,
     available_now: bool = False,
     on_result: Callable[[int, LoadResult | GateFailed], None] | None = None,
 ) -> StreamingQuery:
-    """Start the watcher. ``on_result(batch_id, outcome)`` sees each load's result or its
-    gate failure (a failed gate does not stop the stream: the table keeps its rows).
-
-    Each micro-batch is one whole delivery that replaces the table's content, so
-    ``max_files_per_batch`` must be at least the number of files one delivery consists of."""
-    files = (
+    """Start the watcher: each ``<folder>/<delivery>/<marker>`` loads ``<folder>/<delivery>/<pattern>``.
+    ``on_result(batch_id, outcome)`` sees each load's result or its gate failure (a failed gate does
+    not stop the stream: the table keeps its rows)."""
+    markers = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", max_files_per_batch)
+        .option("pathGlobFilter", marker)
+        .option("recursiveFileLookup", True)
         .load(folder)
-        .select("path")
+        .select("path", "modificationTime")
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        paths = [r.path for r in batch.collect()]  # file names only, bounded per batch
-        if not paths:
-            return
         s = batch.sparkSession
-        try:
-            out: LoadResult | GateFailed = apply_contract(s, contract, environment, paths)
-        except GateFailed as e:
-            out = e
-        if on_result is not None:
-            on_result(batch_id, out)
+        for r in batch.orderBy("modificationTime", "path").collect():  # one row per delivery
+            delivery = r.path.rsplit("/", 1)[0]
+            try:
+                out: LoadResult | GateFailed = apply_contract(s, contract, environment, f"{delivery}/{pattern}")
+            except GateFailed as e:
+                out = e
+            if on_result is not None:
+                on_result(batch_id, out)
 
-    writer = files.writeStream.foreachBatch(load).option(
+    writer = markers.writeStream.foreachBatch(load).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "streams", contract.physical_name)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

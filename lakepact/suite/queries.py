@@ -19,7 +19,7 @@ from ..operators.shape import align_by_name, type_columns
 from ..operators.windows import later_repeats, running_count
 from ..plans import dictionary as M
 from ..plans.apply import apply_all, apply_contract
-from ..session import scratch_path, spread
+from ..session import scratch_path
 from ..sources.catalog import read_target
 from ..sources.text import as_text, read_landing_text
 from . import contracts as C
@@ -309,11 +309,15 @@ def q_gate_refusal(spark, sf):
 def q_landing_stream(spark, sf):
     """Structured Streaming: orders land as a CSV delivery in a watched folder; the watcher
     loads the micro-batch through the gate (W1); the loaded table's report is returned."""
-    from ..streaming.landing import watch_landing
+    from ..operators.publish import rename_only_file
+    from ..streaming.landing import MARKER, watch_landing
     _with_root(spark)
     c = C.orders(_run_schema())
     landing = scratch_path(spark, "landing", "orders")
-    as_text(t(spark, sf, "orders")).write.option("header", True).csv(landing)
+    # One delivery of many files, complete when its marker is there.
+    as_text(t(spark, sf, "orders")).repartition(24).write.option("header", True).csv(f"{landing}/first")
+    spark.createDataFrame([("done",)], "v string").coalesce(1).write.text(f"{landing}/marker")
+    rename_only_file(spark, f"{landing}/marker", f"{landing}/first/{MARKER}")
     seen = []
     q = watch_landing(spark, c, C.ENV, landing, pattern="*.csv", available_now=True,
                       checkpoint=scratch_path(spark, "streams", "orders"),
@@ -460,7 +464,7 @@ def q_in_sync(spark, sf):
 
 def q_norm_text(spark, sf):
     """M1 over whole document texts: distinct normalised texts and their length per language."""
-    d = spread(t(spark, sf, "documents")).select("lang", normalise_text(F.col("text")).alias("norm"))
+    d = t(spark, sf, "documents").select("lang", normalise_text(F.col("text")).alias("norm"))
     return d.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_distinct("norm").alias("n_distinct_norm"),

@@ -1,7 +1,10 @@
 """K1–K15 compilation and evaluation, R1/R2/F1."""
 
 
+import pytest
+import dataclasses
 from lakepact import Contract, check_report, compile_checks, failing, verdict
+from lakepact.contract import ContractError
 from lakepact.operators import checks as K
 from lakepact.operators.checks import REPORT_SCHEMA, fusable_predicate
 from conftest import fixture_path
@@ -129,11 +132,33 @@ def test_concurrent_sql_rules_same_model_name(spark):
     assert got == [i % 2 for i in range(8)]
 
 
-def test_text_and_custom_rules_are_not_checks():
+def test_custom_rules_are_reported_as_not_run(spark):
     c = _c([{"name": "a", "physicalType": "STRING",
              "quality": [{"type": "text", "description": "values come from the sales system"}]}],
            [{"type": "custom", "engine": "other", "implementation": "..."}])
-    assert [s.kind for s in compile_checks(c)] == ["present", "type"]
+    assert [s.kind for s in compile_checks(c)] == ["present", "type", "not_run"]
+    last = check_report(spark.createDataFrame([("x",)], "a string"), c).collect()[-1]
+    assert last.severity == "info" and last.detail.startswith("not run")
+
+
+def test_sql_rule_values_are_judged_as_they_are(spark):
+    ask = lambda q, **bound: {"type": "sql", "name": q, "query": f"SELECT {q} FROM m", **bound}
+    c = _c([{"name": "n", "physicalType": "INT"}],
+           [ask("0.9 * max(n) / max(n)", mustBe=0), ask("n", mustBe=1), ask("max(n)", mustBeGreaterThan=5, mustBeLessThan=8),
+            ask("max(n) - 4", mustBeGreaterThan=5, mustBeLessThan=8)])
+    c = c.with_rules([dataclasses.replace(r, query=r.query.replace(" m", f" {c.model}")) for r in c.rules])
+    rep = check_report(spark.createDataFrame([(1,), (10,)], "n int"), c).collect()[2:]
+    assert [r.result for r in rep] == ["failed", "failed", "failed", "passed"]
+    assert rep[0].metric is None and "0.9" in rep[0].detail and "2 rows" in rep[1].detail
+    two = c.with_rules([dataclasses.replace(c.rules[1], query=f"SELECT 1, 2 FROM {c.model}")])
+    with pytest.raises(ContractError):
+        check_report(spark.createDataFrame([(1,)], "n int"), two)
+
+
+def test_percent_is_refused():
+    with pytest.raises(ContractError):
+        _c([{"name": "a", "physicalType": "STRING", "quality": [
+            {"metric": "nullValues", "mustBeLessThan": 5, "unit": "percent"}]}])
 
 
 def test_sql_rule_placeholders(spark):

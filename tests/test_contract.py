@@ -50,13 +50,13 @@ def test_naming_convention_violations():
         "schema": [{"name": "t", "properties": [{"name": "a", "physicalType": "STRING"}]}],
     }
     bad_catalog = dict(base, servers=[{"server": "desa", "catalog": "desa_raw", "schema": "s1"}])
-    with pytest.raises(ContractError, match="convention"):
+    with pytest.raises(ContractError, match="must be desa_landing.s1"):
         resolve_target(Contract.from_dict(bad_catalog), "desa")
     no_schema = dict(base, servers=[{"server": "desa", "catalog": "desa_landing", "schema": ""}])
-    with pytest.raises(ContractError, match="no schema"):
+    with pytest.raises(ContractError, match="found desa_landing"):
         resolve_target(Contract.from_dict(no_schema), "desa")
     other_schema = dict(base, servers=[{"server": "desa", "catalog": "desa_landing", "schema": "s2"}])
-    with pytest.raises(ContractError, match="scope document"):
+    with pytest.raises(ContractError, match="must be desa_landing.s1, found desa_landing.s2"):
         resolve_target(Contract.from_dict(other_schema), "desa")
 
 

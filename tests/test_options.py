@@ -5,7 +5,7 @@ import shutil
 import pytest
 
 from lakepact import Contract, GateFailed, apply_contract, read_landing_text
-from lakepact.streaming.landing import watch_landing
+from lakepact.streaming.landing import MARKER, watch_landing
 from conftest import fixture_path
 from helpers import rebind
 
@@ -32,16 +32,21 @@ def test_raw_presence(spark, lake, fresh_env):
 def test_landing_stream(spark, lake, fresh_env, tmp_path):
     c = rebind(Contract.load(fixture_path("channel_master.odcs.yaml")), fresh_env)
     folder = tmp_path / "landing"
-    folder.mkdir()
-    shutil.copy(fixture_path("channel_master_ok.csv"), folder / "d1.csv")
+    head, *rows = open(fixture_path("channel_master_ok.csv"), encoding="utf-8").read().splitlines()
+    (folder / "d1").mkdir(parents=True)
+    for i, row in enumerate(rows):  # one delivery of many files
+        (folder / "d1" / f"part{i}.csv").write_text(f"{head}\n{row}\n", encoding="utf-8")
+    (folder / "d0").mkdir()
+    shutil.copy(fixture_path("channel_master_errors.csv"), folder / "d0" / "x.csv")  # not marked complete
+    (folder / "d1" / MARKER).write_text("done")
     seen = []
     q = watch_landing(spark, c, fresh_env, str(folder), available_now=True,
                       checkpoint=str(tmp_path / "ckpt"), on_result=lambda b, o: seen.append(o))
     q.awaitTermination(120)
     assert len(seen) == 1 and seen[0].rows_loaded == 8
-    shutil.copy(fixture_path("channel_master_errors.csv"), folder / "d2.csv")
+    (folder / "d0" / MARKER).write_text("done")
     q = watch_landing(spark, c, fresh_env, str(folder), available_now=True,
                       checkpoint=str(tmp_path / "ckpt"), on_result=lambda b, o: seen.append(o))
     q.awaitTermination(120)
-    assert len(seen) == 2 and isinstance(seen[1], GateFailed)   # only the new file is a delivery
+    assert len(seen) == 2 and isinstance(seen[1], GateFailed)   # only the newly marked folder is a delivery
     assert spark.table(seen[0].table).count() == 8
