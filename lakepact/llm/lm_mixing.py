@@ -17,7 +17,7 @@ document refines the mixed log odds by what their bucket has missed so far.
 
 Score: log10 probability of the whole text, and total bits per byte. The base score is the
 add-one unigram of the contract over exact counts of all training tokens. Tokens with at least
-``N / 2**20`` occurrences (at most 2**20 of them by that rule, each of 64 bytes or less) are sent
+``N / 2**21`` occurrences (at most 2**21 of them by that rule, each of 64 bytes or less) are sent
 to the tasks; all others are joined by key, where none is frequent enough to be a hot key.
 
 Defined cases: null text counts as empty (one end token); a null doc_id is in the training part;
@@ -31,6 +31,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections import Counter
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +45,10 @@ SYMBOLS = 64
 ROW_BITS = 18  # rows of each table beyond order two
 ORDERS = ("three", "four", "word")
 LEAD = 64  # bytes before a piece of a very long text that its contexts look at
-HEAD_SHARE, HEAD_BYTES = 1 << 20, 64
+HEAD_SHARE, HEAD_BYTES = 1 << 21, 64
 DICT_WORDS = 500_000
-CHUNK_BYTES = 1 << 18
+CHUNK_BYTES = 1 << 18  # of text scored at once
+COUNT_BYTES = 1 << 16  # of text counted at once: its arrays stay in a core's cache
 PIECE_BYTES = 1 << 20
 FIRST_BLOCK, BLOCK_STEPS = 96, 9  # bytes: 96, 192, ... 24576, then 24576 each
 LEAST, LONGEST = 2e-4, 64  # LONGEST: above the depth of any code tree
@@ -206,7 +208,7 @@ def corpus_counts(train: DataFrame, sym_of: np.ndarray, words: WordRows) -> list
                 for at in range(0, len(t), PIECE_BYTES):
                     held.append(t[at:at + PIECE_BYTES])
                     size += len(held[-1])
-                    if size >= PIECE_BYTES:
+                    if size >= COUNT_BYTES:
                         add(held)
                         seen += size
                         held, size = [], 0
@@ -486,19 +488,13 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
                 normals.append(b" ".join(tokens) + b"\n")
                 counts = Counter(tokens)
                 counts[b""] = 1
-                s, k, rest = [], 0, {}
-                for w, n in counts.items():
-                    x = logs.get(w)
-                    if x is None:
-                        rest[w] = n
-                    else:
-                        s.append(x * n)
-                        k += n
+                rest = counts.keys() - logs.keys()
+                n_rest = [counts.pop(w) for w in rest]
                 n_tokens.append(len(tokens) + 1)
-                known.append(k)
-                base.append(math.fsum(s))
-                tails.append(list(rest.keys()))
-                tail_n.append(list(rest.values()))
+                known.append(len(tokens) + 1 - sum(n_rest))
+                base.append(math.fsum(map(mul, map(logs.__getitem__, counts), counts.values())))
+                tails.append(list(rest))
+                tail_n.append(n_rest)
             bits = model.score(normals)
             size = np.array([len(t) for t in normals], np.float64)
             yield pa.RecordBatch.from_arrays(
