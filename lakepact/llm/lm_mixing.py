@@ -488,12 +488,12 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
                 normals.append(b" ".join(tokens) + b"\n")
                 counts = Counter(tokens)
                 counts[b""] = 1
-                rest = counts.keys() - logs.keys()
+                rest = [w for w in counts if w not in logs]
                 n_rest = [counts.pop(w) for w in rest]
                 n_tokens.append(len(tokens) + 1)
                 known.append(len(tokens) + 1 - sum(n_rest))
                 base.append(math.fsum(map(mul, map(logs.__getitem__, counts), counts.values())))
-                tails.append(list(rest))
+                tails.append(rest)
                 tail_n.append(n_rest)
             bits = model.score(normals)
             size = np.array([len(t) for t in normals], np.float64)
