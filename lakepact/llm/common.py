@@ -6,7 +6,6 @@ import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,5 +116,3 @@ def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only when ``df`` was counted to hold at most ``rows`` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
-
-KEEP = StorageLevel.DISK_ONLY

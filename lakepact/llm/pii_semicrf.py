@@ -24,7 +24,6 @@ keeps its row; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import random
 import re
@@ -327,10 +326,6 @@ def _log_sum(v: list[float]) -> float:
     return m + math.log(sum([math.exp(x - m) for x in v]))
 
 
-def joined(spans: list[Span]) -> str:
-    return ",".join([f"{KINDS[k]}:{s}:{e}" for s, k, e in spans])
-
-
 def fit(docs: DataFrame) -> SemiCRF:
     rows = docs.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("h"))
     ids = rows.orderBy("h", "doc_id").limit(FIT_ROWS)
@@ -377,7 +372,3 @@ def digest(found: DataFrame) -> DataFrame:
         "doc_id", *[count(k) for k in KINDS],
         F.sha2(text(F.col("base")), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"),
     )
-
-
-def sha(spans: list[Span]) -> str:
-    return hashlib.sha256(joined(spans).encode()).hexdigest()
