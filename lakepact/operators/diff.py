@@ -2,7 +2,8 @@
 
 Re-aimed from comparing two versions of one file to comparing two snapshots of
 ``contract_fields(contract, field, position, logical_type, physical_type, required,
-key_position)`` for any number of contracts: two full outer joins and column rules.
+key_position)`` for any number of contracts: the snapshots are tagged and grouped once per
+field, then once per contract; column rules do the rest.
 
 Severity per change:
   contract removed → breaking; contract added → information;
@@ -19,62 +20,56 @@ from ..functions.types import spark_type_name
 CHANGE_COLUMNS = ["contract", "field", "change", "severity", "old_value", "new_value"]
 
 
-def _contract_changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """D1."""
-    o = old.select("contract").distinct().withColumn("__o", F.lit(True))
-    n = new.select("contract").distinct().withColumn("__n", F.lit(True))
-    j = o.join(n, "contract", "full_outer").where(F.col("__o").isNull() | F.col("__n").isNull())
-    removed = F.col("__n").isNull()
-    return j.select(
-        "contract",
-        F.lit(None).cast("string").alias("field"),
-        F.when(removed, F.lit("contract_removed")).otherwise(F.lit("contract_added")).alias("change"),
-        F.when(removed, F.lit("breaking")).otherwise(F.lit("information")).alias("severity"),
-        F.lit(None).cast("string").alias("old_value"),
-        F.lit(None).cast("string").alias("new_value"),
+def _fields(old: DataFrame, new: DataFrame) -> DataFrame:
+    """One row per field of either snapshot: ``(contract, field, o_type, o_req, o_here, n_…)``."""
+    def tagged(df: DataFrame, side: str) -> DataFrame:
+        own, other = ("o", "n") if side == "old" else ("n", "o")
+        return df.select(
+            "contract", "field",
+            spark_type_name(F.col("physical_type")).alias(f"{own}_type"),
+            F.col("required").alias(f"{own}_req"), F.lit(True).alias(f"{own}_here"),
+            F.lit(None).cast("string").alias(f"{other}_type"),
+            F.lit(None).cast("boolean").alias(f"{other}_req"), F.lit(False).alias(f"{other}_here"),
+        )
+
+    return tagged(old, "old").unionByName(tagged(new, "new")).groupBy("contract", "field").agg(
+        F.max("o_type").alias("o_type"), F.bool_or("o_req").alias("o_req"), F.bool_or("o_here").alias("o_here"),
+        F.max("n_type").alias("n_type"), F.bool_or("n_req").alias("n_req"), F.bool_or("n_here").alias("n_here"),
     )
 
 
-def _field_changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """D2, for contracts present in both snapshots."""
-    both = old.select("contract").distinct().join(new.select("contract").distinct(), "contract")
-    o = old.join(both, "contract", "left_semi").select(
-        "contract", "field",
-        spark_type_name(F.col("physical_type")).alias("o_type"),
-        F.col("required").alias("o_req"), F.lit(True).alias("o_here"))
-    n = new.join(both, "contract", "left_semi").select(
-        "contract", "field",
-        spark_type_name(F.col("physical_type")).alias("n_type"),
-        F.col("required").alias("n_req"), F.lit(True).alias("n_here"))
-    j = o.join(n, ["contract", "field"], "full_outer")
-
-    def change(cond, name, severity, old_v, new_v):
-        return F.when(cond, F.struct(F.lit(name).alias("change"), F.lit(severity).alias("severity"),
-                                     old_v.cast("string").alias("old_value"),
-                                     new_v.cast("string").alias("new_value")))
-
-    in_both = F.col("o_here") & F.col("n_here")
+def contract_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """D1 + D2 (+ D3 when ordered by contract, field): one row per difference.
+
+    A contract on one side only is one change (D1), told by its first field's row; fields are
+    compared (D2) in the contracts of both snapshots."""
+    fields = _fields(old, new)
+    contracts = fields.groupBy("contract").agg(
+        F.bool_or("o_here").alias("was"), F.bool_or("n_here").alias("stays"), F.min("field").alias("first"))
+    j = fields.join(contracts, "contract")
+
+    def change(cond, name, severity, old_v, new_v, of_field=True):
+        return F.when(cond, F.struct(
+            (F.col("field") if of_field else F.lit(None).cast("string")).alias("field"),
+            F.lit(name).alias("change"), F.lit(severity).alias("severity"),
+            old_v.cast("string").alias("old_value"), new_v.cast("string").alias("new_value")))
+
+    none = F.lit(None)
+    told = F.col("field").eqNullSafe(F.col("first"))
+    both = F.col("was") & F.col("stays")
+    kept = F.col("o_here") & F.col("n_here")
+    o_req, n_req = (F.coalesce(F.col(c), F.lit(False)) for c in ("o_req", "n_req"))
     changes = F.array(
-        change(F.col("n_here").isNull(), "field_removed", "breaking", F.col("o_type"), F.lit(None)),
-        change(F.col("o_here").isNull() & F.col("n_req"), "required_field_added", "breaking",
-               F.lit(None), F.col("n_type")),
-        change(F.col("o_here").isNull() & ~F.coalesce(F.col("n_req"), F.lit(False)),
-               "optional_field_added", "compatible", F.lit(None), F.col("n_type")),
-        change(in_both & (F.col("o_type") != F.col("n_type")), "type_changed", "breaking",
-               F.col("o_type"), F.col("n_type")),
-        change(in_both & ~F.coalesce(F.col("o_req"), F.lit(False)) & F.coalesce(F.col("n_req"), F.lit(False)),
-               "required_tightened", "breaking", F.col("o_req"), F.col("n_req")),
-        change(in_both & F.coalesce(F.col("o_req"), F.lit(False)) & ~F.coalesce(F.col("n_req"), F.lit(False)),
-               "required_relaxed", "compatible", F.col("o_req"), F.col("n_req")),
-    )
-    return j.select("contract", "field", F.explode(F.filter(changes, lambda c: c.isNotNull())).alias("c")).select(
-        "contract", "field", "c.change", "c.severity", "c.old_value", "c.new_value"
+        change(told & ~F.col("stays"), "contract_removed", "breaking", none, none, of_field=False),
+        change(told & ~F.col("was"), "contract_added", "information", none, none, of_field=False),
+        change(both & ~F.col("n_here"), "field_removed", "breaking", F.col("o_type"), none),
+        change(both & ~F.col("o_here") & n_req, "required_field_added", "breaking", none, F.col("n_type")),
+        change(both & ~F.col("o_here") & ~n_req, "optional_field_added", "compatible", none, F.col("n_type")),
+        change(kept & (F.col("o_type") != F.col("n_type")), "type_changed", "breaking", F.col("o_type"), F.col("n_type")),
+        change(kept & ~o_req & n_req, "required_tightened", "breaking", F.col("o_req"), F.col("n_req")),
+        change(kept & o_req & ~n_req, "required_relaxed", "compatible", F.col("o_req"), F.col("n_req")),
     )
-
-
-def contract_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """D1 + D2 (+ D3 when ordered by contract, field): one row per difference."""
-    return _contract_changes(old, new).unionByName(_field_changes(old, new)).select(*CHANGE_COLUMNS)
+    return j.select("contract", F.inline(F.filter(changes, lambda c: c.isNotNull()))).select(*CHANGE_COLUMNS)
 
 
 def changelog(diff: DataFrame) -> DataFrame:

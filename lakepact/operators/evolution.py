@@ -7,7 +7,7 @@ The rule (one place, column-wise): a table may only *gain nullable columns*.
 * contract column the table lacks, required→ ``new_required``   (incompatible)
 * contract column the table lacks, optional→ ``new_optional``   (added by ALTER)
 
-Re-aimed from one table at a time on the driver to one full outer join over the column
+Re-aimed from one table at a time on the driver to one grouping of the column
 inventories of *all* tables, so a whole catalogue is checked by one Spark job. A single
 load uses the same function on its one table.
 """
@@ -63,21 +63,24 @@ def schema_drift(table_columns: DataFrame, contract_fields: DataFrame) -> DataFr
     contract id names the table. Output: ``table, column, table_type, contract_type,
     required, change, compatible``.
     """
+    none = F.lit(None)
     tc = table_columns.select(
-        F.col("table"), F.col("column"), spark_type_name(F.col("type")).alias("table_type")
+        F.col("table"), F.col("column"), spark_type_name(F.col("type")).alias("table_type"),
+        none.cast("string").alias("contract_type"), none.cast("boolean").alias("required"), F.lit(0).alias("__side"),
     )
     cf = contract_fields.select(
-        F.col("contract").alias("table"),
-        F.col("field").alias("column"),
-        spark_type_name(F.col("physical_type")).alias("contract_type"),
-        F.col("required"),
+        F.col("contract").alias("table"), F.col("field").alias("column"), none.cast("string").alias("table_type"),
+        spark_type_name(F.col("physical_type")).alias("contract_type"), F.col("required"), F.lit(1).alias("__side"),
+    )
+    # Both inventories tagged and grouped once per column, then once per table.
+    columns = tc.unionByName(cf).groupBy("table", "column").agg(
+        F.max("table_type").alias("table_type"), F.max("contract_type").alias("contract_type"),
+        F.bool_or("required").alias("required"), F.min("__side").alias("__lo"), F.max("__side").alias("__hi"),
     )
     # Only tables present on both sides are compared; a table without columns is created,
-    # a table without a contract is not ours. The name lists are one row per table.
-    both = tc.select("table").distinct().join(cf.select("table").distinct(), "table")
-    tc = tc.join(both, "table", "left_semi")
-    cf = cf.join(both, "table", "left_semi")
-    j = tc.join(cf, ["table", "column"], "full_outer")
+    # a table without a contract is not ours.
+    both = columns.groupBy("table").agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi")).where("__lo < __hi")
+    j = columns.join(both.select("table"), "table", "left_semi")
     change = (
         F.when(F.col("contract_type").isNull(), F.lit("extra_column"))
         .when(F.col("table_type").isNull() & F.col("required"), F.lit("new_required"))

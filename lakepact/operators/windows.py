@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # Rows per block of the two-level prefix sum (by the order column's value range).
 BLOCK = 1 << 20
@@ -22,20 +22,34 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.join(r, on).drop(*[f"__r_{k}" for k in keys])
 
 
+def key_digests(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """The keys as they are shuffled: a string or binary key as its SHA-256 digest (32 bytes,
+    however long the text; NULL stays NULL), any other key as it is."""
+    wide = (T.StringType, T.BinaryType)
+    return {
+        f"__k{i}": F.unhex(F.sha2(F.col(f"`{k}`"), 256)) if isinstance(df.schema[k].dataType, wide) else F.col(f"`{k}`")
+        for i, k in enumerate(keys)
+    }
+
+
 def later_repeats(df: DataFrame, keys: Sequence[str], order: str, first_name: str = "first_seen") -> DataFrame:
     """Rows whose key already occurred at a smaller ``order``, with that first ``order``.
 
     Same result as ``min(order) OVER (PARTITION BY keys)`` + ``order > first``, planned as a
     partial aggregate (a hot key collapses map-side) joined back on the key. Only keys that
     repeat reach the join; a hot key on the row side is split by AQE's skew-join handling.
+    Texts are grouped and joined by digest: a whole text is shuffled only where the caller
+    keeps that column.
     """
+    by = key_digests(df, keys)
     firsts = (
-        df.groupBy(*keys)
-        .agg(F.min(order).alias(first_name), F.count(F.lit(1)).alias("__n"))
+        df.select(*[c.alias(n) for n, c in by.items()], F.col(order).alias(first_name))
+        .groupBy(*by)
+        .agg(F.min(first_name).alias(first_name), F.count(F.lit(1)).alias("__n"))
         .where(F.col("__n") > 1)
         .drop("__n")
     )
-    return null_safe_join(df, firsts, keys).where(F.col(order) > F.col(first_name))
+    return null_safe_join(df.withColumns(by), firsts, list(by)).where(F.col(order) > F.col(first_name)).drop(*by)
 
 
 def running_count(df: DataFrame, group: Sequence[str], order: str, flag: Column, out: str,

@@ -9,6 +9,8 @@ grow with the scale factor; nation rows give one table definition per document.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 # -- data dictionary: one document per brand -------------------------------------------
@@ -100,52 +102,65 @@ CELL_ROLES = [
 ]
 
 # -- column inventories vs contracts: one table per part --------------------------------
+# ``{rows:n}`` makes n rows of each part row, numbered k = 1..n, without a second scan.
 
 TABLE_COLUMNS_SQL = """
-SELECT 't' || CAST(p_partkey AS STRING) AS table_id, 'id' AS column_name, 'bigint' AS type_name FROM {part}
-UNION ALL SELECT 't' || CAST(p_partkey AS STRING), 'name', 'string' FROM {part}
-UNION ALL SELECT 't' || CAST(p_partkey AS STRING), 'size', CASE WHEN p_size > 40 THEN 'bigint' ELSE 'int' END FROM {part}
-UNION ALL SELECT 't' || CAST(p_partkey AS STRING), 'legacy_code', 'string' FROM {part} WHERE p_type = 'PROMO'
+SELECT 't' || CAST(p_partkey AS STRING) AS table_id,
+       CASE k WHEN 1 THEN 'id' WHEN 2 THEN 'name' WHEN 3 THEN 'size' ELSE 'legacy_code' END AS column_name,
+       CASE WHEN k = 1 OR (k = 3 AND p_size > 40) THEN 'bigint' WHEN k = 3 THEN 'int' ELSE 'string' END AS type_name
+FROM (SELECT p_partkey, p_size, p_type, {rows:4} AS k FROM {part}) p
+WHERE k < 4 OR p_type = 'PROMO'
 """
 
 DRIFT_FIELDS_SQL = """
-SELECT 't' || CAST(p_partkey AS STRING) AS contract, 'id' AS field, 1 AS position, 'BIGINT' AS physical_type, true AS required FROM {part}
-UNION ALL SELECT 't' || CAST(p_partkey AS STRING), 'name', 2, 'VARCHAR(55)', true FROM {part}
-UNION ALL SELECT 't' || CAST(p_partkey AS STRING), 'size', 3, 'INTEGER', false FROM {part}
-UNION ALL SELECT 't' || CAST(p_partkey AS STRING), 'price', 4, 'DECIMAL(12,2)', p_brand = 'Brand#1' FROM {part} WHERE p_size > 10
+SELECT 't' || CAST(p_partkey AS STRING) AS contract,
+       CASE k WHEN 1 THEN 'id' WHEN 2 THEN 'name' WHEN 3 THEN 'size' ELSE 'price' END AS field,
+       CAST(k AS INT) AS position,
+       CASE k WHEN 1 THEN 'BIGINT' WHEN 2 THEN 'VARCHAR(55)' WHEN 3 THEN 'INTEGER' ELSE 'DECIMAL(12,2)' END AS physical_type,
+       CASE k WHEN 1 THEN true WHEN 2 THEN true WHEN 3 THEN false ELSE p_brand = 'Brand#1' END AS required
+FROM (SELECT p_partkey, p_size, p_brand, {rows:4} AS k FROM {part}) p
+WHERE k < 4 OR p_size > 10
 """
 
 # -- registry snapshots: one contract per part ------------------------------------------
 
-_SNAP_COLS = "contract, field, position, logical_type, physical_type, required, key_position"
-
-OLD_SNAPSHOT_SQL = """
-SELECT 'c' || CAST(p_partkey AS STRING) AS contract, 'id' AS field, 1 AS position, 'number' AS logical_type, 'BIGINT' AS physical_type, true AS required, 1 AS key_position FROM {part}
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'name', 2, 'string', 'STRING', true, CAST(NULL AS INT) FROM {part}
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'size', 3, 'number', 'INT', false, CAST(NULL AS INT) FROM {part}
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'note', 4, 'string', 'STRING', false, CAST(NULL AS INT) FROM {part} WHERE p_size < 10
+_SNAPSHOT_SQL = """
+SELECT 'c' || CAST(p_partkey AS STRING) AS contract,
+       CASE k WHEN 1 THEN 'id' WHEN 2 THEN 'name' WHEN 3 THEN 'size' ELSE 'note' END AS field,
+       CAST(CASE WHEN k = 2 THEN NAME_POSITION ELSE k END AS INT) AS position,
+       CASE WHEN k = 1 OR k = 3 THEN 'number' ELSE 'string' END AS logical_type,
+       CASE k WHEN 1 THEN 'BIGINT' WHEN 3 THEN 'INT' ELSE 'STRING' END AS physical_type,
+       k < 3 AS required,
+       CASE WHEN k = 1 THEN 1 END AS key_position
+FROM (SELECT p_partkey, p_size, p_brand, {rows:4} AS k FROM {part}) p
+WHERE k < 4 OR p_size < 10
 """
 
+OLD_SNAPSHOT_SQL = _SNAPSHOT_SQL.replace("NAME_POSITION", "2")
+
 NEW_SNAPSHOT_SQL = """
-SELECT 'c' || CAST(p_partkey AS STRING) AS contract, 'id' AS field, 1 AS position, 'number' AS logical_type, 'BIGINT' AS physical_type, true AS required, 1 AS key_position FROM {part} WHERE p_size <> 1
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'name', 2, 'string', CASE WHEN p_type = 'PROMO' THEN 'INT' ELSE 'VARCHAR(40)' END, true, CAST(NULL AS INT) FROM {part} WHERE p_size <> 1
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'size', 3, 'number', 'INTEGER', p_type = 'SMALL', CAST(NULL AS INT) FROM {part} WHERE p_size <> 1
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'price', 5, 'number', 'DECIMAL(12,2)', p_brand = 'Brand#2', CAST(NULL AS INT) FROM {part} WHERE p_size <> 1
-UNION ALL SELECT 'n' || CAST(p_partkey AS STRING), 'id', 1, 'number', 'BIGINT', true, 1 FROM {part} WHERE p_size = 50
+SELECT CASE WHEN k = 5 THEN 'n' ELSE 'c' END || CAST(p_partkey AS STRING) AS contract,
+       CASE k WHEN 2 THEN 'name' WHEN 3 THEN 'size' WHEN 4 THEN 'price' ELSE 'id' END AS field,
+       CASE k WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 5 ELSE 1 END AS position,
+       CASE WHEN k = 2 THEN 'string' ELSE 'number' END AS logical_type,
+       CASE k WHEN 2 THEN CASE WHEN p_type = 'PROMO' THEN 'INT' ELSE 'VARCHAR(40)' END
+              WHEN 3 THEN 'INTEGER' WHEN 4 THEN 'DECIMAL(12,2)' ELSE 'BIGINT' END AS physical_type,
+       CASE k WHEN 3 THEN p_type = 'SMALL' WHEN 4 THEN p_brand = 'Brand#2' ELSE true END AS required,
+       CASE WHEN k = 1 OR k = 5 THEN 1 END AS key_position
+FROM (SELECT p_partkey, p_size, p_brand, p_type, {rows:5} AS k FROM {part}) p
+WHERE (k < 5 AND p_size <> 1) OR (k = 5 AND p_size = 50)
 """
 
-REGENERATED_SNAPSHOT_SQL = """
-SELECT 'c' || CAST(p_partkey AS STRING) AS contract, 'id' AS field, 1 AS position, 'number' AS logical_type, 'BIGINT' AS physical_type, true AS required, 1 AS key_position FROM {part}
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'name', CASE WHEN p_brand = 'Brand#3' THEN 5 ELSE 2 END, 'string', 'STRING', true, CAST(NULL AS INT) FROM {part}
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'size', 3, 'number', 'INT', false, CAST(NULL AS INT) FROM {part}
-UNION ALL SELECT 'c' || CAST(p_partkey AS STRING), 'note', 4, 'string', 'STRING', false, CAST(NULL AS INT) FROM {part} WHERE p_size < 10
-"""
+REGENERATED_SNAPSHOT_SQL = _SNAPSHOT_SQL.replace("NAME_POSITION", "CASE WHEN p_brand = 'Brand#3' THEN 5 ELSE 2 END")
+
+_ROWS = re.compile(r"\{rows:(\d+)\}")
 
 
 def for_duckdb(sql: str) -> str:
+    sql = _ROWS.sub(r"unnest(generate_series(1, \1))", sql)
     return sql.replace("{part}", "part").replace("{nation}", "nation")
 
 
 def spark_derive(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
     """Run a derivation over DataFrames bound as SQL parameters (no global views)."""
-    return spark.sql(sql, **frames)
+    return spark.sql(_ROWS.sub(r"explode(sequence(1, \1))", sql), **frames)
