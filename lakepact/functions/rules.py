@@ -28,7 +28,7 @@ CRITICALITIES = ["EDC", "EDNC"]
 REQUIRED_LAYER = "LANDING"
 SUPPORTED_TEMPLATE_VERSIONS = ["3"]
 
-# Landing format (normalised, blanks as "_") → (logical type, physical type).
+# Landing format (normalised, blanks as "_") → (logical type, physical type).
 # DECIMAL's physical type comes from the landing length "p,s".
 TYPE_MAP = [
     ("string", "string", "STRING"),
@@ -43,10 +43,15 @@ TYPE_MAP = [
     ("time", "string", "STRING"),
 ]
 
+# The two patterns of the template.
 IDENTIFIER = r"^[a-z][a-z0-9_]*$"
 DECIMAL_LENGTH = r"^\s*(\d+)\s*[,.;]\s*(\d+)\s*$"
 
-# Cells that must be filled.
+# Tags of a table and of anything sensitive, and the rule every table carries.
+TABLE_TAG, SENSITIVE_TAG = "dataentry", "dac"
+NOT_EMPTY_RULE = "tabla_no_vacia"
+
+# Cells that must be filled.
 TABLE_MANDATORY = [
     "dominio", "capa", "empresa", "schema_landing", "tabla_fuente", "tabla_landing",
     "descripcion", "tipo_fuente", "tipo_carga", "frecuencia",
@@ -55,9 +60,9 @@ FIELD_MANDATORY = [
     "nombre_fuente", "nombre_modelado", "formato_landing", "definicion", "descartado",
     "pk", "dac", "nulos", "clasificacion",
 ]
-# Yes/no cells of a field row.
+# yes/no cells of a field row.
 FIELD_FLAGS = ["descartado", "pk", "dac", "nulos", "vacios", "llave_tecnica", "trazabilidad"]
-# Table cells checked against a list: (cell, allowed values).
+# Table cells checked against a list: (cell, allowed values).
 TABLE_LISTS = [
     ("dominio", DOMAINS),
     ("empresa", COMPANIES),
@@ -66,7 +71,7 @@ TABLE_LISTS = [
     ("tipo_carga", LOAD_KINDS),
     ("frecuencia", FREQUENCIES),
 ]
-# Field cells that become column custom properties, in output order: (property, cell).
+# Field cells that become column custom properties, in output order: (property, cell).
 # ``campoTecnico`` has no cell: it is "true" when the source cell names a technical field.
 FIELD_ATTRIBUTES = [
     ("fuente", "fuente"), ("campoTecnico", None), ("dac", "dac"), ("contieneVacios", "vacios"),
@@ -77,6 +82,7 @@ FIELD_ATTRIBUTES = [
 ]
 TECHNICAL_SOURCE = "(campo tecnico)"
 
+# The cells of a table row and of a field row.
 TABLE_CELLS = [
     "ruta_broad", "contenedor_broad", "dominio", "capa", "empresa", "schema_landing",
     "tabla_fuente", "tabla_landing", "registros", "historia", "ruta_landing", "descripcion",
@@ -89,7 +95,7 @@ FIELD_CELLS = [
     "criticidad", "sustento_criticidad", "clasificacion",
 ]
 
-# Table-level custom properties of a produced contract, in output order:
+# Table-level custom properties of a produced contract, in output order:
 # (property, source) where source is a table cell, or one of the derived values
 # "=LANDING", "=DED" (constants), "schema_kind", "any_dac", "discarded_names".
 TABLE_PROPERTIES = [
@@ -99,5 +105,5 @@ TABLE_PROPERTIES = [
     ("registrosCargaInicial", "registros"), ("rutaBroad", "ruta_broad"),
     ("contenedorBroad", "contenedor_broad"), ("rutaLanding", "ruta_landing"), ("dac", "any_dac"),
     ("productOwner", "product_owner"), ("squad", "squad"), ("camposDescartados", "discarded_names"),
-    ("versionPlantillaDED", "template_version"),
+    ("documentoAlcance", "document"), ("versionPlantillaDED", "template_version"),
 ]

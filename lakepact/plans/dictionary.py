@@ -61,17 +61,10 @@ def prepare_fields(field_defs: DataFrame) -> DataFrame:
     return fd.withColumn("active", F.coalesce(F.col("descartado"), F.lit("")) != "SI")
 
 
-def prepare(table_defs: DataFrame, field_defs: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Both inputs prepared once. With ``materialize`` the prepared field rows (the side
-    that grows: one row per field of every document) are written to the shared folder and
-    read back, so the dozen rule branches below scan them instead of each re-deriving and
-    re-normalising every cell. Table rows (one per document) are cheap to re-derive."""
-    td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
-    if materialize:
-        from ..session import materialize as _m
-
-        fd = _m(fd, "field_defs")
-    return td, fd
+def prepare(table_defs: DataFrame, field_defs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both inputs prepared. Nothing is written: the row rules share one scan, and the few keyed
+    rules read only the columns they need."""
+    return prepare_tables(table_defs), prepare_fields(field_defs)
 
 
 def active_fields(field_defs: DataFrame) -> DataFrame:
@@ -84,16 +77,23 @@ def landing_format(c: Column) -> Column:
     return F.replace(norm_or_empty(c), F.lit(" "), F.lit("_"))
 
 
-def _issue(df: DataFrame, sheet: str, cell: str | Column, rule: str, message: Column,
-           severity: str = "error") -> DataFrame:
+def _found(cond: Column, cell: str, rule: str, message: Column | str, severity: str = "error") -> Column:
+    """An issue of one row when ``cond`` holds, else NULL."""
+    text = F.lit(message) if isinstance(message, str) else message
+    return F.when(cond, F.struct(F.lit(cell).alias("cell"), F.lit(rule).alias("rule"),
+                                 F.lit(severity).alias("severity"), text.alias("message")))
+
+
+def _quoted(before: str, c: Column, after: str) -> Column:
+    return F.concat(F.lit(before), F.coalesce(c, F.lit("")), F.lit(after))
+
+
+def _issues_of(df: DataFrame, sheet: str, found: list[Column], row: Column | None = None) -> DataFrame:
+    """Issue rows of ``df``'s rows: every rule is looked at in the same pass over each row."""
     return df.select(
-        F.col("document"),
-        F.lit(sheet).alias("sheet"),
-        F.col("row").cast("int").alias("row"),
-        (F.lit(cell) if isinstance(cell, str) else cell).alias("cell"),
-        F.lit(rule).alias("rule"),
-        F.lit(severity).alias("severity"),
-        message.alias("message"),
+        "document", F.lit(sheet).alias("sheet"),
+        (F.col("row") if row is None else row).cast("int").alias("row"),
+        F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())),
     )
 
 
@@ -105,14 +105,6 @@ def _union(parts: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def _unpivot(df: DataFrame, cells: list[str], value: str = "value") -> DataFrame:
-    """(document, row, cell, value) for the listed cells."""
-    return df.select(
-        "document", "row",
-        F.inline(F.array(*[F.struct(F.lit(c).alias("cell"), F.col(c).alias(value)) for c in cells])),
-    )
-
-
 def with_roles(issues: DataFrame, cell_roles: DataFrame | None) -> DataFrame:
     """Attach the role responsible for a cell (``?`` when unknown). The role table comes from
     the caller, so no broadcast is forced: AQE broadcasts it when its measured size is small."""
@@ -131,38 +123,53 @@ def with_roles(issues: DataFrame, cell_roles: DataFrame | None) -> DataFrame:
 # --------------------------------------------------------------------------------------
 
 
-def flag_issues(fd: DataFrame) -> DataFrame:
-    """M2: a filled yes/no cell that is neither SI nor NO (checked on every row)."""
-    cells = _unpivot(
-        fd.select("document", "row", *[F.struct(F.col(f"{c}__raw").alias("raw"), F.col(c).alias("flag")).alias(c)
-                                       for c in R.FIELD_FLAGS]),
-        R.FIELD_FLAGS,
-    )
-    bad = cells.where(F.col("value.raw").isNotNull() & F.col("value.flag").isNull())
-    return _issue(bad, FIELD_SHEET, F.col("cell"), "yes_no",
-                  F.concat(F.lit("must be SI or NO (value: '"), F.col("value.raw"), F.lit("')")))
-
-
-def mandatory_issues(td: DataFrame, fd: DataFrame) -> DataFrame:
-    """M5: listed cells must be filled (table row; active field rows, flags as mapped)."""
-    t = _unpivot(td, R.TABLE_MANDATORY).where(F.col("value").isNull())
-    f = _unpivot(active_fields(fd), R.FIELD_MANDATORY).where(F.col("value").isNull())
-    return _issue(t, TABLE_SHEET, F.col("cell"), "mandatory", F.lit("missing value")).unionByName(
-        _issue(f, FIELD_SHEET, F.col("cell"), "mandatory", F.lit("missing value"))
-    )
-
-
-def identifier_issues(td: DataFrame, fd: DataFrame) -> DataFrame:
-    """M7: table and field names must be lower snake_case."""
-    t = td.where(F.col("tabla_landing").isNotNull() & ~F.col("tabla_landing").rlike(R.IDENTIFIER))
-    f = active_fields(fd).where(
-        F.col("nombre_modelado").isNotNull() & ~F.col("nombre_modelado").rlike(R.IDENTIFIER)
-    )
-    msg_t = F.concat(F.lit("table name '"), F.col("tabla_landing"), F.lit("' must be lower snake_case"))
-    msg_f = F.concat(F.lit("field name '"), F.col("nombre_modelado"), F.lit("' must be lower snake_case"))
-    return _issue(t, TABLE_SHEET, "tabla_landing", "identifier", msg_t).unionByName(
-        _issue(f, FIELD_SHEET, "nombre_modelado", "identifier", msg_f)
-    )
+def field_issues(fd: DataFrame) -> DataFrame:
+    """Every rule that looks at one field row: M2 (all rows); M5, M7, M9, M10, M11 and the M13
+    warning (active rows)."""
+    on = F.col("active")
+    name, fmt, cls, crit = (F.col(c) for c in ("nombre_modelado", "formato_landing", "clasificacion", "criticidad"))
+    known_fmt = landing_format(fmt)
+    length = F.coalesce(F.col("longitud_landing"), F.lit(""))
+    norm_cls = normalise_text(cls)
+    found = [
+        _found(F.col(f"{c}__raw").isNotNull() & F.col(c).isNull(), c, "yes_no",
+               _quoted("must be SI or NO (value: '", F.col(f"{c}__raw"), "')"))
+        for c in R.FIELD_FLAGS
+    ]
+    found += [_found(on & F.col(c).isNull(), c, "mandatory", "missing value") for c in R.FIELD_MANDATORY]
+    found += [
+        _found(on & name.isNotNull() & ~name.rlike(R.IDENTIFIER), "nombre_modelado", "identifier",
+               _quoted("field name '", name, "' must be lower snake_case")),
+        _found(on & fmt.isNotNull() & ~known_fmt.isin([f for f, _, _ in R.TYPE_MAP]), "formato_landing",
+               "unknown_format", _quoted("'", fmt, "' is not a valid type")),
+        _found(on & fmt.isNotNull() & (known_fmt == "decimal") & ~length.rlike(R.DECIMAL_LENGTH), "longitud_landing",
+               "decimal_length", _quoted("a Decimal needs its length as 'p,s' (value: '", length, "')")),
+        _found(on & cls.isNotNull() & ~norm_cls.isin(list(R.CLASSIFICATIONS)), "clasificacion", "classification",
+               _quoted("'", cls, "' is not in the list")),
+        _found(on & crit.isNotNull() & ~crit.isin(R.CRITICALITIES), "criticidad", "criticality",
+               _quoted("'", crit, "' must be EDC or EDNC")),
+        _found(on & (F.col("dac") == "SI") & (norm_cls == "publico"), "clasificacion", "sensitive_public",
+               "marked sensitive but classified public", "warning"),
+    ]
+    return _issues_of(fd, FIELD_SHEET, found)
+
+
+def table_issues(td: DataFrame) -> DataFrame:
+    """Every rule that looks at one table row: M5, M6, M7, M11 (layer)."""
+    name, layer = F.col("tabla_landing"), F.col("capa")
+    found = [_found(F.col(c).isNull(), c, "mandatory", "missing value") for c in R.TABLE_MANDATORY]
+    found += [
+        _found(F.col(c).isNotNull() & ~F.col(c).isin(values), c, "allowed_values",
+               _quoted("'", F.col(c), "' is not in the list"))
+        for c, values in R.TABLE_LISTS
+    ]
+    found += [
+        _found(name.isNotNull() & ~name.rlike(R.IDENTIFIER), "tabla_landing", "identifier",
+               _quoted("table name '", name, "' must be lower snake_case")),
+        _found(layer.isNotNull() & (F.upper(layer) != R.REQUIRED_LAYER), "capa", "layer",
+               _quoted("layer must be LANDING (value: '", layer, "')")),
+    ]
+    return _issues_of(td, TABLE_SHEET, found)
 
 
 def duplicate_name_issues(fd: DataFrame) -> DataFrame:
@@ -174,7 +181,7 @@ def duplicate_name_issues(fd: DataFrame) -> DataFrame:
     rep = later_repeats(named, ["document", "nombre_modelado"], "row", "first_row")
     msg = F.concat(F.lit("field name '"), F.col("nombre_modelado"),
                    F.lit("' is repeated (also in row "), F.col("first_row").cast("string"), F.lit(")"))
-    return _issue(rep, FIELD_SHEET, "nombre_modelado", "repeated_name", msg)
+    return _issues_of(rep, FIELD_SHEET, [_found(F.lit(True), "nombre_modelado", "repeated_name", msg)])
 
 
 def type_map_frame(spark: SparkSession) -> DataFrame:
@@ -182,55 +189,6 @@ def type_map_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(R.TYPE_MAP, "format string, logical_type string, physical_type string")
 
 
-def format_issues(fd: DataFrame) -> DataFrame:
-    """M10 unknown landing format; M9 a decimal needs its length as ``p,s``."""
-    spark = fd.sparkSession
-    a = active_fields(fd).where(F.col("formato_landing").isNotNull()).withColumn(
-        "__fmt", landing_format(F.col("formato_landing"))
-    )
-    known = a.join(F.broadcast(type_map_frame(spark).select(F.col("format").alias("__fmt"))), "__fmt", "left_semi")
-    unknown = a.join(F.broadcast(type_map_frame(spark).select(F.col("format").alias("__fmt"))), "__fmt", "left_anti")
-    bad_dec = known.where(
-        (F.col("__fmt") == "decimal")
-        & ~F.coalesce(F.col("longitud_landing"), F.lit("")).rlike(R.DECIMAL_LENGTH)
-    )
-    return _issue(unknown, FIELD_SHEET, "formato_landing", "unknown_format",
-                  F.concat(F.lit("'"), F.col("formato_landing"), F.lit("' is not a valid type"))).unionByName(
-        _issue(bad_dec, FIELD_SHEET, "longitud_landing", "decimal_length",
-               F.concat(F.lit("a Decimal needs its length as 'p,s' (value: '"),
-                        F.coalesce(F.col("longitud_landing"), F.lit("")), F.lit("')")))
-    )
-
-
-def list_issues(td: DataFrame) -> DataFrame:
-    """M6 table cells in their fixed lists; M11 layer must be LANDING."""
-    spark = td.sparkSession
-    allowed = spark.createDataFrame(
-        [(cell, v) for cell, values in R.TABLE_LISTS for v in values], "cell string, value string"
-    )
-    cells = _unpivot(td, [c for c, _ in R.TABLE_LISTS]).where(F.col("value").isNotNull())
-    bad = cells.join(F.broadcast(allowed), ["cell", "value"], "left_anti")
-    layer = td.where(F.col("capa").isNotNull() & (F.upper(F.col("capa")) != R.REQUIRED_LAYER))
-    return _issue(bad, TABLE_SHEET, F.col("cell"), "allowed_values",
-                  F.concat(F.lit("'"), F.col("value"), F.lit("' is not in the list"))).unionByName(
-        _issue(layer, TABLE_SHEET, "capa", "layer",
-               F.concat(F.lit("layer must be LANDING (value: '"), F.col("capa"), F.lit("')")))
-    )
-
-
-def classification_issues(fd: DataFrame) -> DataFrame:
-    """Classification in its 3 values (normalised); criticality in its 2 (exact)."""
-    a = active_fields(fd)
-    cls = a.where(F.col("clasificacion").isNotNull()
-                  & ~normalise_text(F.col("clasificacion")).isin(list(R.CLASSIFICATIONS)))
-    crit = a.where(F.col("criticidad").isNotNull() & ~F.col("criticidad").isin(R.CRITICALITIES))
-    return _issue(cls, FIELD_SHEET, "clasificacion", "classification",
-                  F.concat(F.lit("'"), F.col("clasificacion"), F.lit("' is not in the list"))).unionByName(
-        _issue(crit, FIELD_SHEET, "criticidad", "criticality",
-               F.concat(F.lit("'"), F.col("criticidad"), F.lit("' must be EDC or EDNC")))
-    )
-
-
 def classification(fd: DataFrame, strict: bool = False) -> Column:
     """Mapped classification, raised from public to restricted for sensitive fields.
 
@@ -243,41 +201,36 @@ def classification(fd: DataFrame, strict: bool = False) -> Column:
     return F.when((F.col("dac") == "SI") & raise_it, F.lit("restricted")).otherwise(base)
 
 
-def sensitivity_warnings(fd: DataFrame) -> DataFrame:
-    """Sensitive but public → warning (the contract raises it to restricted)."""
-    w = active_fields(fd).where(
-        (F.col("dac") == "SI") & (normalise_text(F.col("clasificacion")) == "publico")
-    )
-    return _issue(w, FIELD_SHEET, "clasificacion", "sensitive_public",
-                  F.lit("marked sensitive but classified public"), severity="warning")
+def version_issues(td: DataFrame) -> DataFrame:
+    """Template version not tested (a warning about the document, not about a row)."""
+    if "template_version" not in td.columns:
+        td = td.withColumn("template_version", F.lit(None).cast("string"))
+    v = F.col("template_version")
+    return _issues_of(td, TABLE_SHEET, [
+        _found(v.isNotNull() & ~v.isin(R.SUPPORTED_TEMPLATE_VERSIONS), "template_version", "template_version",
+               _quoted("template version ", v, " not tested"), "warning")], row=F.lit(None))
 
 
-def document_warnings(td: DataFrame, fd: DataFrame) -> DataFrame:
-    """No key among the active fields; template version not tested."""
-    per_doc = active_fields(fd).groupBy("document").agg(
-        F.bool_or(F.coalesce(F.col("pk") == "SI", F.lit(False))).alias("has_key")
-    )
-    no_key = per_doc.where(~F.col("has_key"))
-    parts = [_issue(no_key.withColumn("row", F.lit(None)), FIELD_SHEET, "pk", "no_key",
-                    F.lit("no field is a primary key: duplicates will not be checked"), "warning")]
-    if "template_version" in td.columns:
-        v = td.where(F.col("template_version").isNotNull()
-                     & ~F.col("template_version").isin(R.SUPPORTED_TEMPLATE_VERSIONS))
-        parts.append(_issue(v.withColumn("row", F.lit(None)), TABLE_SHEET, "template_version",
-                            "template_version",
-                            F.concat(F.lit("template version "), F.col("template_version"),
-                                     F.lit(" not tested")), "warning"))
-    return _union(parts)
+def document_issues(td: DataFrame, fd: DataFrame) -> DataFrame:
+    """M18 no key among a document's active fields (warning); M19 a document without field rows."""
+    rows = fd.select("document", F.lit(1).alias("field"), F.col("active").cast("int").alias("live"),
+                     (F.col("active") & F.coalesce(F.col("pk") == "SI", F.lit(False))).cast("int").alias("key"))
+    zero = F.lit(0)
+    every = rows.unionByName(td.select("document", zero.alias("field"), zero.alias("live"), zero.alias("key")))
+    per = every.groupBy("document").agg(*[F.max(c).alias(c) for c in ("field", "live", "key")])
+    return _issues_of(per, FIELD_SHEET, [
+        _found((F.col("live") == 1) & (F.col("key") == 0), "pk", "no_key",
+               "no field is a primary key: duplicates will not be checked", "warning"),
+        _found(F.col("field") == 0, "id", "no_fields", "the document has no fields"),
+    ], row=F.lit(None))
 
 
 def lint(table_defs: DataFrame, field_defs: DataFrame, cell_roles: DataFrame | None = None) -> DataFrame:
-    """Every rule reports (errors and warnings together), one row per issue."""
+    """Every rule reports (errors and warnings together), one row per issue. The field rows
+    are scanned once for all row rules, and by narrow scans for repeats (M8) and documents."""
     td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
-    issues = _union([
-        flag_issues(fd), mandatory_issues(td, fd), identifier_issues(td, fd),
-        duplicate_name_issues(fd), format_issues(fd), list_issues(td),
-        classification_issues(fd), sensitivity_warnings(fd), document_warnings(td, fd),
-    ])
+    issues = _union([field_issues(fd), table_issues(td), duplicate_name_issues(fd), version_issues(td),
+                     document_issues(td, fd)])
     return with_roles(issues, cell_roles)
 
 
@@ -318,26 +271,38 @@ def documents_with_errors(issues: DataFrame) -> DataFrame:
     return issues.where(F.col("severity") == "error").select("document").distinct()
 
 
+def without_errors(rows: DataFrame, table_defs: DataFrame, field_defs: DataFrame,
+                   issues: DataFrame | None = None) -> DataFrame:
+    """The rows whose document has no error; such a document produces nothing at all."""
+    issues = issues if issues is not None else lint(table_defs, field_defs)
+    return rows.join(documents_with_errors(issues), "document", "left_anti")
+
+
 def contract_fields(table_defs: DataFrame, field_defs: DataFrame, issues: DataFrame | None = None) -> DataFrame:
     """M19 + M10/M13/M14: ``contract_fields`` rows of the documents without errors
-    (contract = landing table name)."""
+    (contract = landing table name; ``tags`` marks sensitive fields)."""
     td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
-    issues = issues if issues is not None else lint(table_defs, field_defs)
     typed = field_types(key_positions(fd).drop("active").withColumn("active", F.lit(True)))
     rows = typed.join(td.select("document", F.col("tabla_landing").alias("contract")), "document")
-    rows = rows.join(documents_with_errors(issues), "document", "left_anti")
+    rows = without_errors(rows, td, fd, issues)
     return rows.select(
         "document", "contract", F.col("nombre_modelado").alias("field"), F.col("row"),
         "logical_type", "physical_type", (F.col("nulos") == "NO").alias("required"),
         F.col("key_position").cast("int").alias("key_position"),
-        classification(rows).alias("classification"), "max_length",
+        classification(rows).alias("classification"), "max_length", field_tags().alias("tags"),
     )
 
 
-def attribute_pairs(fd: DataFrame) -> DataFrame:
+def field_tags() -> Column:
+    """The tag of a sensitive field, else NULL."""
+    return F.when(F.col("dac") == "SI", F.lit(R.SENSITIVE_TAG))
+
+
+def attribute_pairs(table_defs: DataFrame, field_defs: DataFrame, issues: DataFrame | None = None) -> DataFrame:
     """(property, value) of the applicable custom cells of active fields, in template
-    order, plus ``campoTecnico`` for technical fields."""
-    a = active_fields(fd)
+    order, plus ``campoTecnico`` for technical fields (documents without errors)."""
+    td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
+    a = without_errors(active_fields(fd), td, fd, issues)
     structs = []
     for i, (prop, cell) in enumerate(R.FIELD_ATTRIBUTES):
         if cell is None:
@@ -352,62 +317,72 @@ def attribute_pairs(fd: DataFrame) -> DataFrame:
     )
 
 
-def derive_checks(table_defs: DataFrame, field_defs: DataFrame) -> DataFrame:
+def derive_checks(table_defs: DataFrame, field_defs: DataFrame, extra_rules: DataFrame | None = None,
+                  issues: DataFrame | None = None) -> DataFrame:
     """Check rows a document's contract will carry: required (nulls not allowed),
-    allowed values (catalogue cell), maximum length (numeric string length), the key, and
-    the table's non-empty rule."""
+    allowed values (catalogue cell), maximum length (numeric string length), the key, the
+    table's non-empty rule, and after it the business rules that ``extra_rules(document, check,
+    kind, field, argument)`` adds to a document. Documents with errors carry none."""
     td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
-    typed = field_types(fd)
     name = F.col("nombre_modelado")
-    req = typed.where(F.col("nulos") == "NO").select(
-        "document", F.concat(name, F.lit(":required")).alias("check"), F.lit("required").alias("kind"),
-        name.alias("field"), F.lit(None).cast("string").alias("argument"))
-    vals = typed.withColumn("__v", split_values(F.col("catalogo"))).where(
-        F.col("catalogo").isNotNull() & F.col("__v").isNotNull()
-    ).select(
-        "document", F.concat(name, F.lit("_catalogo")).alias("check"), F.lit("valid_values").alias("kind"),
-        name.alias("field"), F.array_join(F.col("__v"), "|").alias("argument"))
-    mx = typed.where(F.col("max_length").isNotNull()).select(
-        "document", F.concat(name, F.lit(":max_length")).alias("check"), F.lit("max_length").alias("kind"),
-        name.alias("field"), F.col("max_length").cast("string").alias("argument"))
+
+    def check(cond: Column, title: Column, kind: str, argument: Column) -> Column:
+        return F.when(cond, F.struct(title.alias("check"), F.lit(kind).alias("kind"), name.alias("field"),
+                                     argument.cast("string").alias("argument")))
+
+    values = split_values(F.col("catalogo"))
+    of_fields = field_types(fd).select("document", F.inline(F.filter(F.array(
+        check(F.col("nulos") == "NO", F.concat(name, F.lit(":required")), "required", F.lit(None)),
+        check(F.col("catalogo").isNotNull() & values.isNotNull(), F.concat(name, F.lit("_catalogo")), "valid_values",
+              F.array_join(values, "|")),
+        check(F.col("max_length").isNotNull(), F.concat(name, F.lit(":max_length")), "max_length", F.col("max_length")),
+    ), lambda x: x.isNotNull())))
     keys = ordered_join(key_positions(fd).where(F.col("key_position").isNotNull()),
                         ["document"], "key_position", "nombre_modelado", "+", "argument")
     keys = keys.select("document", F.concat(F.col("argument"), F.lit(":unique")).alias("check"),
                        F.lit("unique").alias("kind"), F.col("argument").alias("field"), "argument")
-    rows = td.select("document", F.lit("tabla_no_vacia").alias("check"), F.lit("row_count").alias("kind"),
+    rows = td.select("document", F.lit(R.NOT_EMPTY_RULE).alias("check"), F.lit("row_count").alias("kind"),
                      F.lit(None).cast("string").alias("field"), F.lit("> 0").alias("argument"))
-    return _union([req, vals, mx, keys, rows])
+    parts = [of_fields, keys, rows]
+    if extra_rules is not None:
+        extra = extra_rules.select("document", "check", "kind", "field", "argument")
+        parts.append(extra.join(td.select("document").distinct(), "document", "left_semi"))
+    return without_errors(_union(parts), td, fd, issues)
 
 
 def document_rollup(table_defs: DataFrame, field_defs: DataFrame) -> DataFrame:
     """Per document: counts, any sensitive field, discarded source names in row
-    order, whether a key exists, and the number of warnings."""
+    order, whether a key exists, the number of warnings and the table's tags."""
     td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
+    live_public = F.col("active") & (F.col("dac") == "SI") & (normalise_text(F.col("clasificacion")) == "publico")
     per = fd.groupBy("document").agg(
         F.count(F.lit(1)).alias("n_fields"),
         F.count_if(F.col("active")).alias("n_active"),
         F.count_if(~F.col("active")).alias("n_discarded"),
         F.coalesce(F.bool_or(F.col("active") & (F.col("dac") == "SI")), F.lit(False)).alias("has_dac"),
         F.coalesce(F.bool_or(F.col("active") & (F.col("pk") == "SI")), F.lit(False)).alias("has_key"),
+        F.count_if(live_public).alias("__public"),
     )
     # the discarded source names of a document, in row order: one value per document
     names = ordered_join(fd.where(~F.col("active")), ["document"], "row", "nombre_fuente", ", ",
                          "discarded_names")
-    per = per.join(names, "document", "left")
-    warn = _union([sensitivity_warnings(fd), document_warnings(td, fd)]).groupBy("document").agg(
-        F.count(F.lit(1)).alias("n_warnings"))
-    return per.join(warn, "document", "left").withColumn(
-        "n_warnings", F.coalesce(F.col("n_warnings"), F.lit(0))
+    untested = version_issues(td).groupBy("document").agg(F.count(F.lit(1)).alias("__untested"))
+    no_key = ((F.col("n_active") > 0) & ~F.col("has_key")).cast("bigint")
+    return (
+        per.join(names, "document", "left").join(untested, "document", "left")
+        .withColumn("n_warnings", F.col("__public") + no_key + F.coalesce(F.col("__untested"), F.lit(0)))
+        .withColumn("tags", F.concat(F.lit(R.TABLE_TAG), F.when(F.col("has_dac"), F.lit("," + R.SENSITIVE_TAG)).otherwise(F.lit(""))))
+        .drop("__public", "__untested")
     )
 
 
-def table_properties(table_defs: DataFrame, field_defs: DataFrame) -> DataFrame:
+def table_properties(table_defs: DataFrame, field_defs: DataFrame, issues: DataFrame | None = None) -> DataFrame:
     """M17/M20 at table level: the custom properties a document's contract carries, in
-    template order, leaving out empty and not-applicable values."""
+    template order, leaving out empty and not-applicable values (documents without errors)."""
     td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
     roll = document_rollup(td, fd).select("document", "has_dac", "discarded_names")
     kinds = F.create_map(*[F.lit(x) for kv in R.LANDING_SCHEMAS.items() for x in kv])
-    t = td.join(roll, "document", "left")
+    t = without_errors(td, td, fd, issues).join(roll, "document", "left")
     structs = []
     for i, (prop, src) in enumerate(R.TABLE_PROPERTIES):
         if src.startswith("="):

@@ -13,13 +13,14 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-# -- data dictionary: one document per brand -------------------------------------------
+# -- data dictionary: documents of up to 80 fields, one brand and 2,000 part keys each -----
 
 _B = "CAST(substr(p_brand, 7) AS INT)"
+_BLOCK = "CAST(p_partkey - p_partkey % 2000 AS STRING)"
 
 FIELD_DEFS_SQL = f"""
 SELECT
-  p_brand AS document,
+  p_brand || '/' || {_BLOCK} AS document,
   CAST(p_partkey AS INT) + 10 AS row,
   CAST(p_partkey AS STRING) AS id,
   CASE WHEN p_type = 'STANDARD' THEN '(Campo técnico)' ELSE 'Sistema ' || lower(p_type) END AS fuente,
@@ -60,9 +61,10 @@ SELECT
 FROM {{part}}
 """
 
-TABLE_DEFS_SQL = """
+# One table row per document of fields, and one of a document without fields per nation.
+TABLE_DEFS_SQL = f"""
 SELECT
-  'Brand#' || CAST(n_nationkey + 1 AS STRING) AS document,
+  'Brand#' || CAST(n_nationkey + 1 AS STRING) || block AS document,
   8 AS row,
   'broad/demo/' || lower(n_name) AS ruta_broad,
   'broad' AS contenedor_broad,
@@ -72,7 +74,7 @@ SELECT
   CASE WHEN n_nationkey > 22 THEN NULL ELSE 'demo' END AS empresa,
   CASE n_regionkey WHEN 1 THEN 'dataentry_ext' WHEN 2 THEN 'dataentry_usr' ELSE 'dataentry_int' END AS schema_landing,
   n_name AS tabla_fuente,
-  CASE WHEN n_regionkey = 3 THEN n_name ELSE lower(n_name) END AS tabla_landing,
+  CASE WHEN n_regionkey = 3 THEN n_name ELSE lower(n_name) || replace(block, '/', '_') END AS tabla_landing,
   CAST(n_nationkey * 10 AS STRING) AS registros,
   'NO' AS historia,
   'landing/demo/' || lower(n_name) AS ruta_landing,
@@ -84,7 +86,18 @@ SELECT
   'PO ' || n_name AS product_owner,
   'DATOS' AS squad,
   CASE WHEN n_nationkey > 20 THEN '2' ELSE '3' END AS template_version
-FROM {nation}
+FROM {{nation}} n JOIN (
+  SELECT DISTINCT p_brand AS brand, '/' || {_BLOCK} AS block FROM {{part}}
+  UNION ALL SELECT 'Brand#' || CAST(n_nationkey + 1 AS STRING), '' FROM {{nation}}
+) d ON d.brand = 'Brand#' || CAST(n.n_nationkey + 1 AS STRING)
+"""
+
+# Business rules added to some documents (and to one that no table row names).
+EXTRA_RULES_SQL = f"""
+SELECT DISTINCT p_brand || '/' || {_BLOCK} AS document, 'one_type_per_size' AS check_name, 'sql' AS kind,
+       CAST(NULL AS STRING) AS field, 'p_size -> p_type' AS argument
+FROM {{part}} WHERE p_type = 'LARGE'
+UNION ALL SELECT 'unknown', 'never_used', 'sql', CAST(NULL AS STRING), CAST(n_name AS STRING) FROM {{nation}}
 """
 
 # Who corrects which cell (test values of the template's role row).

@@ -230,13 +230,16 @@ def _issue_sql() -> str:
                      f"dac = 'SI' AND {norm('clasificacion')} = 'publico'", "warning"))
     parts.append("SELECT document, 'fields' AS sheet, CAST(NULL AS INTEGER) AS \"row\", 'pk' AS cell, 'no_key' AS rule, "
                  "'warning' AS severity FROM fa GROUP BY document HAVING NOT bool_or(coalesce(pk = 'SI', false))")
+    parts.append("SELECT document, 'fields' AS sheet, CAST(NULL AS INTEGER) AS \"row\", 'id' AS cell, 'no_fields' AS rule, "
+                 "'error' AS severity FROM td WHERE document NOT IN (SELECT document FROM fd)")
     parts.append(iss("td", "table", "NULL", "template_version", "template_version",
                      "template_version IS NOT NULL AND template_version NOT IN ('3')", "warning"))
     return "\nUNION ALL ".join(parts)
 
 
 def _dict(select: str) -> str:
-    return f"WITH {_dict_ctes()}, issues AS ({_issue_sql()})\n{select}"
+    return (f"WITH {_dict_ctes()}, issues AS ({_issue_sql()}), "
+            f"bad AS (SELECT DISTINCT document FROM issues WHERE severity = 'error')\n{select}")
 
 
 def _key_positions() -> str:
@@ -471,7 +474,8 @@ diff AS (
     cls_map = (f"CASE {norm('clasificacion')} WHEN 'publico' THEN 'public' WHEN 'uso interno' THEN 'internal' "
                f"WHEN 'restringido' THEN 'restricted' END")
     cls = f"CASE WHEN dac = 'SI' AND ({cls_map}) = 'public' THEN 'restricted' ELSE {cls_map} END"
-    o["q_sensitivity"] = _dict(f"SELECT document, \"row\", {cls} AS classification, dac = 'SI' AS sensitive FROM fa")
+    o["q_sensitivity"] = _dict(f"SELECT document, \"row\", {cls} AS classification, dac = 'SI' AS sensitive, "
+                              "CASE WHEN dac = 'SI' THEN 'dac' END AS tags FROM fa")
     ex = _split_examples("ejemplos")
     o["q_split_examples"] = _dict(
         f"SELECT document, \"row\", array_to_string({ex}, '|') AS examples, CAST(len({ex}) AS INTEGER) AS n_examples "
@@ -482,7 +486,8 @@ diff AS (
         f"FROM fa WHERE NOT {not_applicable('catalogo')}")
     o["q_document_rollup"] = _dict(
         "SELECT p.document, n_fields, n_active, n_discarded, has_dac, has_key, discarded_names, "
-        "coalesce(w.n_warnings, 0) AS n_warnings FROM (SELECT document, count(*) AS n_fields, "
+        "coalesce(w.n_warnings, 0) AS n_warnings, "
+        "'dataentry' || CASE WHEN has_dac THEN ',dac' ELSE '' END AS tags FROM (SELECT document, count(*) AS n_fields, "
         "count(*) FILTER (WHERE active) AS n_active, count(*) FILTER (WHERE NOT active) AS n_discarded, "
         "coalesce(bool_or(active AND dac = 'SI'), false) AS has_dac, coalesce(bool_or(active AND pk = 'SI'), false) AS has_key, "
         "string_agg(nombre_fuente, ', ' ORDER BY \"row\") FILTER (WHERE NOT active) AS discarded_names FROM fd GROUP BY document) p "
@@ -492,7 +497,7 @@ diff AS (
     o["q_dictionary_contracts"] = _dict(
         f"SELECT t.document, td.tabla_landing AS contract, t.nombre_modelado AS field, t.\"row\", t.logical_type, t.physical_type, "
         f"t.nulos = 'NO' AS required, CAST(k.key_position AS INTEGER) AS key_position, {cls.replace('dac', 't.dac').replace('clasificacion', 't.clasificacion')} AS classification, "
-        f"t.max_length FROM ({_typed_fields()}) t JOIN ({_key_positions()}) k ON t.document = k.document AND t.\"row\" = k.\"row\" "
+        f"t.max_length, CASE WHEN t.dac = 'SI' THEN 'dac' END AS tags FROM ({_typed_fields()}) t JOIN ({_key_positions()}) k ON t.document = k.document AND t.\"row\" = k.\"row\" "
         f"JOIN td ON t.document = td.document WHERE t.document NOT IN (SELECT document FROM issues WHERE severity = 'error')")
     props = [("fuente", "fuente"), ("campoTecnico", None), ("dac", "dac"), ("contieneVacios", "vacios"),
              ("criticidad", "criticidad"), ("sustentoCriticidad", "sustento_criticidad"),
@@ -507,7 +512,7 @@ diff AS (
         else:
             pairs.append(f"SELECT document, \"row\", {i + 1} AS position, '{p}' AS property, {c} AS value FROM fa "
                          f"WHERE {c} IS NOT NULL AND NOT {not_applicable(c)}")
-    o["q_attribute_pairs"] = _dict(" UNION ALL ".join(pairs))
+    o["q_attribute_pairs"] = _dict(f"SELECT * FROM ({' UNION ALL '.join(pairs)}) WHERE document NOT IN (SELECT document FROM bad)")
     tprops = [("capa", "'LANDING'"), ("flujo", "'DED'"), ("empresa", "empresa"), ("schemaLanding", "schema_landing"),
               ("tipoDataEntry", "CASE schema_landing WHEN 'dataentry_int' THEN 'transitorio (ingesta interna)' "
                                 "WHEN 'dataentry_ext' THEN 'información externa' WHEN 'dataentry_usr' THEN 'permanente (usuario)' END"),
@@ -516,16 +521,17 @@ diff AS (
               ("rutaBroad", "ruta_broad"), ("contenedorBroad", "contenedor_broad"), ("rutaLanding", "ruta_landing"),
               ("dac", "CASE WHEN coalesce(r.has_dac, false) THEN 'SI' ELSE 'NO' END"),
               ("productOwner", "product_owner"), ("squad", "squad"), ("camposDescartados", "r.names"),
-              ("versionPlantillaDED", "template_version")]
+              ("documentoAlcance", "td.document"), ("versionPlantillaDED", "template_version")]
     roll = ("(SELECT document, bool_or(active AND dac = 'SI') AS has_dac, "
             "string_agg(nombre_fuente, ', ' ORDER BY \"row\") FILTER (WHERE NOT active) AS names FROM fd GROUP BY document) r")
     tp = " UNION ALL ".join(
         f"SELECT td.document, {i + 1} AS position, '{p}' AS property, CAST({v} AS VARCHAR) AS value "
         f"FROM td LEFT JOIN {roll} ON td.document = r.document" for i, (p, v) in enumerate(tprops))
     o["q_table_properties"] = _dict(
-        f"SELECT * FROM ({tp}) WHERE value IS NOT NULL AND value <> '' AND NOT {not_applicable('value')}")
+        f"SELECT * FROM ({tp}) WHERE value IS NOT NULL AND value <> '' AND NOT {not_applicable('value')} "
+        "AND document NOT IN (SELECT document FROM bad)")
     o["q_derive_checks"] = _dict(
-        f"SELECT document, nombre_modelado || ':required' AS \"check\", 'required' AS kind, nombre_modelado AS field, CAST(NULL AS VARCHAR) AS argument "
+        f"SELECT * FROM (SELECT document, nombre_modelado || ':required' AS \"check\", 'required' AS kind, nombre_modelado AS field, CAST(NULL AS VARCHAR) AS argument "
         f"FROM fa WHERE nulos = 'NO' "
         f"UNION ALL SELECT document, nombre_modelado || '_catalogo', 'valid_values', nombre_modelado, array_to_string({sv}, '|') "
         f"FROM fa WHERE catalogo IS NOT NULL AND NOT {not_applicable('catalogo')} "
@@ -533,5 +539,7 @@ diff AS (
         f"FROM ({_typed_fields()}) WHERE max_length IS NOT NULL "
         "UNION ALL SELECT document, k || ':unique', 'unique', k, k FROM (SELECT document, string_agg(nombre_modelado, '+' ORDER BY \"row\") AS k "
         "FROM fa WHERE pk = 'SI' GROUP BY document) "
-        "UNION ALL SELECT document, 'tabla_no_vacia', 'row_count', NULL, '> 0' FROM td")
+        "UNION ALL SELECT document, 'tabla_no_vacia', 'row_count', NULL, '> 0' FROM td "
+        f"UNION ALL SELECT * FROM ({X.for_duckdb(X.EXTRA_RULES_SQL)}) WHERE document IN (SELECT document FROM td)"
+        ") WHERE document NOT IN (SELECT document FROM bad)")
     return o

@@ -487,7 +487,7 @@ def q_key_position(spark, sf):
 
 def _dict_inputs(spark, sf):
     fd = X.spark_derive(spark, X.FIELD_DEFS_SQL, part=t(spark, sf, "part"))
-    td = X.spark_derive(spark, X.TABLE_DEFS_SQL, nation=t(spark, sf, "nation"))
+    td = X.spark_derive(spark, X.TABLE_DEFS_SQL, nation=t(spark, sf, "nation"), part=t(spark, sf, "part"))
     roles = spark.createDataFrame(X.CELL_ROLES, "sheet string, cell string, role string")
     td, fd = M.prepare(td, fd)
     return td, fd, roles
@@ -579,7 +579,7 @@ def q_sensitivity(spark, sf):
     _, fd, _ = _dict_inputs(spark, sf)
     a = M.active_fields(M.prepare_fields(fd))
     return a.select("document", "row", M.classification(a).alias("classification"),
-                    (F.col("dac") == "SI").alias("sensitive"))
+                    (F.col("dac") == "SI").alias("sensitive"), M.field_tags().alias("tags"))
 
 
 def q_split_examples(spark, sf):
@@ -622,15 +622,16 @@ def q_table_properties(spark, sf):
 
 
 def q_attribute_pairs(spark, sf):
-    """(property, value) pairs of active fields."""
-    _, fd, _ = _dict_inputs(spark, sf)
-    return M.attribute_pairs(M.prepare_fields(fd)).select("document", "row", "position", "property", "value")
+    """(property, value) pairs of active fields, documents without errors."""
+    td, fd, _ = _dict_inputs(spark, sf)
+    return M.attribute_pairs(td, fd).select("document", "row", "position", "property", "value")
 
 
 def q_derive_checks(spark, sf):
-    """Check rows per document."""
+    """Check rows per document, with the business rules added to some of them."""
     td, fd, _ = _dict_inputs(spark, sf)
-    return M.derive_checks(td, fd)
+    extra = X.spark_derive(spark, X.EXTRA_RULES_SQL, nation=t(spark, sf, "nation"), part=t(spark, sf, "part"))
+    return M.derive_checks(td, fd, extra.withColumnRenamed("check_name", "check"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
