@@ -11,7 +11,6 @@ Plans:
   aggregation (a hot key collapses to one row per task before the shuffle), then a global
   count of the repeated groups. NULL keys group together. Keys wider than 16 bytes shuffle
   a 64-bit hash first; only rows whose hash repeats are counted exactly by key.
-* ``anti``    – K6 with a very long list: left-anti join against the list; AQE picks the join.
 * ``sql``     – SQL rules that are not a plain filtered count (K12 and anything else): run
   by Spark SQL over the model's name (S4), one scalar each.
 """
@@ -28,9 +27,6 @@ from pyspark.errors import PySparkException
 from ..contract import ZERO, Bound, Contract, ContractError, Field, Rule, normalise_type_text
 from ..sources.catalog import as_relation
 
-# Above this many allowed values a list check is planned as an anti join instead of IN.
-IN_LIST_LIMIT = 10_000
-
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("contract", T.StringType()),
@@ -43,6 +39,7 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("bound", T.StringType()),
         T.StructField("result", T.StringType()),
         T.StructField("detail", T.StringType()),
+        T.StructField("description", T.StringType()),
     ]
 )
 
@@ -66,12 +63,11 @@ class CheckSpec:
     sql: str | None = None
     # unique
     keys: tuple[str, ...] = ()
-    # anti
-    values: tuple[Any, ...] = ()
     # sql
     query: str | None = None
     # schema
     expected_type: str | None = None
+    description: str | None = None
 
     @property
     def alias(self) -> str:
@@ -122,6 +118,12 @@ class _Builder:
     def add(self, **kw) -> None:
         self.specs.append(CheckSpec(idx=len(self.specs), **kw))
 
+    def add_rule(self, rule: Rule, field: Field | None) -> None:
+        """The checks of a declared rule, each with its description."""
+        first = len(self.specs)
+        _rule_checks(self, rule, field)
+        self.specs[first:] = [replace(s, description=rule.description) for s in self.specs[first:]]
+
 
 def sql_str(text: str) -> str:
     """A Spark SQL string literal (backslash escapes on)."""
@@ -191,7 +193,7 @@ def _field_checks(b: _Builder, f: Field, include_schema: bool) -> None:
                   sql=f"count_if({q} = {_lit(v, dt)})")
 
     for r in f.rules:
-        _rule_checks(b, r, f)
+        b.add_rule(r, f)
 
 
 def _valid_values_spec(b: _Builder, r: Rule, f: Field, values: Sequence[Any]) -> None:
@@ -199,12 +201,11 @@ def _valid_values_spec(b: _Builder, r: Rule, f: Field, values: Sequence[Any]) ->
     common = dict(name=name, kind="valid_values", field=f.name, bound=r.bound or ZERO,
                   dimension=r.dimension or "conformity", severity=r.severity,
                   unit="rows outside the list")
-    if len(values) > IN_LIST_LIMIT:
-        b.add(plan="anti", values=tuple(values), **common)
-    else:
-        lits = ", ".join(_lit(v, dt) for v in values)
-        # NULL IN (...) is NULL: a NULL cell is not counted here (only `required` reports it).
-        b.add(plan="fused", sql=f"count_if(NOT ({qname(f.name)} IN ({lits})))", **common)
+    # One plan whatever the list's length: Spark looks a long list of constants up in a hash set.
+    # The list is part of the contract document, so it does not grow with the data.
+    lits = ", ".join(_lit(v, dt) for v in values)
+    # NULL IN (...) is NULL: a NULL cell is not counted here (only `required` reports it).
+    b.add(plan="fused", sql=f"count_if(NOT ({qname(f.name)} IN ({lits})))", **common)
 
 
 def _rule_checks(b: _Builder, r: Rule, f: Field | None) -> None:
@@ -279,7 +280,7 @@ def compile_checks(contract: Contract, include_schema: bool = True) -> list[Chec
         b.add(name=f"{'+'.join(keys)}:unique", kind="unique", field="+".join(keys),
               plan="unique", keys=keys, dimension="uniqueness")
     for r in contract.rules:
-        _rule_checks(b, r, None)
+        b.add_rule(r, None)
     return b.specs
 
 
@@ -311,7 +312,7 @@ def _struct_sql(contract_id: str, s: CheckSpec, metric: str, detail: str | None
         f"'field', {lit(s.field)}, 'dimension', {lit(s.dimension)}, 'severity', {lit(s.severity)}, "
         f"'metric', {m}, 'bound', {lit(s.bound.text())}, "
         f"'result', CASE WHEN {_passes_sql(s.bound, judged or m)} THEN 'passed' ELSE 'failed' END, "
-        f"'detail', {detail})"
+        f"'detail', {detail}, 'description', {lit(s.description)})"
     )
 
 
@@ -408,21 +409,6 @@ def _unique_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
     return _inline(dup, [_struct_sql(contract_id, s, "`groups`", detail)])
 
 
-def _anti_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
-    spark = df.sparkSession
-    dt = df.schema[s.field].dataType
-    allowed = spark.createDataFrame([(str(v),) for v in s.values], "v string").select(
-        F.col("v").cast(dt).alias("__allowed")
-    )
-    bad = (
-        df.select(qcol(s.field).alias("__v"))
-        .where(F.col("__v").isNotNull())
-        .join(allowed, F.col("__v") == F.col("__allowed"), "left_anti")
-        .agg(F.count(F.lit(1)).alias("bad"))
-    )
-    return _inline(bad, [_struct_sql(contract_id, s, "`bad`")])
-
-
 def _sql_rows(contract_id: str, df: DataFrame, model: str, s: CheckSpec) -> DataFrame:
     spark = df.sparkSession
     with as_relation(df, model):
@@ -522,8 +508,6 @@ def check_report(
     for s in specs:
         if s.plan == "unique":
             parts.append(_unique_rows(contract.id, df, s))
-        elif s.plan == "anti":
-            parts.append(_anti_rows(contract.id, df, s))
         elif s.plan == "sql":
             parts.append(_sql_rows(contract.id, df, contract.model, s))
 

@@ -82,7 +82,8 @@ def apply_contract(
     ``keep_versions`` deletes older published versions of this table after a good load.
 
     Raises ``GateFailed`` (nothing published, table untouched), ``EvolutionRefused``
-    (structure cannot follow the contract), ``TableCheckFailed`` (post-load).
+    (structure cannot follow the contract), ``TableCheckFailed`` (post-load), ``ContractError``
+    when another load published the table since this one began.
     """
     target: Target = resolve_target(contract, environment)
     name = target.spark_name(spark)
@@ -99,6 +100,7 @@ def apply_contract(
     flagged = MALFORMED in text.columns
     surplus = [c for c in surplus_columns(text, contract) if c != MALFORMED]
     table_cols = spark.table(name).columns
+    previous = table_location(spark, name)
     specs = compile_checks(contract)
     if surplus:
         specs = specs + surplus_specs(surplus, len(specs))  # information rows, never failing
@@ -148,7 +150,9 @@ def apply_contract(
         delete_path(spark, staged_path)
         staged_path = None
     else:
-        previous = table_location(spark, name)
+        if table_location(spark, name) != previous:  # loads of one table go one after another
+            delete_path(spark, staged_path)
+            raise ContractError(f"{name}: another load published while this one ran; load again")
         switch_version(spark, name, staged_path)
     rows_loaded = spark.table(name).count()
 

@@ -30,7 +30,7 @@ def _p(name: str, t: str, required: bool = True, **kw) -> dict:
     return d
 
 
-ROWS = {"type": "library", "metric": "rowCount", "mustBeGreaterThan": 0, "name": "tabla_no_vacia",
+ROWS = {"type": "library", "metric": "rowCount", "mustBeGreaterThan": 0, "name": "not_empty", "description": "a delivery has rows",
         "dimension": "completeness", "severity": "error"}
 
 
@@ -47,7 +47,8 @@ def orders(schema: str = "suite") -> Contract:
         _p("o_totalprice", "DECIMAL(12,2)", logicalTypeOptions={"exclusiveMinimum": 0}),
         _p("o_orderdate", "DATE"),
         _p("o_orderpriority", "STRING", logicalTypeOptions={"pattern": "^[1-5]-[A-Z ]+$"}),
-    ], [ROWS, {"type": "sql", "name": "no_future_orders", "mustBe": 0,
+    ], [ROWS, {"type": "sql", "name": "no_future_orders", "mustBe": 0, "dimension": "timeliness", "severity": "warning",
+               "description": "no order is dated ahead",
                "query": "SELECT COUNT(*) FROM orders_delivery WHERE o_orderdate > DATE '2030-01-01'"}],
         schema))
 

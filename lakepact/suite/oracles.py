@@ -108,7 +108,7 @@ def _orders_report(src: str = ORDERS_TYPED) -> str:
         ("o_orderpriority:pattern", "pattern", "o_orderpriority",
          "count(*) FILTER (WHERE NOT regexp_matches(o_orderpriority, '^[1-5]-[A-Z ]+$'))", "=", "0"),
         ("o_orderkey:unique", "unique", "o_orderkey", dup_groups("orders", "o_orderkey"), "=", "0"),
-        ("tabla_no_vacia", "row_count", None, "count(*)", ">", "0"),
+        ("not_empty", "row_count", None, "count(*)", ">", "0"),
         ("no_future_orders", "sql", None, "count(*) FILTER (WHERE o_orderdate > DATE '2030-01-01')", "=", "0"),
     ]
     return report_rows("orders", src, checks)
@@ -126,7 +126,7 @@ def _lineitem_report(src: str = LINEITEM_TYPED) -> str:
         ("linestatus_catalogo", "valid_values", "l_linestatus", "count(*) FILTER (WHERE l_linestatus NOT IN ('F', 'O'))", "=", "0"),
         ("l_orderkey+l_linenumber:unique", "unique", "l_orderkey+l_linenumber",
          dup_groups("lineitem", "l_orderkey, l_linenumber"), "=", "0"),
-        ("tabla_no_vacia", "row_count", None, "count(*)", ">", "0"),
+        ("not_empty", "row_count", None, "count(*)", ">", "0"),
         ("tax_not_above_discount", "sql", None, "count(*) FILTER (WHERE l_tax > l_discount)", "=", "0"),
         ("one_flag_per_order", "sql", None,
          "(SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) > 1))",
@@ -139,7 +139,7 @@ def _supplier_report() -> str:
     f = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
     checks = schema_checks(f) + required_checks(f) + [
         ("s_suppkey:unique", "unique", "s_suppkey", dup_groups("supplier", "s_suppkey"), "=", "0"),
-        ("tabla_no_vacia", "row_count", None, "count(*)", ">", "0"),
+        ("not_empty", "row_count", None, "count(*)", ">", "0"),
     ]
     return report_rows("supplier", "supplier", checks)
 
@@ -286,10 +286,13 @@ def oracle_sql() -> dict[str, str]:
                         "CAST(sum(n_regionkey) AS BIGINT) AS sum_regionkey FROM nation")
     o["q_align_by_name"] = ("SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(12,2)) AS s_acctbal "
                             "FROM supplier")
-    o["q_check_presence_type"] = report_rows(
-        "orders", "(SELECT 1)",
-        schema_checks(ORDERS_FIELDS + ["o_comment"], bad_type={"o_totalprice", "o_orderdate", "o_orderpriority"},
-                      missing={"o_comment"}))
+    rows_check = [("not_empty", "row_count", None, "count(*)", ">", "0")]
+    headings = [c if c[0] != "o_orderpriority:present" else (*c[:3], "1", *c[4:]) for c in schema_checks(ORDERS_FIELDS)]
+    stored = schema_checks(ORDERS_FIELDS + ["o_comment"], bad_type={"o_totalprice", "o_orderdate", "o_orderpriority"},
+                           missing={"o_comment"})
+    o["q_check_presence_type"] = (
+        f"SELECT *, 'delivery' AS source FROM ({report_rows('orders', 'orders', headings + rows_check)}) "
+        f"UNION ALL SELECT *, 'table' AS source FROM ({report_rows('orders', 'orders', stored + rows_check)})")
     ev = "(SELECT event_id, ts, user_id, nullif(event_type, 'error') AS event_type, value, props FROM events)"
     o["q_check_required"] = report_rows(
         "events", ev, required_checks(["event_id", "ts", "user_id", "event_type", "value", "props"]))
@@ -341,7 +344,14 @@ def oracle_sql() -> dict[str, str]:
     o["q_sql_rule_two_columns"] = report_rows("lineitem", "lineitem", [
         ("tax_below_discount", "sql", None, "count(*) FILTER (WHERE l_tax IS NOT NULL AND l_tax < l_discount)", "=", "0")])
     gate = f"{_orders_report()}\nUNION ALL {_lineitem_report()}"
-    o["q_gate_report"] = gate
+    o["q_gate_report"] = (
+        "SELECT *, CASE WHEN kind IN ('present', 'required', 'row_count') THEN 'completeness' "
+        "WHEN kind = 'unique' THEN 'uniqueness' WHEN kind IN ('type', 'pattern', 'valid_values') THEN 'conformity' "
+        "WHEN kind <> 'sql' THEN 'accuracy' WHEN \"check\" = 'no_future_orders' THEN 'timeliness' END AS dimension, "
+        "CASE WHEN \"check\" = 'no_future_orders' THEN 'warning' ELSE 'error' END AS severity, "
+        "CASE WHEN kind = 'row_count' THEN '> 0' ELSE '= 0' END AS bound, "
+        "CASE \"check\" WHEN 'not_empty' THEN 'a delivery has rows' "
+        f"WHEN 'no_future_orders' THEN 'no order is dated ahead' END AS description FROM ({gate})")
     o["q_gate_verdict"] = (f"SELECT contract, bool_and(result = 'passed') AS passed, count(*) AS checks, "
                            f"count(*) FILTER (WHERE result <> 'passed') AS failed FROM ({gate}) GROUP BY contract")
     o["q_gate_failing"] = f"SELECT * FROM ({_lineitem_report()}) WHERE result <> 'passed'"
@@ -350,7 +360,7 @@ def oracle_sql() -> dict[str, str]:
     o["q_malformed_rows"] = (
         "SELECT 'delivery:malformed_rows' AS \"check\", count(*) FILTER (WHERE o_orderpriority LIKE '1-%') AS metric, "
         "CASE WHEN count(*) FILTER (WHERE o_orderpriority LIKE '1-%') = 0 THEN 'passed' ELSE 'failed' END AS result FROM orders "
-        "UNION ALL SELECT 'tabla_no_vacia', count(*), CASE WHEN count(*) > 0 THEN 'passed' ELSE 'failed' END FROM orders")
+        "UNION ALL SELECT 'not_empty', count(*), CASE WHEN count(*) > 0 THEN 'passed' ELSE 'failed' END FROM orders")
     o["q_publish_roundtrip"] = o["q_align_by_name"]
     o["q_post_load"] = _supplier_report()
     o["q_publish_overwrite"] = o["q_align_by_name"]
@@ -404,7 +414,8 @@ d AS (SELECT tbl AS "table", col AS "column", table_type, contract_type, coalesc
                 f"CAST(CASE WHEN f = 0 THEN n END AS BIGINT) AS rows_loaded FROM (SELECT {failed} AS f, count(*) AS n FROM {table})")
     o["q_multi_contract"] = "\nUNION ALL ".join([
         outcome("orders", "orders", 25, ord_failed), outcome("customer", "customer", 20, cust_failed),
-        outcome("part", "part", 24, part_failed)])
+        outcome("part", "part", 24, part_failed),
+        "SELECT 'nation', 'error', CAST(0 AS INTEGER), CAST(0 AS INTEGER), CAST(NULL AS BIGINT)"])
 
     snaps = f"""
 WITH old AS ({X.for_duckdb(X.OLD_SNAPSHOT_SQL)}), new AS ({X.for_duckdb(X.NEW_SNAPSHOT_SQL)}),

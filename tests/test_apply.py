@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakepact import Contract, GateFailed, apply_all, apply_contract, read_landing_text
+from lakepact import Contract, ContractError, GateFailed, apply_all, apply_contract, read_landing_text
 from lakepact.sources.catalog import table_location
 from conftest import fixture_path
 from helpers import rebind
@@ -58,9 +58,8 @@ def test_empty_file_fails_only_row_count(spark, lake, fresh_env, tmp_path):
     header = open(fixture_path("channel_master_ok.csv"), encoding="utf-8").readline()
     p = tmp_path / "empty.csv"
     p.write_text(header, encoding="utf-8")
-    text = spark.createDataFrame([], ", ".join(f"`{h}` string" for h in header.strip().split(",")))
     with pytest.raises(GateFailed) as e:
-        apply_contract(spark, c, fresh_env, text)
+        apply_contract(spark, c, fresh_env, str(p))
     assert [r.check for r in e.value.report if r.result != "passed"] == ["tabla_no_vacia"]
 
 
@@ -230,3 +229,22 @@ def test_retention_spares_newer_in_flight_stages(spark, lake, fresh_env):
     removed = prune_versions(spark, res.table, keep=1)
     assert os.path.isdir(in_flight) and len(removed) >= 1
     assert spark.table(res.table).count() == 8
+
+
+def test_load_refused_when_another_published_meanwhile(spark, lake, fresh_env, monkeypatch):
+    import lakepact.plans.apply as A
+
+    c = _load("channel_master", fresh_env)
+    apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    real, seen = A.check_report, []
+
+    def slow_report(*args, **kw):  # a second load runs from start to end while the first is checked
+        if not seen:
+            seen.append(1)
+            seen.append(apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv")))
+        return real(*args, **kw)
+
+    monkeypatch.setattr(A, "check_report", slow_report)
+    with pytest.raises(ContractError, match="another load"):
+        apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    assert spark.table(seen[1].table).count() == seen[1].rows_loaded

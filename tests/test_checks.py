@@ -67,15 +67,15 @@ def test_sql_rules_fused_and_grouped(spark):
     assert not df.sparkSession.catalog.tableExists("m")  # the model view is gone
 
 
-def test_long_value_list_uses_anti_join(spark, monkeypatch):
-    monkeypatch.setattr(K, "IN_LIST_LIMIT", 2)
+def test_long_value_list_is_one_plan_and_carries_its_labels(spark):
     c = _c([{"name": "v", "physicalType": "STRING", "quality": [
-        {"type": "library", "metric": "invalidValues", "arguments": {"validValues": ["a", "b", "c"]},
-         "mustBe": 0, "name": "vv"}]}])
-    assert [s.plan for s in compile_checks(c) if s.name == "vv"] == ["anti"]
+        {"type": "library", "metric": "invalidValues", "arguments": {"validValues": ["a", *(f"v{i}" for i in range(20_000))]},
+         "mustBe": 0, "name": "vv", "description": "known codes", "dimension": "conformity", "severity": "warning"}]}])
+    assert [(s.plan, s.description) for s in compile_checks(c) if s.name == "vv"] == [("fused", "known codes")]
     df = spark.createDataFrame([("a",), ("z",), (None,), ("z",)], "v string")
-    rep = {r.check: r.metric for r in check_report(df, c).collect()}
-    assert rep["vv"] == 2
+    rep = {r.check: r for r in check_report(df, c).collect()}
+    assert (rep["vv"].metric, rep["vv"].description, rep["vv"].severity, rep["vv"].bound) == (2, "known codes", "warning", "= 0")
+    assert rep["v:type"].description is None
 
 
 def test_report_schema_verdict_failing(spark):
