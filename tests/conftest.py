@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from lakepact.session import local_session  # noqa: E402
 
-FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -28,7 +26,3 @@ def lake(spark, tmp_path):
 def fresh_env():
     """A contract environment name whose catalog namespace is unused."""
     return f"t{uuid.uuid4().hex[:8]}"
-
-
-def fixture_path(name: str) -> str:
-    return os.path.join(FIXTURES, name)

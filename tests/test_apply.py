@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from lakepact import Contract, ContractError, GateFailed, apply_all, apply_contract, read_landing_text
 from lakepact.sources.catalog import table_location
-from conftest import fixture_path
-from helpers import rebind
+from helpers import fixture_path, rebind
 
 
 def _load(name, env):

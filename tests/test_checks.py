@@ -7,7 +7,7 @@ from lakepact import Contract, check_report, compile_checks, failing, verdict
 from lakepact.contract import ContractError
 from lakepact.operators import checks as K
 from lakepact.operators.checks import REPORT_SCHEMA, fusable_predicate
-from conftest import fixture_path
+from helpers import fixture_path
 
 
 def test_expansion_matches_published_totals():

@@ -5,7 +5,7 @@ import shutil
 import yaml
 
 from lakepact.__main__ import main
-from conftest import fixture_path
+from helpers import fixture_path
 
 
 def _env_contract(tmp_path, env, name="channel_master"):

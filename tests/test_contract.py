@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 from lakepact.contract import Bound, Contract, ContractError, parse_type, resolve_target
-from conftest import fixture_path
+from helpers import fixture_path
 
 
 def test_parse_types():

@@ -11,8 +11,7 @@ from lakepact.operators.publish import prune_versions, published_versions, publi
 from lakepact.operators.windows import later_repeats, running_count
 from lakepact.plans.apply import apply_all
 
-from conftest import fixture_path
-from helpers import rebind
+from helpers import fixture_path, rebind
 
 
 def _small(env, table="sales"):

@@ -10,8 +10,7 @@ from lakepact.operators.diff import contract_diff, diff_verdict
 from lakepact.operators.evolution import contract_fields_frame
 from lakepact.operators.publish import create_table_ddl, ensure_table
 from lakepact.plans import dictionary as M
-from conftest import fixture_path
-from helpers import rebind
+from helpers import fixture_path, rebind
 from test_dictionary import GOOD_TABLE, _defs, _field
 
 

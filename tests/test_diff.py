@@ -51,7 +51,7 @@ def test_in_sync(spark):
 
 def test_registry_of_yaml_files_and_diff(spark, tmp_path):
     import yaml
-    from conftest import fixture_path
+    from helpers import fixture_path
     from lakepact.sources.registry import read_contract_registry
     from lakepact.operators.diff import contract_diff
 

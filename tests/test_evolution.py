@@ -6,8 +6,7 @@ from lakepact import Contract, EvolutionRefused, apply_contract
 from lakepact.contract import Field
 from lakepact.operators.evolution import drift_verdict, schema_drift
 from lakepact.operators.publish import ensure_table
-from conftest import fixture_path
-from helpers import rebind
+from helpers import fixture_path, rebind
 
 
 def _setup(spark, env):

@@ -6,8 +6,7 @@ import pytest
 
 from lakepact import Contract, GateFailed, apply_contract, read_landing_text
 from lakepact.streaming.landing import MARKER, watch_landing
-from conftest import fixture_path
-from helpers import rebind
+from helpers import fixture_path, rebind
 
 
 def test_cast_loss_rows(spark, lake, fresh_env, tmp_path):
