@@ -10,8 +10,10 @@ Training sample (bounded, documented): at most ``fit_rows`` labelled rows of eac
 of at most ``fit_bytes`` bytes, in hash order of the id. The sample is balanced, so the output's bias
 is moved back to the labels' own odds, counted over all labelled rows in use. Labels are learned
 only from rows whose crc32(doc_id as text) modulo ``folds`` is not 0; those with remainder 1 are not
-used for fitting but to choose the thresholds: for each language with enough of both classes the
-score with the best F1, else 0.5. Scores never see label, language, source or id.
+used for fitting but to choose the thresholds: all of them are scored, whole texts, and for each
+language with enough of both classes the score with the best F1 is taken, else 0.5. The cut is found
+by running counts over the distinct scores, within bins of the score and then over the bins, so no
+task holds a language. Scores never see label, language, source or id.
 
 Defined cases: null or empty text gets the score of a text without words; null or unknown language
 uses the threshold 0.5; a null doc_id is not held out and, if labelled, never used; conflicting
@@ -26,19 +28,21 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakepact.llm.common import broadcast_below, id_bucket, map_batches, slices, text_bytes
+from lakepact.llm.common import broadcast_below, cut, id_bucket, map_batches, slices, text_bytes
 
 FOLDS = 5
-FIT_ROWS, FIT_BYTES, TUNE_ROWS = 1500, 20_000, 1500
+FIT_ROWS, FIT_BYTES = 1500, 20_000
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 16, (1, 2, 3)
 EPOCHS, BATCH, LEARN = 6, 32, 0.05
 CACHE_WORDS = 150_000
 PIECE_WORDS = 100_000
 LEAST_LABELS = 20  # of each class, for a language to get a threshold of its own
 LABEL_BROADCAST = 1_000_000
+SCORE_BINS = 64  # to a unit of the log odds
+LANGUAGE_BROADCAST = 100_000
 
 FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -248,13 +252,49 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(cuts[good[np.argmin(np.abs(cuts[good] - 0.5))]])
 
 
+def best_thresholds(scored: DataFrame) -> dict[str, float]:
+    """``best_threshold`` of each language of ``scored(lang, score, toxic)`` with enough of both classes."""
+    odds = F.when(F.col("score") >= 1, F.lit(1e3)).when(F.col("score") <= 0, F.lit(-1e3)).otherwise(
+        F.log("score") - F.log1p(-F.col("score"))
+    )
+    counts = cut(
+        scored.where("lang is not null and lang <> ''").groupBy("lang", "score")
+        .agg(F.count("*").alias("n"), F.sum("toxic").alias("y"))
+        .withColumn("bin", F.floor(odds * SCORE_BINS))
+    )
+    # Running counts: bins of a language first (a few thousand rows), then the scores of a bin.
+    down = Window.partitionBy("lang").orderBy(F.col("bin").desc())
+    before = down.rowsBetween(Window.unboundedPreceding, -1)
+    bins = counts.groupBy("lang", "bin").agg(F.sum("n").alias("n"), F.sum("y").alias("y"), F.max("score").alias("top")).select(
+        "lang", "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
+        F.coalesce(F.sum("y").over(before), F.lit(0)).alias("y_before"), F.lead("top").over(down).alias("next_top"),
+    )
+    whole = counts.groupBy("lang").agg(F.sum("n").alias("n_all"), F.sum("y").alias("y_all")).where(
+        F.least(F.col("y_all"), F.col("n_all") - F.col("y_all")) >= LEAST_LABELS
+    )
+    own = Window.partitionBy("lang", "bin").orderBy(F.col("score").desc())
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    cuts = counts.withColumn("n_own", F.sum("n").over(upto)).withColumn("y_own", F.sum("y").over(upto)).withColumn(
+        "next", F.lead("score").over(own)
+    ).join(bins, ["lang", "bin"]).join(broadcast_below(whole, LANGUAGE_BROADCAST), "lang").select(
+        "lang", "score",
+        (2 * (F.col("y_own") + F.col("y_before")) / (F.col("n_own") + F.col("n_before") + F.col("y_all"))).alias("f1"),
+        ((F.col("score") + F.coalesce("next", "next_top", F.lit(0.0))) / 2).alias("cut"),
+    )
+    best = cuts.groupBy("lang").agg(F.max("f1").alias("best"))
+    chosen = cuts.join(broadcast_below(best, LANGUAGE_BROADCAST), "lang").where("f1 >= best - 1e-12").groupBy("lang").agg(
+        F.min_by("cut", F.struct(F.abs(F.col("cut") - 0.5), -F.col("score"))).alias("cut")
+    )
+    return {r["lang"]: r["cut"] for r in chosen.orderBy("lang").collect()}
+
+
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> tuple[TextCNN, dict[str, float]]:
-    """The model and the thresholds by language, from bounded samples of labelled rows."""
+    """The model, from a bounded sample of labelled rows, and the thresholds by language, from all of their fold."""
     y = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic")
     ).withColumn("bucket", id_bucket("doc_id", folds)).where("bucket <> 0")
     counts = {r["toxic"]: r["n"] for r in y.where("bucket <> 1").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    short = docs.select("doc_id", "text", "lang").where(F.octet_length("text") <= FIT_BYTES)
+    short = docs.select("doc_id", "text").where(F.octet_length("text") <= FIT_BYTES)
 
     def sample(rows: DataFrame, most: int) -> list:
         """At most ``most`` rows of each class, by hash order of the id (a top-k per class)."""
@@ -269,16 +309,23 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> tuple[TextCNN
     train = sample(y.where("bucket <> 1"), FIT_ROWS)
     odds = counts.get(1, 0) / counts[0] if counts.get(0) else float("inf")
     model = TextCNN().fit([(r["text"] or "").encode() for r in train], [r["toxic"] for r in train], odds)
-    tune = sample(y.where("bucket = 1"), TUNE_ROWS)
-    thresholds = {}
-    if tune and model.constant is None:
-        scores = model.scorer().score([(r["text"] or "").encode() for r in tune])
-        truth, lang = np.array([r["toxic"] for r in tune]), np.array([r["lang"] or "" for r in tune])
-        for name in sorted(set(lang) - {""}):
-            own = lang == name
-            if min(truth[own].sum(), (1 - truth[own]).sum()) >= LEAST_LABELS:
-                thresholds[str(name)] = best_threshold(scores[own], truth[own])
-    return model, thresholds
+    if model.constant is not None:
+        return model, {}
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        scorer = sent.value.scorer()
+        for b in slices(batches):
+            scores = scorer.score(text_bytes(b.column(0)))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(1), b.column(2), pa.array(scores, pa.float64())], ["lang", "toxic", "score"]
+            )
+
+    tune = y.where("bucket = 1").select("doc_id", "toxic")
+    rows = docs.where(id_bucket("doc_id", folds) == 1).select(
+        "doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
+    ).join(broadcast_below(tune, LABEL_BROADCAST), "doc_id").select("text", "lang", "toxic")
+    return model, best_thresholds(map_batches(rows, run, "lang string, toxic int, score double"))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFrame:

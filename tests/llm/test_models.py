@@ -94,6 +94,29 @@ def test_threshold_choice():
     assert toxicity_cnn.best_threshold(np.array([0.1, 0.2, 0.3, 0.9]), np.array([0, 0, 1, 1])) == pytest.approx(0.25)
 
 
+def test_thresholds_of_all_labelled_rows(spark):
+    """More rows of a class than a bounded sample held, and long texts: the cuts are those of all rows."""
+    rng = random.Random(8)
+    rows, marks = [], []
+    for i in range(14000):
+        toxic = int(rng.random() < 0.05)
+        ws = [rng.choice(("sun", "moon", "tree", "road")) for _ in range(6)]
+        ws += [rng.choice(("vile", "nasty", "cruel", "sun")) for _ in range(rng.choice((1, 2, 3) if toxic else (0, 0, 0, 1)))]
+        rng.shuffle(ws)
+        rows.append((i, " ".join(ws * (800 if i % 700 == 0 else 1)), rng.choice(("en", "de")), "s", 0))
+        marks.append((i, 1, toxic))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    model, got = toxicity_cnn.fit(docs, labels)
+    fold = [(r[1].encode(), r[2], m[2]) for r, m in zip(rows, marks) if zlib.crc32(str(r[0]).encode()) % toxicity_cnn.FOLDS == 1]
+    assert sum(not y for _, _, y in fold) > 1500
+    scores = model.scorer().score([t for t, _, _ in fold])
+    for lang in ("en", "de"):
+        own = np.array([x == lang for _, x, _ in fold])
+        truth = np.array([y for _, _, y in fold])[own]
+        assert got[lang] == pytest.approx(toxicity_cnn.best_threshold(scores[own], truth), abs=1e-6)
+
+
 # --- URL rules ---
 
 def test_url_base_rules(spark):
