@@ -17,8 +17,8 @@ out of range, bare digits (no gold), and the national form of a phone number. A
 entity leaves the model with its prior weights.
 
 Spans are code points, end exclusive. Defined cases: null text counts as empty; no entity gives zero
-counts, empty spans and the hash of the empty string; whole texts are scanned, islands of more than
-``PIECE`` atoms in pieces that overlap by a segment; repeated rows each keep their row; a null doc_id
+counts, empty spans and the hash of the empty string; whole texts are scanned, an island of any length
+as one segmentation (candidates of one atom at a time, two numbers kept for each atom); repeated rows each keep their row; a null doc_id
 keeps its row; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +38,6 @@ from lakepact.llm.common import broadcast_below, map_batches, slices
 KINDS = ("email", "ip", "card", "phone")
 FIT_ROWS, FIT_BYTES, FIT_ISLANDS, EPOCHS = 4000, 20_000, 1500, 4
 MAX_ATOMS = 24
-PIECE = 2000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -146,12 +146,15 @@ def _shape(s: str) -> str:
     return _DIGIT.sub("9", s)
 
 
-def candidates(text: str, a: int, b: int) -> tuple[list[int], list[tuple[int, int, int, list[str]]]]:
-    """Atom bounds of text[a:b] and the candidate segments (first atom, end atom, kind, features)."""
-    bounds = [m.start() for m in _ATOM.finditer(text, a, b)] + [b]
+def atoms(text: str, a: int, b: int) -> list[int]:
+    """Atom bounds of text[a:b]."""
+    return [m.start() for m in _ATOM.finditer(text, a, b)] + [b]
+
+
+def candidates(text: str, bounds: list[int]) -> Iterator[tuple[int, int, int, list[str]]]:
+    """The candidate segments (first atom, end atom, kind, features), by first and then end atom."""
     n = len(bounds) - 1
     first = [text[x] for x in bounds[:-1]]
-    out = []
     for i in range(n):
         if not (first[i].isascii() and (first[i].isalnum() or first[i] in "+(")):
             continue
@@ -191,8 +194,7 @@ def candidates(text: str, a: int, b: int) -> tuple[list[int], list[tuple[int, in
                 right = _side(text[bounds[j]] if bounds[j] < len(text) else "")
                 edge = ["left-" + left, "right-" + right]
             for k, f in kinds:
-                out.append((i, j, k, [f"{KINDS[k]}:{x}" for x in ("bias", *f, *edge)]))
-    return bounds, out
+                yield i, j, k, [f"{KINDS[k]}:{x}" for x in ("bias", *f, *edge)]
 
 
 # What a sample may not teach: weights before training.
@@ -213,7 +215,8 @@ class SemiCRF:
 
     def gradient_step(self, text: str, gold: set[Span], rate: float) -> float:
         """One ascent step on the log likelihood of ``gold`` in the text as one island."""
-        bounds, cands = candidates(text, 0, len(text))
+        bounds = atoms(text, 0, len(text))
+        cands = list(candidates(text, bounds))
         n = len(bounds) - 1
         score = self._scores(cands)
         starting: list[list[int]] = [[] for _ in range(n + 1)]
@@ -239,31 +242,36 @@ class SemiCRF:
 
     def decode(self, text: str, a: int, b: int) -> list[Span]:
         """The best segmentation's entities in text[a:b]."""
-        bounds, cands = candidates(text, a, b)
-        if not cands:
-            return []
+        bounds = atoms(text, a, b)
         n = len(bounds) - 1
-        score = self._scores(cands)
-        ending: list[list[int]] = [[] for _ in range(n + 1)]
-        for c, (_, j, _, _) in enumerate(cands):
-            ending[j].append(c)
-        best, back = [0.0] * (n + 1), [-1] * (n + 1)
-        for j in range(1, n + 1):
-            best[j] = best[j - 1]
-            for c in ending[j]:
-                v = best[cands[c][0]] + score[c]
-                if v > best[j]:
-                    best[j], back[j] = v, c
+        w = self.w
+        # An atom's best is final once all segments that begin before it were seen.
+        best, back = [0.0] + [-math.inf] * n, [(-1, -1)] * (n + 1)
+        done = 0
+        for i, j, k, f in candidates(text, bounds):
+            while done < i:
+                self._close(best, back, done := done + 1)
+            v = best[i] + sum([w.get(x, 0.0) for x in f])
+            if v > best[j]:
+                best[j], back[j] = v, (i, k)
+        while done < n:
+            self._close(best, back, done := done + 1)
         out, j = [], n
         while j > 0:
-            if back[j] < 0:
+            i, k = back[j]
+            if i < 0:
                 j -= 1
             else:
-                i, _, k, _ = cands[back[j]]
                 out.append((bounds[i], k, bounds[j]))
                 j = i
         return out[::-1]
 
+    @staticmethod
+    def _close(best: list[float], back: list[tuple[int, int]], j: int) -> None:
+        """Leave atom j - 1 outside any entity unless a segment that ends at j is better."""
+        if best[j] <= best[j - 1]:
+            best[j], back[j] = best[j - 1], (-1, -1)
+
     def fit(self, texts: list[str], seed: int = 3) -> SemiCRF:
         rng = random.Random(seed)
         single: list[tuple[str, int]] = []
@@ -305,17 +313,7 @@ class SemiCRF:
         """Entities beside the base ones, none overlapping them."""
         out: list[Span] = []
         for a, b in islands(text, base):
-            while a < b:
-                stop = min(b, a + PIECE)
-                found = self.decode(text, a, stop)
-                if stop < b:
-                    # Entities that the piece's end may have cut are left to the next piece.
-                    edge = stop - PIECE // 4
-                    found = [x for x in found if x[2] <= edge]
-                    a = max([edge, *(x[2] for x in found)])
-                else:
-                    a = b
-                out += found
+            out += self.decode(text, a, b)
         return out
 
 

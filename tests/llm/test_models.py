@@ -66,6 +66,20 @@ def test_pii_finds_what_stands_side_by_side(spark):
         assert {(pii_semicrf.KINDS[k], text[a:b]) for a, k, b in found} == want
 
 
+def test_pii_long_islands(spark):
+    """Entities of an island of many thousand characters, wherever they stand in it."""
+    model = pii_semicrf.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    rng = random.Random(6)
+    for sep in (" ", "  ", " - "):
+        text, want = "", []
+        for _ in range(900):
+            number = f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+            want.append((len(text), 3, len(text) + len(number)))
+            text += number + sep
+        assert pii_semicrf.base_spans(text) == [] and len(pii_semicrf.islands(text, [])) == 1
+        assert model.added(text, []) == want
+
+
 # --- toxicity ---
 
 def test_toxicity_held_out(spark):
