@@ -179,6 +179,30 @@ def test_url_mining_equals_brute_force(spark):
         assert (r["mined_rule"] is not None) == any(set(s) <= set(r["t"]) for s in minimal)
 
 
+def test_url_tokens_behind_a_long_path(spark):
+    """Tokens behind the first dozens of a URL are mined like any other; every labelled page counts."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        path = "/".join(f"w{rng.randint(0, 60)}" for _ in range(70))
+        tail = {0: "red=blue=green", 1: "red=blue", 2: "blue=green", 3: "red=green"}[i % 4]
+        rows.append((i, f"http://a.example/{path}?{tail}", int(i % 4 == 0)))
+    labelled = spark.createDataFrame(rows, "page_id bigint, url string, label int")
+    got = {tuple(r["tokens"]): (r["support"], r["confidence"]) for r in url_rules.mine(labelled, 0.2, 0.9).collect()}
+    assert got == {("q=blue", "q=green", "q=red"): (0.25, 1.0)}
+
+
+def test_url_query_mines_from_all_pages(spark, tmp_path):
+    """The blocked pages are all in fold 0, which mining left out before."""
+    from lakepact.llm import queries
+
+    zero = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 0]
+    rows = [(i, f"http://casino.example/p{i}") for i in zero[:2]] + [(i, f"http://plain.example/p{i}") for i in zero[2:40]]
+    spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r["mined_rule"] for r in queries.op5_url_rules(spark, str(tmp_path)).collect()}
+    assert [i for i, x in got.items() if x] and {i for i, x in got.items() if x} == set(zero[:2])
+
+
 # --- decontamination ---
 
 def test_leaks_given(spark):
