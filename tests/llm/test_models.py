@@ -360,6 +360,37 @@ def test_licence_held_out():
     assert judge("Released under the Zorp Public License 7") in ("unknown", None)
 
 
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software.""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met: retain the notice above.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+notice appears.""",
+}
+
+
+def test_licence_wrapped(spark):
+    plain = "Thand onesen erblest it hein ti inenan.\nEranenes whou therouou thon the heoron.\n\n"
+    rows = [(i, plain + x + "\n\n" + plain, "en", "s", 0) for i, x in enumerate(WRAPPED.values())]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("text not like '%icense%'").limit(400)
+    got = licence.scan(docs.unionByName(spark.createDataFrame(rows, SCHEMA).selectExpr("-1 - doc_id as doc_id", *docs.columns[1:]))).collect()
+    assert sorted((-1 - r["doc_id"], r["family"]) for r in got if r["doc_id"] < 0) == list(enumerate(WRAPPED))
+    for r in got:
+        if r["doc_id"] < 0:
+            text, want = rows[-1 - r["doc_id"]][1], list(WRAPPED.values())[-1 - r["doc_id"]]
+            assert len(set(text[r["start"]:r["end"]].split()) & set(want.split())) > 0.7 * len(set(want.split()))
+
+
 # --- pipeline ---
 
 def test_pipeline_stages(spark):
