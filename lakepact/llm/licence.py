@@ -380,8 +380,7 @@ class LicenceModel:
         for u in np.flatnonzero(1 - p[:, 0] >= 0.5).tolist():
             t = int(owner[u])
             a, b = ranges[t][u - place[t]]
-            ws = [w.lower() for w in found[t][a:b]]
-            if set(ws) & set(KEYS) and (got := self.judge(ws, p[u])):
+            if got := self.judge([w.lower() for w in found[t][a:b]], p[u]):
                 hits.setdefault(t, []).append((a, b, got))
         out: list[list[tuple]] = [[] for _ in texts]
         for t, own in hits.items():

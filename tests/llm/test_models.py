@@ -391,6 +391,16 @@ def test_licence_wrapped(spark):
             assert len(set(text[r["start"]:r["end"]].split()) & set(want.split())) > 0.7 * len(set(want.split()))
 
 
+def test_licence_without_key_word(spark):
+    """Other wording reaches the model, through the query."""
+    says = ["Distributed under the terms of the GNU GPL version 3", "Available under Apache-2.0", "MIT licensing applies",
+            "You may sublicense under MIT", "Dedicated to the public domain (CC0 1.0)"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("text not like '%icense%'").limit(400)
+    rows = spark.createDataFrame([(-1 - i, x, "en", "s", 0) for i, x in enumerate(says)], SCHEMA).select(*docs.columns)
+    got = licence.scan(docs.unionByName(rows)).collect()
+    assert {r["doc_id"] for r in got} == {-1 - i for i in range(len(says))}
+
+
 # --- pipeline ---
 
 def test_pipeline_stages(spark):
