@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows handed to numpy at once: bounds the memory of a Python worker when texts are long.
-SLICE_ROWS = 256
+# Rows, and bytes of their columns, handed to numpy at once: bounds the memory of a Python worker.
+SLICE_ROWS, SLICE_BYTES = 256, 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,10 +56,22 @@ def map_batches(
     return df.mapInArrow(fn, schema)
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Pieces of at most ``rows`` rows and ``most`` bytes; a single row of any size is one piece."""
+
+    def parts(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if b.num_rows > 1 and b.nbytes > most:
+            half = b.num_rows // 2
+            yield from parts(b.slice(0, half))
+            yield from parts(b.slice(half))
+        else:
+            yield b
+
     for b in batches:
         for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+            yield from parts(b.slice(at, rows))
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

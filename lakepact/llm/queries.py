@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakepact.llm import (
-    embed_lsh, licence, lm_mixing, pii_semicrf, qgram_decon, records, simhash, source_mix, toxicity_cnn, url_rules,
+    embed_lsh, licence, lm_mixing, phrases, pii_semicrf, qgram_decon, quality_rules, records, simhash, source_mix, spelling,
+    toxicity_cnn, url_rules,
 )
 from lakepact.llm.common import read
 
@@ -57,11 +58,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii_semicrf, op2_lm_mixing, op3_toxicity_cnn, op4_token_records, op5_url_rules, op6_qgram_decon,
-        op7_source_mix, op8_embed_lsh, op9_licence, op10_simhash,
+        op7_source_mix, op8_embed_lsh, op9_licence, op10_simhash, op11_spelling, op12_phrases, op13_quality_rules,
     )
 }
 
@@ -102,5 +115,44 @@ WITH d AS (
 SELECT doc_id, size, source_size, target,
        (size * (copies + CASE WHEN upto <= room THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c
+""",
+    "op12_phrases": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+         )) AS piece
+  FROM documents
+), x AS (
+  SELECT lang, ws FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p) WHERE len(ws) > 0
+), words AS (
+  SELECT lang, sum(len(ws))::BIGINT AS n FROM x GROUP BY lang
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: list_slice(ws, i, i + k - 1))) AS phrase
+  FROM x, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*)::BIGINT AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100
+), inner_parts AS (
+  SELECT lang, list_slice(phrase, i, i + j - 1) AS phrase, f
+  FROM (SELECT *, unnest(range(1, k - j + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS j FROM f WHERE k >= 3))
+), longer AS (
+  SELECT lang, phrase, max(f) AS most FROM inner_parts GROUP BY lang, phrase
+), kept AS (
+  SELECT f.lang, f.k, f.phrase, f.f AS a FROM f LEFT JOIN longer b ON b.lang = f.lang AND b.phrase = f.phrase
+  WHERE f.k >= 2 AND (b.most IS NULL OR 100 * b.most < 100 * f.f)
+), cuts AS (
+  SELECT *, unnest(range(1, k)) AS c FROM kept
+), scored AS (
+  SELECT t.lang, t.phrase, t.a, l.f AS l, r.f AS r, w.n, t.c,
+         ((1000::HUGEINT * t.a * w.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts t JOIN words w ON w.lang = t.lang
+  JOIN f l ON l.lang = t.lang AND l.phrase = list_slice(t.phrase, 1, t.c)
+  JOIN f r ON r.lang = t.lang AND r.phrase = list_slice(t.phrase, t.c + 1, t.k)
+), least AS (
+  SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+FROM least QUALIFY rank <= 2000
 """,
 }
