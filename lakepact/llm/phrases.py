@@ -6,6 +6,8 @@ language, level by level from one word to ``max_words``:
 - A task maps its texts to stripes: a prefix of k - 1 words, and how often each word follows it. What
   follows but cannot make a candidate (an infrequent word, the piece's end) is counted under one
   entry without a word. Stripes are combined in the task before they leave it.
+  From the third level on, tasks read only the runs of words in which every pair is frequent,
+  written once in the shared folder.
 - Stripes are dealt by prefix, sorted, and merged elementwise as a stream that holds one stripe. A
   prefix with more than 1/512 of all words is dealt in 64 parts by the hash of the next word; there
   are at most 512 such prefixes a level, so their list is small whatever the corpus.
@@ -36,6 +38,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -54,8 +57,8 @@ _STOPS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(
     ord("\n") if c in _STOPS else ord(" ") if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256)
 )
+ROLL = 0x9E3779B97F4A7C15  # an odd multiplier
 BREAK, NOTHING = -1, -2  # numbers of a piece's end (or of a word that ends all runs), and of an empty token
-OUT = pa.list_(pa.string())
 
 
 def fold(text: bytes) -> bytes:
@@ -63,13 +66,17 @@ def fold(text: bytes) -> bytes:
     return text.translate(_FOLD)
 
 
-def phrase_hash(lang: bytes, phrase: bytes) -> int:
-    """The hash of ``_hash`` below: XXH64, seed 42, unsigned."""
-    return xxhash.xxh64_intdigest(lang + b"\x1f" + phrase, seed=42)
+def word_hash(lang: bytes, word: bytes) -> int:
+    """XXH64, seed 42, unsigned: Spark's xxhash64 of the same string."""
+    return xxhash.xxh64_intdigest(lang + b"\x1f" + word, seed=42)
 
 
-def _hash(lang: Column, phrase: Column) -> Column:
-    return F.xxhash64(F.concat(lang, F.lit("\x1f"), phrase))
+def phrase_hash(lang: bytes, phrase: bytes) -> int:
+    """The hashes of its words, rolled into one."""
+    h = 0
+    for word in phrase.split(b" "):
+        h = (h * ROLL + word_hash(lang, word)) & (1 << 64) - 1
+    return h
 
 
 def _words(phrase: str, n: Column) -> Column:
@@ -81,23 +88,21 @@ class Bitmap:
     """Which hashes may be those of frequent phrases."""
 
     def __init__(self, bits: int, words: np.ndarray) -> None:
-        self.mask, self.words = (1 << bits) - 1, words
+        self.mask, self.words = np.uint64((1 << bits) - 1), words
 
-    def __contains__(self, h: int) -> bool:
-        h &= self.mask
-        return bool(int(self.words[h >> 6]) >> (h & 63) & 1)
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes & self.mask
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
     @classmethod
     def of(cls, phrases: DataFrame) -> Bitmap:
-        """Bitmap of ``phrases(lang, phrase)``; Spark folds the bits, 64 a row, before they are fetched."""
+        """Bitmap of ``phrases(hash)``; Spark folds the bits, 64 a row, before they are fetched."""
         n = phrases.count()
         bits = min(MAX_BITS, max(MIN_BITS, (16 * n).bit_length()))
-        at = _hash(F.col("lang"), F.col("phrase")).bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
+        at = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at").bitwiseAND(63).cast("int"))
         rows = (
-            phrases.select(at.alias("at"))
-            .groupBy(F.shiftright("at", 6).alias("block"))
-            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at").bitwiseAND(63).cast("int"))).alias("set"))
-            .toArrow()
+            phrases.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("block")).agg(F.bit_or(bit).alias("set")).toArrow()
         )
         words = np.zeros(1 << (bits - 6), np.uint64)
         words[rows["block"].to_numpy()] = rows["set"].to_numpy().view(np.uint64)
@@ -133,26 +138,29 @@ def count_words(docs: DataFrame) -> DataFrame:
 class _Numbers(dict):
     """Numbers of the words of one language as they appear: BREAK for infrequent ones."""
 
-    def __init__(self, lang: bytes, seen: list[bytes], langs: list[bytes], hashes: list[int], known: Bitmap) -> None:
+    def __init__(self, lang: bytes, of: StripeMapper) -> None:
         super().__init__({b"\n": BREAK, b"": NOTHING})
-        self.lang, self.seen, self.langs, self.hashes, self.known = lang, seen, langs, hashes, known
+        self.lang, self.of = lang, of
 
     def __missing__(self, word: bytes) -> int:
-        n = BREAK
-        if phrase_hash(self.lang, word) in self.known:
-            n = len(self.seen)
-            self.seen.append(word)
-            self.langs.append(self.lang)
-            self.hashes.append(xxhash.xxh64_intdigest(word) % HOT_PARTS)
+        n, h = BREAK, word_hash(self.lang, word)
+        if self.of.known[0].has(np.array([h], np.uint64))[0]:
+            n = len(self.of.seen)
+            self.of.seen.append(word)
+            self.of.langs.append(self.lang)
+            self.of.hashes.append(h)
         self[word] = n
         return n
 
 
 class StripeMapper:
-    """Stripes of prefixes of ``k - 1`` words from batches of (text, lang)."""
+    """Frequent phrases in batches of texts; ``known`` are the bitmaps of phrases of 1, 2, ... words."""
 
-    def __init__(self, k: int, known: list[Bitmap], hot: frozenset[tuple[bytes, bytes]]) -> None:
-        self.k, self.known, self.hot = k, known, hot
+    def __init__(self, known: list[Bitmap], hot: np.ndarray | None = None) -> None:
+        self.known, self.hot = known, np.zeros(0, np.uint64) if hot is None else hot
+        self.parts: list[np.ndarray] = []
+        self.weights: list[int] = []
+        self.tokens = 0
         self.forget()
 
     def forget(self) -> None:
@@ -160,61 +168,110 @@ class StripeMapper:
         self.langs: list[bytes] = []
         self.hashes: list[int] = []
         self.of: dict[bytes, _Numbers] = {}
-        self.parts: list[np.ndarray] = []
-        self.tokens = 0
 
-    def add(self, text: bytes, lang: bytes) -> None:
+    def add(self, text: bytes, lang: bytes, weight: int = 1) -> None:
         numbers = self.of.get(lang)
         if numbers is None:
-            numbers = self.of[lang] = _Numbers(lang, self.seen, self.langs, self.hashes, self.known[0])
+            numbers = self.of[lang] = _Numbers(lang, self)
         tokens = fold(text).replace(b"\n", b" \n ").split(b" ")
-        got = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-        self.parts += [got[got != NOTHING], np.array([BREAK])]
+        tokens.append(b"\n")
+        got = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens))
+        self.parts.append(got)
+        self.weights.append(weight)
         self.tokens += len(tokens)
 
-    def stripes(self) -> pa.RecordBatch:
-        """Stripes of what was added since the last call."""
-        first = np.concatenate([*self.parts, np.full(self.k, BREAK)])
-        self.parts, self.tokens = [], 0
-        at = np.arange(len(first))
-        number, texts, langs = first, self.seen, self.langs  # of the phrase that begins at each place
-        for j in range(2, self.k):  # numbers of frequent phrases of j words
-            ok = (number >= 0) & (np.append(number[1:], BREAK) >= 0)
-            at_, key = at[ok], number[ok] * len(self.seen) + np.append(first[j - 1:], np.full(j - 1, BREAK))[ok]
-            kinds, which = np.unique(key, return_inverse=True)
-            heads, nexts = np.divmod(kinds, max(1, len(self.seen)))
-            phrases = [texts[p] + b" " + self.seen[w] for p, w in zip(heads.tolist(), nexts.tolist())]
-            of = [langs[p] for p in heads.tolist()]
-            keep = np.fromiter((phrase_hash(g, p) in self.known[j - 1] for g, p in zip(of, phrases)), bool, len(phrases))
-            renumber = np.where(keep, np.cumsum(keep) - 1, BREAK)
-            number = np.full(len(first), BREAK)
-            number[at_] = renumber[which]
-            texts, langs = [p for p, x in zip(phrases, keep) if x], [g for g, x in zip(of, keep) if x]
-        here = number >= 0
-        following = np.append(first[self.k - 1:], np.full(self.k - 1, BREAK))
+    def frequent(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+        """Of what was added: numbers of the words, whether a frequent phrase of ``k`` words begins
+        at each, the hash of those, and how often each word counts (None: once)."""
+        lengths = [len(x) for x in self.parts]
+        first = np.concatenate([*self.parts, np.full(k + 1, BREAK, np.int32)])
+        weight = None
+        if any(w != 1 for w in self.weights):
+            weight = np.append(np.repeat(np.array(self.weights, np.int64), lengths), np.ones(k + 1, np.int64))
+            weight = weight[first != NOTHING]
+        first = first[first != NOTHING]
+        self.parts, self.weights, self.tokens = [], [], 0
+        ok = first >= 0
+        of_word = np.array([*self.hashes, 0], np.uint64)
+        rolled = of_word[first]
+        for j in range(2, k + 1):
+            at = np.flatnonzero(ok[:-1] & ok[1:])
+            got = rolled[at] * np.uint64(ROLL) + of_word[first[at + j - 1]]
+            keep = self.known[j - 1].has(got)
+            ok = np.zeros(len(first), bool)
+            rolled = np.zeros(len(first), np.uint64)
+            ok[at[keep]], rolled[at[keep]] = True, got[keep]
+        return first, ok, rolled, weight
+
+    def phrases(self, first: np.ndarray, at: np.ndarray, k: int) -> pa.Array:
+        """The phrases of ``k`` words that begin at the places ``at``."""
+        names = pa.array(self.seen, pa.binary()).cast(pa.string())
+        words = [names.take(pa.array(first[at + j])) for j in range(k)]
+        return words[0] if k == 1 else pc.binary_join_element_wise(*words, " ")
+
+    def runs(self) -> pa.RecordBatch:
+        """Longest runs of words in which all pairs are frequent: lang, text, n (equal runs are one row)."""
+        first, ok, _, _ = self.frequent(2)
+        edge = np.diff(ok.astype(np.int8), prepend=0, append=0)
+        buffer, size = first.tobytes(), first.itemsize
+        found = Counter(
+            buffer[a * size:(b + 1) * size] for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
+        )
+        ids = [np.frombuffer(x, first.dtype).tolist() for x in found]
+        out = pa.RecordBatch.from_arrays(
+            [pa.array([self.langs[x[0]] for x in ids], pa.binary()).cast(pa.string()),
+             pa.array([b" ".join([self.seen[i] for i in x]) for x in ids], pa.binary()).cast(pa.string()),
+             pa.array(list(found.values()), pa.int64())],
+            ["lang", "text", "n"],
+        )
+        self._shrink()
+        return out
+
+    def _shrink(self) -> None:
+        if sum(map(len, self.of.values())) > HELD_WORDS:
+            self.forget()
+
+    def stripes(self, k: int) -> pa.RecordBatch:
+        """Stripes of the frequent prefixes of ``k - 1`` words. Words and counts of a stripe are joined
+        by blanks; the entry of what makes no candidate has an empty word."""
+        first, ok, rolled, weight = self.frequent(k - 1)
+        at = np.flatnonzero(ok)
         # The next word counts by name only if the phrase without its first word is frequent, too.
-        named = here & (following >= 0) & (np.append(number[1:], BREAK) >= 0)
+        nxt = np.where(ok[at + 1], first[at + k - 1], BREAK).astype(np.int64)
+        prefix = first[at].astype(np.int64)
+        for j in range(1, k - 1):  # exact numbers of the prefixes
+            _, prefix = np.unique(prefix * len(self.seen) + first[at + j], return_inverse=True)
         wide = len(self.seen) + 1
-        key = number[here] * wide + np.where(named, following, BREAK)[here] + 1
-        kinds, counts = np.unique(key, return_counts=True)
+        kinds, place, which, counts = np.unique(prefix * wide + nxt + 1, return_index=True, return_inverse=True, return_counts=True)
+        if weight is not None:
+            counts = np.zeros(len(kinds), np.int64)
+            np.add.at(counts, which, weight[at])
         prefix, nxt = np.divmod(kinds, wide)
         nxt -= 1
-        hot = np.fromiter(((g, p) in self.hot for g, p in zip(langs, texts)), bool, len(texts))
-        part = np.where(hot[prefix] & (nxt >= 0), np.array([*self.hashes, 0], np.int64)[nxt], 0)
+        place = at[place]
+        spread = (np.array([*self.hashes, 0], np.uint64)[nxt] % np.uint64(HOT_PARTS)).astype(np.int64)
+        part = np.where(np.isin(rolled[place], self.hot) & (nxt >= 0), spread, 0)
         order = np.lexsort((nxt, part, prefix))
-        prefix, part, nxt, counts = prefix[order], part[order], nxt[order], counts[order]
+        prefix, part, nxt, counts, place = prefix[order], part[order], nxt[order], counts[order], place[order]
         new = np.flatnonzero((np.diff(prefix, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
         offsets = pa.array(np.append(new, len(prefix)), pa.int32())
-        names = pa.array([*self.seen, None], pa.binary()).cast(pa.string())
+        names = pa.array([*self.seen, b""], pa.binary()).cast(pa.string())
         words = names.take(pa.array(np.where(nxt < 0, len(self.seen), nxt)))
-        take = lambda of: pa.array(of, pa.binary()).cast(pa.string()).take(pa.array(prefix[new]))
-        if len(self.seen) > HELD_WORDS:
-            self.forget()
-        return pa.RecordBatch.from_arrays(
-            [take(langs), take(texts), pa.array(part[new], pa.int32()),
-             pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64()))],
-            ["lang", "prefix", "part", "words", "counts"],
+        langs = pa.array(self.langs, pa.binary()).cast(pa.string()).take(pa.array(first[place[new]]))
+        out = pa.RecordBatch.from_arrays(
+            [langs, self.phrases(first, place[new], k - 1), pa.array(part[new], pa.int32()),
+             _joined(offsets, words), _joined(offsets, pa.array(counts).cast(pa.string()))],
+            STRIPE,
         )
+        self._shrink()
+        return out
+
+
+STRIPE = ["lang", "prefix", "part", "words", "counts"]
+
+
+def _joined(offsets: pa.Array, values: pa.Array) -> pa.Array:
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, values), " ")
 
 
 def merge_stripes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,81 +288,108 @@ def merge_stripes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield left
 
 
+def _entries(b: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The row, word and count of every entry."""
+    words = pc.split_pattern(b.column(3), " ")
+    lengths = words.value_lengths().to_numpy()
+    counts = pc.split_pattern(b.column(4), " ").flatten().cast(pa.int64()).to_numpy()
+    return np.repeat(np.arange(b.num_rows), lengths), words.flatten(), counts
+
+
 def _merge(b: pa.RecordBatch) -> pa.RecordBatch:
     changed = np.zeros(b.num_rows, bool)
     changed[0] = True
     for c in range(3):
         codes = b.column(c).dictionary_encode().indices.to_numpy()
         changed[1:] |= codes[1:] != codes[:-1]
+    if changed.all():
+        return b
     group, start = np.cumsum(changed) - 1, np.flatnonzero(changed)
-    lengths = b.column(3).value_lengths().to_numpy()
-    words = b.column(3).flatten().dictionary_encode()
-    codes = words.indices.fill_null(-1).to_numpy() + 1
-    wide = len(words.dictionary) + 1
-    key = np.repeat(group, lengths) * wide + codes
+    row, words, counts = _entries(b)
+    words = words.dictionary_encode()
+    wide = len(words.dictionary)
+    key = group[row] * wide + words.indices.to_numpy()
     order = np.argsort(key, kind="stable")
-    key, counts = key[order], b.column(4).flatten().to_numpy()[order]
+    key = key[order]
     new = np.flatnonzero(np.diff(key, prepend=-1) != 0)
-    sums = np.add.reduceat(counts, new) if len(new) else counts
+    sums = np.add.reduceat(counts[order], new)
     of, code = np.divmod(key[new], wide)
     offsets = pa.array(np.searchsorted(of, np.arange(len(start) + 1)), pa.int32())
-    names = pa.concat_arrays([pa.array([None], pa.string()), words.dictionary.cast(pa.string())])
     first = pa.array(start)
     return pa.RecordBatch.from_arrays(
         [b.column(0).take(first), b.column(1).take(first), b.column(2).take(first),
-         pa.ListArray.from_arrays(offsets, names.take(pa.array(code))), pa.ListArray.from_arrays(offsets, pa.array(sums, pa.int64()))],
-        ["lang", "prefix", "part", "words", "counts"],
+         _joined(offsets, words.dictionary.take(pa.array(code))), _joined(offsets, pa.array(sums).cast(pa.string()))],
+        STRIPE,
     )
 
 
+DIGEST = "lang string, prefix string, total bigint, largest bigint, words array<string>, counts array<bigint>, hashes array<bigint>"
+
+
 def digest_stripes(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Of each merged stripe: its sum, its largest named entry, and its entries of ``least`` or more."""
+    """Of each merged stripe: its sum, its largest named entry, and its entries of ``least`` or more
+    with the hash of the phrase that each makes."""
     for b in merge_stripes(batches):
-        counts = b.column(4).flatten().to_numpy()
-        words = b.column(3).flatten()
-        lengths = b.column(4).value_lengths().to_numpy()  # no stripe is empty
-        starts = np.cumsum(lengths) - lengths
-        named = words.is_valid().to_numpy(zero_copy_only=False)
+        row, words, counts = _entries(b)
+        starts = np.flatnonzero(np.diff(row, prepend=-1))  # no stripe is empty
+        named = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
         keep = named & (counts >= least)
-        row = np.repeat(np.arange(b.num_rows), lengths)
-        offsets = pa.array(np.searchsorted(row[keep], np.arange(b.num_rows + 1)), pa.int32())
+        kept, names = row[keep], words.filter(pa.array(keep))
+        offsets = pa.array(np.searchsorted(kept, np.arange(b.num_rows + 1)), pa.int32())
+        phrases = pc.binary_join_element_wise(b.column(1).take(pa.array(kept)), names, " ")
+        langs = b.column(0).take(pa.array(kept))
+        hashes = np.array([phrase_hash(g, p) for g, p in zip(text_bytes(langs), text_bytes(phrases))], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array(np.add.reduceat(counts, starts)),
              pa.array(np.maximum.reduceat(np.where(named, counts, 0), starts)),
-             pa.ListArray.from_arrays(offsets, words.filter(pa.array(keep))),
-             pa.ListArray.from_arrays(offsets, pa.array(counts[keep], pa.int64()))],
-            ["lang", "prefix", "total", "largest", "words", "counts"],
+             *(pa.ListArray.from_arrays(offsets, x) for x in (names, pa.array(counts[keep]), pa.array(hashes)))],
+            [f.split()[0] for f in DIGEST.split(", ")],
         )
 
 
-def stripes(docs: DataFrame, k: int, known: list[Bitmap], hot: frozenset, min_count: int) -> DataFrame:
-    """(lang, prefix, total, largest, words, counts) of the prefixes of ``k - 1`` words, merged; hot ones in parts."""
-    sent = docs.sparkSession.sparkContext.broadcast((known, hot))
+def narrow(docs: DataFrame, known: list[Bitmap]) -> DataFrame:
+    """(text, lang, n): the runs of words in which every pair is frequent. Longer candidates lie in
+    them whole, and so does every occurrence of a frequent pair."""
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
-        mapper = StripeMapper(k, *sent.value)
+        mapper = StripeMapper(sent.value)
         for b in slices(batches):
             for text, lang in zip(text_bytes(b.column(0)), text_bytes(b.column(1))):
                 if text:
                     mapper.add(text, lang)
             if mapper.tokens > HELD_TOKENS:
-                yield mapper.stripes()
+                yield mapper.runs()
         if mapper.tokens:
-            yield mapper.stripes()
-
-    schema = "lang string, prefix string, part int, words array<string>, counts array<bigint>"
-    dealt = map_batches(docs, run, schema).repartition("lang", "prefix", "part")
-    return map_batches(
-        dealt.sortWithinPartitions("lang", "prefix", "part"),
-        lambda batches: digest_stripes(batches, min_count),
-        "lang string, prefix string, total bigint, largest bigint, words array<string>, counts array<bigint>",
-    )
+            yield mapper.runs()
+
+    return map_batches(docs, run, "lang string, text string, n bigint").select("text", "lang", "n")
+
+
+def stripes(texts: DataFrame, k: int, known: list[Bitmap], hot: np.ndarray, min_count: int) -> DataFrame:
+    """DIGEST rows of the prefixes of ``k - 1`` words in ``texts(text, lang, n)``; hot ones in parts."""
+    sent = texts.sparkSession.sparkContext.broadcast((known, hot))
+
+    def run(batches):
+        mapper = StripeMapper(*sent.value)
+        for b in slices(batches):
+            for text, lang, n in zip(text_bytes(b.column(0)), text_bytes(b.column(1)), b.column(2).to_pylist()):
+                if text:
+                    mapper.add(text, lang, n)
+            if mapper.tokens > HELD_TOKENS:
+                yield mapper.stripes(k)
+        if mapper.tokens:
+            yield mapper.stripes(k)
+
+    dealt = map_batches(texts, run, "lang string, prefix string, part int, words string, counts string")
+    dealt = dealt.repartition("lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
+    return map_batches(dealt, lambda batches: digest_stripes(batches, min_count), DIGEST)
 
 
-def _hot(phrases: DataFrame, words: int) -> frozenset[tuple[bytes, bytes]]:
-    """Phrases (lang, phrase, f) with over 1/HOT_SHARE of ``words``: fewer than HOT_SHARE rows."""
-    rows = phrases.where(F.col("f") * HOT_SHARE > words).select("lang", "phrase").collect()
-    return frozenset((r["lang"].encode(), r["phrase"].encode()) for r in rows)
+def _hot(phrases: DataFrame, words: int) -> np.ndarray:
+    """Hashes of the phrases (f, hash) with over 1/HOT_SHARE of ``words``: fewer than HOT_SHARE rows."""
+    rows = phrases.where(F.col("f") * HOT_SHARE > words).select("hash").collect()
+    return np.array([r["hash"] for r in rows], np.int64).view(np.uint64)
 
 
 def candidates(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -316,18 +400,22 @@ def candidates(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX
     words = cut(count_words(texts).where(F.col("phrase").isNull() | (F.col("f") >= min_count)))
     totals = words.where("phrase is null").select("lang", F.col("f").alias("n"))
     in_all = totals.agg(F.sum("n")).first()[0] or 0
-    last = words.where("phrase is not null").select("lang", "phrase", "f")
+    of_word = F.xxhash64(F.concat("lang", F.lit("\x1f"), "phrase"))
+    last = words.where("phrase is not null").select("lang", "phrase", "f", of_word.alias("hash"))
+    source = texts.withColumn("n", F.lit(1).cast("bigint"))
     known: list[Bitmap] = []
     found, sums, longer = [], [], []
     for k in range(2, max_words + 1):
         known.append(Bitmap.of(last))
-        merged = cut(stripes(texts, k, known, _hot(last, in_all), min_count))
+        if k == 3:
+            source = cut(narrow(texts, known))
+        merged = cut(stripes(source, k, known, _hot(last, in_all), min_count))
         sums.append(merged.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.sum("total").alias("f")))
         longer.append(merged.select("lang", F.col("prefix").alias("phrase"), F.col("largest").alias("f")))
-        last = merged.select("lang", "prefix", F.explode(F.arrays_zip("words", "counts")).alias("e")).select(
-            "lang", F.concat_ws(" ", "prefix", "e.words").alias("phrase"), F.col("e.counts").alias("f")
+        last = merged.select("lang", "prefix", F.explode(F.arrays_zip("words", "counts", "hashes")).alias("e")).select(
+            "lang", F.concat_ws(" ", "prefix", "e.words").alias("phrase"), F.col("e.counts").alias("f"), F.col("e.hashes").alias("hash")
         )
-        found.append(last.withColumn("k", F.lit(k)))
+        found.append(last.select("lang", "phrase", "f", F.lit(k).alias("k")))
         longer.append(last.select("lang", _words("phrase", F.lit(1 - k)).alias("phrase"), "f"))
         if last.isEmpty():
             break
