@@ -50,8 +50,8 @@ MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 MIN_BITS, MAX_BITS = 16, 28
 # A prefix with more than this share of all words is dealt in HOT_PARTS parts.
 HOT_SHARE, HOT_PARTS = 512, 64
-# Words counted, or read, in a task before what was found is handed on.
-HELD_WORDS, HELD_TOKENS = 300_000, 2_000_000
+# Bytes of text read in a task before what was found in them is handed on.
+HELD_BYTES = 12 << 20
 
 _STOPS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(
@@ -109,94 +109,91 @@ class Bitmap:
         return cls(bits, words)
 
 
+def encode(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """Tokens of the texts as numbers, and what the numbers stand for: words, a line feed after each
+    piece (and after each text), and empty tokens where blanks meet."""
+    blob = fold(b"\n".join([*texts, b""])).replace(b"\n", b" \n ")
+    tokens = pc.split_pattern(pa.array([blob], pa.binary()), b" ").flatten().dictionary_encode()
+    return tokens.indices.to_numpy(), tokens.dictionary
+
+
+def _by_lang(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[bytes, tuple[list[bytes], list[int]]]]:
+    """Texts and their weights by language, some HELD_BYTES at a time, from batches of (text, lang, n)."""
+    held: dict[bytes, tuple[list[bytes], list[int]]] = {}
+    size = 0
+    for b in slices(batches, rows=4096):
+        for text, lang, n in zip(text_bytes(b.column(0)), text_bytes(b.column(1)), b.column(2).to_pylist()):
+            if text:
+                texts, weights = held.setdefault(lang, ([], []))
+                texts.append(text)
+                weights.append(n)
+                size += len(text)
+        if size > HELD_BYTES:
+            yield held
+            held, size = {}, 0
+    if held:
+        yield held
+
+
 def count_words(docs: DataFrame) -> DataFrame:
-    """(lang, phrase, f): every word and, with a null phrase, the words of the language in all."""
+    """(lang, phrase, f): every word of ``docs(text, lang, n)`` and, with a null phrase, the words of
+    the language in all."""
 
     def run(batches):
-        held: dict[str, Counter] = {}
-
-        def out() -> pa.RecordBatch:
-            rows = [(lang, w, n) for lang, c in held.items() for w, n in [(None, c.total()), *c.items()]]
-            held.clear()
-            cols = list(zip(*rows)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()).cast(pa.string()), pa.array(cols[2], pa.int64())],
-                ["lang", "phrase", "f"],
-            )
-
-        for b in slices(batches):
-            for text, lang in zip(text_bytes(b.column(0)), b.column(1).to_pylist()):
-                if text:
-                    held.setdefault(lang, Counter()).update(fold(text).split())
-            if sum(map(len, held.values())) > HELD_WORDS:
-                yield out()
-        yield out()
+        for held in _by_lang(batches):
+            for lang, (texts, _) in held.items():
+                codes, names = encode(texts)
+                counts = np.bincount(codes, minlength=len(names))
+                words = pc.invert(pc.is_in(names, pa.array([b"", b"\n"], pa.binary())))
+                counts = pa.array(counts).filter(words)
+                f = pa.concat_arrays([counts, pa.array([pc.sum(counts).as_py() or 0], pa.int64())])
+                phrase = pa.concat_arrays([names.filter(words).cast(pa.string()), pa.array([None], pa.string())])
+                yield pa.RecordBatch.from_arrays([pa.array([lang.decode()] * len(f), pa.string()), phrase, f], ["lang", "phrase", "f"])
 
     return map_batches(docs, run, "lang string, phrase string, f bigint").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
-class _Numbers(dict):
-    """Numbers of the words of one language as they appear: BREAK for infrequent ones."""
-
-    def __init__(self, lang: bytes, of: StripeMapper) -> None:
-        super().__init__({b"\n": BREAK, b"": NOTHING})
-        self.lang, self.of = lang, of
-
-    def __missing__(self, word: bytes) -> int:
-        n, h = BREAK, word_hash(self.lang, word)
-        if self.of.known[0].has(np.array([h], np.uint64))[0]:
-            n = len(self.of.seen)
-            self.of.seen.append(word)
-            self.of.langs.append(self.lang)
-            self.of.hashes.append(h)
-        self[word] = n
-        return n
-
-
 class StripeMapper:
-    """Frequent phrases in batches of texts; ``known`` are the bitmaps of phrases of 1, 2, ... words."""
+    """Frequent phrases in texts by language; ``known`` are the bitmaps of phrases of 1, 2, ... words."""
 
     def __init__(self, known: list[Bitmap], hot: np.ndarray | None = None) -> None:
         self.known, self.hot = known, np.zeros(0, np.uint64) if hot is None else hot
-        self.parts: list[np.ndarray] = []
-        self.weights: list[int] = []
-        self.tokens = 0
-        self.forget()
-
-    def forget(self) -> None:
-        self.seen: list[bytes] = []
-        self.langs: list[bytes] = []
-        self.hashes: list[int] = []
-        self.of: dict[bytes, _Numbers] = {}
-
-    def add(self, text: bytes, lang: bytes, weight: int = 1) -> None:
-        numbers = self.of.get(lang)
-        if numbers is None:
-            numbers = self.of[lang] = _Numbers(lang, self)
-        tokens = fold(text).replace(b"\n", b" \n ").split(b" ")
-        tokens.append(b"\n")
-        got = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens))
-        self.parts.append(got)
-        self.weights.append(weight)
-        self.tokens += len(tokens)
-
-    def frequent(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
-        """Of what was added: numbers of the words, whether a frequent phrase of ``k`` words begins
-        at each, the hash of those, and how often each word counts (None: once)."""
-        lengths = [len(x) for x in self.parts]
-        first = np.concatenate([*self.parts, np.full(k + 1, BREAK, np.int32)])
-        weight = None
-        if any(w != 1 for w in self.weights):
-            weight = np.append(np.repeat(np.array(self.weights, np.int64), lengths), np.ones(k + 1, np.int64))
-            weight = weight[first != NOTHING]
-        first = first[first != NOTHING]
-        self.parts, self.weights, self.tokens = [], [], 0
+
+    def frequent(self, held: dict[bytes, tuple[list[bytes], list[int]]], k: int) -> tuple[np.ndarray, ...]:
+        """Numbers of the words in a row, whether a frequent phrase of ``k`` words begins at each, the
+        hash of that phrase, and how often each place counts (None: once). Sets what the numbers stand for."""
+        rows, weigh, names, langs, hashes = [], [], [], [], []
+        base, once = 0, all(w == 1 for _, weights in held.values() for w in weights)
+        for lang, (texts, weights) in held.items():
+            codes, words = encode(texts)
+            start = lang + b"\x1f"
+            h = np.fromiter((xxhash.xxh64_intdigest(start + w, seed=42) for w in words.to_pylist()), np.uint64, len(words))
+            number = np.where(self.known[0].has(h), base + np.arange(len(words), dtype=np.int32), np.int32(BREAK))
+            for mark, meaning in ((b"\n", BREAK), (b"", NOTHING)):
+                at = pc.index(words, pa.scalar(mark, pa.binary())).as_py()
+                if at >= 0:
+                    number[at] = meaning
+                if mark == b"\n" and not once:  # then the texts are runs, one piece each
+                    ends = codes == at
+            got = number[codes]
+            real = got != NOTHING
+            rows.append(got[real])
+            if not once:
+                weigh.append(np.append(np.array(weights, np.int64), 1)[np.cumsum(ends) - ends][real])
+            names.append(words)
+            langs.append(pa.array([lang]).cast(pa.string()).take(pa.array(np.zeros(len(words), np.int8))))
+            hashes.append(h)
+            base += len(words)
+        first = np.concatenate([*rows, np.full(k + 1, BREAK, np.int32)])
+        weight = None if once else np.concatenate([*weigh, np.ones(k + 1, np.int64)])
+        self.names = pa.concat_arrays([*names, pa.array([b""], pa.binary())]).cast(pa.string())
+        self.langs = pa.concat_arrays(langs)
+        self.hashes = np.append(np.concatenate(hashes), np.uint64(0))
         ok = first >= 0
-        of_word = np.array([*self.hashes, 0], np.uint64)
-        rolled = of_word[first]
+        rolled = self.hashes[first]
         for j in range(2, k + 1):
             at = np.flatnonzero(ok[:-1] & ok[1:])
-            got = rolled[at] * np.uint64(ROLL) + of_word[first[at + j - 1]]
+            got = rolled[at] * np.uint64(ROLL) + self.hashes[first[at + j - 1]]
             keep = self.known[j - 1].has(got)
             ok = np.zeros(len(first), bool)
             rolled = np.zeros(len(first), np.uint64)
@@ -205,66 +202,60 @@ class StripeMapper:
 
     def phrases(self, first: np.ndarray, at: np.ndarray, k: int) -> pa.Array:
         """The phrases of ``k`` words that begin at the places ``at``."""
-        names = pa.array(self.seen, pa.binary()).cast(pa.string())
-        words = [names.take(pa.array(first[at + j])) for j in range(k)]
+        words = [self.names.take(pa.array(first[at + j])) for j in range(k)]
         return words[0] if k == 1 else pc.binary_join_element_wise(*words, " ")
 
-    def runs(self) -> pa.RecordBatch:
+    def runs(self, held: dict[bytes, tuple[list[bytes], list[int]]]) -> pa.RecordBatch:
         """Longest runs of words in which all pairs are frequent: lang, text, n (equal runs are one row)."""
-        first, ok, _, _ = self.frequent(2)
+        first, ok, _, _ = self.frequent(held, 2)
         edge = np.diff(ok.astype(np.int8), prepend=0, append=0)
         buffer, size = first.tobytes(), first.itemsize
         found = Counter(
             buffer[a * size:(b + 1) * size] for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
         )
-        ids = [np.frombuffer(x, first.dtype).tolist() for x in found]
-        out = pa.RecordBatch.from_arrays(
-            [pa.array([self.langs[x[0]] for x in ids], pa.binary()).cast(pa.string()),
-             pa.array([b" ".join([self.seen[i] for i in x]) for x in ids], pa.binary()).cast(pa.string()),
+        ids = np.frombuffer(b"".join(found), first.dtype)
+        starts = np.cumsum([0, *(len(x) // size for x in found)])
+        return pa.RecordBatch.from_arrays(
+            [self.langs.take(pa.array(ids[starts[:-1]])), _joined(pa.array(starts, pa.int32()), self.names.take(pa.array(ids))),
              pa.array(list(found.values()), pa.int64())],
             ["lang", "text", "n"],
         )
-        self._shrink()
-        return out
-
-    def _shrink(self) -> None:
-        if sum(map(len, self.of.values())) > HELD_WORDS:
-            self.forget()
 
-    def stripes(self, k: int) -> pa.RecordBatch:
+    def stripes(self, held: dict[bytes, tuple[list[bytes], list[int]]], k: int) -> pa.RecordBatch:
         """Stripes of the frequent prefixes of ``k - 1`` words. Words and counts of a stripe are joined
         by blanks; the entry of what makes no candidate has an empty word."""
-        first, ok, rolled, weight = self.frequent(k - 1)
+        first, ok, rolled, weight = self.frequent(held, k - 1)
         at = np.flatnonzero(ok)
         # The next word counts by name only if the phrase without its first word is frequent, too.
         nxt = np.where(ok[at + 1], first[at + k - 1], BREAK).astype(np.int64)
         prefix = first[at].astype(np.int64)
         for j in range(1, k - 1):  # exact numbers of the prefixes
-            _, prefix = np.unique(prefix * len(self.seen) + first[at + j], return_inverse=True)
-        wide = len(self.seen) + 1
-        kinds, place, which, counts = np.unique(prefix * wide + nxt + 1, return_index=True, return_inverse=True, return_counts=True)
-        if weight is not None:
+            _, prefix = np.unique(prefix * len(self.names) + first[at + j], return_inverse=True)
+        place = np.zeros(prefix.max(initial=-1) + 1, np.int64)  # of one occurrence of each
+        place[prefix] = at
+        wide = len(self.names)
+        if weight is None:
+            kinds, counts = np.unique(prefix * wide + nxt + 1, return_counts=True)
+        else:
+            kinds, which = np.unique(prefix * wide + nxt + 1, return_inverse=True)
             counts = np.zeros(len(kinds), np.int64)
             np.add.at(counts, which, weight[at])
         prefix, nxt = np.divmod(kinds, wide)
         nxt -= 1
-        place = at[place]
-        spread = (np.array([*self.hashes, 0], np.uint64)[nxt] % np.uint64(HOT_PARTS)).astype(np.int64)
-        part = np.where(np.isin(rolled[place], self.hot) & (nxt >= 0), spread, 0)
-        order = np.lexsort((nxt, part, prefix))
-        prefix, part, nxt, counts, place = prefix[order], part[order], nxt[order], counts[order], place[order]
-        new = np.flatnonzero((np.diff(prefix, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
-        offsets = pa.array(np.append(new, len(prefix)), pa.int32())
-        names = pa.array([*self.seen, b""], pa.binary()).cast(pa.string())
-        words = names.take(pa.array(np.where(nxt < 0, len(self.seen), nxt)))
-        langs = pa.array(self.langs, pa.binary()).cast(pa.string()).take(pa.array(first[place[new]]))
-        out = pa.RecordBatch.from_arrays(
-            [langs, self.phrases(first, place[new], k - 1), pa.array(part[new], pa.int32()),
+        spread = (self.hashes[nxt] % np.uint64(HOT_PARTS)).astype(np.int64)
+        dealt = prefix * HOT_PARTS + np.where(np.isin(rolled[place], self.hot)[prefix] & (nxt >= 0), spread, 0)
+        order = np.argsort(dealt, kind="stable")  # entries are in order but for the parts of hot prefixes
+        dealt, nxt, counts = dealt[order], nxt[order], counts[order]
+        new = np.flatnonzero(np.diff(dealt, prepend=-1))
+        prefix, part = np.divmod(dealt[new], HOT_PARTS)
+        place = place[prefix]
+        offsets = pa.array(np.append(new, len(dealt)), pa.int32())
+        words = self.names.take(pa.array(np.where(nxt < 0, wide - 1, nxt)))
+        return pa.RecordBatch.from_arrays(
+            [self.langs.take(pa.array(first[place])), self.phrases(first, place, k - 1), pa.array(part, pa.int32()),
              _joined(offsets, words), _joined(offsets, pa.array(counts).cast(pa.string()))],
             STRIPE,
         )
-        self._shrink()
-        return out
 
 
 STRIPE = ["lang", "prefix", "part", "words", "counts"]
@@ -348,20 +339,14 @@ def digest_stripes(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa
 
 
 def narrow(docs: DataFrame, known: list[Bitmap]) -> DataFrame:
-    """(text, lang, n): the runs of words in which every pair is frequent. Longer candidates lie in
-    them whole, and so does every occurrence of a frequent pair."""
+    """(text, lang, n): the runs of words of ``docs(text, lang, n)`` in which every pair is frequent.
+    Longer candidates lie in them whole, and so does every occurrence of a frequent pair."""
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         mapper = StripeMapper(sent.value)
-        for b in slices(batches):
-            for text, lang in zip(text_bytes(b.column(0)), text_bytes(b.column(1))):
-                if text:
-                    mapper.add(text, lang)
-            if mapper.tokens > HELD_TOKENS:
-                yield mapper.runs()
-        if mapper.tokens:
-            yield mapper.runs()
+        for held in _by_lang(batches):
+            yield mapper.runs(held)
 
     return map_batches(docs, run, "lang string, text string, n bigint").select("text", "lang", "n")
 
@@ -372,14 +357,8 @@ def stripes(texts: DataFrame, k: int, known: list[Bitmap], hot: np.ndarray, min_
 
     def run(batches):
         mapper = StripeMapper(*sent.value)
-        for b in slices(batches):
-            for text, lang, n in zip(text_bytes(b.column(0)), text_bytes(b.column(1)), b.column(2).to_pylist()):
-                if text:
-                    mapper.add(text, lang, n)
-            if mapper.tokens > HELD_TOKENS:
-                yield mapper.stripes(k)
-        if mapper.tokens:
-            yield mapper.stripes(k)
+        for held in _by_lang(batches):
+            yield mapper.stripes(held, k)
 
     dealt = map_batches(texts, run, "lang string, prefix string, part int, words string, counts string")
     dealt = dealt.repartition("lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
@@ -395,21 +374,21 @@ def _hot(phrases: DataFrame, words: int) -> np.ndarray:
 def candidates(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The candidates (lang, phrase, k, f, longer), frequencies of their parts (lang, phrase, f), and words (lang, n)."""
     texts = docs.select(
-        F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
+        F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
+        F.lit(1).cast("bigint").alias("n"),
     )
     words = cut(count_words(texts).where(F.col("phrase").isNull() | (F.col("f") >= min_count)))
     totals = words.where("phrase is null").select("lang", F.col("f").alias("n"))
     in_all = totals.agg(F.sum("n")).first()[0] or 0
     of_word = F.xxhash64(F.concat("lang", F.lit("\x1f"), "phrase"))
     last = words.where("phrase is not null").select("lang", "phrase", "f", of_word.alias("hash"))
-    source = texts.withColumn("n", F.lit(1).cast("bigint"))
     known: list[Bitmap] = []
     found, sums, longer = [], [], []
     for k in range(2, max_words + 1):
         known.append(Bitmap.of(last))
         if k == 3:
-            source = cut(narrow(texts, known))
-        merged = cut(stripes(source, k, known, _hot(last, in_all), min_count))
+            texts = cut(narrow(texts, known))
+        merged = cut(stripes(texts, k, known, _hot(last, in_all), min_count))
         sums.append(merged.groupBy("lang", F.col("prefix").alias("phrase")).agg(F.sum("total").alias("f")))
         longer.append(merged.select("lang", F.col("prefix").alias("phrase"), F.col("largest").alias("f")))
         last = merged.select("lang", "prefix", F.explode(F.arrays_zip("words", "counts", "hashes")).alias("e")).select(

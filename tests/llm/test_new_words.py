@@ -155,7 +155,7 @@ def test_phrases_query_and_sql(spark):
 
 @pytest.mark.parametrize("least,most,top", [(3, 5, 2000), (2, 3, 7), (5, 2, 2000)])
 def test_phrases_awkward(spark, monkeypatch, least, most, top):
-    monkeypatch.setattr(phrases, "HELD_TOKENS", 3_000)  # several stripes of a prefix from one task
+    monkeypatch.setattr(phrases, "HELD_BYTES", 2_000)  # several stripes of a prefix from one task
     got = phrases.collocations(awkward(spark), least, most, top).collect()
     assert got and key(got) == key(brute_phrases([r[1:3] for r in awkward_rows()], least, most, top))
 
@@ -220,7 +220,7 @@ def test_bitmap_holds_every_phrase(spark):
 
 def test_runs_keep_every_pair_and_longer_phrase(spark):
     rows = [(" ".join(random.Random(i).choice("abcde") for _ in range(60)) + ". x y", "en") for i in range(40)]
-    docs = spark.createDataFrame(rows, "text string, lang string")
+    docs = spark.createDataFrame(rows, "text string, lang string").selectExpr("*", "1L AS n")
     frequent = {"a b", "b c", "c c", "e a"}
     hashes = lambda of: spark.createDataFrame(
         [(int(np.array([phrases.phrase_hash(b"en", p.encode())], np.uint64).view(np.int64)[0]),) for p in of], "hash bigint"
