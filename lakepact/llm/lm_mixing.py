@@ -10,9 +10,10 @@ symbols (backed off to the last two), the last four (hashed rows), and the curre
 for the commonest beginnings of frequent words, found by hash).
 Each gives the log odds of the next bit at its node of the tree. A gate (does the fourth-order
 context, does the word context know anything here) selects a weight set; the weighted sum of log
-odds is squashed to a probability. The sets start at fixed values and are moved along each
-document by the gradient of the coding cost, after every block of it (blocks double from 96 to
-24,576 bytes), so the code length is that of a real sequential coder. Last, an adaptive map per
+odds is squashed to a probability. Each gate has its own weights: they start at fixed values and are
+moved along each document by the gradient of the coding cost of the bits that this gate mixed, after
+every block of it (blocks double from 96 to 24,576 bytes), so the code length is that of a real
+sequential coder. Last, an adaptive map per
 document refines the mixed log odds by what their bucket has missed so far.
 
 Score: log10 probability of the whole text, and total bits per byte. The base score is the
@@ -47,7 +48,8 @@ ORDERS = ("three", "four", "word")
 LEAD = 64  # bytes before a piece of a very long text that its contexts look at
 HEAD_SHARE, HEAD_BYTES = 1 << 21, 64
 DICT_WORDS = 500_000
-CHUNK_BYTES = 1 << 18  # of text scored at once
+CHUNK_BYTES = 1 << 19  # of text scored at once
+SCORE_ROWS = 512
 COUNT_BYTES = 1 << 16  # of text counted at once: its arrays stay in a core's cache
 PIECE_BYTES = 1 << 20
 FIRST_BLOCK, BLOCK_STEPS = 96, 9  # bytes: 96, 192, ... 24576, then 24576 each
@@ -58,6 +60,8 @@ START = np.array([[0.7, 0.0, 0.0], [0.6, 0.6, 0.0], [0.6, 0.0, 0.5], [0.15, 0.6,
 RATE, SLOW = 1.0, 400.0
 PRIOR, BACK_OFF = 0.4, 2.0
 MAP_BUCKETS, MAP_STEPS, MAP_PRIOR, MAP_GAIN = 24, 1.5, 60.0, 4.0
+GATES = len(START)
+LOG_STEPS = 6  # probabilities multiplied before their logarithm is taken; exp(-LIMIT) ** 6 is far from underflow
 LIMIT = 11.0  # log odds beyond this are cut, so every text keeps a probability
 FIRST_STEPS = np.log2(np.arange(FIRST_BLOCK * ((1 << BLOCK_STEPS) - 1) + 1) // FIRST_BLOCK + 1).astype(np.int64)
 LAST_BLOCK = FIRST_BLOCK << (BLOCK_STEPS - 1)
@@ -379,17 +383,19 @@ class Model:
         rounds = np.flatnonzero(np.concatenate(([True], step[1:] != step[:-1])))
         kinds = len(rows)
         if state is None:
-            delta = np.zeros((len(sizes), kinds), np.float32)
+            delta = np.zeros((len(sizes) * GATES, kinds), np.float32)
             moved, seen = np.zeros((2, len(sizes) * MAP_BUCKETS), np.float32)
         else:
             delta, moved, seen = state
         for lo, hi in zip(rounds.tolist(), [*rounds[1:].tolist(), len(a)]):
             own, g, at = text[lo:hi], gate[lo:hi], offset[lo:hi]
-            weight = [START[:, k].take(g) + delta[:, k].take(own) for k in range(kinds)]
+            set_ = own * GATES + g  # every text has its own weights for every gate
+            weight = [START[:, k].take(g) + delta[:, k].take(set_) for k in range(kinds)]
             row = [x[lo:hi] for x in rows]
             base = (own * MAP_BUCKETS + MAP_BUCKETS // 2).astype(np.int32)
             shift = moved / (seen + MAP_PRIOR)
-            cost = np.zeros(hi - lo, np.float32)
+            cost, likely = np.zeros(hi - lo, np.float32), np.ones(hi - lo, np.float32)
+            buckets, misses = [], []
             slope = [np.zeros(hi - lo, np.float32) for _ in range(kinds)]
             alive = hi - lo - np.concatenate(([0], np.cumsum(np.bincount(size[lo:hi]))))
             for d in range(int(size[lo])):
@@ -405,6 +411,7 @@ class Model:
                 bucket = (z * MAP_STEPS).astype(np.int32)
                 np.clip(bucket, 1 - MAP_BUCKETS // 2, MAP_BUCKETS // 2 - 1, out=bucket)
                 bucket += base[:n]
+                buckets.append(bucket)
                 z += shift.take(bucket)
                 np.clip(z, -LIMIT, LIMIT, out=z)
                 np.exp(-z, out=z)
@@ -412,15 +419,21 @@ class Model:
                 miss -= 1 / z  # the bit that came less its probability of being one
                 for k in range(kinds):
                     slope[k][:n] += miss * odds[k]
+                misses.append(miss)
+                likely[:n] *= 1 - np.abs(miss)
+                if d % LOG_STEPS == LOG_STEPS - 1:
+                    cost += np.log2(likely)
+                    likely[:] = 1
+            # The map is read by the next round only, so the round's decisions are added at once.
+            if buckets:
+                bucket = np.concatenate(buckets)
                 seen += np.bincount(bucket, minlength=len(seen))
-                moved += np.bincount(bucket, miss, len(seen)) * MAP_GAIN
-                np.abs(miss, out=miss)
-                np.subtract(1, miss, out=miss)
-                cost[:n] += np.log2(miss, out=miss)
+                moved += np.bincount(bucket, np.concatenate(misses), len(seen)) * MAP_GAIN
+            cost += np.log2(likely)
             bits -= np.bincount(own, cost, len(bits))
-            many = np.bincount(own, size[lo:hi], len(bits)) + SLOW
+            many = np.bincount(set_, size[lo:hi], len(delta)) + SLOW
             for k in range(kinds):
-                delta[:, k] += RATE * np.bincount(own, slope[k], len(bits)) / many
+                delta[:, k] += RATE * np.bincount(set_, slope[k], len(delta)) / many
         return bits, (delta, moved, seen)
 
 
@@ -473,13 +486,13 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
     raw = byte_counts(vocabulary)
     words = WordRows(head, symbol_map(raw))
     model = Model(corpus_counts(train, symbol_map(raw), words), raw, words)
-    sent = sc.broadcast((model, head))
-    del head, model
+    logs = {w: math.log10(c + 1) for w, c in head.items()}  # once, not in every task
+    sent = sc.broadcast((model, logs))
+    del head, logs, model
 
     def run(batches):
-        model, head = sent.value
-        logs = {w: math.log10(c + 1) for w, c in head.items()}
-        for b in slices(batches):
+        model, logs = sent.value
+        for b in slices(batches, rows=SCORE_ROWS):
             texts = text_bytes(b.column(1))
             n_tokens, known, base, tails, tail_n = [], [], [], [], []
             normals = []
