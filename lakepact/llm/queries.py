@@ -35,7 +35,7 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
-    return url_rules.judge(pages, url_rules.seed_labels(pages))
+    return url_rules.judge(pages, url_rules.seed_labels(pages), unnamed=url_rules.SEED_TOKENS)
 
 
 def op6_qgram_decon(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,50 +1,46 @@
 """URL filters: fixed host and path rules, and association rules mined from labelled URLs.
 
 Method: the URL's tokens (host labels cut at dots and hyphens, path and query words, numbers as
-``#``) are the items of a transaction. Frequent token sets are counted level by level, as FP-growth
-would find them but no larger than a rule may be: single tokens, pairs of frequent tokens, triples of
-frequent pairs, first over the blocked URLs and then, for the sets common enough there, over all. A
-rule ``tokens -> block`` is kept with at least ``min_support`` of the labelled rows and
-``min_confidence``, at most ``MAX_TOKENS`` tokens, and only if no rule over fewer of its tokens is
-kept; so sets around a kept rule are not counted on. Tokens that are rarer among blocked URLs than the
-support are dropped before pairs are formed, as no kept rule can hold them; all others of a URL count,
-however many it has.
-
-A rule's support bounds how many there are: a kept set lies in min_support of the rows, so there are
-at most (sets of up to three tokens in a URL, on average) / min_support, whatever the number of URLs.
-They are sent to the tasks and matched by an inverted index: a rule stands under its rarest token, a
-URL looks up its own tokens only and compares the rest.
+``#``) are the items of a transaction. A rule ``tokens -> block`` needs at least ``min_support`` of the
+labelled rows and ``min_confidence``, and no rule over fewer of its tokens. Tokens that are rarer among
+blocked URLs than the support can be in no rule; those that make a rule alone can be in no larger
+one. Spark's FP-growth mines the blocked URLs, cut down to the tokens that are left (all of them, however
+many), for sets of any size. Their confidence needs the other URLs, too: each set stands under its
+rarest token, the URLs that hold this token are joined to it, and those that hold the whole set are
+counted. Rules that hold a smaller rule are dropped.
+
+A rule's support bounds how many there are, whatever the number of URLs: a kept set lies in min_support of
+the rows. They are sent to the tasks and matched by an inverted index: a rule stands under its rarest
+token, a URL looks up its own tokens only and compares the rest.
 
 Fixed rules come first: the longest that fits the host (or a parent domain) and the path's start
 gives the verdict, else the mined rules block, else the URL is allowed.
 
 Defined cases: null URLs and those without ``://`` have empty host and path, no tokens, and are
 allowed; repeated rows count each, in mining too; without labelled rows of both kinds no rule is
-mined; URLs of any number of tokens enter mining, and matching, with them all; extra columns are ignored.
+mined; URLs of any number of tokens enter mining, and matching, with them all; ties of matching rules
+go to the first by name; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
-from collections.abc import Iterator
-from itertools import combinations
+from collections import defaultdict
 
 import pyarrow as pa
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakepact.llm.common import cut, id_bucket, map_batches
+from lakepact.llm.common import broadcast_below, cut, map_batches
 
 # Fixed rules of the contract: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MIN_SUPPORT, MIN_CONFIDENCE = 0.0005, 0.9
-MAX_TOKENS = 3
-# Sets counted in a task before they are handed on.
-HELD_SETS = 200_000
-# Seed words of unwanted hosts: what the registered query labels URLs by.
+# Tokens, or sets, that are sent to every executor to be joined.
+BROADCAST_SETS = 100_000
+# Seed words of unwanted hosts: the registered query labels URLs by them, and no rule may name them.
 SEEDS = ("adult", "ads", "bets", "casino", "pills", "spam")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BLOCK = "label=block"
 
 
 def _after_scheme(url: Column) -> Column:
@@ -84,101 +80,63 @@ def fixed_rule(host: Column, path: Column) -> tuple[Column, Column]:
 
 
 def mine(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+    unnamed: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Rules (tokens, support, confidence) from ``labelled(url, label)``, label 1 for block."""
+    """Rules (tokens, support, confidence) from ``labelled(url, label)``, label 1 for block. The
+    tokens in ``unnamed`` (what labels were made from, say) are no items."""
+    items = F.array_except(tokens_of(F.col("url")), F.array(*map(F.lit, unnamed)).cast("array<string>"))
     rows = cut(
         labelled.where("url is not null and label is not null")
-        .select(tokens_of(F.col("url")).alias("tokens"), (F.col("label") == 1).alias("bad"))
-        .where(F.size("tokens") > 0)
+        .select(F.monotonically_increasing_id().alias("row"), items.alias("tokens"), (F.col("label") == 1).alias("bad"))
     )
     total, bad = rows.agg(F.count("*"), F.count_if("bad")).first()
-    schema = "tokens array<string>, support double, confidence double"
     spark = rows.sparkSession
     if not bad or bad == total:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "tokens array<string>, support double, confidence double")
     least = max(2.0, min_support * total)
-    rules: list[tuple[list[str], float, float]] = []
-    one = rows.select("bad", F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count("*").alias("n"), F.count_if("bad").alias("both")
-    ).where(F.col("both") >= least)
-    names = []
-    for r in one.orderBy("token").collect():
-        if r["both"] / r["n"] >= min_confidence:
-            rules.append(([r["token"]], r["both"] / total, r["both"] / r["n"]))
-        else:
-            names.append(r["token"])
-    number = {t: i for i, t in enumerate(names)}
-    coded = cut(_coded(rows, number)) if len(names) > 1 else None
-    pairs: set[tuple[int, ...]] | None = None
-    for size in range(2, MAX_TOKENS + 1):
-        if coded is None or pairs is not None and not pairs:
-            break
-        often = _count(coded.where("bad"), size, pairs, None).where(F.col("n") >= least)
-        both = {tuple(r["key"]): r["n"] for r in often.collect()}
-        if not both:
-            break
-        alone = {tuple(r["key"]): r["n"] for r in _count(coded, size, pairs, set(both)).collect()}
-        left = set()
-        for key, n in sorted(both.items()):
-            if n / alone[key] >= min_confidence:
-                rules.append((sorted(names[i] for i in key), n / total, n / alone[key]))
-            else:
-                left.add(key)
-        pairs = left
-    return spark.createDataFrame(rules, schema)
-
-
-def _coded(rows: DataFrame, number: dict[str, int]) -> DataFrame:
-    """(items, bad): each row's numbered tokens in order, of rows with two or more."""
-    sent = rows.sparkSession.sparkContext.broadcast(number)
-
-    def run(batches):
-        number = sent.value
-        for b in batches:
-            items = [sorted(number[t] for t in ts if t in number) for ts in b.column(0).to_pylist()]
-            keep = pa.array([len(x) > 1 for x in items], pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.int32())), b.column(1)], ["items", "bad"]).filter(keep)
-
-    return map_batches(rows.select("tokens", "bad"), run, "items array<int>, bad boolean")
-
-
-def sets_of(items: list[int], size: int, parts: set | None, wanted: set | None) -> Iterator[tuple[int, ...]]:
-    """The sets of ``size`` items: of a third level those whose pairs are all in ``parts``; only ``wanted`` ones."""
-    if size == 2:
-        found = combinations(items, 2)
-    else:
-        after = defaultdict(list)
-        for p in combinations(items, 2):
-            if p in parts:
-                after[p[0]].append(p[1])
-        found = ((a, b, c) for a, more in after.items() for b, c in combinations(more, 2) if (b, c) in parts)
-    return (x for x in found if wanted is None or x in wanted)
-
+    one = cut(
+        rows.select("bad", F.explode("tokens").alias("token")).groupBy("token")
+        .agg(F.count("*").alias("n"), F.count_if("bad").alias("both")).where(F.col("both") >= least)
+    )
+    sure = F.col("both") >= F.col("n") * min_confidence
+    singles = one.where(sure).select(F.array("token").alias("tokens"), "both", "n")
+    left = one.where(~sure)
+    cut_down = rows.where("bad").select("row", F.explode("tokens").alias("token")).join(
+        broadcast_below(left.select("token"), BROADCAST_SETS), "token"
+    ).groupBy("row").agg(F.collect_set("token").alias("items"))
+    sets = FPGrowth(itemsCol="items", minSupport=(least - 1e-6) / bad).fit(cut(cut_down)).freqItemsets
+    sets = sets.where(F.size("items") > 1).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("both"))
+    found = singles.unionByName(_in_all(rows.where("not bad"), sets, left)).where(F.col("both") >= F.col("n") * min_confidence)
+    return _smallest(cut(found)).select(
+        "tokens", (F.col("both") / total).alias("support"), (F.col("both") / F.col("n")).alias("confidence")
+    )
 
-def _count(coded: DataFrame, size: int, parts: set | None, wanted: set | None) -> DataFrame:
-    """(key, n): in how many rows each set lies."""
-    sent = coded.sparkSession.sparkContext.broadcast((parts, wanted))
 
-    def run(batches):
-        parts, wanted = sent.value
+def _in_all(good: DataFrame, sets: DataFrame, often: DataFrame) -> DataFrame:
+    """(tokens, both, n) of ``sets(tokens, both)``: n adds the ``good`` rows that hold the whole set."""
+    named = cut(sets.withColumn("set", F.monotonically_increasing_id()))
+    rarest = named.select("set", F.explode("tokens").alias("token")).join(often.select("token", "n"), "token").groupBy(
+        "set"
+    ).agg(F.min(F.struct("n", "token"))["token"].alias("key"))
+    keyed = cut(named.join(rarest, "set"))
+    holds = good.select("tokens", F.explode("tokens").alias("key")).join(
+        broadcast_below(keyed.select("key", "set", F.col("tokens").alias("need")), BROADCAST_SETS), "key"
+    ).where(F.size(F.array_except("need", "tokens")) == 0)
+    counted = holds.groupBy("set").agg(F.count("*").alias("other"))
+    return keyed.join(counted, "set", "left").select(
+        "tokens", "both", (F.col("both") + F.coalesce("other", F.lit(0))).alias("n")
+    )
 
-        def out(held: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([list(k) for k in held], pa.list_(pa.int32())), pa.array(list(held.values()), pa.int64())], ["key", "n"]
-            )
 
-        held: Counter = Counter()
-        for b in batches:
-            for items in b.column(0).to_pylist():
-                for key in sets_of(items, size, parts, wanted):
-                    held[key] += 1
-                    if len(held) >= HELD_SETS:
-                        yield out(held)
-                        held.clear()
-        yield out(held)
-
-    return map_batches(coded.select("items"), run, "key array<int>, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+def _smallest(rules: DataFrame) -> DataFrame:
+    """Rules that hold no other rule. Each proper holder meets the held rule under one of its tokens."""
+    own = rules.select(F.col("tokens").alias("small"), F.col("tokens")[0].alias("key"))
+    larger = rules.select(F.col("tokens").alias("large"), F.explode("tokens").alias("key"))
+    held = larger.join(own, "key").where(
+        (F.size("small") < F.size("large")) & (F.size(F.array_except("small", "large")) == 0)
+    ).select(F.col("large").alias("tokens")).distinct()
+    return rules.join(held, "tokens", "left_anti")
 
 
 class RuleIndex:
@@ -204,19 +162,25 @@ class RuleIndex:
         return best
 
 
+SEED_TOKENS = tuple("h=" + w for w in SEEDS)
+
+
 def seed_labels(pages: DataFrame) -> DataFrame:
-    """(page_id, url, label): 1 for hosts that hold a seed word as a whole token."""
-    seeds = F.array(*[F.lit("h=" + s) for s in SEEDS])
-    return pages.where(F.instr("url", "://") > 0).select(
-        "page_id", "url", F.arrays_overlap(tokens_of(F.col("url")), seeds).cast("int").alias("label")
-    )
+    """(page_id, url, label): 1 for hosts that hold a seed word as a whole token, and where a fixed
+    rule blocks; other URLs 0."""
+    url = F.col("url")
+    _, verdict = fixed_rule(host_of(url), path_of(url))
+    seeded = F.arrays_overlap(tokens_of(url), F.array(*map(F.lit, SEED_TOKENS)))
+    blocked = F.coalesce(verdict == "block", seeded)
+    return pages.where(F.instr("url", "://") > 0).select("page_id", "url", blocked.cast("int").alias("label"))
 
 
 def judge(
-    pages: DataFrame, labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+    pages: DataFrame, labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+    unnamed: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, mined_rule, confidence."""
-    rules = mine(labelled, min_support, min_confidence)
+    rules = mine(labelled, min_support, min_confidence, unnamed)
     index = RuleIndex([(tuple(r["tokens"]), r["support"], r["confidence"]) for r in rules.toLocalIterator()])
     sent = pages.sparkSession.sparkContext.broadcast(index)
 
@@ -243,6 +207,3 @@ def judge(
         "mined_rule", "confidence",
     )
 
-
-def training_part(labelled: DataFrame, folds: int = 5) -> DataFrame:
-    return labelled.where(id_bucket("page_id", folds) != 0)

@@ -150,33 +150,76 @@ def test_url_base_rules(spark):
         assert (got[i]["host"], got[i]["path"], got[i]["rule"], got[i]["verdict"]) == (host, path, rule, verdict), u
 
 
-def test_url_mining_equals_brute_force(spark):
+def rounded(rules):
+    return {s: (round(a, 9), round(b, 9)) for s, (a, b) in rules.items()}
+
+
+def level_wise(rows, least, confidence):
+    """Smallest rules of any size, counting sets one token larger at a time."""
     from itertools import combinations
 
+    found, level = {}, {frozenset([x]) for t, y in rows if y for x in t}
+    while level:
+        alone, both = dict.fromkeys(level, 0), dict.fromkeys(level, 0)
+        size = len(next(iter(level)))
+        tokens = set().union(*level)
+        for t, y in rows:
+            for s in map(frozenset, combinations(sorted(t & tokens), size)):
+                if s in alone:
+                    alone[s] += 1
+                    both[s] += y
+        often = {s for s in level if both[s] >= least}
+        found |= {s: (both[s] / len(rows), both[s] / alone[s]) for s in often if both[s] >= confidence * alone[s]}
+        left = often - set(found)
+        level = {a | {x} for a in left for b in left for x in b - a if len(a | b) == size + 1}
+        level = {s for s in level if all(s - {x} in left for x in s)}
+    return found
+
+
+def test_url_mining_equals_level_wise_count(spark):
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    labelled = url_rules.training_part(url_rules.seed_labels(pages))
-    rows = [(frozenset(r["t"]), r["label"]) for r in labelled.select(url_rules.tokens_of(F.col("url")).alias("t"), "label").collect()]
-    least = max(2.0, 0.002 * len(rows))
-    both, alone = {}, {}
-    bad_tokens = {}
-    for t, y in rows:
-        for x in t if y else ():
-            bad_tokens[x] = bad_tokens.get(x, 0) + 1
-    useful = {x for x, n in bad_tokens.items() if n >= least}
-    for t, y in rows:
-        for n in (1, 2, 3):
-            for s in combinations(sorted(t & useful), n):
-                alone[s] = alone.get(s, 0) + 1
-                both[s] = both.get(s, 0) + y
-    rules = {s for s in alone if both[s] >= least and both[s] / alone[s] >= 0.9}
-    minimal = {s for s in rules if not any(set(o) < set(s) for o in rules)}
-    got = {tuple(r["tokens"]) for r in url_rules.mine(labelled, 0.002, 0.9).collect()}
-    assert got == minimal and minimal
-    judged = url_rules.judge(pages, labelled, 0.002, 0.9)
-    for r in judged.select("page_id", "mined_rule").join(pages, "page_id").select(
-        url_rules.tokens_of(F.col("url")).alias("t"), "mined_rule"
+    labelled = url_rules.seed_labels(pages).where("page_id % 3 <> 0")
+    hidden = set(url_rules.SEED_TOKENS)
+    rows = [(frozenset(r["t"]) - hidden, r["label"]) for r in labelled.select(url_rules.tokens_of(F.col("url")).alias("t"), "label").collect()]
+    want = level_wise(rows, max(2.0, 0.004 * len(rows)), 0.9)
+    mined = url_rules.mine(labelled, 0.004, 0.9, url_rules.SEED_TOKENS).collect()
+    got = {frozenset(r["tokens"]): (r["support"], r["confidence"]) for r in mined}
+    assert len(got) == len(mined) and rounded(got) == rounded(want)
+    assert any(len(s) > 1 for s in got) and not any(hidden & s for s in got)
+    judged = url_rules.judge(pages, labelled, 0.004, 0.9, url_rules.SEED_TOKENS)
+    beyond = 0
+    for r in judged.select("page_id", "mined_rule").join(pages, "page_id").join(labelled.select("page_id", "label"), "page_id", "left").select(
+        url_rules.tokens_of(F.col("url")).alias("t"), "mined_rule", "label"
     ).collect():
-        assert (r["mined_rule"] is not None) == any(set(s) <= set(r["t"]) for s in minimal)
+        assert (r["mined_rule"] is not None) == any(s <= set(r["t"]) for s in want)
+        beyond += r["mined_rule"] is not None and r["label"] is None
+    assert beyond > 0  # pages without a label are judged, too
+
+
+def test_url_mining_sizes_and_hot_copies(spark):
+    """Rules of four tokens; one URL holding a third of all rows; ties between rules."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        words = {f"w{rng.randrange(30)}" for _ in range(6)}
+        four = [x for j, x in enumerate(("a", "b", "c", "d")) if i % 5 == 0 or j != i % 4]
+        rows.append((i, "http://h.example/" + "/".join([*sorted(words), *four]), int(i % 5 == 0)))
+    rows += [(1000 + i, "http://same.example/copy/" + "/".join(f"c{j}" for j in range(25)), i % 2) for i in range(300)]
+    labelled = spark.createDataFrame(rows, "page_id bigint, url string, label int")
+    items = [(frozenset(r["t"]), r["label"]) for r in labelled.select(url_rules.tokens_of(F.col("url")).alias("t"), "label").collect()]
+    less = labelled.where("page_id < 1000")
+    got = {frozenset(r["tokens"]): (r["support"], r["confidence"]) for r in url_rules.mine(less, 0.05, 0.9).collect()}
+    assert rounded(got) == rounded(level_wise(items[:600], 30, 0.9)) and frozenset({"p=a", "p=b", "p=c", "p=d"}) in got
+    some = {f"p=c{j}" for j in range(3, 25)}  # the copies' tokens; the fewer are left, the fewer sets there are to list
+    got = {frozenset(r["tokens"]) for r in url_rules.mine(labelled, 0.05, 0.9, tuple(some)).collect()}
+    assert got == set(level_wise([(t - some, y) for t, y in items], 45, 0.9))
+
+
+def test_url_mining_without_both_kinds(spark):
+    for rows in ([], [(1, "http://a.b/c", 1)], [(1, "http://a.b/c", 0), (2, None, 1)], [(1, "http://a.b/c", None)]):
+        df = spark.createDataFrame(rows, "page_id bigint, url string, label int")
+        assert url_rules.mine(df).collect() == []
+        assert len(url_rules.judge(df, df).collect()) == len(rows)
 
 
 def test_url_tokens_behind_a_long_path(spark):
@@ -197,7 +240,7 @@ def test_url_query_mines_from_all_pages(spark, tmp_path):
     from lakepact.llm import queries
 
     zero = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 0]
-    rows = [(i, f"http://casino.example/p{i}") for i in zero[:2]] + [(i, f"http://plain.example/p{i}") for i in zero[2:40]]
+    rows = [(i, f"http://casino-win.example/p{i}") for i in zero[:2]] + [(i, f"http://plain.example/p{i}") for i in zero[2:40]]
     spark.createDataFrame(rows, "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
     got = {r["page_id"]: r["mined_rule"] for r in queries.op5_url_rules(spark, str(tmp_path)).collect()}
     assert [i for i, x in got.items() if x] and {i for i, x in got.items() if x} == set(zero[:2])
