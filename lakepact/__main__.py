@@ -30,7 +30,7 @@ def _session() -> SparkSession:
 
 
 def _print_report(title: str, rows) -> None:
-    bad = [r for r in rows if r["result"] != "passed"]
+    bad = [r for r in rows if r["result"] == "failed"]
     print(f"{title}: {'PASSED' if not bad else 'FAILED'} - {len(rows)} checks, {len(bad)} failed")
     for r in (bad or rows):
         print(f"  {r['result']:7s} {r['check']:45s} {r['metric']!s:>12s}  {r['detail']}")

@@ -27,6 +27,9 @@ from pyspark.errors import PySparkException
 from ..contract import ZERO, Bound, Contract, ContractError, Field, Rule, normalise_type_text
 from ..sources.catalog import as_relation
 
+# The result of a declared rule that this engine cannot run.
+NOT_RUN = "not_run"
+
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("contract", T.StringType()),
@@ -302,16 +305,20 @@ def _passes_sql(bound: Bound, m: str) -> str:
 
 def _struct_sql(contract_id: str, s: CheckSpec, metric: str, detail: str | None = None,
                 judged: str | None = None) -> str:
-    """``judged``: what the bound is held against when it is not the whole-number metric."""
+    """``judged``: what the bound is held against when it is not the whole-number metric. A rule that
+    did not run has neither passed nor failed."""
     m = f"CAST({metric} AS BIGINT)"
     if detail is None:
         detail = f"concat(coalesce(CAST({m} AS STRING), 'no value'), {sql_str(' ' + s.unit)})"
     lit = lambda v: "CAST(NULL AS STRING)" if v is None else sql_str(str(v))
+    result = f"CASE WHEN {_passes_sql(s.bound, judged or m)} THEN 'passed' ELSE 'failed' END"
+    if s.kind == "not_run":
+        result = sql_str(NOT_RUN)
     return (
         f"named_struct('contract', {lit(contract_id)}, 'check', {lit(s.name)}, 'kind', {lit(s.kind)}, "
         f"'field', {lit(s.field)}, 'dimension', {lit(s.dimension)}, 'severity', {lit(s.severity)}, "
         f"'metric', {m}, 'bound', {lit(s.bound.text())}, "
-        f"'result', CASE WHEN {_passes_sql(s.bound, judged or m)} THEN 'passed' ELSE 'failed' END, "
+        f"'result', {result}, "
         f"'detail', {detail}, 'description', {lit(s.description)})"
     )
 
@@ -335,7 +342,7 @@ def _schema_rows(spark, contract_id: str, specs: list[CheckSpec], schema: T.Stru
     structs = []
     for s in rows:
         if s.kind == "not_run":
-            bad, detail = 0, "not run: rule of another engine"
+            bad, detail = "NULL", "not run: rule of another engine"
         elif s.kind == "surplus_column":
             bad, detail = 0, "column not in the contract: dropped"
         elif s.kind == "present":
@@ -524,12 +531,23 @@ def check_report(
 # --------------------------------------------------------------------------------------
 
 
-def verdict(report: DataFrame) -> DataFrame:
-    """R2: one row: passed only if every check passed, with counts of all and failed."""
+def stops(result: str, not_run_blocks: bool = False) -> bool:
+    """Whether a check's result stops a load: a failed one does, one that did not run if asked."""
+    return result != "passed" and (not_run_blocks or result != NOT_RUN)
+
+
+def verdict(report: DataFrame, not_run_blocks: bool = False) -> DataFrame:
+    """R2: one row: passed only if no check failed, with counts of all, of those that failed and of
+    those that did not run (which count as neither). ``not_run_blocks``: a rule that did not run
+    is no pass either."""
+    wrong = F.col("result") != "passed"
+    if not not_run_blocks:
+        wrong = wrong & (F.col("result") != NOT_RUN)
     return report.agg(
-        F.coalesce(F.bool_and(F.col("result") == "passed"), F.lit(True)).alias("passed"),
+        (~F.coalesce(F.bool_or(wrong), F.lit(False))).alias("passed"),
         F.count(F.lit(1)).alias("checks"),
-        F.count_if(F.col("result") != "passed").alias("failed"),
+        F.count_if(F.col("result") == "failed").alias("failed"),
+        F.count_if(F.col("result") == NOT_RUN).alias("not_run"),
     )
 
 

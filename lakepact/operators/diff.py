@@ -13,7 +13,7 @@ Severity per change:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.types import spark_type_name
 
@@ -73,8 +73,11 @@ def contract_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def changelog(diff: DataFrame) -> DataFrame:
-    """D3: the differences per contract in a stable order (a report; small by nature)."""
-    return diff.orderBy("contract", F.col("field").asc_nulls_first(), "change")
+    """D3: the differences per contract in a stable order, numbered within their contract
+    (``position``, from 1). A contract's changes are bounded by its fields."""
+    order = [F.col("field").asc_nulls_first(), F.col("change")]
+    numbered = diff.withColumn("position", F.row_number().over(Window.partitionBy("contract").orderBy(*order)).cast("bigint"))
+    return numbered.orderBy("contract", "position")
 
 
 def diff_verdict(diff: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:

@@ -10,12 +10,13 @@ untouched.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..contract import Contract
 from ..session import lake_root
@@ -78,17 +79,97 @@ def _record(spark: SparkSession, name: str, versions: list[str]) -> None:
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({sql_str(VERSIONS)} = {sql_str(chr(10).join(versions))})")
 
 
+def _same(path: str) -> str:
+    """A folder, however a local one is written."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
 def switch_version(spark: SparkSession, name: str, path: str) -> None:
     """Point the table at a fully written version folder (one catalog operation) and record it."""
     previous = table_location(spark, name)
     spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_str(path)}")
     spark.catalog.refreshTable(name.replace("`", ""))
-    own = [v for v in published_versions(spark, name) if v != path]
-    if previous and previous not in own and _VERSION_SUFFIX.search(previous.rstrip("/")):
+    # A recovered switch is made twice: by its owner, and by the load that found its claim.
+    own = [v for v in published_versions(spark, name) if _same(v) != _same(path)]
+    if previous and _same(previous) not in map(_same, [*own, path]) and _VERSION_SUFFIX.search(previous.rstrip("/")):
         own.append(previous)
     _record(spark, name, [*own, path])
 
 
+class ClaimTaken(Exception):
+    """Another load owns the switch away from a version."""
+
+
+def _claim_path(version: str) -> str:
+    parent, base = version.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_next_of_{base}"
+
+
+def claim_switch(spark: SparkSession, name: str, current: str, path: str) -> None:
+    """Compare-and-swap for the switch from ``current`` to ``path``: the commit file
+    ``_next_of_<current>`` in the table's folder, which names the next version, is created only if
+    absent. Whoever creates it switches; all others are refused (``ClaimTaken``), however close
+    they come. A version has one successor, so a load that began on another version than the
+    table's is refused as well.
+
+    Recovery: a load that dies between its claim and its switch leaves a claim on the table's
+    current version. The next one to come finds it, finishes that switch if the claimed version is
+    complete (its rows had passed their gate), or else removes the claim, and is refused once.
+    """
+    now = table_location(spark, name)
+    if now != current:
+        raise ClaimTaken(f"{name} is at {now}, not at {current}")
+    claim = _claim_path(current)
+    if _create_once(spark, claim, path):
+        # Claimed after another load's whole switch and release: the table has moved on.
+        if table_location(spark, name) == current:
+            return
+        release_claim(spark, current)
+        raise ClaimTaken(f"{name} was switched meanwhile")
+    claimed = _read_text(spark, claim)
+    if claimed and table_location(spark, name) == current:
+        if path_exists(spark, f"{claimed}/_SUCCESS"):
+            switch_version(spark, name, claimed)  # the same switch its owner makes, if alive
+        elif not path_exists(spark, claimed):
+            release_claim(spark, current)
+    raise ClaimTaken(f"{name}: {claimed} follows {current}")
+
+
+def release_claim(spark: SparkSession, version: str) -> None:
+    """Forget the successor of a version, so that another may follow it (after a rollback)."""
+    delete_path(spark, _claim_path(version))
+
+
+def _create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears with its content, only if it is absent; whether it was."""
+    fs, temporary = _fs(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(temporary, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    final = _fs(spark, path)[1]
+    try:
+        if fs.getScheme() == "file":  # a local rename would replace; a hard link does not
+            try:
+                os.link(temporary.toUri().getPath(), final.toUri().getPath())
+                return True
+            except FileExistsError:
+                return False
+        return bool(fs.rename(temporary, final))  # refused where the target exists
+    finally:
+        fs.delete(temporary, False)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):  # released meanwhile
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 @dataclass
 class Published:
     rows: int
@@ -105,14 +186,21 @@ def publish(spark: SparkSession, df: DataFrame, name: str, mode: str = "swap") -
     """
     aligned = align_by_name(df, spark.table(name).columns)
     previous = table_location(spark, name)
+    rows = Observation(f"publish_{uuid.uuid4().hex[:8]}")  # counted by the write itself
+    written = aligned.observe(rows, F.count(F.lit(1)).alias("n"))
     if mode == "overwrite":
-        aligned.write.insertInto(name.replace("`", ""), overwrite=True)
+        written.write.insertInto(name.replace("`", ""), overwrite=True)
         location = previous
     else:
         location = next_version_path(spark, name)
-        aligned.write.mode("errorifexists").parquet(location)
+        written.write.mode("errorifexists").parquet(location)
+        try:
+            claim_switch(spark, name, previous, location)
+        except ClaimTaken:
+            delete_path(spark, location)
+            raise
         switch_version(spark, name, location)
-    return Published(spark.table(name).count(), location, previous)
+    return Published(int(rows.get["n"]), location, previous)
 
 
 # --------------------------------------------------------------------------------------
@@ -140,6 +228,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def rename_only_file(spark: SparkSession, folder: str, to: str) -> None:
     """Move the single part file that Spark wrote under ``folder`` to the path ``to``."""
     fs, p = _fs(spark, folder)
@@ -153,11 +246,12 @@ def prune_versions(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
     other tables', or stages of a load still in flight - are not looked at. Returns the folders
     removed."""
     current = table_location(spark, name)
-    same = lambda p: p.rstrip("/").removeprefix("file:")
-    older = [v for v in published_versions(spark, name) if same(v) != same(current)]
+    older = [v for v in published_versions(spark, name) if _same(v) != _same(current)]
     stay = max(keep - 1, 0)
     drop, kept = older[: len(older) - stay], older[len(older) - stay:]
     removed = [v for v in drop if delete_path(spark, v)]
+    for v in removed:
+        release_claim(spark, v)
     if drop:
         left = [v for v in drop if v not in removed and path_exists(spark, v)]
         _record(spark, name, [*left, *kept, current])

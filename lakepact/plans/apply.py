@@ -15,20 +15,26 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from ..contract import Contract, ContractError, Target, resolve_target
 from ..operators.checks import (
-    MALFORMED, cast_loss_specs, check_report, compile_checks, fused_metrics, malformed_spec, surplus_specs,
+    MALFORMED, cast_loss_specs, check_report, compile_checks, fused_metrics, malformed_spec, stops, surplus_specs,
     usable_fused,
 )
 from ..operators.gate import GateFailed, Outcome, TableCheckFailed, run_checks
-from ..operators.publish import delete_path, ensure_table, next_version_path, prune_versions, switch_version
+from ..operators.publish import (
+    ClaimTaken, claim_switch, delete_path, ensure_table, next_version_path, prune_versions, release_claim, switch_version,
+)
 from ..sources.catalog import table_location
 from ..operators.shape import align_by_name, surplus_columns, type_columns, typed_columns
 from ..sources.text import read_landing_text
 
 
+# The observed number of rows that a staging write wrote.
+ROWS = "__rows"
+
+
 @dataclass
 class LoadResult:
     contract: str
@@ -43,8 +49,12 @@ class LoadResult:
 
     @property
     def passed(self) -> bool:
-        ok = all(r["result"] == "passed" for r in self.gate)
-        return ok and (self.post is None or all(r["result"] == "passed" for r in self.post))
+        """No check failed; a rule that did not run (see ``not_run``) is no failure."""
+        return not any(stops(r["result"]) for r in [*self.gate, *(self.post or [])])
+
+    @property
+    def not_run(self) -> list[str]:
+        return [r["check"] for r in self.gate if r["result"] == "not_run"]
 
 
 def apply_contract(
@@ -64,6 +74,7 @@ def apply_contract(
     malformed_rows: bool = False,
     rollback: bool = False,
     keep_versions: int | None = None,
+    not_run_blocks: bool = False,
 ) -> LoadResult:
     """W1. ``source`` is a delivery path or list of paths (header CSV) or a frame of text
     columns.
@@ -80,6 +91,7 @@ def apply_contract(
     ``malformed_rows`` reads on and counts such rows in a check of the gate instead.
     ``rollback`` points the table back at its previous version when the post-load check fails.
     ``keep_versions`` deletes older published versions of this table after a good load.
+    ``not_run_blocks`` refuses a delivery whose contract holds a rule that only another engine runs.
 
     Raises ``GateFailed`` (nothing published, table untouched), ``EvolutionRefused``
     (structure cannot follow the contract), ``TableCheckFailed`` (post-load), ``ContractError``
@@ -118,8 +130,8 @@ def apply_contract(
     # Stage: one pass types the rows, writes the new version and gathers the fused checks.
     staged_path = next_version_path(spark, name)
     obs = Observation(f"gate_{contract.physical_name}_{uuid.uuid4().hex[:8]}")  # unique per load
-    metrics = fused_metrics(wide, specs)
-    observed_frame = wide.observe(obs, *metrics) if metrics else wide
+    # A1: the rows are counted by the write itself, whether or not a check asks for it.
+    observed_frame = wide.observe(obs, F.count(F.lit(1)).alias(ROWS), *fused_metrics(wide, specs))
     to_write = align_by_name(observed_frame, table_cols)
     try:
         to_write.write.mode("errorifexists").parquet(staged_path)
@@ -128,7 +140,8 @@ def apply_contract(
         if "MALFORMED" in str(e):
             raise ContractError(f"{contract.id}: the delivery holds rows that do not fit its heading") from e
         raise
-    observed = obs.get if metrics else {}
+    observed = dict(obs.get)
+    rows_read = int(observed.pop(ROWS))
     staged = spark.read.schema(to_write.schema).parquet(staged_path)  # known schema: no footer scan
 
     try:
@@ -137,35 +150,40 @@ def apply_contract(
     except Exception:
         delete_path(spark, staged_path)  # e.g. a SQL rule that does not analyse
         raise
-    rows_read = next((int(r["metric"]) for r in report if r["kind"] == "row_count"), None)
-    if rows_read is None:
-        rows_read = staged.count()
-    if not all(r["result"] == "passed" for r in report):
+    if any(stops(r["result"], not_run_blocks) for r in report):
         current = spark.table(name).count()
         delete_path(spark, staged_path)
-        raise GateFailed(contract, report, current, name)
+        raise GateFailed(contract, report, current, name, not_run_blocks)
 
     if publish_mode == "overwrite":
         staged.select(*table_cols).write.insertInto(name.replace("`", ""), overwrite=True)
         delete_path(spark, staged_path)
         staged_path = None
     else:
-        if table_location(spark, name) != previous:  # loads of one table go one after another
+        try:  # loads of one table go one after another
+            claim_switch(spark, name, previous, staged_path)
+        except ClaimTaken as e:
             delete_path(spark, staged_path)
-            raise ContractError(f"{name}: another load published while this one ran; load again")
+            raise ContractError(f"{name}: another load published while this one ran; load again") from e
         switch_version(spark, name, staged_path)
-    rows_loaded = spark.table(name).count()
+    rows_loaded = rows_read  # the staged rows are the table's
 
     post = None
     if post_check:
         post_specs = None
         if post_check == "schema":
             post_specs = [s for s in compile_checks(contract) if s.plan == "schema" or s.kind == "row_count"]
-        out: Outcome = run_checks(spark.table(name), contract, specs=post_specs)
+        out: Outcome = run_checks(spark.table(name), contract, not_run_blocks, specs=post_specs)
         post = out.report
         if not out.passed:
             if rollback and staged_path:
-                switch_version(spark, name, previous)
+                try:
+                    claim_switch(spark, name, staged_path, previous)
+                except ClaimTaken:
+                    pass  # another load has replaced the rows since
+                else:
+                    release_claim(spark, previous)
+                    switch_version(spark, name, previous)
             raise TableCheckFailed(contract, name, post)
     if keep_versions and staged_path:
         prune_versions(spark, name, keep_versions)
@@ -222,10 +240,10 @@ def apply_all(
             res = apply_contract(s, contract, env, source)
             return JobOutcome(contract.id, "loaded", len(res.gate), 0, res.rows_loaded, "ok")
         except GateFailed as e:
-            bad = sum(1 for r in e.report if r["result"] != "passed")
+            bad = sum(1 for r in e.report if r["result"] == "failed")
             return JobOutcome(contract.id, "gate_failed", len(e.report), bad, None, str(e))
         except TableCheckFailed as e:
-            bad = sum(1 for r in e.report if r["result"] != "passed")
+            bad = sum(1 for r in e.report if r["result"] == "failed")
             return JobOutcome(contract.id, "post_check_failed", len(e.report), bad, None, str(e))
         except EvolutionRefused as e:
             return JobOutcome(contract.id, "refused", 0, len(e.problems), None, str(e))

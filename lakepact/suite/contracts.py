@@ -107,6 +107,15 @@ def supplier(schema: str = "suite") -> Contract:
     ], [ROWS], schema))
 
 
+def with_custom_rule(schema: str = "suite") -> Contract:
+    """The supplier contract with a rule that only another engine can run."""
+    doc = _doc("supplier_custom", "supplier", [
+        _p("s_suppkey", "BIGINT", primaryKey=True, primaryKeyPosition=1),
+        _p("s_acctbal", "DECIMAL(12,2)"),
+    ], [ROWS, {"type": "custom", "engine": "other", "name": "balance_profile", "implementation": "profile(s_acctbal)"}], schema)
+    return Contract.from_dict(doc)
+
+
 def nation(schema: str = "suite", with_comment: bool = False) -> Contract:
     props = [_p("n_nationkey", "INT", primaryKey=True, primaryKeyPosition=1),
              _p("n_name", "STRING"), _p("n_regionkey", "INT")]

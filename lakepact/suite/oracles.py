@@ -354,6 +354,14 @@ def oracle_sql() -> dict[str, str]:
         f"WHEN 'no_future_orders' THEN 'no order is dated ahead' END AS description FROM ({gate})")
     o["q_gate_verdict"] = (f"SELECT contract, bool_and(result = 'passed') AS passed, count(*) AS checks, "
                            f"count(*) FILTER (WHERE result <> 'passed') AS failed FROM ({gate}) GROUP BY contract")
+    custom = report_rows("supplier_custom", "supplier", schema_checks(["s_suppkey", "s_acctbal"]) +
+                         required_checks(["s_suppkey", "s_acctbal"]) + [
+        ("s_suppkey:unique", "unique", "s_suppkey", dup_groups("supplier", "s_suppkey"), "=", "0"),
+        ("not_empty", "row_count", None, "count(*)", ">", "0")])
+    custom_counts = "count(*) + 1 AS checks, count(*) FILTER (WHERE result <> 'passed') AS failed, CAST(1 AS BIGINT) AS not_run"
+    o["q_custom_rule"] = (
+        f"SELECT false AS not_run_blocks, bool_and(result = 'passed') AS passed, {custom_counts} FROM ({custom}) "
+        f"UNION ALL SELECT true AS not_run_blocks, false AS passed, {custom_counts} FROM ({custom})")
     o["q_gate_failing"] = f"SELECT * FROM ({_lineitem_report()}) WHERE result <> 'passed'"
     o["q_flagship_load"] = _orders_report()
     o["q_landing_stream"] = _orders_report()
@@ -441,6 +449,15 @@ diff AS (
         "SELECT e.contract, count(d.contract) AS changes, count(d.contract) FILTER (WHERE d.severity = 'breaking') AS breaking_changes, "
         "count(d.contract) FILTER (WHERE d.severity = 'breaking') > 0 AS breaking "
         "FROM every e LEFT JOIN diff d ON e.contract = d.contract GROUP BY e.contract")
+    o["q_contract_diff_overall"] = snaps + (
+        ", every AS (SELECT contract FROM oc UNION SELECT contract FROM nc), "
+        "per AS (SELECT e.contract, count(d.contract) FILTER (WHERE d.severity = 'breaking') > 0 AS breaking "
+        "FROM every e LEFT JOIN diff d ON e.contract = d.contract GROUP BY e.contract) "
+        "SELECT count(*) AS contracts, count(*) FILTER (WHERE breaking) AS breaking_contracts, "
+        "NOT coalesce(bool_or(breaking), false) AS passed FROM per")
+    o["q_changelog"] = snaps + (
+        "SELECT contract, row_number() OVER (PARTITION BY contract ORDER BY field ASC NULLS FIRST, change) AS position, "
+        "field, change FROM diff")
     o["q_in_sync"] = (
         f"WITH s AS ({X.for_duckdb(X.OLD_SNAPSHOT_SQL)}), r AS ({X.for_duckdb(X.REGENERATED_SNAPSHOT_SQL)}) "
         "SELECT *, 'only_stored' AS side FROM (SELECT * FROM s EXCEPT ALL SELECT * FROM r) "

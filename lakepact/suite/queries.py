@@ -267,6 +267,16 @@ def q_gate_verdict(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def q_custom_rule(spark, sf):
+    """R2/G1 third outcome: a contract with a rule of another engine, judged with and without that
+    rule blocking. It is counted as not run, never as passed."""
+    c = C.with_custom_rule()
+    rep = K.check_report(_typed(spark, sf, "supplier", c), c)
+    parts = [K.verdict(rep, blocks).select(F.lit(blocks).alias("not_run_blocks"), "passed", "checks", "failed", "not_run")
+             for blocks in (False, True)]
+    return parts[0].unionByName(parts[1])
+
+
 def q_gate_failing(spark, sf):
     """failing checks of the lineitem contract (all of them when none fails)."""
     li = C.lineitem()
@@ -315,13 +325,22 @@ def q_gate_refusal(spark, sf):
 
 
 def q_landing_stream(spark, sf):
-    """Structured Streaming: orders land as a CSV delivery in a watched folder; the watcher
-    loads the micro-batch through the gate (W1); the loaded table's report is returned."""
-    from ..operators.publish import rename_only_file
-    from ..streaming.landing import MARKER, watch_landing
+    """Structured Streaming: orders land as a CSV delivery in a watched folder, behind a ragged one;
+    the watcher refuses the first and loads the second (W1); the loaded table's report is returned."""
+    from ..operators.publish import make_folder, rename_only_file
+    from ..streaming.landing import MARKER, Refused, watch_landing
     _with_root(spark)
     c = C.orders(_run_schema())
     landing = scratch_path(spark, "landing", "orders")
+    # A bad delivery comes first: its rows have a cell more than its heading.
+    orders = as_text(t(spark, sf, "orders"))
+    lines = spark.range(1).select(F.lit(",".join(orders.columns)).alias("line")).unionByName(
+        orders.limit(3).select(F.concat_ws(",", *orders.columns, F.lit("surplus")).alias("line")))
+    lines.coalesce(1).write.text(f"{landing}/ragged")
+    spark.range(1).select(F.lit("done")).coalesce(1).write.text(f"{landing}/early")
+    make_folder(spark, f"{landing}/bad")
+    rename_only_file(spark, f"{landing}/ragged", f"{landing}/bad/rows.csv")
+    rename_only_file(spark, f"{landing}/early", f"{landing}/bad/{MARKER}")
     # One delivery of many files, complete when its marker is there.
     as_text(t(spark, sf, "orders")).repartition(24).write.option("header", True).csv(f"{landing}/first")
     spark.createDataFrame([("done",)], "v string").coalesce(1).write.text(f"{landing}/marker")
@@ -331,7 +350,7 @@ def q_landing_stream(spark, sf):
                       checkpoint=scratch_path(spark, "streams", "orders"),
                       on_result=lambda _b, out: seen.append(out))
     q.awaitTermination()
-    if not seen or not hasattr(seen[-1], "table"):
+    if len(seen) != 2 or not isinstance(seen[0], Refused) or isinstance(seen[1], Refused):
         raise RuntimeError(f"landing watcher did not load the delivery: {seen!r}")
     return _report(read_target(spark, seen[-1].table), c)
 
@@ -461,6 +480,18 @@ def q_contract_diff_verdict(spark, sf):
     return D.diff_verdict(D.contract_diff(old, new), old, new)
 
 
+def q_contract_diff_overall(spark, sf):
+    """One verdict over all contracts of both snapshots."""
+    old, new = _snapshots(spark, sf)
+    return D.overall_verdict(D.diff_verdict(D.contract_diff(old, new), old, new))
+
+
+def q_changelog(spark, sf):
+    """D3: every contract's differences, numbered in the changelog's order."""
+    old, new = _snapshots(spark, sf)
+    return D.changelog(D.contract_diff(old, new)).select("contract", "position", "field", "change")
+
+
 def q_in_sync(spark, sf):
     """Stored vs regenerated snapshot, rows on one side only."""
     p = t(spark, sf, "part")

@@ -5,7 +5,7 @@ import shutil
 import pytest
 
 from lakepact import Contract, GateFailed, apply_contract, read_landing_text
-from lakepact.streaming.landing import MARKER, watch_landing
+from lakepact.streaming.landing import MARKER, Refused, watch_landing
 from helpers import fixture_path, rebind
 
 
@@ -47,5 +47,31 @@ def test_landing_stream(spark, lake, fresh_env, tmp_path):
     q = watch_landing(spark, c, fresh_env, str(folder), available_now=True,
                       checkpoint=str(tmp_path / "ckpt"), on_result=lambda b, o: seen.append(o))
     q.awaitTermination(120)
-    assert len(seen) == 2 and isinstance(seen[1], GateFailed)   # only the newly marked folder is a delivery
+    # only the newly marked folder is a delivery
+    assert len(seen) == 2 and isinstance(seen[1], Refused) and isinstance(seen[1].cause, GateFailed)
     assert spark.table(seen[0].table).count() == 8
+
+
+def test_bad_deliveries_do_not_stop_the_watcher(spark, lake, fresh_env, tmp_path):
+    import os
+    import time
+
+    c = rebind(Contract.load(fixture_path("channel_master.odcs.yaml")), fresh_env)
+    folder, good = tmp_path / "in", open(fixture_path("channel_master_ok.csv"), encoding="utf-8").read()
+    now = time.time()
+    for i, name in enumerate(["a_ragged", "b_empty", "c_failing", "d_good"]):
+        (folder / name).mkdir(parents=True)
+        (folder / name / MARKER).write_text("done")
+        os.utime(folder / name / MARKER, (now + 2 * i, now + 2 * i))  # oldest first
+    (folder / "a_ragged" / "x.csv").write_text(good + "one,cell,too,few\n", encoding="utf-8")
+    shutil.copy(fixture_path("channel_master_errors.csv"), folder / "c_failing" / "x.csv")
+    (folder / "d_good" / "x.csv").write_text(good, encoding="utf-8")
+    seen = []
+    run = lambda: watch_landing(spark, c, fresh_env, str(folder), available_now=True,
+                                checkpoint=str(tmp_path / "ckpt"), on_result=lambda b, o: seen.append(o)).awaitTermination(180)
+    run()
+    assert [isinstance(o, Refused) for o in seen] == [True, True, True, False]
+    assert seen[0].delivery.endswith("a_ragged") and "heading" in seen[0].reason
+    assert isinstance(seen[2].cause, GateFailed) and seen[3].rows_loaded == 8
+    run()  # nothing is tried again
+    assert len(seen) == 4 and spark.table(seen[3].table).count() == 8
