@@ -101,13 +101,13 @@ class ClaimTaken(Exception):
 
 
 def _claim_path(version: str) -> str:
-    parent, base = version.rstrip("/").rsplit("/", 1)
-    return f"{parent}/_next_of_{base}"
+    # Inside the version's folder (readers skip names with a leading _), so it goes with the version.
+    return f"{version.rstrip('/')}/_next_version"
 
 
 def claim_switch(spark: SparkSession, name: str, current: str, path: str) -> None:
     """Compare-and-swap for the switch from ``current`` to ``path``: the commit file
-    ``_next_of_<current>`` in the table's folder, which names the next version, is created only if
+    ``_next_version`` in the current version's folder, which names the next one, is created only if
     absent. Whoever creates it switches; all others are refused (``ClaimTaken``), however close
     they come. A version has one successor, so a load that began on another version than the
     table's is refused as well.
@@ -250,8 +250,6 @@ def prune_versions(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
     stay = max(keep - 1, 0)
     drop, kept = older[: len(older) - stay], older[len(older) - stay:]
     removed = [v for v in drop if delete_path(spark, v)]
-    for v in removed:
-        release_claim(spark, v)
     if drop:
         left = [v for v in drop if v not in removed and path_exists(spark, v)]
         _record(spark, name, [*left, *kept, current])
