@@ -69,6 +69,7 @@ def apply_contract(
     cast_loss: bool = False,
     raw_schema_checks: bool = False,
     multi_line: bool = True,
+    split_quoted: bool = False,
     publish_mode: str = "swap",
     encoding: str = "UTF-8",
     malformed_rows: bool = False,
@@ -106,6 +107,7 @@ def apply_contract(
         delim = delimiter or (local.delimiter if local else ",")
         paths = source if isinstance(source, str) else list(source)
         text = read_landing_text(spark, paths, delim, mode=mode, multi_line=multi_line, encoding=encoding,
+                                 split_quoted=split_quoted,
                                  malformed_column=MALFORMED if malformed_rows else None)
     else:
         text = source

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contract import Contract
+from .quoted import read_quoted_splits
 
 
 def read_landing_text(
@@ -16,6 +17,7 @@ def read_landing_text(
     mode: str = "FAILFAST",
     multi_line: bool = True,
     malformed_column: str | None = None,
+    split_quoted: bool = False,
 ) -> DataFrame:
     """Read a header CSV delivery with every column as a string.
 
@@ -24,6 +26,8 @@ def read_landing_text(
     ``multi_line`` keeps quoted line breaks inside one value; it makes each *file* one
     split, so large deliveries should arrive as many files (or pass ``multi_line=False``
     when the producer guarantees no quoted line breaks, which makes files splittable).
+    ``split_quoted`` gives the same rows as ``multi_line`` but cuts each file into many tasks, at
+    record boundaries found by counting quotes (``sources/quoted.py`` says what it refuses).
     Files of one delivery must share one heading: Spark binds cells by position, so a file
     whose columns stand in another order is refused rather than read crosswise.
     A row whose number of cells differs from the heading is refused (``mode='FAILFAST'``);
@@ -32,20 +36,25 @@ def read_landing_text(
     every row whose number of cells differs from the header (NULL otherwise), so ragged
     rows can be counted in the same pass instead of being cut silently.
     """
+    cells = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE" if malformed_column else mode}
+
     def reader():
         return (
             spark.read.format("csv")
+            .options(**cells)
             .option("header", True)
             .option("inferSchema", False)
-            .option("sep", delimiter)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", multi_line)
+            .option("multiLine", multi_line or split_quoted)
             .option("encoding", encoding)
             .option("enforceSchema", False)
-            .option("mode", "PERMISSIVE" if malformed_column else mode)
         )
 
+    if split_quoted:
+        if encoding.upper().replace("-", "") != "UTF8":
+            raise ValueError("split_quoted reads UTF-8 only")
+        if cells["mode"].upper() not in ("FAILFAST", "PERMISSIVE"):
+            raise ValueError("split_quoted reads in mode FAILFAST or PERMISSIVE")
+        return read_quoted_splits(spark, path, reader().load(path).columns, cells, malformed_column)
     if malformed_column is None:
         return reader().load(path)
     # The header's own names, in order, as an explicit all-string schema plus the flag

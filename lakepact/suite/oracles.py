@@ -275,6 +275,9 @@ def oracle_sql() -> dict[str, str]:
         "CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) * 100 AS BIGINT) AS sum_acctbal_cents, "
         "CAST(sum(c_nationkey) AS BIGINT) AS sum_nationkey, count(DISTINCT c_name) AS n_names "
         "FROM customer GROUP BY c_mktsegment")
+    o["q_quoted_splits"] = (
+        "SELECT page_id, url, md5('<p class=\"a\">' || chr(10) || coalesce(html, '') || chr(10) || '\"end\",' || chr(10)) "
+        "AS body_md5 FROM pages")
     o["q_table_count"] = "SELECT 'region' AS table_name, count(*) AS row_count FROM region"
     o["q_typed_projection"] = (
         "SELECT count(*) AS n_rows, count(o_orderkey) AS n_orderkey, count(o_totalprice) AS n_totalprice, "
