@@ -10,9 +10,11 @@ Plans:
 * ``unique``  – K4/K5 key checks: ``groupBy(key).count()`` with map-side partial
   aggregation (a hot key collapses to one row per task before the shuffle), then a global
   count of the repeated groups. NULL keys group together. Keys wider than 16 bytes shuffle
-  a 64-bit hash first; only rows whose hash repeats are counted exactly by key.
+  a 64-bit hash first; only rows whose hash repeats are counted exactly by key. Several key
+  checks share one scan and one exchange of (check, key digest) rows.
 * ``sql``     – SQL rules that are not a plain filtered count (K12 and anything else): run
-  by Spark SQL over the model's name (S4), one scalar each.
+  by Spark SQL over the model's name (S4), one scalar each. A functional dependency asks
+  whether a key's least and greatest value differ instead of counting distinct values.
 """
 
 from __future__ import annotations
@@ -101,6 +103,38 @@ def fusable_predicate(query: str, model: str) -> str | None:
     return pred
 
 
+_NAME = r"`?[A-Za-z_]\w*`?"
+_NAMES = rf"{_NAME}(?:\s*,\s*{_NAME})*"
+_DEPENDENCY = re.compile(
+    rf"^\s*select\s+count\s*\(\s*(?:\*|1)\s*\)\s+from\s*\(\s*select\s+(?P<shown>{_NAMES}|1)\s+from\s+"
+    rf"`?(?P<model>[A-Za-z_][\w.]*)`?(?:\s+where\s+(?P<where>.+?))?\s+group\s+by\s+(?P<keys>{_NAMES})\s+having\s+"
+    rf"count\s*\(\s*distinct\s+(?P<value>{_NAME})\s*\)\s*(?P<test>>\s*1|>=\s*2|<>\s*1|!=\s*1)\s*\)"
+    rf"(?:\s+(?:as\s+)?{_NAME})?\s*;?\s*$",
+    re.IGNORECASE | re.DOTALL,
+)
+
+
+def dependency_query(query: str, model: str, schema: T.StructType) -> str | None:
+    """A functional-dependency rule (``SELECT COUNT(*) FROM (SELECT k FROM model GROUP BY k HAVING
+    COUNT(DISTINCT v) > 1)``) as a grouping whose partial result is two values per key: a key has
+    several values exactly if its least and greatest differ. NULLs count in neither form. None
+    where the rule has another shape or ``v`` has no order. (``<> 1`` also counts keys without a value.)"""
+    m = _DEPENDENCY.match(query or "")
+    if not m or m["model"].split(".")[-1] != model or _NOT_A_ROW_PREDICATE.search(m["where"] or ""):
+        return None
+    plain = lambda text: [n.strip().strip("`").lower() for n in text.split(",")]
+    columns = {f.name.lower(): f.dataType for f in schema}
+    keys, value = plain(m["keys"]), plain(m["value"])[0]
+    shown = [] if m["shown"] == "1" else plain(m["shown"])
+    if not set(shown) <= set(keys) or not {*keys, value} <= set(columns) or isinstance(
+            columns[value], (T.MapType, T.StructType, T.ArrayType, T.VariantType)):
+        return None
+    least, most = f"min({m['value']})", f"max({m['value']})"
+    having = f"{least} <> {most}" + ("" if m["test"].startswith(">") else f" OR {least} IS NULL")
+    where = f" WHERE {m['where']}" if m["where"] else ""
+    return f"SELECT COUNT(*) FROM (SELECT 1 FROM `{model}`{where} GROUP BY {m['keys']} HAVING {having})"
+
+
 def _bind_placeholders(query: str | None, model: str, field: str | None) -> str | None:
     """``{model}``/``{table}`` → the model name, ``{field}``/``{column}``/``{property}`` → the
     field a rule is declared on (quality queries written once for many contracts)."""
@@ -410,16 +444,69 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], strategy: str | None = No
     )
 
 
-def _unique_rows(contract_id: str, df: DataFrame, s: CheckSpec) -> DataFrame:
-    dup = duplicate_keys(df, s.keys)
-    detail = "concat(CAST(`groups` AS STRING), ' repeated keys over ', CAST(`rows` AS STRING), ' rows')"
-    return _inline(dup, [_struct_sql(contract_id, s, "`groups`", detail)])
+def _key_cell(c: Column, t: T.DataType) -> Column | None:
+    """A key cell as text, different for different values; None for a type without such a text."""
+    if getattr(t, "collation", "UTF8_BINARY") != "UTF8_BINARY":
+        return None  # texts that differ may be one key
+    if isinstance(t, T.TimestampType):
+        c = F.unix_micros(c)  # a local time may stand for two instants
+    elif isinstance(t, (T.FloatType, T.DoubleType)):
+        c = c + F.lit(0.0).cast(t)  # -0.0 and 0.0 are one key
+    elif isinstance(t, T.BinaryType):
+        c = F.hex(c)
+    elif not isinstance(t, (T.StringType, T.IntegralType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampNTZType)):
+        return None
+    text = c.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def key_digest(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """A key of any columns in at most 32 bytes: its cells (each behind its length) as they are below 32
+    bytes, else their SHA-256. NULL cells are equal to each other. None where a cell has no text."""
+    cells = [_key_cell(qcol(k), df.schema[k].dataType) for k in keys]
+    if any(c is None for c in cells):
+        return None
+    text = F.concat(*cells)
+    return F.when(F.octet_length(text) < 32, text.cast("binary")).otherwise(F.unhex(F.sha2(text.cast("binary"), 256)))
+
+
+def shared_duplicate_keys(df: DataFrame, checks: Sequence[tuple[int, Sequence[str]]]) -> DataFrame:
+    """``duplicate_keys`` of several keys in one scan and one exchange: one row with ``g<idx>`` (repeated
+    key values) and ``r<idx>`` (their rows) for each ``(idx, keys)``. Rows are tagged with their check
+    and counted in their task first, so a hot key of any check arrives as one row per task."""
+    tagged = F.array(*[F.struct(F.lit(i).alias("check"), key_digest(df, keys).alias("key")) for i, keys in checks])
+    counted = (df.select(F.explode(tagged).alias("t")).groupBy("t.check", "t.key")
+               .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    return counted.agg(*[
+        c for i, _ in checks for c in (
+            F.count_if(F.col("check") == i).alias(f"g{i}"),
+            F.coalesce(F.sum(F.when(F.col("check") == i, F.col("n"))), F.lit(0)).alias(f"r{i}"))])
+
+
+def _unique_struct(contract_id: str, s: CheckSpec, groups: str, rows: str) -> str:
+    detail = f"concat(CAST(`{groups}` AS STRING), ' repeated keys over ', CAST(`{rows}` AS STRING), ' rows')"
+    return _struct_sql(contract_id, s, f"`{groups}`", detail)
+
+
+def _unique_rows(contract_id: str, df: DataFrame, specs: list[CheckSpec]) -> list[DataFrame]:
+    """Key checks: two or more share one pass; a single one, or a key without a digest, has its own."""
+    shared = [s for s in specs if key_digest(df, s.keys) is not None]
+    shared = shared if len(shared) > 1 else []
+    out = []
+    if shared:
+        one = shared_duplicate_keys(df, [(s.idx, s.keys) for s in shared])
+        out.append(_inline(one, [_unique_struct(contract_id, s, f"g{s.idx}", f"r{s.idx}") for s in shared]))
+    for s in specs:
+        if s not in shared:
+            out.append(_inline(duplicate_keys(df, s.keys), [_unique_struct(contract_id, s, "groups", "rows")]))
+    return out
 
 
 def _sql_rows(contract_id: str, df: DataFrame, model: str, s: CheckSpec) -> DataFrame:
     spark = df.sparkSession
     with as_relation(df, model):
-        res = spark.sql(s.query)  # analysed now; stays valid once the view is gone
+        # analysed now; stays valid once the view is gone
+        res = spark.sql(dependency_query(s.query, model, df.schema) or s.query)
     if len(res.columns) != 1:
         raise ContractError(f"{s.name}: an SQL rule returns one value, this one has {len(res.columns)} columns")
     # The value is judged as it is; the report's whole-number metric shows it when it is one. A
@@ -512,10 +599,9 @@ def check_report(
             one_row = df.agg(*fused_metrics(df, fused))
         parts.append(_fused_rows(contract.id, specs, one_row))
 
+    parts += _unique_rows(contract.id, df, [s for s in specs if s.plan == "unique"])
     for s in specs:
-        if s.plan == "unique":
-            parts.append(_unique_rows(contract.id, df, s))
-        elif s.plan == "sql":
+        if s.plan == "sql":
             parts.append(_sql_rows(contract.id, df, contract.model, s))
 
     if not parts:

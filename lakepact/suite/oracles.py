@@ -306,6 +306,12 @@ def oracle_sql() -> dict[str, str]:
         "GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)) AS BIGINT) AS dup_rows FROM ("
         + report_rows("lineitem", "(SELECT 1)", [("l_orderkey+l_linenumber:unique", "unique", "l_orderkey+l_linenumber",
                                                     dup_groups("lineitem", "l_orderkey, l_linenumber"), "=", "0")]) + ") r")
+    o["q_check_unique_many"] = report_rows("lineitem", "(SELECT 1)", [
+        (f"{'+'.join(names)}:unique", "unique", "+".join(names), dup_groups(
+            "(SELECT *, l_returnflag || '/' || l_linestatus || '/' || CAST(l_shipdate AS VARCHAR) AS l_comment_free FROM lineitem)",
+            ", ".join(names)), "=", "0")
+        for names in (["l_orderkey"], ["l_comment_free"], ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"],
+                      ["l_partkey", "l_suppkey", "l_quantity"])])
     o["q_check_valid_values"] = report_rows("events", "events", [
         ("event_type_catalogo", "valid_values", "event_type",
          "count(*) FILTER (WHERE event_type NOT IN ('click', 'view', 'signup'))", "=", "0")])

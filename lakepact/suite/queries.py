@@ -170,6 +170,18 @@ def q_check_unique_composite(spark, sf):
                     "contract")
 
 
+def q_check_unique_many(spark, sf):
+    """K4 + K5: five key checks of one table in one scan and one exchange."""
+    keys = [("l_orderkey",), ("l_comment_free",), ("l_orderkey", "l_linenumber"), ("l_shipdate", "l_partkey"),
+            ("l_partkey", "l_suppkey", "l_quantity")]
+    df = t(spark, sf, "lineitem").withColumn(
+        "l_comment_free", F.concat_ws("/", "l_returnflag", "l_linestatus", F.col("l_shipdate").cast("string")))
+    c = _rule_contract("lineitem", "lineitem_delivery", {
+        "type": "library", "metric": "duplicateValues", "arguments": {"properties": list(keys[0])}, "mustBe": 0})
+    c = replace(c, rules=tuple(replace(c.rules[0], arguments={"properties": list(k)}) for k in keys))
+    return _report(df, c)
+
+
 def q_check_valid_values(spark, sf):
     """K6: event types outside click/view/signup."""
     return _report(t(spark, sf, "events"), C.events(), ("valid_values",))
