@@ -474,6 +474,10 @@ diff AS (
 
     o["q_norm_text"] = (f"SELECT lang, count(*) AS n_docs, count(DISTINCT nt) AS n_distinct_norm, "
                         f"CAST(sum(length(nt)) AS BIGINT) AS sum_len_norm FROM (SELECT lang, {norm('text')} AS nt FROM documents) GROUP BY lang")
+    o["q_norm_compat"] = (
+        "SELECT lang, count(*) AS n_docs, count(DISTINCT nt) AS n_distinct_norm, CAST(sum(length(nt)) AS BIGINT) AS sum_len_norm, "
+        "min(md5(nt)) AS least_md5, max(md5(nt)) AS greatest_md5 "
+        f"FROM (SELECT lang, {norm("'1⁄2 ' || text")} AS nt FROM documents) GROUP BY lang")
     o["q_duplicate_first_seen"] = ("SELECT doc_id, first_doc_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first_doc_id "
                                    "FROM documents) WHERE doc_id > first_doc_id")
     o["q_key_position"] = ("SELECT conv_id, turn, key_position FROM (SELECT conv_id, turn, role, "

@@ -538,6 +538,21 @@ def q_norm_text(spark, sf):
     )
 
 
+def q_norm_compat(spark, sf):
+    """M1 over whole texts written with ligatures, a fraction and letters beyond the BMP: what
+    they stand for, without a Python worker."""
+    text = F.translate("text", "ae", "𝐚𝖊")
+    for plain, form in [("ff", "ﬀ"), ("st", "ﬆ"), ("no", "№"), ("fi", "ﬁ")]:
+        text = F.replace(text, F.lit(plain), F.lit(form))
+    d = t(spark, sf, "documents").select("lang", normalise_text(F.concat(F.lit("½ "), text)).alias("norm"))
+    return d.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_distinct(F.md5("norm")).alias("n_distinct_norm"),
+        F.sum(F.length("norm")).cast("bigint").alias("sum_len_norm"),
+        F.min(F.md5("norm")).alias("least_md5"), F.max(F.md5("norm")).alias("greatest_md5"),
+    )
+
+
 def q_duplicate_first_seen(spark, sf):
     """M8 on documents: a later document repeating an earlier text, with the first id."""
     d = t(spark, sf, "documents").select("doc_id", "text")
