@@ -13,15 +13,15 @@ Bands that reach the bound are verified: a banded semi-global alignment (the ite
 text's ends free) gives the least number of edits and the span.
 
 q is 8, or for short items the largest that keeps the bound positive, down to 1; so every item
-however short is found by the same rule (under ten bytes: exactly, inside other words too unless
-``min_item`` leaves such items out).
+however short is found by the same rule. An item under ``short`` bytes (default 20) says little by
+itself, so it is found without edits and as whole words only: what stands before and after it is a
+blank (any ASCII byte but letters and digits) or the text's end.
 
 The benchmark is a query set. It goes to the tasks in blocks of at most ``block_bytes`` bytes of
 text; a benchmark of any size is worked through block by block, so what is broadcast is bounded.
 
-Defined cases: null or empty documents and items match nothing, items under ``min_item`` bytes
-(default 20, after trimming) are no evidence of a leak and are not searched; whole texts are
-scanned; repeated rows and items each give their own rows; an empty benchmark finds nothing;
+Defined cases: null or empty documents and items match nothing (an item without letters, digits or
+characters beyond ASCII is empty); whole texts are scanned; repeated rows and items each give their own rows; an empty benchmark finds nothing;
 extra columns are ignored.
 """
 
@@ -38,7 +38,7 @@ from lakepact.llm.common import map_batches, slices, text_bytes
 
 Q = 8
 RATE = 0.1
-MIN_ITEM = 20
+SHORT = 20
 BLOCK_BYTES, BLOCK_ITEMS = 2 << 20, 1 << 16
 # Bytes of text scanned at once; longer texts are scanned in windows that overlap.
 WINDOW = 16 << 20
@@ -97,13 +97,21 @@ def align(item: bytes, text: bytes, low: int, high: int) -> tuple[int, int, int]
     return edits, start + low, best + low + n
 
 
+def whole_words(part: bytes, start: int, end: int, first: bool, last: bool) -> bool:
+    """Whether blanks or the text's ends stand around start..end of a window; ``first`` and ``last``: the
+    window begins or ends its text (else windows overlap, and another one sees the place whole)."""
+    before = part[start - 1] == 32 if start else first
+    return before and (part[end] == 32 if end < len(part) else last)
+
+
 class Block:
     """A block of items ready to scan texts with."""
 
-    def __init__(self, items: list[bytes], rate: float = RATE, q: int = Q) -> None:
-        self.items = items
+    def __init__(self, items: list[bytes], rate: float = RATE, q: int = Q, short: int = 0) -> None:
+        """Items under ``short`` bytes are found without edits, as whole words."""
+        self.items, self.short = items, short
         size = np.array([len(t) for t in items], np.int64)
-        self.k = np.array([edits_allowed(len(t), rate) for t in items], np.int64)
+        self.k = np.array([edits_allowed(len(t), rate) if len(t) >= short else 0 for t in items], np.int64)
         qs = np.array([gram_length(len(t), int(k), q) for t, k in zip(items, self.k)])
         self.need = size - qs + 1 - self.k * qs
         # A band is two steps of 2 ** shift diagonals, 2 ** shift > k.
@@ -205,6 +213,13 @@ class Block:
                     if a > z:
                         continue
                     exact = part.find(item, max(0, a), z + len(item))
+                    if len(item) < self.short:
+                        # Each place until one stands between blanks; no place that is part of a word counts.
+                        ends = at == 0, at + len(part) >= len(texts[n])
+                        while exact >= 0 and not whole_words(part, exact, exact + len(item), *ends):
+                            exact = part.find(item, exact + 1, z + len(item))
+                        if exact < 0:
+                            continue
                     edits, start, end = (0, exact, exact + len(item)) if exact >= 0 else align(item, part, a, z)
                     if edits <= k:
                         found = (edits, start + at, end + at)
@@ -212,7 +227,7 @@ class Block:
         return [(n, i, *v) for (n, i), v in sorted(best.items())]
 
 
-def blocks(benchmark: DataFrame, min_item: int = MIN_ITEM, rate: float = RATE, q: int = Q) -> Iterator[tuple[list, Block]]:
+def blocks(benchmark: DataFrame, short: int = SHORT, rate: float = RATE, q: int = Q) -> Iterator[tuple[list, Block]]:
     """The benchmark's items in blocks of bounded size, with their ids; one block at a time is on
     the driver."""
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -221,16 +236,16 @@ def blocks(benchmark: DataFrame, min_item: int = MIN_ITEM, rate: float = RATE, q
     size = 0
     for r in rows.where("text is not null").toLocalIterator():
         t = fold(r["text"].encode()).strip()
-        if len(t) < max(1, min_item):
+        if not t:
             continue
         if texts and (size + len(t) > BLOCK_BYTES or len(texts) >= BLOCK_ITEMS):
-            yield ids, Block(texts, rate, q)
+            yield ids, Block(texts, rate, q, short)
             ids, texts, size = [], [], 0
         ids.append(r["item_id"])
         texts.append(t)
         size += len(t)
     if texts:
-        yield ids, Block(texts, rate, q)
+        yield ids, Block(texts, rate, q, short)
 
 
 def code_points(text: bytes, start: int, end: int) -> tuple[int, int]:
@@ -244,7 +259,7 @@ def code_points(text: bytes, start: int, end: int) -> tuple[int, int]:
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, q: int = Q, min_item: int = MIN_ITEM
+    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, q: int = Q, short: int = SHORT
 ) -> DataFrame:
     """(doc_id, item_id, edits, start, end, item_bytes): the best place, in code points, of every
     benchmark item found in every document."""
@@ -252,7 +267,7 @@ def find_leaks(
     schema = "doc_id bigint, item_id bigint, edits bigint, start bigint, end bigint, item_bytes bigint"
     sc = docs.sparkSession.sparkContext
     found = None
-    for ids, block in blocks(benchmark, min_item, rate, q):
+    for ids, block in blocks(benchmark, short, rate, q):
         sent = sc.broadcast((ids, block))
 
         def run(batches, sent=sent):
@@ -274,12 +289,12 @@ def find_leaks(
 
 
 def drop_leaks(
-    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, q: int = Q, min_item: int = MIN_ITEM
+    docs: DataFrame, benchmark: DataFrame, rate: float = RATE, q: int = Q, short: int = SHORT
 ) -> DataFrame:
     """The documents without any benchmark item; one pass, no shuffle."""
     sc = docs.sparkSession.sparkContext
     at = docs.columns.index("text")
-    for _, block in blocks(benchmark, min_item, rate, q):
+    for _, block in blocks(benchmark, short, rate, q):
         sent = sc.broadcast(block)
 
         def run(batches, sent=sent):

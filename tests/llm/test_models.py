@@ -300,6 +300,32 @@ def test_leaks_with_edits_equal_brute_force():
             assert got[0][2] == want == whole_distance(item, t[got[0][3]:got[0][4]])
 
 
+def test_short_items_equal_whole_word_search(spark, monkeypatch):
+    rng = random.Random(8)
+    words = ["a", "ab", "ñ", "abc", "b1", "漢字", "of", "than", "x" * 7, "er than", "a b"]
+    items = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 4))).encode() for _ in range(60)}, key=len)
+    items = [t for t in items if len(t) < 20]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "-", "", ". "]) for _ in range(rng.randint(0, 90))) for _ in range(60)]
+    texts += ["", "a", " a", "ab", "aab a b", "a" * 300, "ab " * 200]
+    folded = [qgram_decon.fold(t.encode()) for t in texts]
+    want = set()
+    for n, t in enumerate(folded):
+        for i, item in enumerate(items):
+            at = (b" " + t + b" ").find(b" " + item + b" ")  # the padding moves a place by as much as its blank
+            if at >= 0:
+                want.add((n, i, 0, at, at + len(item)))
+    assert len({len(t) for t in items}) > 10 and len(want) > 500
+    assert set(qgram_decon.Block(items, short=20).matches(folded)) == want
+    monkeypatch.setattr(qgram_decon, "WINDOW", 64)
+    monkeypatch.setattr(qgram_decon, "PIECE", 32)
+    assert set(qgram_decon.Block(items, short=20).matches(folded)) == want
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(items)] + [(-1, " .?! ")], "item_id bigint, text string")
+    found = qgram_decon.find_leaks(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(n, i) for n, i, *_ in want}
+    assert all(texts[r["doc_id"]][r["start"]:r["end"]] for r in found)
+
+
 def test_leaks_awkward_and_blocks(spark, monkeypatch):
     rows = awkward_rows()
     long = rows[75][1]
