@@ -147,18 +147,30 @@ def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2, seed: int = 42)
     found = near_duplicates(docs, words, max_bits, seed)
     # A group is named by its smallest doc_id; groups of null ids by their fingerprint.
     group = F.coalesce(F.col("component_id").cast("string"), F.col("fingerprint"))
+    names = docs.columns
+    key, text, turn = _free_names(names, "keep_id_", "keep_key_", "keep_n_")
     chosen = (
         found.groupBy(group.alias("g"))
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_key")).alias("s"))
         .select(
-            F.coalesce(F.col("s.doc_id").cast("string"), F.lit("")).alias("keep_id_"),
-            F.col("s.text_key").alias("keep_key_"),
+            F.coalesce(F.col("s.doc_id").cast("string"), F.lit("")).alias(key),
+            F.col("s.text_key").alias(text),
         )
     )
-    names = docs.columns
-    marked = docs.withColumn("keep_id_", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn(
-        "keep_key_", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    marked = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn(
+        text, F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     )
-    one = W.partitionBy("keep_id_", "keep_key_").orderBy("keep_id_")
-    kept = marked.join(cut(chosen), ["keep_id_", "keep_key_"], "left_semi")
-    return kept.withColumn("keep_n_", F.row_number().over(one)).where("keep_n_ = 1").select(*names)
+    one = W.partitionBy(key, text).orderBy(key)
+    kept = marked.join(cut(chosen), [key, text], "left_semi")
+    return kept.withColumn(turn, F.row_number().over(one)).where(F.col(turn) == 1).select(*names)
+
+
+def _free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Column names that the table does not have, in any case."""
+    used = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name in used:
+            name += "_"
+        out.append(name)
+    return out

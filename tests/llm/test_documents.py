@@ -88,6 +88,14 @@ def test_simhash_keep_one(spark):
     assert simhash.keep_one(df.where("false")).count() == 0
 
 
+def test_simhash_keep_one_leaves_clashing_columns(spark):
+    rows = [(1, "a b c d", "mine", "k", 7), (2, "a b c d", "yours", None, 8), (None, "x y z", None, "l", 9), (3, "", "m", "n", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, Keep_ID_ string, keep_key_ string, keep_n_ int")
+    kept = simhash.keep_one(df)
+    assert kept.schema == df.schema
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], *rows[2:]], key=repr)
+
+
 def test_components_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(50)] + [(1000, i) for i in range(1001, 1200)] + [(7, 7), (5, None)]
     got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
