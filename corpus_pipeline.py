@@ -2,7 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the columns of
 documents; the last returns the token records read back. ``run`` writes each stage's result as
-Parquet in the shared folder and reads it again for the next.
+Parquet in the shared folder and reads it again for the next. A stage's folder is deleted once the
+next one is written whole; the last one holds the result and stays, like the token files beside it.
 
 Null texts and ids, repeated rows, empty tables and extra columns pass as each operator states.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakepact.llm import qgram_decon, records, simhash, source_mix, toxicity_cnn
 from lakepact.llm.common import checkpoint_root, read
+from lakepact.operators.publish import delete_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +58,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         path = f"{checkpoint_root(spark)}/pipeline-{name}-{uuid.uuid4().hex[:12]}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        before = path
     return docs
