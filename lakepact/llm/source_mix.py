@@ -10,7 +10,8 @@ bits of the hash, five times in all. The result is one threshold per source; tak
 
 Targets: each source gets a share by weight of all words, stops at ``max_repeats`` times its own
 size, and the excess is shared anew by weight until none is above. That is one water level L with
-target = min(max_repeats * S, weight * L), found from running sums over the sources.
+target = min(max_repeats * S, weight * L), found from running sums over the sources, which are
+sorted in ranges, so that any number of them is dealt over tasks.
 
 Defined cases: null or blank text has size 0 and takes 0 words; a null source is a source (the
 last in order); documents that share both id and text share a hash and are taken together or
@@ -43,24 +44,38 @@ def hash_of(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
 
 
+def sums_before(df: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """``df`` with the sums of columns over all rows before, in a total order: ``sums`` is {new: column}.
+
+    Ranges of the order are sorted in their own tasks; only one row per range is added up in a
+    single task. The rows must differ in ``order``.
+    """
+    ranges = cut(df.repartitionByRange(*order).withColumn("range_", F.spark_partition_id()))
+    whole = W.orderBy("range_").rowsBetween(W.unboundedPreceding, -1)
+    start = ranges.groupBy("range_").agg(*[F.sum(c).alias(f"{new}_in_") for new, c in sums.items()]).select(
+        "range_", *[F.coalesce(F.sum(f"{new}_in_").over(whole), F.lit(0)).alias(f"{new}_at_") for new in sums]
+    )
+    inside = W.partitionBy("range_").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return ranges.join(F.broadcast(start), "range_").select(  # one row per range
+        *df.columns,
+        *[(F.col(f"{new}_at_") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(new) for new, c in sums.items()],
+    )
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3) -> DataFrame:
     """(source, source_size, target) from ``sizes(source, source_size)``, one row per source."""
-    order = W.orderBy(F.col("source").asc_nulls_last())
     pick = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    s = sizes.withColumn("rank", F.row_number().over(order) - 1).withColumn("w", pick)
-    s = s.withColumn("cap", (F.col("source_size") * max_repeats).cast("double"))
+    s = sums_before(sizes.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], {"rank": "one"})
+    s = s.withColumn("w", pick).withColumn("cap", (F.col("source_size") * max_repeats).cast("double"))
     # Sources fill up in the order of cap / weight. With the first k full, the level of the rest is
     # (total - their caps) / (weights of the rest). It is right for the first source that it does
     # not fill, and only falls from there on.
-    fill = W.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
-    before = fill.rowsBetween(W.unboundedPreceding, -1)
-    s = s.withColumn("cap_before", F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-    s = s.withColumn("w_before", F.coalesce(F.sum("w").over(before), F.lit(0.0)))
-    every = W.partitionBy()
-    s = s.withColumn("total", F.sum("source_size").over(every)).withColumn("w_all", F.sum("w").over(every))
-    s = s.withColumn("level_k", (F.col("total") - F.col("cap_before")) / (F.col("w_all") - F.col("w_before")))
-    s = s.withColumn("level", F.max(F.when(F.col("w") * F.col("level_k") <= F.col("cap"), F.col("level_k"))).over(every))
-    return s.select("source", "source_size", F.least("cap", F.col("w") * F.col("level")).alias("target"))
+    fill = [(F.col("cap") / F.col("w")).asc(), F.col("source").asc_nulls_last()]
+    s = sums_before(s, fill, {"cap_before": "cap", "w_before": "w"})
+    total, w_all = s.agg(F.sum("source_size"), F.sum("w")).first()
+    rest = (F.lit(total) - F.col("cap_before")) / (F.lit(w_all) - F.col("w_before"))
+    level = s.agg(F.max(F.when(F.col("w") * rest <= F.col("cap"), rest))).first()[0]
+    return s.select("source", "source_size", F.least("cap", F.col("w") * F.lit(level).cast("double")).alias("target"))
 
 
 def thresholds(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -126,7 +141,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = 3) -> DataFrame:
-    """The documents table after mixing: every document as often as the mix takes it."""
+    """The documents table after mixing: every document as often as the mix takes it.
+
+    Documents without a word add nothing to any target and are not taken.
+    """
     names = docs.columns
     rows = cut(docs.select(
         F.col("source").cast("string").alias("source"),
@@ -137,7 +155,7 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
                .withColumnsRenamed({"copies": "mix_copies_", "threshold": "mix_threshold_"}))
     marked = docs.withColumn("mix_hash_", hash_of(F.col("doc_id"), F.col("text")))
     times = F.col("mix_copies_") + (F.col("mix_hash_") < F.col("mix_threshold_")).cast("bigint")
-    sized = F.col("text").rlike(WORD)  # documents without a word add nothing to any target
+    sized = F.col("text").rlike(WORD)
     return (
         marked.where(sized).join(
             broadcast_below(cuts, BROADCAST_SOURCES), F.col("source").cast("string").eqNullSafe(F.col("mix_source_"))

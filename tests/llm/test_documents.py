@@ -1,6 +1,7 @@
 """Operators over documents against brute force, on awkward rows and on the given tables."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 from helpers_llm import SCHEMA, awkward, awkward_rows, toks
+from pyspark.sql import functions as F
 
 from lakepact.llm import lm_mixing, records, simhash, source_mix
 from lakepact.llm.common import components
@@ -286,3 +288,25 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert lm_mixing.score_documents(empty).count() == 0
     assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_source_mix_many_sources(spark):
+    """Targets of 3,000 sources, sorted in several ranges: the same water level as one sorted list gives."""
+    rng = random.Random(9)
+    sizes = {f"host{i:05d}.é": rng.choice([0, 1, 7, 7, 300, rng.randint(1, 10**6)]) for i in range(3000)}
+    sizes[None] = 5_000_000
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keeps the ranges apart
+    try:
+        rows = source_mix.targets(df).collect()
+        run = source_mix.sums_before(df.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()],
+                                     {"rank": "one", "upto": "source_size"}).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = brute_targets(sizes)
+    assert len(rows) == len(sizes)
+    assert all(abs(r.target - want[r.source]) <= 1e-9 * max(1.0, want[r.source]) for r in rows)
+    at = 0
+    for k, r in enumerate(sorted(run, key=lambda r: (r.source is None, r.source or ""))):
+        assert (r["rank"], r["upto"]) == (k, at)
+        at += r.source_size

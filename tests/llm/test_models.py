@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import shutil
 import zlib
 
 import numpy as np
@@ -496,11 +497,16 @@ def test_pipeline_stages(spark):
     assert sorted(map(tuple, run.collect())) == sorted(map(tuple, last.collect()))
 
 
-def test_pipeline_awkward(spark, tmp_path):
-    docs = awkward(spark, extra=False)
-    sf = str(tmp_path)
-    docs.write.parquet(f"{sf}/documents.parquet")
-    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
-    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
-    assert corpus_pipeline.run(spark, sf).count() > 0
-    assert zlib.crc32(b"") == 0
+def test_pipeline_awkward(spark, tmp_path, monkeypatch):
+    """Extra columns named like the operators' own change no row; only the last stage's folder stays."""
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/plain/labels.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/plain/benchmark.parquet")
+    shutil.copytree(f"{tmp_path}/plain", f"{tmp_path}/clash")
+    out = {}
+    for name, extra in (("plain", False), ("clash", True)):
+        sf, shared = f"{tmp_path}/{name}", tmp_path / f"shared-{name}"
+        awkward(spark, extra=extra).write.parquet(f"{sf}/documents.parquet")
+        monkeypatch.setattr(corpus_pipeline, "checkpoint_root", lambda spark, at=shared: str(at))
+        out[name] = sorted(map(tuple, corpus_pipeline.run(spark, sf).collect()), key=str)
+        assert [p.name.rsplit("-", 1)[0] for p in shared.iterdir()] == ["pipeline-token_records"]
+    assert len(out["plain"]) > 0 and out["plain"] == out["clash"]
