@@ -12,9 +12,9 @@ def _load(name, env):
     return rebind(Contract.load(fixture_path(f"{name}.odcs.yaml")), env)
 
 
-def test_channel_master_ok_then_errors(spark, lake, fresh_env):
-    c = _load("channel_master", fresh_env)
-    res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+def test_berth_stays_ok_then_errors(spark, lake, fresh_env):
+    c = _load("berth_stays", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
     assert len(res.gate) == 40 and all(r.result == "passed" for r in res.gate)
     assert res.rows_read == 8 and res.rows_loaded == 8
     assert all(r.result == "passed" for r in res.post)
@@ -22,64 +22,62 @@ def test_channel_master_ok_then_errors(spark, lake, fresh_env):
     loc = table_location(spark, res.table)
 
     with pytest.raises(GateFailed) as e:
-        apply_contract(spark, c, fresh_env, fixture_path("channel_master_errors.csv"))
+        apply_contract(spark, c, fresh_env, fixture_path("berth_stays_errors.csv"))
     failed = sorted(r.check for r in e.value.report if r.result != "passed")
-    assert failed == sorted(["cod_intermediario:unique", "nom_grupo_canal:required", "nbrusuariode:required",
-                             "tipingresode_catalogo", "canal_descripcion_unica"])
+    assert failed == sorted(["stay_id:unique", "ship:required", "cargo_kinds", "berth_on_one_quay",
+                             "leaves_after_mooring"])
     assert len(e.value.report) == 40 and e.value.current_rows == 8
     assert spark.table(res.table).count() == 8 and table_location(spark, res.table) == loc
 
 
-def test_fee_schedule_ok_then_errors(spark, lake, fresh_env):
-    c = _load("fee_schedule", fresh_env)
-    res = apply_contract(spark, c, fresh_env, fixture_path("fee_schedule_ok.csv"))
+def test_meter_readings_ok_then_errors(spark, lake, fresh_env):
+    c = _load("meter_readings", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("meter_readings_ok.csv"))
     assert len(res.gate) == 39 and res.passed and res.rows_loaded == 8
     with pytest.raises(GateFailed) as e:
-        apply_contract(spark, c, fresh_env, fixture_path("fee_schedule_errors.csv"))
+        apply_contract(spark, c, fresh_env, fixture_path("meter_readings_errors.csv"))
     failed = sorted(r.check for r in e.value.report if r.result != "passed")
     assert failed == sorted([
-        "cod_clinica+cod_prestacion+fec_inicio_vigencia:unique", "cod_clinica:pattern", "moneda_valida",
-        "mto_tarifa:exclusive_minimum_equal", "tarifa_positiva", "vigencia_coherente",
-        "cod_prestacion:min_length", "usr_registro:required"])
+        "meter+read_on:unique", "meter:min_length", "meter:max_length", "plant:pattern", "known_method",
+        "litres:exclusive_minimum_equal", "billed_within_reading", "reader:required"])
     assert spark.table(res.table).count() == 8
 
 
 def test_second_good_load_replaces_rows(spark, lake, fresh_env):
-    c = _load("channel_master", fresh_env)
-    apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
-    text = read_landing_text(spark, fixture_path("channel_master_ok.csv")).limit(3)
+    c = _load("berth_stays", fresh_env)
+    apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
+    text = read_landing_text(spark, fixture_path("berth_stays_ok.csv")).limit(3)
     res = apply_contract(spark, c, fresh_env, text)
     assert res.rows_loaded == 3 and spark.table(res.table).count() == 3
 
 
 def test_empty_file_fails_only_row_count(spark, lake, fresh_env, tmp_path):
-    c = _load("channel_master", fresh_env)
-    header = open(fixture_path("channel_master_ok.csv"), encoding="utf-8").readline()
+    c = _load("berth_stays", fresh_env)
+    header = open(fixture_path("berth_stays_ok.csv"), encoding="utf-8").readline()
     p = tmp_path / "empty.csv"
     p.write_text(header, encoding="utf-8")
     with pytest.raises(GateFailed) as e:
         apply_contract(spark, c, fresh_env, str(p))
-    assert [r.check for r in e.value.report if r.result != "passed"] == ["tabla_no_vacia"]
+    assert [r.check for r in e.value.report if r.result != "passed"] == ["some_stays"]
 
 
 def test_missing_columns(spark, lake, fresh_env):
-    c = _load("fee_schedule", fresh_env)
-    text = read_landing_text(spark, fixture_path("fee_schedule_ok.csv"))
-    res = apply_contract(spark, c, fresh_env, text.drop("fec_fin_vigencia"))  # optional: passes
+    c = _load("meter_readings", fresh_env)
+    text = read_landing_text(spark, fixture_path("meter_readings_ok.csv"))
+    res = apply_contract(spark, c, fresh_env, text.drop("litres_billed"))  # optional: passes
     assert res.passed
     with pytest.raises(GateFailed) as e:
-        apply_contract(spark, c, fresh_env, text.drop("usr_registro"))  # required: fails
-    assert [r.check for r in e.value.report if r.result != "passed"] == ["usr_registro:required"]
+        apply_contract(spark, c, fresh_env, text.drop("reader"))  # required: fails
+    assert [r.check for r in e.value.report if r.result != "passed"] == ["reader:required"]
 
 
 def test_error_during_publish_keeps_rows(spark, lake, fresh_env):
-    c = _load("channel_master", fresh_env)
-    res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    c = _load("berth_stays", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
     loc = table_location(spark, res.table)
-    text = read_landing_text(spark, fixture_path("channel_master_ok.csv"))
-    boom = text.withColumn("nom_grupo_canal", F.when(F.col("cod_intermediario").endswith("105"),
-                                                     F.raise_error(F.lit("injected failure")))
-                           .otherwise(F.col("nom_grupo_canal")))
+    text = read_landing_text(spark, fixture_path("berth_stays_ok.csv"))
+    boom = text.withColumn("ship", F.when(F.col("stay_id") == "S-5005", F.raise_error(F.lit("injected failure")))
+                           .otherwise(F.col("ship")))
     with pytest.raises(Exception, match="injected failure"):
         apply_contract(spark, c, fresh_env, boom)
     assert spark.table(res.table).count() == 8 and table_location(spark, res.table) == loc
@@ -89,13 +87,13 @@ def test_error_during_publish_keeps_rows(spark, lake, fresh_env):
 
 
 def test_apply_all_independent_jobs(spark, lake, fresh_env):
-    ok = _load("channel_master", fresh_env)
-    fee = _load("fee_schedule", fresh_env)
-    out = apply_all(spark, [(ok, fresh_env, fixture_path("channel_master_ok.csv")),
-                            (fee, fresh_env, fixture_path("fee_schedule_errors.csv"))])
+    ok = _load("berth_stays", fresh_env)
+    meters = _load("meter_readings", fresh_env)
+    out = apply_all(spark, [(ok, fresh_env, fixture_path("berth_stays_ok.csv")),
+                            (meters, fresh_env, fixture_path("meter_readings_errors.csv"))])
     by = {o.contract: o for o in out}
     assert by[ok.id].status == "loaded" and by[ok.id].rows_loaded == 8
-    assert by[fee.id].status == "gate_failed" and by[fee.id].failed == 8 and by[fee.id].checks == 39
+    assert by[meters.id].status == "gate_failed" and by[meters.id].failed == 8 and by[meters.id].checks == 39
 
 
 def test_overwrite_mode_and_retention(spark, lake, fresh_env):
@@ -103,9 +101,9 @@ def test_overwrite_mode_and_retention(spark, lake, fresh_env):
     from lakepact.operators.shape import type_columns
     import os
 
-    c = _load("channel_master", fresh_env)
-    res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
-    typed = type_columns(read_landing_text(spark, fixture_path("channel_master_ok.csv")), c)
+    c = _load("berth_stays", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
+    typed = type_columns(read_landing_text(spark, fixture_path("berth_stays_ok.csv")), c)
     out = publish(spark, typed.limit(5), res.table, mode="overwrite")   # the reference's plain overwrite
     assert out.rows == 5 and out.location == out.previous
     for n in (4, 3, 2):
@@ -121,13 +119,13 @@ def test_overwrite_mode_and_retention(spark, lake, fresh_env):
 
 def test_rule_that_is_not_a_row_predicate_falls_back_to_sql(spark, lake, fresh_env):
     from lakepact.contract import Rule, Bound
-    c = _load("channel_master", fresh_env)
-    odd = Rule(name="more_than_one_user", type="sql", bound=Bound("=", 0.0),
-               query="SELECT COUNT(*) FROM de_maestro_canal WHERE count(nbrusuariode) > 100")
+    c = _load("berth_stays", fresh_env)
+    odd = Rule(name="more_than_one_ship", type="sql", bound=Bound("=", 0.0),
+               query="SELECT COUNT(*) FROM berth_stay WHERE count(ship) > 100")
     c = c.with_rules(list(c.rules) + [odd])
     with pytest.raises(Exception):
         # an aggregate in WHERE is invalid SQL: the rule fails loudly as SQL, not inside observe
-        apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+        apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
     import os
     from lakepact.sources.catalog import table_location
     from lakepact.contract import resolve_target
@@ -135,23 +133,23 @@ def test_rule_that_is_not_a_row_predicate_falls_back_to_sql(spark, lake, fresh_e
     loc = table_location(spark, name).replace("file:", "")
     assert set(os.listdir(loc.rsplit("/", 1)[0])) <= {loc.rsplit("/", 1)[1]}  # no staged debris left
     from lakepact.operators.checks import compile_checks, usable_fused
-    df = read_landing_text(spark, fixture_path("channel_master_ok.csv"))
+    df = read_landing_text(spark, fixture_path("berth_stays_ok.csv"))
     plans = {s.name: s.plan for s in usable_fused(df, compile_checks(c))}
-    assert plans["more_than_one_user"] == "sql"
+    assert plans["more_than_one_ship"] == "sql"
 
 
 def test_schema_only_post_check(spark, lake, fresh_env):
-    c = _load("channel_master", fresh_env)
-    res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"), post_check="schema")
-    assert len(res.gate) == 40 and len(res.post) == 25 and res.passed
+    c = _load("berth_stays", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"), post_check="schema")
+    assert len(res.gate) == 40 and len(res.post) == 27 and res.passed
 
 
 def test_publish_mode_overwrite_and_standalone_gate(spark, lake, fresh_env):
     from lakepact import gate
-    c = _load("fee_schedule", fresh_env)
-    res = apply_contract(spark, c, fresh_env, fixture_path("fee_schedule_ok.csv"), publish_mode="overwrite")
+    c = _load("meter_readings", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("meter_readings_ok.csv"), publish_mode="overwrite")
     assert res.rows_loaded == 8 and res.location is None and res.passed
-    typed = __import__("lakepact").type_columns(read_landing_text(spark, fixture_path("fee_schedule_errors.csv")), c)
+    typed = __import__("lakepact").type_columns(read_landing_text(spark, fixture_path("meter_readings_errors.csv")), c)
     with pytest.raises(GateFailed) as e:
         gate(typed, c, table=res.table, materialize=True)
     assert e.value.current_rows == 8
@@ -160,8 +158,8 @@ def test_publish_mode_overwrite_and_standalone_gate(spark, lake, fresh_env):
 def test_declared_local_source(spark, tmp_path):
     import dataclasses
     from lakepact.plans.apply import check_declared_source
-    c = Contract.load(fixture_path("fee_schedule.odcs.yaml"))
-    servers = tuple(dataclasses.replace(s, path=fixture_path("fee_schedule_errors.csv")) if s.server == "local" else s
+    c = Contract.load(fixture_path("meter_readings.odcs.yaml"))
+    servers = tuple(dataclasses.replace(s, path=fixture_path("meter_readings_errors.csv")) if s.server == "local" else s
                     for s in c.servers)
     c = dataclasses.replace(c, servers=servers)
     out = check_declared_source(spark, c, "local")
@@ -169,9 +167,9 @@ def test_declared_local_source(spark, tmp_path):
 
 
 def test_delivery_as_list_of_files(spark, lake, fresh_env, tmp_path):
-    c = _load("channel_master", fresh_env)
+    c = _load("berth_stays", fresh_env)
     a, b = tmp_path / "a.csv", tmp_path / "b.csv"
-    lines = open(fixture_path("channel_master_ok.csv"), encoding="utf-8").read().splitlines()
+    lines = open(fixture_path("berth_stays_ok.csv"), encoding="utf-8").read().splitlines()
     a.write_text("\n".join(lines[:5]) + "\n", encoding="utf-8")
     b.write_text("\n".join([lines[0]] + lines[5:]) + "\n", encoding="utf-8")
     res = apply_contract(spark, c, fresh_env, [str(a), str(b)])
@@ -179,18 +177,18 @@ def test_delivery_as_list_of_files(spark, lake, fresh_env, tmp_path):
 
 
 def test_latin1_delivery(spark, lake, fresh_env, tmp_path):
-    c = _load("fee_schedule", fresh_env)
-    text = open(fixture_path("fee_schedule_ok.csv"), encoding="utf-8").read().replace("Sede Norte", "Sede Peñón")
+    c = _load("meter_readings", fresh_env)
+    text = open(fixture_path("meter_readings_ok.csv"), encoding="utf-8").read().replace("Mill Lane", "Calle Peñón")
     p = tmp_path / "latin1.csv"
     p.write_bytes(text.encode("latin-1"))
     res = apply_contract(spark, c, fresh_env, str(p), encoding="ISO-8859-1")
-    names = {r.nom_clinica for r in spark.table(res.table).collect()}
-    assert "Sede Peñón" in names and res.rows_loaded == 8
+    names = {r.street for r in spark.table(res.table).collect()}
+    assert "Calle Peñón" in names and res.rows_loaded == 8
 
 
 def test_malformed_rows_check(spark, lake, fresh_env, tmp_path):
-    c = _load("fee_schedule", fresh_env)
-    lines = open(fixture_path("fee_schedule_ok.csv"), encoding="utf-8").read().splitlines()
+    c = _load("meter_readings", fresh_env)
+    lines = open(fixture_path("meter_readings_ok.csv"), encoding="utf-8").read().splitlines()
     head = lines[0] + ",extra_note"                      # a surplus column the contract does not read
     body = [ln + ",n" for ln in lines[1:]]
     body[2] = body[2] + ",surplus cell"                  # one cell too many
@@ -203,14 +201,14 @@ def test_malformed_rows_check(spark, lake, fresh_env, tmp_path):
     assert bad.get("delivery:malformed_rows") == 2
     assert len(e.value.report) == 41                     # 39 contract checks, the opt-in one, 1 surplus info row
     assert [r.check for r in e.value.report if r.severity == "info"] == ["extra_note:surplus"]
-    res = apply_contract(spark, c, fresh_env, fixture_path("fee_schedule_ok.csv"), malformed_rows=True)
+    res = apply_contract(spark, c, fresh_env, fixture_path("meter_readings_ok.csv"), malformed_rows=True)
     assert res.passed and res.surplus_columns == []
 
 
 def test_surplus_columns_reported_as_information(spark, lake, fresh_env):
     from pyspark.sql import functions as F
-    c = _load("fee_schedule", fresh_env)
-    text = read_landing_text(spark, fixture_path("fee_schedule_ok.csv")).withColumn("nota", F.lit("x"))
+    c = _load("meter_readings", fresh_env)
+    text = read_landing_text(spark, fixture_path("meter_readings_ok.csv")).withColumn("nota", F.lit("x"))
     res = apply_contract(spark, c, fresh_env, text)
     info = [r for r in res.gate if r.severity == "info"]
     assert res.passed and len(res.gate) == 40 and [(r.check, r.result) for r in info] == [("nota:surplus", "passed")]
@@ -220,9 +218,9 @@ def test_surplus_columns_reported_as_information(spark, lake, fresh_env):
 def test_retention_spares_newer_in_flight_stages(spark, lake, fresh_env):
     import os
     from lakepact.operators.publish import next_version_path, prune_versions
-    c = _load("channel_master", fresh_env)
-    res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
-    apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    c = _load("berth_stays", fresh_env)
+    res = apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
+    apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
     in_flight = next_version_path(spark, res.table).replace("file:", "")
     os.makedirs(in_flight)                                   # a stage another load is still writing
     removed = prune_versions(spark, res.table, keep=1)
@@ -233,17 +231,17 @@ def test_retention_spares_newer_in_flight_stages(spark, lake, fresh_env):
 def test_load_refused_when_another_published_meanwhile(spark, lake, fresh_env, monkeypatch):
     import lakepact.plans.apply as A
 
-    c = _load("channel_master", fresh_env)
-    apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    c = _load("berth_stays", fresh_env)
+    apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
     real, seen = A.check_report, []
 
     def slow_report(*args, **kw):  # a second load runs from start to end while the first is checked
         if not seen:
             seen.append(1)
-            seen.append(apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv")))
+            seen.append(apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv")))
         return real(*args, **kw)
 
     monkeypatch.setattr(A, "check_report", slow_report)
     with pytest.raises(ContractError, match="another load"):
-        apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+        apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
     assert spark.table(seen[1].table).count() == seen[1].rows_loaded

@@ -8,7 +8,7 @@ from lakepact.__main__ import main
 from helpers import fixture_path
 
 
-def _env_contract(tmp_path, env, name="channel_master"):
+def _env_contract(tmp_path, env, name="berth_stays"):
     doc = yaml.safe_load(open(fixture_path(f"{name}.odcs.yaml"), encoding="utf-8"))
     for s in doc["servers"]:
         if s.get("catalog"):
@@ -23,9 +23,9 @@ def test_cli_apply_ddl_diff(spark, lake, fresh_env, tmp_path, capsys):
     c = _env_contract(tmp_path, fresh_env)
     assert main(["ddl", c, fresh_env]) == 0
     assert "CREATE TABLE IF NOT EXISTS" in capsys.readouterr().out
-    assert main(["apply", c, fresh_env, fixture_path("channel_master_ok.csv")]) == 0
+    assert main(["apply", c, fresh_env, fixture_path("berth_stays_ok.csv")]) == 0
     assert "loaded 8 rows" in capsys.readouterr().out
-    assert main(["apply", c, fresh_env, fixture_path("channel_master_errors.csv")]) == 1
+    assert main(["apply", c, fresh_env, fixture_path("berth_stays_errors.csv")]) == 1
     assert "5 failed" in capsys.readouterr().out
     old, new = tmp_path / "old", tmp_path / "new"
     old.mkdir(); new.mkdir()
@@ -40,11 +40,11 @@ def test_cli_apply_ddl_diff(spark, lake, fresh_env, tmp_path, capsys):
 
 def test_cli_apply_all(spark, lake, fresh_env, tmp_path, capsys):
     c1 = _env_contract(tmp_path, fresh_env)
-    c2 = _env_contract(tmp_path, fresh_env, "fee_schedule")
+    c2 = _env_contract(tmp_path, fresh_env, "meter_readings")
     jobs = tmp_path / "jobs.yaml"
     jobs.write_text(yaml.safe_dump([
-        {"contract": c1, "files": [fixture_path("channel_master_ok.csv")]},
-        {"contract": c2, "files": [fixture_path("fee_schedule_errors.csv")]},
+        {"contract": c1, "files": [fixture_path("berth_stays_ok.csv")]},
+        {"contract": c2, "files": [fixture_path("meter_readings_errors.csv")]},
     ]), encoding="utf-8")
     assert main(["apply-all", str(jobs), fresh_env]) == 1
     out = capsys.readouterr().out

@@ -13,7 +13,7 @@ from lakepact.suite import contracts as C
 
 
 def _ok(env):
-    return rebind(Contract.load(fixture_path("channel_master.odcs.yaml")), env), fixture_path("channel_master_ok.csv")
+    return rebind(Contract.load(fixture_path("berth_stays.odcs.yaml")), env), fixture_path("berth_stays_ok.csv")
 
 
 def test_two_loads_between_test_and_switch(spark, lake, fresh_env, monkeypatch):

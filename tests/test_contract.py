@@ -20,13 +20,13 @@ def test_parse_types():
 
 
 def test_load_contracts_and_keys():
-    c1 = Contract.load(fixture_path("channel_master.odcs.yaml"))
-    assert len(c1.fields) == 12 and c1.key == ["cod_intermediario"]
-    assert all(f.required for f in c1.fields)
-    c2 = Contract.load(fixture_path("fee_schedule.odcs.yaml"))
-    assert c2.key == ["cod_clinica", "cod_prestacion", "fec_inicio_vigencia"]
-    assert not c2.field("fec_fin_vigencia").required
-    assert c2.model == "ded_tarifario_prestacion"
+    c1 = Contract.load(fixture_path("berth_stays.odcs.yaml"))
+    assert len(c1.fields) == 13 and c1.key == ["stay_id"]
+    assert sum(f.required for f in c1.fields) == 9
+    c2 = Contract.load(fixture_path("meter_readings.odcs.yaml"))
+    assert c2.key == ["meter", "read_on"]
+    assert not c2.field("litres_billed").required
+    assert c2.model == "meter_reading"
 
 
 def test_one_model_only():
@@ -35,10 +35,10 @@ def test_one_model_only():
 
 
 def test_naming_convention():
-    c = Contract.load(fixture_path("channel_master.odcs.yaml"))
+    c = Contract.load(fixture_path("berth_stays.odcs.yaml"))
     t = resolve_target(c, "desa")
-    assert t.fqn == "desa_landing.dataentry_int.de_maestro_canal"
-    assert t.spark_name() == "`desa_landing__dataentry_int`.`de_maestro_canal`"
+    assert t.fqn == "desa_landing.harbour_ops.berth_stay"
+    assert t.spark_name() == "`desa_landing__harbour_ops`.`berth_stay`"
     with pytest.raises(ContractError):
         resolve_target(c, "qa")  # no such server
 
@@ -68,20 +68,20 @@ def test_bounds():
 
 
 def test_three_part_name_when_catalog_configured(spark):
-    c = Contract.load(fixture_path("channel_master.odcs.yaml"))
+    c = Contract.load(fixture_path("berth_stays.odcs.yaml"))
     t = resolve_target(c, "prod")
-    assert t.spark_name(spark) == "`prod_landing__dataentry_int`.`de_maestro_canal`"
+    assert t.spark_name(spark) == "`prod_landing__harbour_ops`.`berth_stay`"
     spark.conf.set("spark.sql.catalog.prod_landing", "org.example.NotLoaded")
     try:
-        assert t.spark_name(spark) == "`prod_landing`.`dataentry_int`.`de_maestro_canal`"
+        assert t.spark_name(spark) == "`prod_landing`.`harbour_ops`.`berth_stay`"
     finally:
         spark.conf.unset("spark.sql.catalog.prod_landing")
 
 
 def test_generated_ddl_matches_golden_artefact():
     from lakepact.operators.publish import create_table_ddl
-    c = Contract.load(fixture_path("fee_schedule.odcs.yaml"))
-    ddl = create_table_ddl(c, "`desa_landing__prestaciones_tarifarios`.`ded_tarifario_prestacion`",
-                           "/lake/desa_landing__prestaciones_tarifarios/ded_tarifario_prestacion/ded_tarifario_prestacion_v0")
-    with open(fixture_path("fee_schedule.ddl.sql"), encoding="utf-8") as fh:
+    c = Contract.load(fixture_path("meter_readings.odcs.yaml"))
+    ddl = create_table_ddl(c, "`desa_landing__water_ops`.`meter_reading`",
+                           "/lake/desa_landing__water_ops/meter_reading/meter_reading_v0")
+    with open(fixture_path("meter_readings.ddl.sql"), encoding="utf-8") as fh:
         assert ddl == fh.read().rstrip("\n")

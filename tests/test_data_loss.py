@@ -66,8 +66,8 @@ def test_old_versions_go_after_a_good_load(spark, lake, fresh_env, tmp_path):
 
 
 def test_one_bad_job_keeps_the_other_outcomes(spark, lake, fresh_env):
-    c = rebind(Contract.load(fixture_path("channel_master.odcs.yaml")), fresh_env)
-    out = apply_all(spark, [(c, fresh_env, "/nowhere/at/all.csv"), (c, fresh_env, fixture_path("channel_master_ok.csv"))],
+    c = rebind(Contract.load(fixture_path("berth_stays.odcs.yaml")), fresh_env)
+    out = apply_all(spark, [(c, fresh_env, "/nowhere/at/all.csv"), (c, fresh_env, fixture_path("berth_stays_ok.csv"))],
                     max_parallel=1)
     assert [o.status for o in out] == ["error", "loaded"] and "all.csv" in out[0].message
 

@@ -25,27 +25,27 @@ def test_seven_steps(spark, lake, fresh_env):
     assert M.contract_fields(td, fd).count() == 2
 
     # 3. artefacts: DDL from the contract
-    c = rebind(Contract.load(fixture_path("channel_master.odcs.yaml")), fresh_env)
+    c = rebind(Contract.load(fixture_path("berth_stays.odcs.yaml")), fresh_env)
     assert create_table_ddl(c, "`x`.`t`", "/lake/t").startswith("CREATE TABLE IF NOT EXISTS `x`.`t` (")
 
     # 4. good data passes (40 checks, 8 rows)
-    res = apply_contract(spark, c, fresh_env, fixture_path("channel_master_ok.csv"))
+    res = apply_contract(spark, c, fresh_env, fixture_path("berth_stays_ok.csv"))
     assert len(res.gate) == 40 and res.rows_loaded == 8
 
     # 5. bad data fails (5 checks) and nothing is written
     with pytest.raises(GateFailed) as e:
-        apply_contract(spark, c, fresh_env, fixture_path("channel_master_errors.csv"))
+        apply_contract(spark, c, fresh_env, fixture_path("berth_stays_errors.csv"))
     assert len([r for r in e.value.report if r.result != "passed"]) == 5
     assert spark.table(res.table).count() == 8
 
     # 6. compatible change: a new optional field passes the diff and is added to the table
-    v2 = dataclasses.replace(c, version="1.1.0", fields=c.fields + (Field("obs_canal", "STRING"),))
+    v2 = dataclasses.replace(c, version="1.1.0", fields=c.fields + (Field("remark", "STRING"),))
     old, new = contract_fields_frame(spark, [c]), contract_fields_frame(spark, [v2])
     assert not diff_verdict(contract_diff(old, new), old, new).collect()[0].breaking
-    assert ensure_table(spark, v2, res.table, res.table.rsplit(".", 1)[0]) == ["column added: obs_canal STRING"]
+    assert ensure_table(spark, v2, res.table, res.table.rsplit(".", 1)[0]) == ["column added: remark STRING"]
 
     # 7. breaking change: a removed field is blocked
     v3 = dataclasses.replace(c, version="2.0.0",
-                             fields=tuple(f for f in c.fields if f.name != "nom_canal_distribucion"))
+                             fields=tuple(f for f in c.fields if f.name != "flag"))
     new3 = contract_fields_frame(spark, [v3])
     assert diff_verdict(contract_diff(old, new3), old, new3).collect()[0].breaking

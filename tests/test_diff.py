@@ -57,21 +57,21 @@ def test_registry_of_yaml_files_and_diff(spark, tmp_path):
 
     old_dir, new_dir = tmp_path / "old", tmp_path / "new"
     old_dir.mkdir(); new_dir.mkdir()
-    for name in ["channel_master", "fee_schedule"]:
+    for name in ["berth_stays", "meter_readings"]:
         text = open(fixture_path(f"{name}.odcs.yaml"), encoding="utf-8").read()
         (old_dir / f"{name}.yaml").write_text(text, encoding="utf-8")
         doc = yaml.safe_load(text)
         props = doc["schema"][0]["properties"]
-        if name == "channel_master":   # optional field added: compatible
+        if name == "berth_stays":   # optional field added: compatible
             props.append({"name": "obs", "physicalType": "STRING", "required": False})
         else:                          # field removed: breaking
-            doc["schema"][0]["properties"] = [p for p in props if p["name"] != "nom_clinica"]
+            doc["schema"][0]["properties"] = [p for p in props if p["name"] != "street"]
         (new_dir / f"{name}.yaml").write_text(yaml.safe_dump(doc, allow_unicode=True), encoding="utf-8")
     old = read_contract_registry(spark, str(old_dir)).drop("path")
     new = read_contract_registry(spark, str(new_dir)).drop("path")
-    assert old.count() == 22
+    assert old.count() == 24
     got = sorted((r.field, r.change, r.severity) for r in contract_diff(old, new).collect())
-    assert got == [("nom_clinica", "field_removed", "breaking"), ("obs", "optional_field_added", "compatible")]
+    assert got == [("obs", "optional_field_added", "compatible"), ("street", "field_removed", "breaking")]
 
 
 def test_changelog_order(spark):

@@ -10,8 +10,8 @@ from helpers import fixture_path, rebind
 
 
 def _setup(spark, env):
-    c = rebind(Contract.load(fixture_path("fee_schedule.odcs.yaml")), env)
-    res = apply_contract(spark, c, env, fixture_path("fee_schedule_ok.csv"))
+    c = rebind(Contract.load(fixture_path("meter_readings.odcs.yaml")), env)
+    res = apply_contract(spark, c, env, fixture_path("meter_readings_ok.csv"))
     ns = res.table.rsplit(".", 1)[0]
     return c, res.table, ns
 
@@ -28,14 +28,14 @@ def test_equal_and_optional_added(spark, lake, fresh_env):
 def test_incompatible_changes_all_listed_nothing_changed(spark, lake, fresh_env):
     c, name, ns = _setup(spark, fresh_env)
     before = spark.table(name).schema
-    fields = [f for f in c.fields if f.name != "usr_registro"]  # table keeps a column the contract lacks
-    fields = [Field(f.name, "STRING", required=f.required) if f.name == "mto_tarifa" else f for f in fields]
+    fields = [f for f in c.fields if f.name != "reader"]  # table keeps a column the contract lacks
+    fields = [Field(f.name, "STRING", required=f.required) if f.name == "litres" else f for f in fields]
     fields.append(Field("new_req", "STRING", required=True))
     with pytest.raises(EvolutionRefused) as e:
         ensure_table(spark, c.with_fields(fields), name, ns)
     assert len(e.value.problems) == 3
     text = "\n".join(e.value.problems)
-    assert "usr_registro" in text and "mto_tarifa" in text and "new_req" in text
+    assert "reader" in text and "litres" in text and "new_req" in text
     assert spark.table(name).schema == before
 
 
@@ -61,7 +61,7 @@ def test_inventories_from_catalog_tables(spark, lake, fresh_env):
     from lakepact.sources.catalog import schema_of, table_columns_frame
     c, name, ns = _setup(spark, fresh_env)
     schema = schema_of(spark, name)
-    assert list(schema)[:2] == ["cod_clinica", "nom_clinica"]
+    assert list(schema)[:2] == ["meter", "read_on"]
     inv = table_columns_frame(spark, {c.id: spark.table(name).schema})
     drift = schema_drift(inv, contract_fields_frame(spark, [c]))
     assert {r.change for r in drift.collect()} == {"unchanged"}

@@ -10,33 +10,33 @@ from helpers import fixture_path, rebind
 
 
 def test_cast_loss_rows(spark, lake, fresh_env, tmp_path):
-    c = rebind(Contract.load(fixture_path("fee_schedule.odcs.yaml")), fresh_env)
-    text = read_landing_text(spark, fixture_path("fee_schedule_ok.csv"))
+    c = rebind(Contract.load(fixture_path("meter_readings.odcs.yaml")), fresh_env)
+    text = read_landing_text(spark, fixture_path("meter_readings_ok.csv"))
     from pyspark.sql import functions as F
-    bad = text.withColumn("fec_fin_vigencia", F.when(F.col("fec_fin_vigencia").isNotNull(), F.lit("31/12/2026")))
+    bad = text.withColumn("litres_billed", F.when(F.col("litres_billed").isNotNull(), F.lit("31/12/2026")))
     res = apply_contract(spark, c, fresh_env, bad, cast_loss=True)
     loss = {r.field: r.metric for r in res.gate if r.kind == "cast_loss"}
-    assert loss["fec_fin_vigencia"] == 1 and loss["mto_tarifa"] == 0
+    assert loss["litres_billed"] == 1 and loss["litres"] == 0
     assert res.passed  # informational only: an unreadable optional date still passes, as in the reference
 
 
 def test_raw_presence(spark, lake, fresh_env):
-    c = rebind(Contract.load(fixture_path("fee_schedule.odcs.yaml")), fresh_env)
-    text = read_landing_text(spark, fixture_path("fee_schedule_ok.csv")).drop("fec_fin_vigencia")
+    c = rebind(Contract.load(fixture_path("meter_readings.odcs.yaml")), fresh_env)
+    text = read_landing_text(spark, fixture_path("meter_readings_ok.csv")).drop("litres_billed")
     with pytest.raises(GateFailed) as e:
         apply_contract(spark, c, fresh_env, text, raw_schema_checks=True)
-    assert [r.check for r in e.value.report if r.result != "passed"] == ["fec_fin_vigencia:present"]
+    assert [r.check for r in e.value.report if r.result != "passed"] == ["litres_billed:present"]
 
 
 def test_landing_stream(spark, lake, fresh_env, tmp_path):
-    c = rebind(Contract.load(fixture_path("channel_master.odcs.yaml")), fresh_env)
+    c = rebind(Contract.load(fixture_path("berth_stays.odcs.yaml")), fresh_env)
     folder = tmp_path / "landing"
-    head, *rows = open(fixture_path("channel_master_ok.csv"), encoding="utf-8").read().splitlines()
+    head, *rows = open(fixture_path("berth_stays_ok.csv"), encoding="utf-8").read().splitlines()
     (folder / "d1").mkdir(parents=True)
     for i, row in enumerate(rows):  # one delivery of many files
         (folder / "d1" / f"part{i}.csv").write_text(f"{head}\n{row}\n", encoding="utf-8")
     (folder / "d0").mkdir()
-    shutil.copy(fixture_path("channel_master_errors.csv"), folder / "d0" / "x.csv")  # not marked complete
+    shutil.copy(fixture_path("berth_stays_errors.csv"), folder / "d0" / "x.csv")  # not marked complete
     (folder / "d1" / MARKER).write_text("done")
     seen = []
     q = watch_landing(spark, c, fresh_env, str(folder), available_now=True,
@@ -56,15 +56,15 @@ def test_bad_deliveries_do_not_stop_the_watcher(spark, lake, fresh_env, tmp_path
     import os
     import time
 
-    c = rebind(Contract.load(fixture_path("channel_master.odcs.yaml")), fresh_env)
-    folder, good = tmp_path / "in", open(fixture_path("channel_master_ok.csv"), encoding="utf-8").read()
+    c = rebind(Contract.load(fixture_path("berth_stays.odcs.yaml")), fresh_env)
+    folder, good = tmp_path / "in", open(fixture_path("berth_stays_ok.csv"), encoding="utf-8").read()
     now = time.time()
     for i, name in enumerate(["a_ragged", "b_empty", "c_failing", "d_good"]):
         (folder / name).mkdir(parents=True)
         (folder / name / MARKER).write_text("done")
         os.utime(folder / name / MARKER, (now + 2 * i, now + 2 * i))  # oldest first
     (folder / "a_ragged" / "x.csv").write_text(good + "one,cell,too,few\n", encoding="utf-8")
-    shutil.copy(fixture_path("channel_master_errors.csv"), folder / "c_failing" / "x.csv")
+    shutil.copy(fixture_path("berth_stays_errors.csv"), folder / "c_failing" / "x.csv")
     (folder / "d_good" / "x.csv").write_text(good, encoding="utf-8")
     seen = []
     run = lambda: watch_landing(spark, c, fresh_env, str(folder), available_now=True,
