@@ -56,6 +56,65 @@ def test_pii_query(spark, which):
         assert r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"] <= len(spans)
 
 
+def every_segmentation(cands, i, n):
+    """All ways to lay candidates (by index) over atoms i to n, atoms between them left alone."""
+    if i >= n:
+        yield []
+        return
+    yield from every_segmentation(cands, i + 1, n)
+    for c, (start, end, _, _) in enumerate(cands):
+        if start == i:
+            for rest in every_segmentation(cands, end, n):
+                yield [c, *rest]
+
+
+def short_islands(count, seed=12):
+    rng = random.Random(seed)
+    bits = ["+49 ", "030", "1234567", " ", "-", "(0)", "555", "a@b.de", "10.0.0.1", ".", "@", "x", "4111111111111111", "99"]
+    out = []
+    while len(out) < count:
+        x = "".join(rng.choice(bits) for _ in range(rng.randint(1, 6)))
+        bounds = pii_semicrf.atoms(x, 0, len(x))
+        if len(list(pii_semicrf.candidates(x, bounds))) <= 40 and len(bounds) <= 16:
+            out.append(x)
+    return out
+
+
+def test_pii_decoding_equals_enumeration():
+    """The dynamic program finds a segmentation of the highest score among all that there are."""
+    rng = random.Random(5)
+    model, found = pii_semicrf.SemiCRF(), 0
+    for x in short_islands(300):
+        bounds = pii_semicrf.atoms(x, 0, len(x))
+        cands = list(pii_semicrf.candidates(x, bounds))
+        for _, _, _, features in cands:  # weights of both signs, so that many segmentations compete
+            for f in features:
+                model.w.setdefault(f, rng.uniform(-2.0, 2.5))
+        score = model._scores(cands)
+        ways = list(every_segmentation(cands, 0, len(bounds) - 1))
+        best = max(sum(score[c] for c in way) for way in ways)
+        at = {(bounds[i], k, bounds[j]): score[c] for c, (i, j, k, _) in enumerate(cands)}
+        got = model.decode(x, 0, len(x))
+        assert all(a[2] <= b[0] for a, b in zip(got, got[1:]))
+        assert abs(sum(at[span] for span in got) - best) < 1e-9, x
+        found += len(got)
+    assert found > 100
+
+
+def test_pii_likelihood_equals_enumeration():
+    """Forward sums hold exactly the segmentations there are: the likelihood is the plain one."""
+    for x in short_islands(100, seed=13):
+        model = pii_semicrf.SemiCRF()
+        bounds = pii_semicrf.atoms(x, 0, len(x))
+        cands = list(pii_semicrf.candidates(x, bounds))
+        score = model._scores(cands)
+        ways = [sum(score[c] for c in way) for way in every_segmentation(cands, 0, len(bounds) - 1)]
+        gold = set(model.decode(x, 0, len(x)))
+        true = sum(score[c] for c, (i, j, k, _) in enumerate(cands) if (bounds[i], k, bounds[j]) in gold)
+        want = true - float(np.logaddexp.reduce(ways))
+        assert abs(model.gradient_step(x, gold, 0.0) - want) < 1e-9, x
+
+
 def test_pii_finds_what_stands_side_by_side(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = pii_semicrf.fit(docs)
