@@ -164,6 +164,38 @@ def test_toxicity_awkward(spark):
     assert toxicity_cnn.score_documents(empty, labels).count() == 0
 
 
+def plain_score(model, text):
+    """The net's score of one text, window by window in double precision."""
+    zero = np.zeros(toxicity_cnn.DIM)
+    e = [model.embed[list(toxicity_cnn.features(w))].astype(float).sum(axis=0) for w in toxicity_cnn.words(text)] or [zero]
+    total = float(model.out_bias)
+    for i, width in enumerate(toxicity_cnn.WIDTHS):
+        for k in range(toxicity_cnn.FILTERS):
+            peak = max(
+                sum(float(np.dot(model.conv[width][j][:, k], e[at + j])) for j in range(width) if at + j < len(e))
+                for at in range(len(e))
+            ) + float(model.bias[width][k])
+            total += float(model.out[i * toxicity_cnn.FILTERS + k]) * max(0.0, peak)
+    return 1 / (1 + np.exp(-total))
+
+
+def test_toxicity_score_equals_plain_net(monkeypatch):
+    rng = random.Random(8)
+    model = toxicity_cnn.TextCNN(seed=3)
+    model.embed[1:] *= 8  # scores well apart
+    for width in toxicity_cnn.WIDTHS:
+        model.bias[width] += np.float32(0.1)
+    vocab = [f"w{i}".encode() for i in range(40)] + ["été".encode(), b"!!", b"\xff"]
+    texts = [b"", b" \n", b"one"] + [b" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 30))) for _ in range(30)]
+    want = [plain_score(model, t) for t in texts]
+    assert np.ptp(want) > 0.2
+    assert np.allclose(model.scorer().score(texts), want, atol=1e-4)
+    monkeypatch.setattr(toxicity_cnn, "CACHE_WORDS", 45)  # remembered words are dropped on the way
+    scorer = model.scorer()
+    got = np.concatenate([scorer.score(texts[i:i + 4]) for i in range(0, len(texts), 4)])
+    assert np.allclose(got, want, atol=1e-4)
+
+
 def test_threshold_choice():
     assert toxicity_cnn.best_threshold(np.array([0.1, 0.2, 0.3, 0.9]), np.array([0, 0, 1, 1])) == pytest.approx(0.25)
 
