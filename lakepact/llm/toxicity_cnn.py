@@ -186,7 +186,8 @@ class Scorer:
         self.parts[:, used:used + len(rows)] = rows.reshape(len(rows), -1, FILTERS).transpose(1, 0, 2)
         self.place.update(zip(fresh, range(used, used + len(rows))))
 
-    def pooled(self, texts: list[list[bytes]]) -> np.ndarray:
+    def pooled(self, texts: list[list[bytes]], goes_on: bool = False) -> np.ndarray:
+        """Every filter's peak by text; of a text that goes on only windows that lie in it whole."""
         widest = max(WIDTHS)
         flat: list[bytes] = []
         for t in texts:
@@ -205,7 +206,8 @@ class Scorer:
         size = np.array([max(1, len(t)) + widest - 1 for t in texts])
         begin = np.cumsum(size) - size
         # Windows start at words only: odd entries of the edges close each text's own range.
-        edges = np.stack((begin, begin + size - widest + 1), axis=1).reshape(-1)
+        end = begin + size - (widest - 1) * (2 if goes_on else 1)
+        edges = np.stack((begin, end), axis=1).reshape(-1)
         n, column, out = int(size.sum()), 0, []
         for w in WIDTHS:
             z = None
@@ -225,8 +227,9 @@ class Scorer:
         size = 0
         for i, ws in enumerate(lists):
             if len(ws) > PIECE_WORDS:  # pieces overlap, so that every window is seen
-                step = PIECE_WORDS - max(WIDTHS)
-                parts = [self.pooled([ws[a:a + PIECE_WORDS]])[0] for a in range(0, len(ws), step)]
+                step = PIECE_WORDS - max(WIDTHS) + 1
+                parts = [self.pooled([ws[a:a + PIECE_WORDS]], a + PIECE_WORDS < len(ws))[0]
+                         for a in range(0, len(ws) - max(WIDTHS) + 1, step)]
                 out[i] = np.max(parts, axis=0)
                 continue
             group.append(i)

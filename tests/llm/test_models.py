@@ -190,6 +190,8 @@ def test_toxicity_score_equals_plain_net(monkeypatch):
     want = [plain_score(model, t) for t in texts]
     assert np.ptp(want) > 0.2
     assert np.allclose(model.scorer().score(texts), want, atol=1e-4)
+    monkeypatch.setattr(toxicity_cnn, "PIECE_WORDS", 8)  # long texts in pieces
+    assert np.allclose(model.scorer().score(texts), want, atol=1e-4)
     monkeypatch.setattr(toxicity_cnn, "CACHE_WORDS", 45)  # remembered words are dropped on the way
     scorer = model.scorer()
     got = np.concatenate([scorer.score(texts[i:i + 4]) for i in range(0, len(texts), 4)])
