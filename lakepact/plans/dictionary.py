@@ -21,6 +21,7 @@ from ..functions.text import (
     split_values, yes_no,
 )
 from ..operators.windows import later_repeats, ordered_join, running_count
+from ..session import materialize
 
 ISSUE_COLUMNS = ["document", "sheet", "row", "cell", "rule", "severity", "message", "role"]
 TABLE_SHEET, FIELD_SHEET = "table", "fields"
@@ -322,8 +323,12 @@ def derive_checks(table_defs: DataFrame, field_defs: DataFrame, extra_rules: Dat
     """Check rows a document's contract will carry: required (nulls not allowed),
     allowed values (catalogue cell), maximum length (numeric string length), the key, the
     table's non-empty rule, and after it the business rules that ``extra_rules(document, check,
-    kind, field, argument)`` adds to a document. Documents with errors carry none."""
-    td, fd = prepare_tables(table_defs), prepare_fields(field_defs)
+    kind, field, argument)`` adds to a document. Documents with errors carry none.
+
+    The prepared rows and the documents with errors are written once under the shared folder: the plan reads
+    the rows a dozen times, and would hold the preparation of every cell as often, on the driver."""
+    td = materialize(prepare_tables(table_defs), "dictionary")
+    fd = materialize(prepare_fields(field_defs), "dictionary")
     name = F.col("nombre_modelado")
 
     def check(cond: Column, title: Column, kind: str, argument: Column) -> Column:
@@ -347,7 +352,8 @@ def derive_checks(table_defs: DataFrame, field_defs: DataFrame, extra_rules: Dat
     if extra_rules is not None:
         extra = extra_rules.select("document", "check", "kind", "field", "argument")
         parts.append(extra.join(td.select("document").distinct(), "document", "left_semi"))
-    return without_errors(_union(parts), td, fd, issues)
+    failed = materialize(documents_with_errors(issues if issues is not None else lint(td, fd)), "dictionary")
+    return _union(parts).join(failed, "document", "left_anti")
 
 
 def document_rollup(table_defs: DataFrame, field_defs: DataFrame) -> DataFrame:
