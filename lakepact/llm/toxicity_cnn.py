@@ -180,7 +180,8 @@ class Scorer:
         rows = self.m.embed[f].sum(axis=1) @ self.weights
         used = len(self.place)
         if used + len(rows) > self.parts.shape[1]:
-            grown = np.zeros((sum(WIDTHS), max(2 * used, used + len(rows)), FILTERS), np.float32)
+            room = max(min(2 * used, CACHE_WORDS), used + len(rows))  # never beyond what may be remembered
+            grown = np.zeros((sum(WIDTHS), room, FILTERS), np.float32)
             grown[:, :used] = self.parts[:, :used]
             self.parts = grown
         self.parts[:, used:used + len(rows)] = rows.reshape(len(rows), -1, FILTERS).transpose(1, 0, 2)
@@ -221,24 +222,33 @@ class Scorer:
     def score(self, texts: list[bytes]) -> np.ndarray:
         if self.m.constant is not None:
             return np.full(len(texts), self.m.constant)
-        lists = [words(t) for t in texts]
         out = np.empty((len(texts), FILTERS * len(WIDTHS)), np.float32)
-        group: list[int] = []
+        # Only one group's words are held at a time: as objects they take several times the texts' bytes.
+        group: list[list[bytes]] = []
+        places: list[int] = []
         size = 0
-        for i, ws in enumerate(lists):
+
+        def close() -> None:
+            if group:
+                out[places] = self.pooled(group)
+                group.clear()
+                places.clear()
+
+        for i, t in enumerate(texts):
+            ws = words(t)
             if len(ws) > PIECE_WORDS:  # pieces overlap, so that every window is seen
                 step = PIECE_WORDS - max(WIDTHS) + 1
                 parts = [self.pooled([ws[a:a + PIECE_WORDS]], a + PIECE_WORDS < len(ws))[0]
                          for a in range(0, len(ws) - max(WIDTHS) + 1, step)]
                 out[i] = np.max(parts, axis=0)
                 continue
-            group.append(i)
+            group.append(ws)
+            places.append(i)
             size += len(ws)
             if size >= PIECE_WORDS // 4:
-                out[group] = self.pooled([lists[j] for j in group])
-                group, size = [], 0
-        if group:
-            out[group] = self.pooled([lists[j] for j in group])
+                close()
+                size = 0
+        close()
         z = out.astype(np.float64) @ self.m.out.astype(np.float64) + float(self.m.out_bias)
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 

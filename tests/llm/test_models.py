@@ -198,6 +198,26 @@ def test_toxicity_score_equals_plain_net(monkeypatch):
     assert np.allclose(got, want, atol=1e-4)
 
 
+def test_toxicity_holds_few_words_at_a_time():
+    import tracemalloc
+    scorer = toxicity_cnn.TextCNN(seed=3).scorer()
+    texts = [b" ".join(b"%d" % (i * k % 5000) for k in range(1000)) for i in range(400)]
+    scorer.score(texts[:1])
+    tracemalloc.start()
+    scorer.score(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 18_000_000
+
+
+def test_toxicity_remembers_no_more_than_it_may(monkeypatch):
+    monkeypatch.setattr(toxicity_cnn, "CACHE_WORDS", 3000)
+    scorer = toxicity_cnn.TextCNN(seed=3).scorer()
+    for i in range(5):
+        scorer.score([b" ".join(b"%d" % j for j in range(i * 500, i * 500 + 500))])
+    assert len(scorer.place) == 2501 and scorer.parts.shape[1] <= 3000
+
+
 def test_threshold_choice():
     assert toxicity_cnn.best_threshold(np.array([0.1, 0.2, 0.3, 0.9]), np.array([0, 0, 1, 1])) == pytest.approx(0.25)
 
