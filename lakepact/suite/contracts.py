@@ -30,6 +30,9 @@ def _p(name: str, t: str, required: bool = True, **kw) -> dict:
     return d
 
 
+# A delivery's files: each is written by one task.
+DELIVERY_FILE_BYTES = 1 << 28
+
 ROWS = {"type": "library", "metric": "rowCount", "mustBeGreaterThan": 0, "name": "not_empty", "description": "a delivery has rows",
         "dimension": "completeness", "severity": "error"}
 

@@ -69,14 +69,16 @@ def q_text_scan(spark, sf):
 
 
 def q_quoted_splits(spark, sf):
-    """Pages written as one CSV file whose cells hold quoted line breaks and quotes, read back in many
-    tasks: every row's whole text by its digest."""
+    """Pages written as CSV files whose cells hold quoted line breaks and quotes, each file far larger than
+    what one task reads (small tables: one file), read back in many tasks: every row's whole text by its digest."""
     path = scratch_path(spark, "deliveries", "pages")
     pages = t(spark, sf, "pages").select(
         F.col("page_id").cast("string").alias("page_id"), "url",
         F.concat(F.lit('<p class="a">\n'), F.coalesce("html", F.lit("")), F.lit('\n"end",\n')).alias("body"))
     whole = {"header": True, "escape": '"', "quoteAll": True, "ignoreTrailingWhiteSpace": False}
-    pages.coalesce(1).write.options(**whole).csv(path)
+    size = pages.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    files = max(1, -(-size // C.DELIVERY_FILE_BYTES))  # bounded files, so that no task writes the whole table
+    (pages.coalesce(1) if files == 1 else pages.repartition(files)).write.options(**whole).csv(path)
     rows = read_landing_text(spark, path, split_quoted=True)
     return rows.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.md5("body").alias("body_md5"))
 

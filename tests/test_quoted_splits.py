@@ -105,6 +105,20 @@ def test_refused_rather_than_misread(spark, tmp_path, text, message):
         read_landing_text(spark, str(tmp_path / "s.csv"), split_quoted=True).collect()
 
 
+def test_the_query_writes_files_of_bounded_size(spark, small_blocks, tmp_path, monkeypatch):
+    from lakepact.suite import contracts, queries
+    rows = [(i, f"u{i}", None if i % 7 == 0 else 'x "y"\n,' * (i % 40)) for i in range(300)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    whole = _rows(queries.q_quoted_splits(spark, str(tmp_path)))
+    folder = tmp_path / "delivery"
+    monkeypatch.setattr(queries, "scratch_path", lambda *parts: str(folder))
+    monkeypatch.setattr(contracts, "DELIVERY_FILE_BYTES", 10_000)
+    small_blocks(4000)
+    assert _rows(queries.q_quoted_splits(spark, str(tmp_path))) == whole and len(whole) == 300
+    sizes = [f.stat().st_size for f in folder.glob("*.csv")]
+    assert len(sizes) > 3 and max(sizes) < 30_000
+
+
 def test_another_heading_is_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,t\n1,a\n")
     (tmp_path / "b.csv").write_text("t,id\nb,2\n")
