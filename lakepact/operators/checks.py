@@ -11,7 +11,7 @@ Plans:
   aggregation (a hot key collapses to one row per task before the shuffle), then a global
   count of the repeated groups. NULL keys group together. Keys wider than 16 bytes shuffle
   a 64-bit hash first; only rows whose hash repeats are counted exactly by key. Several key
-  checks share one scan and one exchange of (check, key digest) rows.
+  checks share one scan and one exchange of (key, check) rows: fixed-width cells as they are, a digest of the others.
 * ``sql``     – SQL rules that are not a plain filtered count (K12 and anything else): run
   by Spark SQL over the model's name (S4), one scalar each. A functional dependency asks
   whether a key's least and greatest value differ instead of counting distinct values.
@@ -460,22 +460,59 @@ def _key_cell(c: Column, t: T.DataType) -> Column | None:
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
+def _key_text(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """A key as text: its cells, each behind its length. None where a cell has no text."""
+    cells = [_key_cell(qcol(k), df.schema[k].dataType) for k in keys]
+    return None if any(c is None for c in cells) else F.concat(*cells)
+
+
+def _short(text: Column) -> Column:
+    return F.when(F.octet_length(text) < 32, text.cast("binary")).otherwise(F.unhex(F.sha2(text.cast("binary"), 256)))
+
+
 def key_digest(df: DataFrame, keys: Sequence[str]) -> Column | None:
     """A key of any columns in at most 32 bytes: its cells (each behind its length) as they are below 32
     bytes, else their SHA-256. NULL cells are equal to each other. None where a cell has no text."""
-    cells = [_key_cell(qcol(k), df.schema[k].dataType) for k in keys]
-    if any(c is None for c in cells):
-        return None
-    text = F.concat(*cells)
-    return F.when(F.octet_length(text) < 32, text.cast("binary")).otherwise(F.unhex(F.sha2(text.cast("binary"), 256)))
+    text = _key_text(df, keys)
+    return None if text is None else _short(text)
+
+
+def _word(c: Column, t: T.DataType) -> tuple[str, Column] | None:
+    """A key cell as one 8-byte value of the named type, different for different values; None for texts and other types."""
+    if isinstance(t, T.DateType):
+        return "bigint", F.unix_date(c).cast("bigint")
+    if isinstance(t, T.TimestampType):
+        return "bigint", F.unix_micros(c)
+    if isinstance(t, (T.IntegralType, T.BooleanType)):
+        return "bigint", c.cast("bigint")
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return "double", c.cast("double")
+    return ("timestamp_ntz", c) if isinstance(t, T.TimestampNTZType) else None
 
 
 def shared_duplicate_keys(df: DataFrame, checks: Sequence[tuple[int, Sequence[str]]]) -> DataFrame:
     """``duplicate_keys`` of several keys in one scan and one exchange: one row with ``g<idx>`` (repeated
     key values) and ``r<idx>`` (their rows) for each ``(idx, keys)``. Rows are tagged with their check
-    and counted in their task first, so a hot key of any check arrives as one row per task."""
-    tagged = F.array(*[F.struct(F.lit(i).alias("check"), key_digest(df, keys).alias("key")) for i, keys in checks])
-    counted = (df.select(F.explode(tagged).alias("t")).groupBy("t.check", "t.key")
+    and counted in their task first, so a hot key of any check arrives as one row per task. Cells of fixed
+    width are grouped as they are, in slots that the checks share; only the others go through a digest."""
+    names = {k: f"k{j}" for j, k in enumerate(dict.fromkeys(k for _, keys in checks for k in keys))}
+    texts, words, slots = {}, {}, {}
+    for i, keys in checks:
+        cells = {k: _word(F.col(names[k]), df.schema[k].dataType) for k in keys}
+        words[i] = {}
+        for kind, c in (w for w in cells.values() if w is not None):
+            slot = f"{kind}_{sum(x.startswith(kind) for x in words[i])}"
+            words[i][slot], slots[slot] = c, kind
+        if wide := [k for k in cells if cells[k] is None]:
+            texts[i] = _key_text(df, wide).alias(f"t{i}")
+            words[i]["text"] = _short(F.col(f"t{i}"))
+    if texts:
+        slots["text"] = "binary"
+    df = df.select(*[qcol(k).alias(n) for k, n in names.items()], *texts.values())  # a text is built once a row
+    # The check comes last: a map that outgrows its memory is sorted by the first columns.
+    tagged = F.array(*[F.struct(*[words[i].get(s, F.lit(None).cast(kind)).alias(s) for s, kind in slots.items()],
+                                F.lit(i).alias("check")) for i, _ in checks])
+    counted = (df.select(F.explode(tagged).alias("t")).groupBy(*[f"t.{s}" for s in slots], "t.check")
                .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     return counted.agg(*[
         c for i, _ in checks for c in (

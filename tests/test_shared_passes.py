@@ -68,6 +68,27 @@ def test_types_without_a_digest_keep_their_own_pass(spark):
     assert [r["metric"] for r in check_report(df, _unique_contract(["a"]), specs=specs).collect()] == [1, 1]
 
 
+def test_fixed_width_keys_are_grouped_without_a_text(spark):
+    df = _frame(spark).withColumn("e", F.col("e").cast("timestamp_ntz"))
+    fixed, mixed = [("a",), ("c", "h"), ("d", "e"), ("a", "d", "c")], [("b", "a"), ("g",)]
+    for keys, texts in ((fixed, False), (fixed + mixed, True)):
+        plan = K.shared_duplicate_keys(df, list(enumerate(keys)))._jdf.queryExecution().optimizedPlan().toString()
+        assert ("sha2" in plan) == ("as string" in plan) == texts, plan
+
+
+def test_shared_slots_keep_checks_and_cells_apart(spark):
+    rows = [(1, 2, True, 1.0, None, "1"), (2, 1, False, 1.0, None, "1"), (None, 1, None, -0.0, 0, ""), (1, None, None, 0.0, 0, None),
+            (None, None, True, float("nan"), None, None), (None, None, True, float("nan"), 1, "-")]
+    df = spark.createDataFrame(rows, "k0 bigint, t1 int, h boolean, c double, s int, b string").select(
+        "k0", "t1", "h", "c", F.col("c").cast("float").alias("r"), "b", F.timestamp_seconds("s").alias("u"),
+        F.timestamp_seconds("s").cast("timestamp_ntz").alias("v"), F.date_add(F.lit("1970-01-01").cast("date"), "s").alias("d"))
+    keys = [("k0",), ("k0", "t1"), ("t1", "k0"), ("h",), ("c", "h"), ("r", "c"), ("u", "v"), ("d", "b"), ("b", "t1", "k0"), ("v", "d", "u")]
+    got = K.shared_duplicate_keys(df, list(enumerate(keys))).first()
+    for i, k in enumerate(keys):
+        want = K.duplicate_keys(df, k, "exact").first()
+        assert (got[f"g{i}"], got[f"r{i}"]) == (want["groups"], want["rows"]), k
+
+
 RULE = "SELECT COUNT(*) FROM (SELECT {s} FROM m {w} GROUP BY {k} HAVING COUNT(DISTINCT {v}) {o})"
 
 
